@@ -118,8 +118,9 @@ def popup_label(features: DataFrame) -> DataFrame:
 def page_positions(page: DataFrame) -> DataFrame:
     """One position per aircraft within a page: the newest row wins."""
     pos = page.where(F.col("longitude").isNotNull() & F.col("latitude").isNotNull())
+    # newest fix wins; equal timestamps are broken by position for determinism
     best = F.max_by(F.struct("longitude", "latitude", "timestamp"),
-                    F.struct("timestamp", F.col("time_position")))
+                    F.struct("timestamp", "longitude", "latitude"))
     return (pos.groupBy("icao24").agg(best.alias("p"))
             .select("icao24", F.col("p.longitude").alias("lon"), F.col("p.latitude").alias("lat"),
                     F.col("p.timestamp").alias("timestamp")))

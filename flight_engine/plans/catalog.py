@@ -173,9 +173,7 @@ def q_page_positions(spark, sf):
 
 
 def q_interpolate_positions(spark, sf):
-    out = sv.interpolate_positions(history(spark, sf))
-    return out.select("icao24", "timestamp", "step", F.round("lon", 6).alias("lon"),
-                      F.round("lat", 6).alias("lat"))
+    return sv.interpolate_positions(history(spark, sf))
 
 
 # ---- sorts / limits ------------------------------------------------------

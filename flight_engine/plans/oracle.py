@@ -188,8 +188,8 @@ TRAJ_ONE = ("one AS (SELECT icao24, timestamp, arg_max(longitude, time_position)
 def _interp() -> str:
     ease = "(1.0E0 - pow(1.0E0 - CAST(step AS DOUBLE) / 4.0E0, 3))"
     return f"""SELECT icao24, timestamp, CAST(step AS INTEGER) AS step,
-  round(CASE WHEN plon IS NOT NULL THEN plon + (longitude - plon) * {ease} ELSE longitude END, 6) AS lon,
-  round(CASE WHEN plat IS NOT NULL THEN plat + (latitude - plat) * {ease} ELSE latitude END, 6) AS lat
+  CASE WHEN plon IS NOT NULL THEN plon + (longitude - plon) * {ease} ELSE longitude END AS lon,
+  CASE WHEN plat IS NOT NULL THEN plat + (latitude - plat) * {ease} ELSE latitude END AS lat
   FROM (SELECT *, lag(longitude) OVER w AS plon, lag(latitude) OVER w AS plat FROM hist WINDOW w AS ({ORDER_ACFT}))
   CROSS JOIN range(0, 5) r(step)"""
 
@@ -287,7 +287,7 @@ ORACLE: dict[str, str] = {
     "status_color": with_base(f"SELECT icao24, timestamp, status, {COLOR} AS status_color FROM hist"),
     "geojson_features": with_base(GEO),
     "popup_label": with_base(f"SELECT icao24, timestamp, CASE WHEN callsign = '' THEN icao24 ELSE callsign END AS label, CAST(floor(velocity + 0.5E0) AS BIGINT) AS speed_kmh_rounded FROM ({GEO})"),
-    "page_positions": with_base(f"SELECT icao24, lon, lat, timestamp FROM (SELECT icao24, longitude AS lon, latitude AS lat, timestamp, row_number() OVER (PARTITION BY icao24 ORDER BY timestamp DESC, time_position DESC) AS rn FROM page WHERE {HAS_POS}) WHERE rn = 1"),
+    "page_positions": with_base(f"SELECT icao24, lon, lat, timestamp FROM (SELECT icao24, longitude AS lon, latitude AS lat, timestamp, row_number() OVER (PARTITION BY icao24 ORDER BY timestamp DESC, longitude DESC, latitude DESC) AS rn FROM page WHERE {HAS_POS}) WHERE rn = 1"),
     "interpolate_positions": with_base(_interp()),
     # sorts / limits
     "recent_flights": with_base(f"SELECT {API} FROM hist ORDER BY {NEWEST} LIMIT 50"),

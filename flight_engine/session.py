@@ -24,6 +24,7 @@ def get_spark(app: str = "flight_engine", master: str | None = None,
     parts = shuffle_partitions or int(os.environ.get("FE_SHUFFLE_PARTITIONS", "8"))
     b = (b.config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
