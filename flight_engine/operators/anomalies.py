@@ -69,43 +69,60 @@ def ghost_duplicate(history: DataFrame) -> DataFrame:
             .where(F.col("positions") > 1))
 
 
-def position_jump(history: DataFrame, km_per_min: float = JUMP_KM_PER_MIN,
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Consecutive fixes implying > km_per_min (time gap > 0 only)."""
-    d = with_previous(history.select("icao24", "timestamp", "time_position", "longitude", "latitude"),
-                      "icao24", "timestamp", ["timestamp", "longitude", "latitude"], n=1,
-                      tiebreak=("time_position",), bucket_seconds=bucket_seconds)
+def _sequence(history: DataFrame, n: int, bucket_seconds: int,
+              extra: tuple[str, ...] = ()) -> DataFrame:
+    """Fixes with their previous ``n`` timestamps, positions and descent flags."""
+    d = (history.select("icao24", "timestamp", "time_position", "longitude", "latitude",
+                        "vertical_rate", *extra)
+         .withColumn("dsc", F.coalesce(F.col("vertical_rate") < DESCENT_RATE, F.lit(False))))
+    return with_previous(d, "icao24", "timestamp", ["timestamp", "longitude", "latitude", "dsc"],
+                         n=n, tiebreak=("time_position",), bucket_seconds=bucket_seconds)
+
+
+def _jump_exprs(km_per_min: float):
+    """(condition, distance km, km per minute) from the previous-fix columns."""
     dt = F.col("timestamp") - F.col("prev1_timestamp")
     km = haversine_km("prev1_latitude", "prev1_longitude", "latitude", "longitude")
-    d = d.withColumn("distance_km", km).withColumn("dt", dt)
-    speed = F.col("distance_km") / (F.col("dt") / 60.0)
-    return (d.where((F.col("dt") > 0) & (speed > km_per_min))
+    speed = F.try_divide(km, dt / 60.0)  # same-second fixes: null, never a divide error
+    return (dt > 0) & (speed > km_per_min), km, speed
+
+
+def _descent_cond(n: int = DESCENT_TICKS):
+    cond = F.col("dsc")
+    for i in range(1, n):
+        cond = cond & F.coalesce(F.col(f"prev{i}_dsc"), F.lit(False))
+    return cond & ~F.coalesce(F.col(f"prev{n}_dsc"), F.lit(False))
+
+
+def _jumps(seq: DataFrame, km_per_min: float) -> DataFrame:
+    cond, km, speed = _jump_exprs(km_per_min)
+    return (seq.where(cond)
             .select("icao24", "timestamp", F.col("prev1_timestamp").alias("prev_timestamp"),
                     "longitude", "latitude",
-                    F.round("distance_km", 6).alias("distance_km"),
+                    F.round(km, 6).alias("distance_km"),
                     F.round(speed, 6).alias("km_per_min")))
 
 
-def emergency_descent(history: DataFrame, rate: float = DESCENT_RATE,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Runs of >= 3 consecutive fixes with vertical_rate < rate; one row per run.
+def _descents(seq: DataFrame, n: int = DESCENT_TICKS) -> DataFrame:
+    return seq.where(_descent_cond(n)).select(
+        "icao24", F.col(f"prev{n - 1}_timestamp").alias("start_timestamp"), "timestamp",
+        "longitude", "latitude", "vertical_rate")
+
+
+def position_jump(history: DataFrame, km_per_min: float = JUMP_KM_PER_MIN,
+                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """Consecutive fixes implying > km_per_min (time gap > 0 only)."""
+    return _jumps(_sequence(history, 1, bucket_seconds), km_per_min)
+
+
+def emergency_descent(history: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS
+                      ) -> DataFrame:
+    """Runs of >= 3 consecutive fixes with vertical_rate < -15; one row per run.
 
     A run is reported at its third fix: that fix and the two before it are
     descending, the one before those is not (or absent).
     """
-    n = DESCENT_TICKS
-    d = (history.select("icao24", "timestamp", "time_position", "longitude", "latitude",
-                        "vertical_rate")
-         .withColumn("dsc", F.coalesce(F.col("vertical_rate") < rate, F.lit(False))))
-    d = with_previous(d, "icao24", "timestamp", ["dsc", "timestamp"], n=n,
-                      tiebreak=("time_position",), bucket_seconds=bucket_seconds)
-    cond = F.col("dsc")
-    for i in range(1, n):
-        cond = cond & F.coalesce(F.col(f"prev{i}_dsc"), F.lit(False))
-    cond = cond & ~F.coalesce(F.col(f"prev{n}_dsc"), F.lit(False))
-    return d.where(cond).select(
-        "icao24", F.col(f"prev{n - 1}_timestamp").alias("start_timestamp"), "timestamp",
-        "longitude", "latitude", "vertical_rate")
+    return _descents(_sequence(history, DESCENT_TICKS, bucket_seconds))
 
 
 def velocity_outliers(history: DataFrame, max_kmh: float = MAX_KMH) -> DataFrame:
@@ -155,20 +172,33 @@ def latest_state(history: DataFrame, ttl_s: int = LATEST_TTL_S,
     return latest.where(F.col("timestamp") >= ref - F.lit(ttl_s))
 
 
-def _alert(df: DataFrame, kind: str, metric) -> DataFrame:
-    return df.select(F.lit(kind).alias("alert_type"), "icao24", "timestamp",
-                     "longitude", "latitude", metric.cast("double").alias("metric"))
+def alerts(history: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """Typed union of every anomaly branch (the alerts topic).
 
+    All four rules are evaluated in ONE ordered pass: each fix yields the
+    array of alerts it triggers, which is then exploded.  A union of four
+    separate plans would scan and shuffle the history once per rule.
+    """
+    seq = _sequence(history, DESCENT_TICKS, bucket_seconds, extra=("callsign", "velocity_kmh"))
+    jump, _, speed = _jump_exprs(JUMP_KM_PER_MIN)
+    # materialise the per-fix rule results once; the alert array only references them
+    seq = seq.select("icao24", "timestamp", "longitude", "latitude", "vertical_rate", "callsign",
+                     "velocity_kmh", F.coalesce(jump, F.lit(False)).alias("_jump"),
+                     F.round(speed, 6).alias("_speed"), _descent_cond().alias("_descent"))
+    jump, speed = F.col("_jump"), F.col("_speed")
+    v = F.col("velocity_kmh")
 
-def alerts(history: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Typed union of every anomaly branch (the alerts topic)."""
-    ghosts = ghost_null_callsign(history)
-    jumps = position_jump(history, bucket_seconds=bucket_seconds)
-    descents = emergency_descent(history, bucket_seconds=bucket_seconds)
-    outl = velocity_outliers(history)
-    return (_alert(ghosts, "GHOST_NULL_CALLSIGN", F.lit(None))
-            .unionByName(_alert(jumps, "POSITION_JUMP", F.col("km_per_min")))
-            .unionByName(_alert(descents, "EMERGENCY_DESCENT", F.col("vertical_rate")))
-            .unionByName(_alert(outl, "VELOCITY_OUTLIER", F.round("velocity_kmh", 6)))
+    def alert(kind, cond, metric):
+        return F.when(F.coalesce(cond, F.lit(False)), F.struct(
+            F.lit(kind).alias("alert_type"), metric.cast("double").alias("metric")))
+    found = F.array(
+        alert("GHOST_NULL_CALLSIGN", F.col("callsign").isNull(), F.lit(None)),
+        alert("POSITION_JUMP", jump, speed),
+        alert("EMERGENCY_DESCENT", F.col("_descent"), F.col("vertical_rate")),
+        alert("VELOCITY_OUTLIER", (v > MAX_KMH) | (v < 0), F.round(v, 6)),
+    )
+    return (seq.select("icao24", "timestamp", "longitude", "latitude",
+                       F.explode(F.filter(found, lambda a: a.isNotNull())).alias("a"))
+            .select(F.col("a.alert_type").alias("alert_type"), "icao24", "timestamp",
+                    "longitude", "latitude", F.col("a.metric").alias("metric"))
             .select(*ALERT_COLUMNS))
-

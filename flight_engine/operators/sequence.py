@@ -45,15 +45,17 @@ def with_previous(df: DataFrame, key: str, ts: str, cols: list[str], n: int = 1,
     prior = tail.select(key, "_b", F.flatten(F.collect_list("_tail").over(wb)).alias("_prior"))
 
     d = d.join(prior, [key, "_b"], "left")
-    for i in range(1, n + 1):
-        # i-th previous row lies in an earlier bucket when _rn <= i
-        idx = -(F.lit(i) - F.col("_rn") + 1)
-        for c in cols:
-            from_prior = F.try_element_at(F.col("_prior"), idx.cast("int")).getField(c)
-            d = d.withColumn(f"{prefix}{i}_{c}",
-                             F.when(F.col("_rn") > i, F.col(f"_lag{i}_{c}")).otherwise(from_prior))
-    drop = ["_b", "_rn", "_rd", "_prior"] + [f"_lag{i}_{c}" for i in range(1, n + 1) for c in cols]
-    return d.drop(*drop)
+    # i-th previous row lies in an earlier bucket when _rn <= i: it is element
+    # (i - _rn + 1) from the end of _prior.  Extract each such row once.
+    d = d.select("*", *[
+        F.when(F.col("_rn") <= i, F.try_element_at(
+            F.col("_prior"), (F.col("_rn") - F.lit(i + 1)).cast("int"))).alias(f"_p{i}")
+        for i in range(1, n + 1)])
+    keep = [c for c in d.columns if not c.startswith("_")]
+    return d.select(*keep, *[
+        F.when(F.col("_rn") > i, F.col(f"_lag{i}_{c}")).otherwise(F.col(f"_p{i}")[c])
+        .alias(f"{prefix}{i}_{c}")
+        for i in range(1, n + 1) for c in cols])
 
 
 def previous_exists(prefix_col: str) -> Column:

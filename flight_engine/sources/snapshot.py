@@ -61,9 +61,17 @@ def malformed_counts(docs: DataFrame, value_col: str = "value") -> DataFrame:
                   F.count(F.when(~ok, 1)).alias("rejected"))
 
 
-def _cell_json(c):
-    # JSON token of one typed value: '"abc"', '12.5', 'true', 'null'
-    return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+def _cell_json(c, kind: str = "number"):
+    """JSON token of one typed value: '"abc"', '12.5', 'true', 'null'.
+
+    Only strings need escaping (to_json); numbers and booleans print as
+    their Spark string form, which is valid JSON (e.g. 1.0E-5).
+    """
+    if kind == "string":
+        tok = F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    else:
+        tok = c.cast("string")
+    return F.coalesce(tok, F.lit("null"))
 
 
 def snapshot_documents(states: DataFrame, max_states: int = 1000,
@@ -76,15 +84,14 @@ def snapshot_documents(states: DataFrame, max_states: int = 1000,
     """
     og = F.when(F.col("on_ground") == "true", F.lit(True)) \
         .when(F.col("on_ground") == "false", F.lit(False))
-    cells = [
-        _cell_json(F.col("icao24")), _cell_json(F.col("callsign")),
-        _cell_json(F.col("origin_country")), _cell_json(F.col("time_position")),
-        _cell_json(F.col("last_contact")), _cell_json(F.col("longitude")),
-        _cell_json(F.col("latitude")), _cell_json(F.col("baro_altitude")), _cell_json(og),
-        _cell_json(F.col("velocity")), _cell_json(F.col("true_track")),
-        _cell_json(F.col("vertical_rate")),
-        F.lit("null"), _cell_json(F.col("baro_altitude")), F.lit("null"), F.lit("false"), F.lit("0"),
-    ]
+    string_cols = ("icao24", "callsign", "origin_country")
+    cells = [_cell_json(F.col(c), "string" if c in string_cols else "number") for c in (
+        "icao24", "callsign", "origin_country", "time_position", "last_contact",
+        "longitude", "latitude", "baro_altitude")]
+    cells += [_cell_json(og)] + [_cell_json(F.col(c)) for c in (
+        "velocity", "true_track", "vertical_rate")]
+    cells += [F.lit("null"), _cell_json(F.col("baro_altitude")), F.lit("null"), F.lit("false"),
+              F.lit("0")]
     short = (F.col("last_contact") % short_every) == 0
     state = F.when(short, F.concat(F.lit("["), F.concat_ws(",", *cells[:2]), F.lit("]"))) \
         .otherwise(F.concat(F.lit("["), F.concat_ws(",", *cells), F.lit("]")))
