@@ -1,7 +1,7 @@
 """Benchmark headline queries; prints ONE JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_QUERIES (comma list, optional), BENCH_REPEAT (default 1: best of N),
+     BENCH_QUERIES (comma list, optional), BENCH_REPEAT (default 2: best of N),
      BENCH_WARMUP_DIR (default: the sf0.01 sibling of BENCH_SF_DIR, if present)
 Each query is executed fully via the ``noop`` sink (nothing is collected).
 Every headline query first runs once on the small warm-up scale so the
@@ -40,7 +40,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
 
     from pyspark.sql import functions as F

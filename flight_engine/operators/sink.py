@@ -86,3 +86,34 @@ def retain_window(df: DataFrame, days: int = 7, as_of: int | None = None) -> Dat
 def reset_table(df: DataFrame) -> DataFrame:
     """Empty table with the same schema (write it with mode overwrite)."""
     return df.limit(0)
+
+
+def append_jdbc(df: DataFrame, url: str, table: str, driver: str | None = None,
+                batch_size: int = 10_000, max_connections: int | None = None) -> None:
+    """Append guarded rows to a JDBC table (one transaction per task partition).
+
+    ``max_connections`` coalesces the frame so at most that many tasks write
+    concurrently; the database, not Spark, is the bottleneck of this sink.
+    """
+    out = filter_sinkable(df).select(*PROCESSED_COLUMNS).withColumn("created_at",
+                                                                    F.current_timestamp())
+    if max_connections:
+        out = out.coalesce(max_connections)
+    opts = {"url": url, "dbtable": table, "batchsize": str(batch_size),
+            "isolationLevel": "READ_COMMITTED"}
+    if driver:
+        opts["driver"] = driver
+    out.write.format("jdbc").options(**opts).mode("append").save()
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, driver: str | None = None,
+              partition_column: str | None = None, lower: int | None = None,
+              upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Scan a JDBC table; with a numeric partition column the read is split in ranges."""
+    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    if driver:
+        r = r.option("driver", driver)
+    if partition_column and num_partitions:
+        r = (r.option("partitionColumn", partition_column).option("lowerBound", str(lower))
+             .option("upperBound", str(upper)).option("numPartitions", str(num_partitions)))
+    return r.load()

@@ -254,3 +254,56 @@ def archive_partitions(history: DataFrame) -> DataFrame:
     t = _ts()
     return (history.withColumn("year", F.year(t)).withColumn("month", F.month(t))
             .withColumn("day", F.dayofmonth(t)).withColumn("hour", F.hour(t)))
+
+
+def hourly_aircraft(history: DataFrame) -> DataFrame:
+    """Hourly series: distinct aircraft and states per hour."""
+    hour = F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(3600))
+    return (history.groupBy(hour.alias("hour_start"))
+            .agg(F.countDistinct("icao24").alias("aircraft"),
+                 F.count(F.lit(1)).alias("states")))
+
+
+def merge_into_partitioned(spark, table_path: str, corrections: DataFrame, staging_path: str,
+                           keys=("icao24", "timestamp"), order=("last_contact",)) -> None:
+    """MERGE late corrections into a day-partitioned Parquet table.
+
+    Only the days the corrections touch are read (partition pruning), merged
+    with ``merge_corrections`` and written to a staging folder in the shared
+    checkpoint root (this cuts the lineage: a path cannot be overwritten
+    while it is being read).  The staged days then replace their partitions
+    through dynamic partition overwrite; untouched days are not rewritten.
+    """
+    from flight_engine.operators.sink import with_partition_columns
+    corr = with_partition_columns(corrections)
+    days = corr.select("dt").distinct()
+    base = spark.read.parquet(table_path)
+    # semi-join on the (few) touched days; the planner broadcasts the day list by size
+    touched = base.join(days, "dt", "left_semi")
+    cols = [c for c in base.columns if c not in ("dt",)]
+    merged = merge_corrections(touched.select(*cols), corr.select(*cols), keys, order)
+    (merged.withColumn("dt", F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd"))
+     .write.mode("overwrite").partitionBy("dt").parquet(staging_path))
+    (spark.read.parquet(staging_path).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(table_path))
+
+
+def drop_expired_partitions(spark, table: str, as_of: int, days: int) -> list[str]:
+    """Retention for a catalog table partitioned by year/month/day/hour.
+
+    Lists the table's partitions (metadata: one entry per hour of data),
+    drops those that end before ``as_of - days``.  Managed tables delete the
+    files with the partition.
+    """
+    import datetime as _dt
+    cutoff = _dt.datetime.fromtimestamp(as_of - days * 86400, _dt.timezone.utc)
+    dropped = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
+        spec = dict(kv.split("=", 1) for kv in row[0].split("/"))
+        end = _dt.datetime(int(spec["year"]), int(spec["month"]), int(spec["day"]),
+                           int(spec["hour"]), tzinfo=_dt.timezone.utc) + _dt.timedelta(hours=1)
+        if end <= cutoff:
+            parts = ", ".join(f"{k}={int(v)}" for k, v in spec.items())
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({parts})")
+            dropped.append(row[0])
+    return dropped

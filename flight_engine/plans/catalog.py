@@ -511,6 +511,79 @@ def q_trajectory_stream(spark, sf):
     return st.trajectory_stream(spark, history(spark, sf, FAST))
 
 
+# ---- added: series, pivots, stream metrics, table maintenance ------------------
+
+DERBY_URL = "jdbc:derby:memory:flight_engine;create=true"
+DERBY_DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
+
+
+def q_hourly_aircraft(spark, sf):
+    return wh.hourly_aircraft(history(spark, sf))
+
+
+def q_corridors_od_matrix(spark, sf):
+    """Wide OD matrix; pivot values are discovered by Spark (bounded by pivotMaxValues)."""
+    c = _corridor_rows(spark, sf)
+    m = c.groupBy("origin_country").pivot("airport_country").agg(F.count(F.lit(1)))
+    return m.na.fill(0)  # an absent origin/destination pair has zero states
+
+
+def q_pipeline_counters_stream(spark, sf):
+    """Sink counters observed inside the streaming sink, summed over its micro-batches."""
+    proc = scratch_path(spark, "processed")
+    pl.write_messages(process(dirty(spark, sf)), proc, keyed=True)
+    table, ck = scratch_path(spark, "table"), scratch_path(spark, "table-ck")
+    src = pl.file_source(spark, proc, "json")
+    events = pl.run_logged(spark, lambda: pl.stream_sink_table(src, table, ck))
+    tot = {"consumed": 0, "success": 0, "skipped": 0}
+    for e in events:
+        m = e.get("observedMetrics", {}).get(pl.SINK_METRICS)
+        for k in tot:
+            tot[k] += int(m[k]) if m else 0
+    return spark.createDataFrame([(tot["consumed"], tot["success"], tot["skipped"])],
+                                 "consumed bigint, success bigint, skipped bigint")
+
+
+def q_stream_progress(spark, sf):
+    """Rows consumed by the stream transform, from its per-batch progress events."""
+    raw = scratch_path(spark, "raw")
+    pl.write_messages(states(spark, sf), raw, fmt="json")
+    out, ck = scratch_path(spark, "processed"), scratch_path(spark, "processed-ck")
+    src = pl.file_source(spark, raw, "json")
+    events = pl.run_logged(spark, lambda: pl.stream_transform(src, out, ck))
+    return pl.progress_table(spark, events).agg(F.sum("input_rows").cast("bigint").alias("input_rows"))
+
+
+def q_merge_corrections_table(spark, sf):
+    h = history(spark, sf)
+    path = scratch_path(spark, "merge-table")
+    sk.append_batch(h, path)
+    corr = _corrections(h).withColumn("created_at", F.current_timestamp())
+    wh.merge_into_partitioned(spark, path, corr, scratch_path(spark, "merge-staging"))
+    return spark.read.parquet(path).select(*PROCESSED_COLUMNS)
+
+
+def q_sink_jdbc_table(spark, sf):
+    """History appended through JDBC (embedded in-process Derby here) and read back."""
+    import uuid
+    table = f"FLIGHTS_{uuid.uuid4().hex[:8].upper()}"
+    sk.append_jdbc(history(spark, sf), DERBY_URL, table, DERBY_DRIVER, max_connections=4)
+    return sk.read_jdbc(spark, DERBY_URL, table, DERBY_DRIVER).select(*PROCESSED_COLUMNS)
+
+
+def q_archive_retention(spark, sf, retention_days=90):
+    """Hourly archive as a catalog table; partitions older than the retention are dropped."""
+    import uuid
+    name = f"archive_{uuid.uuid4().hex[:8]}"
+    h = history(spark, sf)
+    (wh.archive_partitions(h).write.partitionBy("year", "month", "day", "hour")
+     .option("path", scratch_path(spark, name)).saveAsTable(name))
+    as_of = h.select(F.max("timestamp")).first()[0]
+    wh.drop_expired_partitions(spark, name, as_of, retention_days)
+    return (spark.table(name).groupBy("year", "month", "day", "hour")
+            .agg(F.count(F.lit(1)).alias("states")))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

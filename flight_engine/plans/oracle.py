@@ -383,3 +383,13 @@ ORACLE: dict[str, str] = {
     "cell_center": with_base(f"SELECT icao24, timestamp, time_position, cell, round(floor(cell / 720) * 0.5E0 - 90.0E0 + 0.25E0, 6) AS center_lat, round((cell % 720) * 0.5E0 - 180.0E0 + 0.25E0, 6) AS center_lon FROM (SELECT *, {cell(0.5)} AS cell FROM hist)"),
     "congestion_stream": _CONGESTION,
 }
+
+ORACLE.update({
+    "hourly_aircraft": with_base("SELECT timestamp - timestamp % 3600 AS hour_start, count(DISTINCT icao24) AS aircraft, count(*) AS states FROM hist GROUP BY 1"),
+    "corridors_od_matrix": with_base("PIVOT (SELECT origin_country, airport_country FROM withap) ON airport_country USING count(*) GROUP BY origin_country"),
+    "pipeline_counters_stream": with_base(f"SELECT count(*) AS consumed, count(*) FILTER (WHERE {SINKABLE}) AS success, count(*) FILTER (WHERE NOT coalesce({SINKABLE}, false)) AS skipped FROM dirty WHERE {HAS_POS}"),
+    "stream_progress": with_base("SELECT count(*) AS input_rows FROM fs"),
+    "merge_corrections_table": _MERGE,
+    "sink_jdbc_table": with_base("SELECT * FROM hist"),
+    "archive_retention": ORACLE["archive_hourly"],
+})

@@ -8,11 +8,13 @@ executor or a restarted driver resumes from the last committed offsets.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from flight_engine.operators.sink import append_batch, normalize_record
+from flight_engine.operators.sink import append_batch, normalize_record, sinkable_condition
 from flight_engine.operators.transform import process_raw, serialize_keyed, serialize_unkeyed
 from flight_engine.schema import ENVELOPE_SCHEMA
 
@@ -77,12 +79,26 @@ def stream_transform(source: DataFrame, out_path: str, checkpoint: str,
     return w.start()
 
 
+SINK_METRICS = "sink_counters"
+
+
 def stream_sink_table(source: DataFrame, table_path: str, checkpoint: str,
                       available_now: bool = True) -> StreamingQuery:
-    """Processed envelopes -> guarded, idempotent appends to the history table."""
+    """Processed envelopes -> guarded, idempotent appends to the history table.
+
+    Insert outcome counters (consumed / success / skipped) are computed in
+    the same pass with ``DataFrame.observe`` and reported in each batch's
+    progress under ``sink_counters``.
+    """
+    ok = sinkable_condition()
+    rows = normalize_record(source).observe(
+        SINK_METRICS, F.count(F.lit(1)).alias("consumed"),
+        F.count(F.when(ok, 1)).alias("success"),
+        F.count(F.when(~ok, 1)).alias("skipped"))
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        append_batch(normalize_record(batch), table_path, batch_id)
-    w = (source.writeStream.foreachBatch(per_batch)
+        append_batch(batch, table_path, batch_id)
+    w = (rows.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
@@ -118,3 +134,52 @@ def read_upserts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("batch"))
     return (df.groupBy(*keys).agg(best.alias("r"))
             .select(*keys, *[F.col(f"r.{c}").alias(c) for c in cols]))
+
+
+class ProgressLog(StreamingQueryListener):
+    """Keeps every progress event of the queries it watches (one per micro-batch)."""
+
+    def __init__(self):
+        self.events: list[dict] = []
+
+    def onQueryStarted(self, event):  # noqa: N802 - listener API
+        pass
+
+    def onQueryProgress(self, event):  # noqa: N802
+        self.events.append(json.loads(event.progress.json))
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        pass
+
+
+def run_logged(spark: SparkSession, start, timeout_s: int = 600) -> list[dict]:
+    """Start a query with a progress listener attached; return its progress events."""
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        q = start()
+        run_until_caught_up(q, timeout_s)
+        # the listener bus is asynchronous: wait until every batch has reported
+        import time
+        deadline = time.time() + 30
+        last = q.lastProgress["batchId"] if q.lastProgress else -1
+        while time.time() < deadline and not any(e["batchId"] == last and e["id"] == str(q.id)
+                                                 for e in log.events):
+            time.sleep(0.2)
+        return [e for e in log.events if e["id"] == str(q.id)]
+    finally:
+        spark.streams.removeListener(log)
+
+
+def progress_table(spark: SparkSession, events: list[dict]) -> DataFrame:
+    """Per-batch progress as rows: batch id, input rows, rates and durations."""
+    rows = [(int(e["batchId"]), int(e["numInputRows"]),
+             float(e.get("inputRowsPerSecond") or 0.0), float(e.get("processedRowsPerSecond") or 0.0),
+             int(e["durationMs"].get("triggerExecution", 0)), json.dumps(e.get("observedMetrics", {})))
+            for e in events]
+    return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint, input_rows_per_s double, "
+                                       "processed_rows_per_s double, trigger_ms bigint, "
+                                       "observed string")
