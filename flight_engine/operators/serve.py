@@ -49,6 +49,37 @@ def recent_flights(history: DataFrame, limit: int | str | None = DEFAULT_LIMIT)
     return history.orderBy(*newest_first()).limit(n).select(*API_COLUMNS)
 
 
+def recent_flights_from_table(spark, path: str, limit: int | str | None = DEFAULT_LIMIT,
+                              lookback_s: int = 3600) -> DataFrame:
+    """``recent_flights`` over a stored, day-partitioned history table.
+
+    The newest timestamp is read from the newest ``dt`` partition only (a
+    partition-column aggregate reads no column data).  The page is then
+    taken from ``timestamp >= newest - lookback``: a literal predicate, so it
+    prunes ``dt`` partitions and skips row groups by their min/max.  If that
+    window holds fewer rows than the page, the lookback grows 4x per round;
+    once it reaches the oldest partition the bound is dropped, so the result
+    always equals the unbounded query.
+    """
+    import datetime as _dt
+    n = parse_limit(None if limit is None else str(limit))
+    table = spark.read.parquet(path)
+    days = table.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")).first()
+    if days.hi is None:
+        return recent_flights(table, n)
+    newest = table.where(F.col("dt") == days.hi).agg(F.max("timestamp")).first()[0]
+    span = lookback_s
+    while True:
+        lo = newest - span
+        day = _dt.datetime.fromtimestamp(lo, _dt.timezone.utc).strftime("%Y-%m-%d")
+        if day <= str(days.lo):
+            return recent_flights(table, n)
+        window = table.where((F.col("dt") >= day) & (F.col("timestamp") >= F.lit(lo)))
+        if window.limit(n).count() >= n:
+            return recent_flights(window, n)
+        span *= 4
+
+
 def peek_rows(history: DataFrame, n: int = 5, cols: tuple[str, ...] = (
         "icao24", "callsign", "origin_country", "status", "timestamp")) -> DataFrame:
     """Newest ``n`` rows, a few columns (table sanity check)."""

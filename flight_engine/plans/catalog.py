@@ -584,6 +584,13 @@ def q_archive_retention(spark, sf, retention_days=90):
             .agg(F.count(F.lit(1)).alias("states")))
 
 
+def q_recent_flights_table(spark, sf):
+    """Newest-first page served from the stored, day-partitioned history table."""
+    path = scratch_path(spark, "served")
+    sk.append_batch(history(spark, sf), path)
+    return sv.recent_flights_from_table(spark, path, "")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -392,4 +392,5 @@ ORACLE.update({
     "merge_corrections_table": _MERGE,
     "sink_jdbc_table": with_base("SELECT * FROM hist"),
     "archive_retention": ORACLE["archive_hourly"],
+    "recent_flights_table": ORACLE["recent_flights"],
 })
