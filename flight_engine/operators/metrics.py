@@ -102,19 +102,29 @@ def consumer_lag(produced: DataFrame, consumed: DataFrame, produced_ts: str,
                  consumed_ts: str, seconds: int = 60) -> DataFrame:
     """Backlog per window: cumulative produced minus cumulative consumed.
 
-    Both sides are reduced to one row per window before the running sums,
-    so the final window runs over (time span / window) rows only.
+    Both sides are first reduced to one row per window.  The running sum is
+    two-level: within each day (windows partitioned by day, in parallel),
+    plus the total of all earlier days (a running sum over one row per day,
+    joined back).  No step orders more than one day of windows or more than
+    one row per day in a single task.
     """
     def per_window(df, ts, name):
         return (df.select((F.col(ts) - F.pmod(F.col(ts), F.lit(seconds))).alias("window_start"))
                 .groupBy("window_start").agg(F.count(F.lit(1)).alias(name)))
     p = per_window(produced, produced_ts, "produced")
     c = per_window(consumed, consumed_ts, "consumed")
-    w = Window.orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
-    j = p.join(c, "window_start", "full").na.fill(0, ["produced", "consumed"])
-    return j.select("window_start", "produced", "consumed",
-                    (F.sum("produced").over(w) - F.sum("consumed").over(w)).cast("bigint")
-                    .alias("lag"))
+    j = (p.join(c, "window_start", "full").na.fill(0, ["produced", "consumed"])
+         .withColumn("day", F.floor(F.col("window_start") / 86400))
+         .withColumn("net", F.col("produced") - F.col("consumed")))
+    in_day = Window.partitionBy("day").orderBy("window_start").rowsBetween(
+        Window.unboundedPreceding, 0)
+    j = j.withColumn("in_day", F.sum("net").over(in_day))
+    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = (j.groupBy("day").agg(F.sum("net").alias("day_net"))
+            .select("day", F.coalesce(F.sum("day_net").over(before), F.lit(0)).alias("before")))
+    return (j.join(days, "day")
+            .select("window_start", "produced", "consumed",
+                    (F.col("before") + F.col("in_day")).cast("bigint").alias("lag")))
 
 
 def request_metrics(requests: DataFrame) -> DataFrame:

@@ -243,7 +243,7 @@ def trajectory_window(history: DataFrame, minutes: int = 5) -> DataFrame:
          .select("icao24", F.unix_seconds(F.col("w.start")).alias("window_start"), "pts"))
     track = F.array_join(F.transform("pts", lambda p: F.format_string(
         "%d:%.2f:%.2f", p["timestamp"], p["longitude"], p["latitude"])), ";")
-    return g.select("icao24", "window_start", F.size("pts").alias("points"),
+    return g.select("icao24", "window_start", F.size("pts").cast("bigint").alias("points"),
                     F.col("pts")[0]["timestamp"].alias("first_ts"),
                     F.element_at("pts", -1)["timestamp"].alias("last_ts"),
                     track.alias("track"))

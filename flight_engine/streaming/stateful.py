@@ -130,7 +130,7 @@ def trajectory_stream(spark: SparkSession, history: DataFrame, minutes: int = 5)
     run_until_caught_up(stream_upserts(agg, out, ck))
     r = read_upserts(spark, out, ["icao24", "window_start"])
     pts = F.sort_array("pts")
-    return r.select("icao24", "window_start", F.size("pts").alias("points"),
+    return r.select("icao24", "window_start", F.size("pts").cast("bigint").alias("points"),
                     pts[0]["timestamp"].alias("first_ts"),
                     F.element_at(pts, -1)["timestamp"].alias("last_ts"))
 
