@@ -63,10 +63,16 @@ def corridors(history: DataFrame, airports: DataFrame) -> DataFrame:
                  F.countDistinct("icao24").alias("aircraft")))
 
 
-def od_matrix(corr: DataFrame, countries: list[str]) -> DataFrame:
-    """Wide OD matrix: one column per destination country (values listed up front)."""
-    return (corr.groupBy("origin_country").pivot("airport_country", countries)
-            .agg(F.sum("states")))
+def od_matrix(rows_with_airport: DataFrame, countries: list[str] | None = None) -> DataFrame:
+    """Wide OD matrix: one column per airport-area country, states per origin.
+
+    Without an explicit ``countries`` list Spark discovers the pivot values
+    itself (a distinct over the column, capped by spark.sql.pivotMaxValues).
+    An absent origin/destination pair has zero states.
+    """
+    g = rows_with_airport.groupBy("origin_country")
+    g = g.pivot("airport_country", countries) if countries else g.pivot("airport_country")
+    return g.agg(F.count(F.lit(1))).na.fill(0)
 
 
 def route_efficiency(history: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,

@@ -523,9 +523,7 @@ def q_hourly_aircraft(spark, sf):
 
 def q_corridors_od_matrix(spark, sf):
     """Wide OD matrix; pivot values are discovered by Spark (bounded by pivotMaxValues)."""
-    c = _corridor_rows(spark, sf)
-    m = c.groupBy("origin_country").pivot("airport_country").agg(F.count(F.lit(1)))
-    return m.na.fill(0)  # an absent origin/destination pair has zero states
+    return sp.od_matrix(_corridor_rows(spark, sf))
 
 
 def q_pipeline_counters_stream(spark, sf):

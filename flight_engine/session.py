@@ -22,6 +22,10 @@ def get_spark(app: str = "flight_engine", master: str | None = None,
     if master:
         b = b.master(master)
     parts = shuffle_partitions or int(os.environ.get("FE_SHUFFLE_PARTITIONS", "8"))
+    # split size of file scans and the size AQE aims for after a shuffle; on a
+    # cluster set FE_SHUFFLE_PARTITIONS ~ shuffled bytes / advisory size
+    split = os.environ.get("FE_MAX_PARTITION_BYTES", str(128 * 1024 * 1024))
+    advisory = os.environ.get("FE_ADVISORY_PARTITION_BYTES", str(128 * 1024 * 1024))
     b = (b.config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
@@ -29,9 +33,14 @@ def get_spark(app: str = "flight_engine", master: str | None = None,
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         .config("spark.sql.files.maxPartitionBytes", split)
+         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
+    event_log = os.environ.get("FE_EVENT_LOG_DIR")
+    if event_log:  # stage/task timings without any UI: Spark's JSON event log
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

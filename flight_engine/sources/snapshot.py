@@ -102,3 +102,16 @@ def snapshot_documents(states: DataFrame, max_states: int = 1000,
                           F.lit(',"states":['), F.concat_ws(",", F.collect_list("state")),
                           F.lit("]}")).alias("value"))
             .select("value"))
+
+
+def read_snapshot_files(spark, path: str) -> DataFrame:
+    """Landed snapshot documents, one document per file (whole text, never split)."""
+    return spark.read.text(path, wholetext=True)
+
+
+def stream_snapshot_files(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming twin of ``read_snapshot_files``: new files become micro-batches."""
+    r = spark.readStream.format("text").option("wholetext", "true")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.load(path)

@@ -74,3 +74,21 @@ def test_documents_round_trip(spark):
     # no document exceeds the bound
     sizes = docs_df.selectExpr("size(from_json(value, 'time BIGINT, states ARRAY<STRING>').states) n")
     assert sizes.agg({"n": "max"}).first()[0] <= 50
+
+
+def test_whole_file_documents_batch_and_stream(spark, tmp_path):
+    from flight_engine.session import scratch_path
+    from flight_engine.sources.snapshot import read_snapshot_files, stream_snapshot_files
+    from flight_engine.streaming.pipeline import run_until_caught_up, stream_to_parquet
+    d = tmp_path / "landed"
+    d.mkdir()
+    # pretty-printed documents span many lines: each file must stay one document
+    (d / "a.json").write_text(json.dumps({"time": 10, "states": [full_state("a1"), full_state("a2")]}, indent=2))
+    (d / "b.json").write_text(json.dumps({"time": 20, "states": [full_state("b1"), ["short"]]}, indent=2))
+    batch = decode_snapshot(read_snapshot_files(spark, str(d)))
+    assert sorted((r.icao24, r.timestamp) for r in batch.collect()) == [("a1", 10), ("a2", 10), ("b1", 20)]
+    out, ck = scratch_path(spark, "t-snap-out"), scratch_path(spark, "t-snap-ck")
+    q = stream_to_parquet(decode_snapshot(stream_snapshot_files(spark, str(d), 1)), out, ck)
+    run_until_caught_up(q)
+    assert spark.read.parquet(out).select("icao24", "timestamp").exceptAll(
+        batch.select("icao24", "timestamp")).count() == 0
