@@ -155,13 +155,19 @@ def busiest_routes(corridor_rows: DataFrame, windows=(30, 90, 365), top: int = 2
 
 
 def expectations(states: DataFrame, nation_names: DataFrame, as_of: int | None = None,
-                 null_rate_max: float = 0.05) -> DataFrame:
+                 null_rate_max: float = 0.05, max_dimension_rows: int = 100_000) -> DataFrame:
     """Data-quality expectations -> (expectation, failures, total, passed).
 
-    One aggregate pass for the row-level checks plus an anti-join for the
-    referential check; nothing is collected.
+    One aggregate pass evaluates every row-level check, including the
+    referential one: states are left-joined to the (size-checked, broadcast)
+    country dimension and an unmatched country counts as a failure.  The
+    default ``as_of`` (newest timestamp) is one more scalar aggregate.
     """
+    from flight_engine.operators.joins import bounded_broadcast
     ref = states.select(F.max("timestamp")).scalar() if as_of is None else F.lit(as_of)
+    dim = bounded_broadcast(nation_names.select(F.col("n_name").alias("_country")).distinct(),
+                            max_dimension_rows)
+    s = states.join(dim, states["origin_country"] == dim["_country"], "left")
     v = F.col("velocity_kmh")
     checks = {
         "not_null_icao24": F.col("icao24").isNull() | (F.col("icao24") == ""),
@@ -174,32 +180,23 @@ def expectations(states: DataFrame, nation_names: DataFrame, as_of: int | None =
         "velocity_bounds": (v < 0) | (v > MAX_KMH),
         "null_callsign": F.col("callsign").isNull(),
         "no_future_timestamps": F.col("timestamp") > ref + F.lit(60),
+        "relationships_origin_country": F.col("origin_country").isNotNull() & F.col("_country").isNull(),
     }
-    agg = states.agg(F.count(F.lit(1)).alias("total"),
-                     F.max("timestamp").alias("newest"),
-                     *[F.count(F.when(c, 1)).alias(k) for k, c in checks.items()])
-    names = list(checks)
+    agg = s.agg(F.count(F.lit(1)).alias("total"),
+                F.max("timestamp").alias("newest"),
+                *[F.count(F.when(c, 1)).alias(k) for k, c in checks.items()])
+    # recency is a table-level check: one failure when the newest row is older than 1 h
+    agg = agg.withColumn("recency", F.when(F.col("newest") >= ref - F.lit(3600), 0)
+                         .otherwise(1).cast("bigint"))
+    names = list(checks) + ["recency"]
     stack = "stack({n}, {body}) as (expectation, failures)".format(
         n=len(names), body=", ".join(f"'{k}', `{k}`" for k in names))
-    rows = agg.selectExpr("total", "newest", stack)
+    rows = agg.selectExpr("total", stack)
     passed = (F.when(F.col("expectation") == "null_callsign",
                      F.col("failures") <= F.col("total") * F.lit(null_rate_max))
               .otherwise(F.col("failures") == 0))
-    row_checks = rows.select("expectation", F.col("failures").cast("bigint").alias("failures"),
-                             "total", passed.alias("passed"))
-    recency = agg.select(F.lit("recency").alias("expectation"),
-                         F.when(F.col("newest") >= ref - F.lit(3600), 0).otherwise(1)
-                         .cast("bigint").alias("failures"), "total",
-                         (F.col("newest") >= ref - F.lit(3600)).alias("passed"))
-    orphans = (states.where(F.col("origin_country").isNotNull())
-               .join(nation_names, states["origin_country"] == nation_names["n_name"], "left_anti")
-               .agg(F.count(F.lit(1)).alias("failures")))
-    total = states.select(F.count(F.lit(1))).scalar()
-    rel = orphans.select(
-        F.lit("relationships_origin_country").alias("expectation"),
-        F.col("failures").cast("bigint").alias("failures"), total.alias("total"),
-        (F.col("failures") == 0).alias("passed"))
-    return row_checks.unionByName(recency).unionByName(rel)
+    return rows.select("expectation", F.col("failures").cast("bigint").alias("failures"),
+                       "total", passed.alias("passed"))
 
 
 def merge_corrections(base: DataFrame, corrections: DataFrame,
