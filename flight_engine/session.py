@@ -54,7 +54,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="fe-ckpt-")
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set: on a cluster checkpoints, staging folders and "
+                "stream sinks must live in a shared folder; set it to one.")
+        root = tempfile.mkdtemp(prefix="fe-ckpt-")  # single machine: local is shared
         spark.conf.set(CHECKPOINT_CONF, root)
     spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
