@@ -589,6 +589,11 @@ def q_recent_flights_table(spark, sf):
     return sv.recent_flights_from_table(spark, path, "")
 
 
+def q_latest_state_ttl_stream(spark, sf):
+    """Latest state kept by a TTL-evicting state processor (bounded by active aircraft)."""
+    return st.latest_state_ttl_stream(spark, history(spark, sf, FAST))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

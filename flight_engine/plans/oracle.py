@@ -393,4 +393,5 @@ ORACLE.update({
     "sink_jdbc_table": with_base("SELECT * FROM hist"),
     "archive_retention": ORACLE["archive_hourly"],
     "recent_flights_table": ORACLE["recent_flights"],
+    "latest_state_ttl_stream": _LATEST,
 })

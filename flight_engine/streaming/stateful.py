@@ -183,3 +183,63 @@ def descent_stream(spark: SparkSession, history: DataFrame, rate: float = DESCEN
     out, ck = scratch_path(spark, "descent"), scratch_path(spark, "descent-ck")
     run_until_caught_up(stream_to_parquet(events, out, ck))
     return spark.read.schema(DESCENT_OUT).parquet(out)
+
+
+# ---- latest state with TTL eviction (custom state) ----------------------------------
+
+def _latest_ttl_fn(columns: list[str], ttl_s: int):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            # silent longer than the TTL behind the watermark: evict, emit a tombstone
+            last = state.get
+            state.remove()
+            row = {c: None for c in columns}
+            row.update(icao24=key[0], timestamp=last[0], time_position=last[1], evicted=True)
+            yield pd.DataFrame([row], columns=columns + ["evicted"])
+            return
+        best = None
+        for pdf in pdfs:
+            top = pdf.sort_values(["timestamp", "time_position"], kind="mergesort").iloc[-1]
+            if best is None or (top["timestamp"], top["time_position"]) > (
+                    best["timestamp"], best["time_position"]):
+                best = top
+        if state.exists and (state.get[0], state.get[1]) >= (best["timestamp"], best["time_position"]):
+            return  # nothing newer in this batch
+        state.update((int(best["timestamp"]), int(best["time_position"])))
+        state.setTimeoutTimestamp((int(best["timestamp"]) + ttl_s) * 1000)
+        out = best[columns].to_frame().T
+        out["evicted"] = False
+        yield out
+    return fn
+
+
+def latest_state_ttl_stream(spark: SparkSession, history: DataFrame,
+                            ttl_s: int = LATEST_TTL_S) -> DataFrame:
+    """Newest row per aircraft whose state is evicted ``ttl_s`` after it goes silent.
+
+    State is one (timestamp, time_position) pair per *active* aircraft: the
+    event-time timeout fires when the watermark passes last-seen + TTL, the
+    state is removed and a tombstone is emitted.  The read-back keeps each
+    aircraft's last emitted version unless it is a tombstone, then applies the
+    TTL against the newest fix (as the batch ``latest_state`` does).
+    """
+    columns = list(history.columns)
+    schema = history.schema
+    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) \
+        + ", evicted boolean"
+    src = stream_of(spark, history, "latest-ttl-src")
+    upd = (src.withWatermark("event_time", WATERMARK).groupBy("icao24")
+           .applyInPandasWithState(_latest_ttl_fn(columns, ttl_s), out_schema,
+                                   "timestamp long, time_position long", "update",
+                                   GroupStateTimeout.EventTimeTimeout))
+    out, ck = scratch_path(spark, "latest-ttl"), scratch_path(spark, "latest-ttl-ck")
+    run_until_caught_up(stream_upserts(upd, out, ck))
+    return latest_from_upserts(spark, out, columns, ttl_s)
+
+
+def latest_from_upserts(spark: SparkSession, out: str, columns: list[str],
+                        ttl_s: int = LATEST_TTL_S) -> DataFrame:
+    last = read_upserts(spark, out, ["icao24"])
+    live = last.where(~F.col("evicted")).select(*columns)
+    ref = live.select(F.max("timestamp")).scalar()
+    return live.where(F.col("timestamp") >= ref - F.lit(ttl_s))

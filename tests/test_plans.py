@@ -11,7 +11,7 @@ SIDE_EFFECTS = {
     "archive_hourly", "archive_retention", "replay", "continuous_agg", "emergency_descent_stream",
     "latest_state_stream", "dedup_stream", "congestion_stream", "trajectory_stream",
     "pipeline_counters_stream", "stream_progress", "merge_corrections_table", "sink_jdbc_table",
-    "recent_flights_table",
+    "recent_flights_table", "latest_state_ttl_stream",
 }
 
 

@@ -53,3 +53,25 @@ def test_stateful_descent_equals_batch(spark):
     a, b = descent_stream(spark, h), emergency_descent(h)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+def test_latest_state_ttl_evicts_silent_aircraft(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from flight_engine.operators.anomalies import latest_state
+    from flight_engine.plans.catalog import history
+    from flight_engine.streaming import stateful
+    seen = {}
+    real = stateful.latest_from_upserts
+
+    def spy(spark_, out, columns, ttl_s=60):
+        seen["path"] = out
+        return real(spark_, out, columns, ttl_s)
+    monkeypatch.setattr(stateful, "latest_from_upserts", spy)
+    h = history(spark, SF_SMALL, 60)
+    got = stateful.latest_state_ttl_stream(spark, h)
+    exp = latest_state(h)
+    assert got.exceptAll(exp.select(*got.columns)).count() == 0
+    assert exp.exceptAll(got.select(*exp.columns)).count() == 0
+    emitted = spark.read.parquet(seen["path"])
+    evicted = emitted.where("evicted").select("icao24").distinct().count()
+    assert evicted > 0  # state of silent aircraft was dropped, not kept forever
