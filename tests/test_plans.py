@@ -59,3 +59,25 @@ def test_airport_join_is_an_equi_join(spark):
     from flight_engine.sources.testdata import airports
     p = plan_of(airport_broadcast_join(history(spark, SF_SMALL), airports(spark, SF_SMALL)))
     assert "BroadcastHashJoin" in p or "SortMergeJoin" in p
+
+
+def test_bounded_broadcast_falls_back_above_the_bound(spark):
+    from flight_engine.operators.joins import bounded_broadcast
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    prev_aqe = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        ok = big.join(bounded_broadcast(small, max_rows=10), "k")
+        refused = big.join(bounded_broadcast(small, max_rows=9), "k")
+        assert "BroadcastHashJoin" in plan_of(ok)
+        assert "BroadcastHashJoin" not in plan_of(refused) and "SortMergeJoin" in plan_of(refused)
+        assert ok.count() == refused.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        if prev_aqe is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", prev_aqe)
