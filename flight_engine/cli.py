@@ -1,5 +1,7 @@
 """Command line entry points for the pipeline jobs and registered queries.
 
+  python -m flight_engine.cli ingest --input SNAPSHOT_DIR --sink kafka --servers H:P \
+      --out-topic flights_raw --checkpoint CK
   python -m flight_engine.cli transform --source kafka --servers H:P --topic flights_raw \
       --sink kafka --out-topic flights_processed --checkpoint CK
   python -m flight_engine.cli transform --source json --input DIR --sink json --output DIR --checkpoint CK
@@ -29,6 +31,22 @@ def _checkpoint(spark, a, name):
     return a.checkpoint or scratch_path(spark, name)
 
 
+def cmd_ingest(spark, a):
+    """Landed snapshot documents (one per file) -> one raw message per aircraft."""
+    from flight_engine.operators.transform import serialize_unkeyed
+    from flight_engine.sources.snapshot import decode_snapshot, stream_snapshot_files
+    from flight_engine.streaming import pipeline as pl
+    msgs = serialize_unkeyed(decode_snapshot(stream_snapshot_files(spark, a.input, a.max_files)))
+    ck = _checkpoint(spark, a, "ingest-ck")
+    if a.sink == "kafka":
+        q = pl.kafka_sink(msgs, a.servers, a.out_topic, ck)
+    else:
+        w = (msgs.writeStream.format(a.sink).option("path", a.output)
+             .option("checkpointLocation", ck).outputMode("append"))
+        q = (w.trigger(availableNow=True) if a.available_now else w).start()
+    q.awaitTermination()
+
+
 def cmd_transform(spark, a):
     from flight_engine.operators.transform import process_raw, serialize_keyed
     from flight_engine.streaming import pipeline as pl
@@ -79,6 +97,15 @@ def main(argv=None):
         sp.add_argument("--checkpoint")
         sp.add_argument("--available-now", action="store_true")
 
+    g = sub.add_parser("ingest")
+    g.add_argument("--input", required=True)
+    g.add_argument("--max-files", type=int, default=None)
+    g.add_argument("--sink", choices=["kafka", "json", "parquet"], default="kafka")
+    g.add_argument("--servers")
+    g.add_argument("--out-topic", default="flights_raw")
+    g.add_argument("--output")
+    g.add_argument("--checkpoint")
+    g.add_argument("--available-now", action="store_true")
     t = sub.add_parser("transform")
     stream_args(t)
     t.add_argument("--sink", choices=["kafka", "json", "parquet"], default="kafka")
@@ -100,7 +127,7 @@ def main(argv=None):
 
     from flight_engine.session import get_spark
     spark = get_spark("flight_engine-" + a.cmd, master=a.master)
-    {"transform": cmd_transform, "sink": cmd_sink, "serve": cmd_serve, "query": cmd_query}[a.cmd](spark, a)
+    {"ingest": cmd_ingest, "transform": cmd_transform, "sink": cmd_sink, "serve": cmd_serve, "query": cmd_query}[a.cmd](spark, a)
 
 
 if __name__ == "__main__":
