@@ -594,6 +594,19 @@ def q_latest_state_ttl_stream(spark, sf):
     return st.latest_state_ttl_stream(spark, history(spark, sf, FAST))
 
 
+def q_histogram_request_duration(spark, sf):
+    """Request-duration histogram per path with the database latency bounds."""
+    b = mt.histogram_buckets(td.request_events(spark, sf), mt.DB_DURATION_BOUNDS,
+                             value="duration_s", label="path")
+    return b.drop("idx", "upper")
+
+
+def q_request_duration_p95(spark, sf):
+    b = mt.histogram_buckets(td.request_events(spark, sf), mt.DB_DURATION_BOUNDS,
+                             value="duration_s", label="path")
+    return mt.histogram_quantile(b, 0.95, label="path")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

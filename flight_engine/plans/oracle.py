@@ -9,7 +9,7 @@ an ``E0`` suffix so DuckDB never switches to DECIMAL arithmetic.
 from __future__ import annotations
 
 from flight_engine.plans.catalog import EUROPE, LIMIT_CASES, PACIFIC
-from flight_engine.operators.metrics import PAGE_SIZE_BOUNDS, bound_label
+from flight_engine.operators.metrics import DB_DURATION_BOUNDS, PAGE_SIZE_BOUNDS, bound_label
 from flight_engine.operators.spatial import AIRLINES
 
 EP = "CAST(floor(epoch(ts)) AS BIGINT)"
@@ -115,17 +115,18 @@ def with_base(body: str, *extra: str) -> str:
     return "WITH " + ",\n".join(BASE + list(extra)) + "\n" + body
 
 
-def _hist_buckets() -> str:
-    bounds = list(PAGE_SIZE_BOUNDS) + [float("inf")]
-    case = "CASE " + " ".join(f"WHEN value <= {float(b)}E0 THEN {i}" for i, b in
-                              enumerate(PAGE_SIZE_BOUNDS)) + f" ELSE {len(PAGE_SIZE_BOUNDS)} END"
+def _hist_buckets(finite=None, src: str = "me", value: str = "value", label: str = "label") -> str:
+    finite = list(PAGE_SIZE_BOUNDS if finite is None else finite)
+    bounds = finite + [float("inf")]
+    case = "CASE " + " ".join(f"WHEN {value} <= {float(b)}E0 THEN {i}" for i, b in
+                              enumerate(finite)) + f" ELSE {len(finite)} END"
     vals = ", ".join(
         f"({i}, '{bound_label(b)}', {'CAST(' + repr('inf') + ' AS DOUBLE)' if b == float('inf') else str(float(b)) + 'E0'})"
         for i, b in enumerate(bounds))
     return f"""hb AS (SELECT l.label, b.idx, b.le, b.upper,
   CAST(sum(coalesce(c.n, 0)) OVER (PARTITION BY l.label ORDER BY b.idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS bucket_count
-  FROM (SELECT DISTINCT label FROM me) l CROSS JOIN (VALUES {vals}) b(idx, le, upper)
-  LEFT JOIN (SELECT label, {case} AS idx, count(*) AS n FROM me GROUP BY ALL) c ON c.label = l.label AND c.idx = b.idx)"""
+  FROM (SELECT DISTINCT {label} AS label FROM {src}) l CROSS JOIN (VALUES {vals}) b(idx, le, upper)
+  LEFT JOIN (SELECT {label} AS label, {case} AS idx, count(*) AS n FROM {src} GROUP BY ALL) c ON c.label = l.label AND c.idx = b.idx)"""
 
 
 def _limit_union() -> str:
@@ -250,16 +251,20 @@ _LATEST = with_base(
 _CONGESTION = with_base(
     f"SELECT timestamp - timestamp % 60 AS window_start, {cell(30.0)} AS cell, count(DISTINCT icao24) AS aircraft FROM hist60 GROUP BY 1, 2 HAVING count(DISTINCT icao24) >= 3")
 
-_QUANTILE = with_base(
-    """SELECT label, round(CASE WHEN le = '+Inf' THEN max_finite ELSE lower + (upper - lower) *
+def _quantile(buckets_cte: str, out_label: str = "label") -> str:
+    return with_base(
+        f"""SELECT label AS {out_label}, round(CASE WHEN le = '+Inf' THEN max_finite ELSE lower + (upper - lower) *
   CASE WHEN bucket_count = prev_count THEN 0.0E0 ELSE (rnk - prev_count) / (bucket_count - prev_count) END END, 9) AS quantile
   FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY idx) AS rn FROM x WHERE bucket_count >= rnk AND total > 0) WHERE rn = 1""",
-    _hist_buckets(),
+        buckets_cte,
     """x AS (SELECT *, coalesce(lag(bucket_count) OVER w, 0) AS prev_count, coalesce(lag(upper) OVER w, 0.0E0) AS lower,
   max(bucket_count) OVER (PARTITION BY label) AS total,
   max(CASE WHEN le <> '+Inf' THEN upper END) OVER (PARTITION BY label) AS max_finite,
   0.95E0 * max(bucket_count) OVER (PARTITION BY label) AS rnk FROM hb WINDOW w AS (PARTITION BY label ORDER BY idx))""")
 
+
+_QUANTILE = _quantile(_hist_buckets())
+
 ORACLE: dict[str, str] = {
     # sources
     "scan_snapshot_decode": with_base(f"SELECT {_decode_cols()} FROM fs WHERE last_contact % 41 <> 0"),
@@ -394,4 +399,7 @@ ORACLE.update({
     "archive_retention": ORACLE["archive_hourly"],
     "recent_flights_table": ORACLE["recent_flights"],
     "latest_state_ttl_stream": _LATEST,
+    "histogram_request_duration": with_base("SELECT label AS path, le, bucket_count FROM hb",
+                                            _hist_buckets(DB_DURATION_BOUNDS, "req", "duration_s", "path")),
+    "request_duration_p95": _quantile(_hist_buckets(DB_DURATION_BOUNDS, "req", "duration_s", "path"), "path"),
 })
