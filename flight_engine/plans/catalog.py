@@ -607,6 +607,10 @@ def q_request_duration_p95(spark, sf):
     return mt.histogram_quantile(b, 0.95, label="path")
 
 
+def q_ingest_counters(spark, sf):
+    return snap.ingest_counters(_docs(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

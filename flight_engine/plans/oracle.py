@@ -399,6 +399,7 @@ ORACLE.update({
     "archive_retention": ORACLE["archive_hourly"],
     "recent_flights_table": ORACLE["recent_flights"],
     "latest_state_ttl_stream": _LATEST,
+    "ingest_counters": with_base("SELECT count(DISTINCT timestamp) AS polls_total, count(*) FILTER (WHERE last_contact % 41 <> 0) AS flights_sent_total, count(*) FILTER (WHERE last_contact % 41 = 0) AS errors_malformed FROM fs"),
     "histogram_request_duration": with_base("SELECT label AS path, le, bucket_count FROM hb",
                                             _hist_buckets(DB_DURATION_BOUNDS, "req", "duration_s", "path")),
     "request_duration_p95": _quantile(_hist_buckets(DB_DURATION_BOUNDS, "req", "duration_s", "path"), "path"),

@@ -61,6 +61,16 @@ def malformed_counts(docs: DataFrame, value_col: str = "value") -> DataFrame:
                   F.count(F.when(~ok, 1)).alias("rejected"))
 
 
+def ingest_counters(docs: DataFrame, value_col: str = "value") -> DataFrame:
+    """Ingest-side counters in one pass: polls (distinct snapshot times), states
+    published, and errors by type (malformed state vectors)."""
+    st = explode_states(docs, value_col)
+    ok = state_is_complete()
+    return st.agg(F.countDistinct("timestamp").alias("polls_total"),
+                  F.count(F.when(ok, 1)).alias("flights_sent_total"),
+                  F.count(F.when(~ok, 1)).alias("errors_malformed"))
+
+
 def _cell_json(c, kind: str = "number"):
     """JSON token of one typed value: '"abc"', '12.5', 'true', 'null'.
 
