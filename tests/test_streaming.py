@@ -75,3 +75,33 @@ def test_latest_state_ttl_evicts_silent_aircraft(spark, monkeypatch):
     emitted = spark.read.parquet(seen["path"])
     evicted = emitted.where("evicted").select("icao24").distinct().count()
     assert evicted > 0  # state of silent aircraft was dropped, not kept forever
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    """Rows behind the watermark are dropped once a batch has set it (Spark judges late
+    rows against the previous batch's watermark) and counted in the progress metrics,
+    per partially aggregated group."""
+    from conftest import SF_SMALL
+    from flight_engine.functions.columns import event_time
+    from flight_engine.plans.catalog import history
+    from flight_engine.streaming.stateful import WATERMARK
+    h = history(spark, SF_SMALL)
+    mid, q3 = h.agg(F.percentile_approx("timestamp", 0.5), F.percentile_approx("timestamp", 0.75)).first()
+    src_path = scratch_path(spark, "t-late-src")
+    newer = h.where(F.col("timestamp") >= mid)
+    newer.where(F.col("timestamp") < q3).write.mode("append").parquet(src_path)   # batch 0
+    newer.where(F.col("timestamp") >= q3).write.mode("append").parquet(src_path)  # batch 1
+    late = h.where(F.col("timestamp") < mid - 7200)                              # batch 2: late
+    late.write.mode("append").parquet(src_path)
+    stream = (spark.readStream.schema(h.schema).option("maxFilesPerTrigger", 1).parquet(src_path)
+              .withColumn("event_time", event_time()))
+    counts = (stream.withWatermark("event_time", WATERMARK)
+              .groupBy(F.window("event_time", "1 hour").alias("w")).agg(F.count("*").alias("n")))
+    out, ck = scratch_path(spark, "t-late-out"), scratch_path(spark, "t-late-ck")
+    events = pl.run_logged(spark, lambda: pl.stream_upserts(counts, out, ck))
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for e in events for op in e.get("stateOperators", []))
+    late_windows = late.select(F.window(event_time(), "1 hour")).distinct().count()
+    assert dropped == late_windows > 0
+    got = pl.read_upserts(spark, out, ["w"]).agg(F.sum("n")).first()[0]
+    assert got == newer.count()  # late rows never reach the result
