@@ -18,6 +18,10 @@ AIRLINE_CODES = "AALBAWDLHUALAFR"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # All times in this library are UTC epoch seconds; day/hour extraction and the
+    # TIMESTAMP_NTZ -> epoch conversion below follow the session zone, so pin it.
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
