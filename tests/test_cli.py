@@ -47,3 +47,13 @@ def test_ingest_then_transform(spark, tmp_path):
            .select(F.from_json("value", PROCESSED_SCHEMA).alias("r")).select("r.*"))
     exp = process(s.where("timestamp % 7 = 0"))
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_query_command_writes_output(spark):
+    from conftest import SF_SMALL
+    from flight_engine.plans.catalog import QUERIES
+    out = scratch_path(spark, "c-query")
+    cli.main(["query", "agg_hourly_routes", "--sf-dir", SF_SMALL, "--output", out])
+    got = spark.read.parquet(out)
+    exp = QUERIES["agg_hourly_routes"](spark, SF_SMALL)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
