@@ -15,7 +15,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flight_engine.llm.license_scan import scan_licences
+    return scan_licences(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op10_license_scan": op10_license_scan,
     "op7_quality_rules": op7_quality_rules,
 }
 
