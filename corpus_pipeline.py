@@ -13,8 +13,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_documents(docs)
 
 
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five words, similarity 0.8)."""
+    from flight_engine.llm.ngram_join import one_per_group
+    return one_per_group(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", ngram_join),
 ]
 
 ORACLE_SQL = None

@@ -20,7 +20,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(_table(spark, sf_dir, "documents"))
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flight_engine.llm.ngram_join import similar_components
+    return similar_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op10_license_scan": op10_license_scan,
     "op7_quality_rules": op7_quality_rules,
 }
