@@ -25,10 +25,33 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flight_engine.llm.decontaminate import contained_items
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op10_license_scan": op10_license_scan,
     "op7_quality_rules": op7_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SHINGLES = f"""
+    SELECT DISTINCT id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') || ' .'
+                             ELSE array_to_string(w[i:i + 4], ' ') END AS s
+    FROM (SELECT id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i
+          FROM (SELECT {{id}} AS id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM {{table}})
+          WHERE len(w) > 0)"""
+
+ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": f"""
+        WITH q AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
+             d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+             n AS (SELECT id, count(*) AS n FROM q GROUP BY id)
+        SELECT d.id AS doc_id, q.id AS item_id, n.n AS n_item_shingles, count(*) AS n_shared,
+               count(*) / n.n AS containment
+        FROM d JOIN q ON d.s = q.s JOIN n ON n.id = q.id
+        GROUP BY d.id, q.id, n.n HAVING 100 * count(*) >= 80 * n.n""",
+}
