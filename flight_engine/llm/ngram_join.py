@@ -37,6 +37,8 @@ from flight_engine.llm.store import release, stage
 DF_BUCKETS = 1 << 18
 #: Longest extension of a prefix, and the cost of a check in postings.
 MAX_MATCHES, CHECK_COST = 4, 20
+#: Size of the filter of hashed ids by which texts are passed over early.
+ID_SLOTS = 1 << 18
 
 
 def doc_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -142,23 +144,33 @@ def _side(tokens: DataFrame, s: str, *cols: str) -> DataFrame:
     return tokens.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "n", "l", "pos", *cols)])
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(node, set): sorted 64-bit shingle hashes of the wanted classes."""
+def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(node, set): sorted 64-bit shingle hashes of the classes in ``pairs(a, b)``.
+
+    A filter of at most ID_SLOTS hashed ids goes to every task and spares most of
+    the other texts the shuffle; the join by id is what decides.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch, data, offsets in tx.text_blocks(batches):
             keep, sets = [], []
-            s1 = batch.column("s1").to_pylist()
+            nodes, s1 = batch.column("node").to_pylist(), batch.column("s1").to_pylist()
             for i, s in enumerate(doc_shingles(data, offsets, k)):
-                if int(np.uint64(tx.mix(s).sum()).astype(np.int64)) == s1[i]:
+                if nodes[i] not in seen and int(np.uint64(tx.mix(s).sum()).astype(np.int64)) == s1[i]:
+                    seen.add(nodes[i])
                     keep.append(i)
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(keep, pa.int64())),
                                               pa.array(sets, pa.binary())], ["node", "set"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    return (texts.join(wanted.select("id", "node", "s1"), "id").select("node", "s1", "text")
-            .mapInArrow(build, "node long, set binary"))
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stage(nodes.join(classes.select("id", "node", "s1"), "node"), "ngram-wanted")
+    slot = F.expr(f"pmod(xxhash64(id), {ID_SLOTS})").alias("slot")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").select("*", slot)
+    texts = texts.join(F.broadcast(wanted.select(slot).distinct()), "slot", "left_semi")
+    found = texts.join(wanted, "id").select("node", "s1", "text").mapInArrow(build, "node long, set binary")
+    return stage(found, "ngram-sets")
 
 
 def _check(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -199,10 +211,10 @@ def similar_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
         "token", *[F.col(f"m.{c}").alias(f"x_{c}") for c in ("node", "n", "l", "pos")])
     stars = (_side(tokens, "y").join(lead, "token").where("x_node <> y_node").where(_possible(num, den))
              .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct())
-    wanted = tokens.select("node").distinct().join(classes.select("node", "id", "s1"), "node")
-    sets = stage(_sets(docs, wanted, k).dropDuplicates(["node"]), "ngram-sets")
+    stars = stage(stars, "ngram-stars")
+    sets = _sets(docs, classes, stars, k)
     release(spark)
-    stars = stage(_check(stars, sets, num, den), "ngram-stars")
+    stars = stage(_check(stars, sets, num, den), "ngram-checked")
     joined = stage(components(stars.where("linked").select("a", "b")), "ngram-merged")
     release(spark)
 
@@ -216,8 +228,8 @@ def similar_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
             .groupBy(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
             .agg(F.count(F.lit(1)).alias("matches"), F.first("x_l").alias("x_l"), F.first("y_l").alias("y_l"))
             .where("matches >= least(x_l, y_l)").select("a", "b"))
-    rest = rest.join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    found = stage(_check(rest, sets, num, den).where("linked").select("a", "b"), "ngram-rest")
+    rest = stage(rest.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "ngram-rest")
+    found = stage(_check(rest, _sets(docs, classes, rest, k), num, den).where("linked").select("a", "b"), "ngram-found")
     links = joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     groups = components(links.union(found)) if found.take(1) else joined
 
