@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +31,15 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flight_engine.llm.suffix_dedup import remove_repeats
+    return remove_repeats(_table(spark, sf_dir, "documents"), copies="all").select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op10_license_scan": op10_license_scan,
