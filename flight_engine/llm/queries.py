@@ -38,7 +38,13 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flight_engine.llm.language_id import identify
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op5_language_id": op5_language_id,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
