@@ -43,7 +43,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flight_engine.llm.mixing import mixing_rates
+    return mixing_rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op9_mixing": op9_mixing,
     "op5_language_id": op5_language_id,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
