@@ -48,7 +48,16 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flight_engine.llm.warc import read_records, write_archives
+    from flight_engine.session import scratch_path
+    path = scratch_path(spark, "warc")
+    write_archives(_table(spark, sf_dir, "pages"), path)
+    return read_records(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op2_warc_chunks": op2_warc_chunks,
     "op9_mixing": op9_mixing,
     "op5_language_id": op5_language_id,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
@@ -67,6 +76,13 @@ _SHINGLES = f"""
           WHERE len(w) > 0)"""
 
 ORACLE: dict[str, str] = {
+    "op2_warc_chunks": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+             f AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY d)
+        SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+               CASE WHEN n < 100 OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN n < 100 OR page_id = first_id THEN NULL ELSE first_id END AS refers_to
+        FROM p LEFT JOIN f ON p.d = f.d AND n >= 100""",
     "op4_benchmark_decontamination": f"""
         WITH q AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
              d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
