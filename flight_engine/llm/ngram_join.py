@@ -38,7 +38,7 @@ DF_BUCKETS = 1 << 18
 #: Longest extension of a prefix, and the cost of a check in postings.
 MAX_MATCHES, CHECK_COST = 4, 20
 #: Size of the filter of hashed ids by which texts are passed over early.
-ID_SLOTS = 1 << 18
+ID_SLOTS = 1 << 20
 
 
 def doc_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -134,10 +134,20 @@ def _overlap(a: str, b: str, num: int, den: int) -> str:
 
 
 def _possible(num: int, den: int) -> Column:
-    """Size filter, and the places that a pair's first l shared shingles can have."""
+    """Size filter, and the places that a pair's first shared shingle can have."""
     need = _overlap("x_n", "y_n", num, den)
     return F.expr(f"""{den} * least(x_n, y_n) >= {num} * greatest(x_n, y_n)
-        and x_pos <= x_n - {need} + least(x_l, y_l) - 1 and y_pos <= y_n - {need} + least(x_l, y_l) - 1""")
+        and x_pos <= x_n - {need} and y_pos <= y_n - {need}""")
+
+
+def _enough(num: int, den: int) -> Column:
+    """Whether both sides have l open shingles at all in the places that the first l shared ones can have.
+
+    early: the first places of a document's shingles that other components share.
+    """
+    need = _overlap("x_n", "y_n", num, den)
+    return F.expr(" and ".join(
+        f"get({s}_early, least(x_l, y_l) - 1) <= {s}_n - {need} + least(x_l, y_l) - 1" for s in "xy"))
 
 
 def _side(tokens: DataFrame, s: str, *cols: str) -> DataFrame:
@@ -222,12 +232,17 @@ def similar_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
                 .withColumn("comp", F.coalesce("component", "node")).drop("component"))
     split = (labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo <> hi").select("token"))
-    open_tokens = stage(labelled.join(split, "token"), "ngram-open")
-    rest = (_side(open_tokens, "x", "comp").join(_side(open_tokens, "y", "comp"), "token")
-            .where("x_node < y_node and x_comp <> y_comp").where(_possible(num, den))
-            .groupBy(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
-            .agg(F.count(F.lit(1)).alias("matches"), F.first("x_l").alias("x_l"), F.first("y_l").alias("y_l"))
-            .where("matches >= least(x_l, y_l)").select("a", "b"))
+    open_tokens = labelled.join(split, "token")
+    heads = stage(open_tokens.groupBy("node").agg(
+        F.first("l").alias("l"), F.slice(F.sort_array(F.collect_list("pos")), 1, MAX_MATCHES).alias("early"),
+        F.collect_list("token").alias("head")), "ngram-heads")
+    open_tokens = stage(open_tokens.join(heads.select("node", "early"), "node"), "ngram-open")
+    rest = (_side(open_tokens, "x", "comp", "early").join(_side(open_tokens, "y", "comp", "early"), "token")
+            .where("x_node < y_node and x_comp <> y_comp").where(_possible(num, den)).where(_enough(num, den))
+            .select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
+    for s in "ab":
+        rest = rest.join(heads.select(F.col("node").alias(s), F.col("l").alias(f"{s}_l"), F.col("head").alias(f"{s}_head")), s)
+    rest = rest.where("size(array_intersect(a_head, b_head)) >= least(a_l, b_l)").select("a", "b")
     rest = stage(rest.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "ngram-rest")
     found = stage(_check(rest, _sets(docs, classes, rest, k), num, den).where("linked").select("a", "b"), "ngram-found")
     links = joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
