@@ -56,7 +56,13 @@ def op2_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flight_engine.llm.secret_scan import secret_digests
+    return secret_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_secret_scan": op3_secret_scan,
     "op2_warc_chunks": op2_warc_chunks,
     "op9_mixing": op9_mixing,
     "op5_language_id": op5_language_id,
