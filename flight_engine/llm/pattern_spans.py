@@ -16,13 +16,20 @@ CONTEXT = 32
 _TYPE = "array<struct<start: int, end: int, m: string, before: string>>"
 
 
-def with_spans(rows: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
+def with_spans(rows: DataFrame, text: str, patterns: dict[str, str], needs: dict[str, str] | None = None) -> DataFrame:
     """Adds a column of spans (start, end, m, before) for each name and pattern.
 
-    Patterns must not match the empty string. Names must be new columns.
+    Patterns must not match the empty string. Names must be new columns. ``needs``
+    holds cheap patterns without which a text cannot match the one of that name.
     """
     names = list(patterns)
-    rows = rows.select("*", *[F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(f"{n}__m") for n, p in patterns.items()])
+
+    def found(name: str) -> Column:
+        every = F.regexp_extract_all(text, F.lit(patterns[name]), F.lit(0))
+        need = (needs or {}).get(name)
+        return every if need is None else F.when(F.col(text).rlike(need), every).otherwise(F.array().cast("array<string>"))
+
+    rows = rows.select("*", *[found(n).alias(f"{n}__m") for n in names])
     rows = rows.select("*", *[F.when(F.size(f"{n}__m") > 0, F.split(text, p, -1)).alias(f"{n}__g") for n, p in patterns.items()])
     spans = [F.expr(f"""if(size({n}__m) = 0, cast(array() as {_TYPE}), aggregate(sequence(0, size({n}__m) - 1),
         named_struct('pos', 0, 'out', cast(array() as {_TYPE})),

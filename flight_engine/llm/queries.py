@@ -61,7 +61,13 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(_table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flight_engine.llm.pii import pii_digests
+    return pii_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op6_pii": op6_pii,
     "op3_secret_scan": op3_secret_scan,
     "op2_warc_chunks": op2_warc_chunks,
     "op9_mixing": op9_mixing,

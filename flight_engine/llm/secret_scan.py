@@ -154,7 +154,8 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """doc_id, base and spans: arrays of (start, end, kind), by start and then kind."""
     bins = discovery_bins(_candidates(docs), fdr)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_spans(rows, "text", {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "found": CANDIDATE}).drop("text")
+    rows = with_spans(rows, "text", {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "found": CANDIDATE},
+                      {"assign": "[:=]", "access": "AKIA"}).drop("text")
     long_enough = F.filter("assign", lambda s: F.length(F.regexp_extract(s["m"], ASSIGN, 1)) >= MIN_ASSIGNED)
     base = F.concat(label("assign", long_enough), label("access", F.col("access")), label("hex", F.col("hex")))
     if bins:
