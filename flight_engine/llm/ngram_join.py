@@ -37,6 +37,8 @@ from flight_engine.llm.store import release, stage
 DF_BUCKETS = 1 << 18
 #: Longest extension of a prefix, and the cost of a check in postings.
 MAX_MATCHES, CHECK_COST = 4, 20
+#: 64-bit words of the parity bitmap that bounds how many shingles two sets do not share.
+BITMAP_WORDS = 8
 #: Size of the filter of hashed ids by which texts are passed over early.
 ID_SLOTS = 1 << 20
 
@@ -73,6 +75,13 @@ def df_counters(docs: DataFrame, k: int, buckets: int = DF_BUCKETS) -> np.ndarra
     return out
 
 
+def _parity(s: np.ndarray) -> np.ndarray:
+    """Bit b: whether an odd number of the shingles hash to b."""
+    size = 64 * BITMAP_WORDS
+    odd = np.bincount((s >> np.uint64(40)).astype(np.int64) % size, minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signatures(docs: DataFrame, counters: np.ndarray, k: int, num: int, den: int) -> DataFrame:
     """doc_id, n, 128-bit set identity (s1, s2), l and the prefix tokens in order."""
     buckets = len(counters)
@@ -83,12 +92,13 @@ def _signatures(docs: DataFrame, counters: np.ndarray, k: int, num: int, den: in
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, extra = sent.value
         for batch, data, offsets in tx.text_blocks(batches):
-            n, s1, s2, ell, prefix = [], [], [], [], []
+            n, s1, s2, ell, prefix, bits = [], [], [], [], [], []
             for s in doc_shingles(data, offsets, k):
                 m = len(s)
                 n.append(m)
                 s1.append(int(tx.mix(s).sum()) if m else 0)
                 s2.append(int(tx.mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()) if m else 0)
+                bits.append(_parity(s))
                 need = -(-num * m // den)
                 token = np.sort((rank[_bucket(s, buckets)] << np.uint64(58)) | (s >> np.uint64(6)))
                 head = token[:m - need + min(MAX_MATCHES, need)] if m else token
@@ -105,10 +115,11 @@ def _signatures(docs: DataFrame, counters: np.ndarray, k: int, num: int, den: in
                 batch.column("doc_id"), pa.array(n, pa.int64()),
                 pa.array(np.array(s1, dtype=np.uint64).view(np.int64)),
                 pa.array(np.array(s2, dtype=np.uint64).view(np.int64)), pa.array(ell, pa.int32()),
-                pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))], ["doc_id", "n", "s1", "s2", "l", "prefix"])
+                pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat)),
+                pa.array(bits, pa.list_(pa.int64()))], ["doc_id", "n", "s1", "s2", "l", "prefix", "bits"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(sign, "doc_id long, n long, s1 long, s2 long, l int, prefix array<long>"))
+            .mapInArrow(sign, "doc_id long, n long, s1 long, s2 long, l int, prefix array<long>, bits array<long>"))
 
 
 def _classes(signed: DataFrame) -> DataFrame:
@@ -119,7 +130,7 @@ def _classes(signed: DataFrame) -> DataFrame:
     """
     sets = (signed.where("n > 0 and doc_id is not null").groupBy("s1", "s2")
             .agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("l").alias("l"),
-                 F.first("prefix").alias("prefix")))
+                 F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
     sets = stage(sets, "ngram-classes")
     clash = sets.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id")
     if clash.take(1):
@@ -140,14 +151,28 @@ def _possible(num: int, den: int) -> Column:
         and x_pos <= x_n - {need} and y_pos <= y_n - {need}""")
 
 
-def _enough(num: int, den: int) -> Column:
-    """Whether both sides have l open shingles at all in the places that the first l shared ones can have.
+def _close(num: int, den: int) -> Column:
+    """Whether the parity bitmaps allow the pair's similarity, and both have the prefix shingles it asks for.
 
-    early: the first places of a document's shingles that other components share.
+    Each bit that differs is a shingle, at least, that only one of the two has.
     """
     need = _overlap("x_n", "y_n", num, den)
-    return F.expr(" and ".join(
-        f"get({s}_early, least(x_l, y_l) - 1) <= {s}_n - {need} + least(x_l, y_l) - 1" for s in "xy"))
+    differ = " + ".join(f"bit_count(x_b{i} ^ y_b{i})" for i in range(BITMAP_WORDS))
+    return F.expr(f"least(x_open, y_open) >= {_matches(num, den)} and {differ} <= x_n + y_n - 2 * {need}")
+
+
+def _prefix(n: str, l: str, num: int, den: int) -> str:
+    """Prefix length of a set of n shingles."""
+    return f"least({n}, {n} + {l} - ({num} * {n} + {den - 1}) div {den})"
+
+
+def _matches(num: int, den: int) -> str:
+    """Least prefix shingles that a similar pair shares: l, or more where the prefixes are longer than they need be.
+
+    Past the prefix that ends first, a pair shares at most what is left of that document.
+    """
+    left = ", ".join(f"{s}_n - {_prefix(f'{s}_n', f'{s}_l', num, den)}" for s in "xy")
+    return f"greatest(least(x_l, y_l), {_overlap('x_n', 'y_n', num, den)} - greatest({left}))"
 
 
 def _side(tokens: DataFrame, s: str, *cols: str) -> DataFrame:
@@ -212,11 +237,13 @@ def similar_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
 
     tokens = classes.select("node", "n", "l", F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    tokens = stage(tokens.join(shared.select("token"), "token"), "ngram-tokens")
+    tokens = stage(tokens.join(shared, "token"), "ngram-tokens")
     release(spark)
 
-    central = tokens.groupBy("node").agg(F.count(F.lit(1)).alias("common"))
-    rated = tokens.join(central, "node").withColumn("rate", F.expr("common * 1000000 div n"))
+    central = tokens.groupBy("node").agg(F.count(F.lit(1)).alias("common"), F.sum("members").alias("spread"))
+    # fewest prefix shingles of its own, then the longest, then the best connected
+    rated = (tokens.join(central, "node")
+             .withColumn("rate", F.struct(F.expr(f"common - {_prefix('n', 'l', num, den)}"), "n", "spread")))
     lead = rated.groupBy("token").agg(F.max(F.struct("rate", "node", "n", "l", "pos")).alias("m")).select(
         "token", *[F.col(f"m.{c}").alias(f"x_{c}") for c in ("node", "n", "l", "pos")])
     stars = (_side(tokens, "y").join(lead, "token").where("x_node <> y_node").where(_possible(num, den))
@@ -228,21 +255,21 @@ def similar_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     joined = stage(components(stars.where("linked").select("a", "b")), "ngram-merged")
     release(spark)
 
+    bitmap = [f"b{i}" for i in range(BITMAP_WORDS)]
     labelled = (tokens.join(joined, "node", "left")
                 .withColumn("comp", F.coalesce("component", "node")).drop("component"))
     split = (labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo <> hi").select("token"))
     open_tokens = labelled.join(split, "token")
-    heads = stage(open_tokens.groupBy("node").agg(
-        F.first("l").alias("l"), F.slice(F.sort_array(F.collect_list("pos")), 1, MAX_MATCHES).alias("early"),
-        F.collect_list("token").alias("head")), "ngram-heads")
-    open_tokens = stage(open_tokens.join(heads.select("node", "early"), "node"), "ngram-open")
-    rest = (_side(open_tokens, "x", "comp", "early").join(_side(open_tokens, "y", "comp", "early"), "token")
-            .where("x_node < y_node and x_comp <> y_comp").where(_possible(num, den)).where(_enough(num, den))
+    heads = open_tokens.groupBy("node").agg(F.first("l").alias("l"), F.first("n").alias("n"), F.collect_list("token").alias("head"))
+    heads = stage(heads.join(classes.select("node", *[F.get("bits", F.lit(i)).alias(b) for i, b in enumerate(bitmap)]), "node"), "ngram-heads")
+    open_tokens = stage(open_tokens.join(heads.select("node", F.size("head").alias("open"), *bitmap), "node"), "ngram-open")
+    rest = (_side(open_tokens, "x", "comp", "open", *bitmap).join(_side(open_tokens, "y", "comp", "open", *bitmap), "token")
+            .where("x_node < y_node and x_comp <> y_comp").where(_possible(num, den)).where(_close(num, den))
             .select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
-    for s in "ab":
-        rest = rest.join(heads.select(F.col("node").alias(s), F.col("l").alias(f"{s}_l"), F.col("head").alias(f"{s}_head")), s)
-    rest = rest.where("size(array_intersect(a_head, b_head)) >= least(a_l, b_l)").select("a", "b")
+    for pair, s in (("a", "x"), ("b", "y")):
+        rest = rest.join(heads.select(F.col("node").alias(pair), *[F.col(c).alias(f"{s}_{c}") for c in ("l", "n", "head")]), pair)
+    rest = (rest.where(f"size(array_intersect(x_head, y_head)) >= {_matches(num, den)}").select("a", "b"))
     rest = stage(rest.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "ngram-rest")
     found = stage(_check(rest, _sets(docs, classes, rest, k), num, den).where("linked").select("a", "b"), "ngram-found")
     links = joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
