@@ -19,9 +19,30 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return one_per_group(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    from flight_engine.llm.decontaminate import clean_documents
+    return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind; n_chars follows the text."""
+    from flight_engine.llm.pii import redact
+    return redact(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with one copy or more at the target weights, with mix_rate and mix_copies."""
+    from flight_engine.llm.mixing import mix_documents
+    return mix_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("n-gram Jaccard join", ngram_join),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("PII", pii),
+    ("mixing sources to target weights", mixing),
 ]
 
 ORACLE_SQL = None

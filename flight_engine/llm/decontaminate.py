@@ -170,20 +170,24 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = K, num: int = NU
     return out.withColumn("containment", F.col("n_shared") / F.col("n_item_shingles"))
 
 
+def _holds(sent, k: int, num: int, den: int):
+    """An expression of a text: whether it holds an item of the block."""
+
+    @F.arrow_udf(T.BooleanType())
+    def holds(texts: pa.Array) -> pa.Array:
+        flags = np.zeros(len(texts), dtype=bool)
+        done = 0
+        for batch, data, offsets in tx.text_blocks(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
+            for i, _ in _search(sent.value, data, offsets, k, num, den):
+                flags[done + i] = True
+            done += batch.num_rows
+        return pa.array(flags)
+
+    return holds
+
+
 def clean_documents(docs: DataFrame, items: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
     """The documents that hold no test item, with all their columns; nothing is shuffled."""
     for block in item_blocks(items, k):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-
-        @F.arrow_udf(T.BooleanType())
-        def holds(texts: pa.Array, sent=sent) -> pa.Array:
-            flags = np.zeros(len(texts), dtype=bool)
-            done = 0
-            for batch, data, offsets in tx.text_blocks(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
-                for i, _ in _search(sent.value, data, offsets, k, num, den):
-                    flags[done + i] = True
-                done += batch.num_rows
-            return pa.array(flags)
-
-        docs = docs.where(~holds(F.col("text")))
+        docs = docs.where(~_holds(docs.sparkSession.sparkContext.broadcast(block), k, num, den)(F.col("text")))
     return docs
