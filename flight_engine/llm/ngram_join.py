@@ -9,7 +9,7 @@ for l matches before the exact check; a pair needs the smaller l of the two.
 
 Links are found without writing all pairs of a group:
 1. documents with equal sets collapse to one class;
-2. per prefix shingle one central member (most shingles shared with others) is
+2. per prefix shingle one central member (fewest rarer shingles of its own) is
    compared with all members, and linked classes merge;
 3. pairs that still lie in different components and share enough prefix
    shingles are checked one by one, so no link between components is missed.
@@ -156,9 +156,12 @@ def _close(num: int, den: int) -> Column:
 
     Each bit that differs is a shingle, at least, that only one of the two has.
     """
-    need = _overlap("x_n", "y_n", num, den)
+    return F.expr(f"least(x_open, y_open) >= {_matches(num, den)} and {_near(num, den)}")
+
+
+def _near(num: int, den: int) -> str:
     differ = " + ".join(f"bit_count(x_b{i} ^ y_b{i})" for i in range(BITMAP_WORDS))
-    return F.expr(f"least(x_open, y_open) >= {_matches(num, den)} and {differ} <= x_n + y_n - 2 * {need}")
+    return f"{differ} <= x_n + y_n - 2 * {_overlap('x_n', 'y_n', num, den)}"
 
 
 def _prefix(n: str, l: str, num: int, den: int) -> str:
@@ -240,14 +243,16 @@ def similar_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     tokens = stage(tokens.join(shared, "token"), "ngram-tokens")
     release(spark)
 
-    central = tokens.groupBy("node").agg(F.count(F.lit(1)).alias("common"), F.sum("members").alias("spread"))
-    # fewest prefix shingles of its own, then the longest, then the best connected
-    rated = (tokens.join(central, "node")
-             .withColumn("rate", F.struct(F.expr(f"common - {_prefix('n', 'l', num, den)}"), "n", "spread")))
-    lead = rated.groupBy("token").agg(F.max(F.struct("rate", "node", "n", "l", "pos")).alias("m")).select(
+    # the member with the fewest rarer shingles before the token, then the longest
+    lead = tokens.groupBy("token").agg(F.max(F.struct((-F.col("pos")).alias("rate"), "n", "node", "l", "pos")).alias("m")).select(
         "token", *[F.col(f"m.{c}").alias(f"x_{c}") for c in ("node", "n", "l", "pos")])
     stars = (_side(tokens, "y").join(lead, "token").where("x_node <> y_node").where(_possible(num, den))
              .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct())
+    bitmap = [f"b{i}" for i in range(BITMAP_WORDS)]
+    bits = classes.select("node", "n", *[F.get("bits", F.lit(i)).alias(b) for i, b in enumerate(bitmap)])
+    for pair, s in (("a", "x"), ("b", "y")):
+        stars = stars.join(bits.select(F.col("node").alias(pair), *[F.col(c).alias(f"{s}_{c}") for c in ("n", *bitmap)]), pair)
+    stars = stars.where(F.expr(_near(num, den))).select("a", "b")
     stars = stage(stars, "ngram-stars")
     sets = _sets(docs, classes, stars, k)
     release(spark)
@@ -255,14 +260,13 @@ def similar_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     joined = stage(components(stars.where("linked").select("a", "b")), "ngram-merged")
     release(spark)
 
-    bitmap = [f"b{i}" for i in range(BITMAP_WORDS)]
     labelled = (tokens.join(joined, "node", "left")
                 .withColumn("comp", F.coalesce("component", "node")).drop("component"))
     split = (labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo <> hi").select("token"))
     open_tokens = labelled.join(split, "token")
     heads = open_tokens.groupBy("node").agg(F.first("l").alias("l"), F.first("n").alias("n"), F.collect_list("token").alias("head"))
-    heads = stage(heads.join(classes.select("node", *[F.get("bits", F.lit(i)).alias(b) for i, b in enumerate(bitmap)]), "node"), "ngram-heads")
+    heads = stage(heads.join(bits.drop("n"), "node"), "ngram-heads")
     open_tokens = stage(open_tokens.join(heads.select("node", F.size("head").alias("open"), *bitmap), "node"), "ngram-open")
     rest = (_side(open_tokens, "x", "comp", "open", *bitmap).join(_side(open_tokens, "y", "comp", "open", *bitmap), "token")
             .where("x_node < y_node and x_comp <> y_comp").where(_possible(num, den)).where(_close(num, den))
