@@ -35,7 +35,7 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9]){15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_BYTE = r"0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+_BYTE = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 #: Wide patterns of the kinds that the method adds.
 WIDE = {
