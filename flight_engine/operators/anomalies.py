@@ -131,7 +131,7 @@ def velocity_outliers(history: DataFrame, max_kmh: float = MAX_KMH) -> DataFrame
         "icao24", "timestamp", "time_position", "longitude", "latitude", "velocity_kmh")
 
 
-def quality_score(history: DataFrame, deg: float = 10.0) -> DataFrame:
+def quality_score(history: DataFrame, deg: float = 0.5) -> DataFrame:
     """Share of OK rows per grid cell."""
     return (history.select(grid_cell(deg=deg).alias("cell"), quality_flag_col().alias("f"))
             .groupBy("cell")
@@ -140,7 +140,7 @@ def quality_score(history: DataFrame, deg: float = 10.0) -> DataFrame:
                  .alias("quality_score")))
 
 
-def congestion(history: DataFrame, deg: float = 30.0,
+def congestion(history: DataFrame, deg: float = 0.5,
                min_aircraft: int = CONGESTION_MIN_AIRCRAFT) -> DataFrame:
     """(minute, cell) with at least ``min_aircraft`` distinct aircraft."""
     win = F.window(F.timestamp_seconds("timestamp"), "1 minute")
@@ -150,7 +150,7 @@ def congestion(history: DataFrame, deg: float = 30.0,
             .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "cell", "aircraft"))
 
 
-def coverage_gaps(history: DataFrame, deg: float = 10.0, silence_s: int = SILENCE_S,
+def coverage_gaps(history: DataFrame, deg: float = 0.5, silence_s: int = SILENCE_S,
                   as_of: int | None = None) -> DataFrame:
     """Cells silent for more than ``silence_s`` at ``as_of`` (default newest contact)."""
     ref = history.select(F.max("last_contact")).scalar() if as_of is None else F.lit(as_of)

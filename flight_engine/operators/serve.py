@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flight_engine.functions.columns import js_round, status_color
+from flight_engine.operators.sink import table_days
 from flight_engine.schema import API_COLUMNS
 
 # Page size default and maximum, display rows, placeholder.
@@ -53,8 +54,8 @@ def recent_flights_from_table(spark, path: str, limit: int | str | None = DEFAUL
                               lookback_s: int = 3600) -> DataFrame:
     """``recent_flights`` over a stored, day-partitioned history table.
 
-    The newest timestamp is read from the newest ``dt`` partition only (a
-    partition-column aggregate reads no column data).  The page is then
+    The days come from a listing of the table's folders, the newest timestamp
+    from the newest day only.  The page is then
     taken from ``timestamp >= newest - lookback``: a literal predicate, so it
     prunes ``dt`` partitions and skips row groups by their min/max.  If that
     window holds fewer rows than the page, the lookback grows 4x per round;
@@ -64,15 +65,15 @@ def recent_flights_from_table(spark, path: str, limit: int | str | None = DEFAUL
     import datetime as _dt
     n = parse_limit(None if limit is None else str(limit))
     table = spark.read.parquet(path)
-    days = table.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")).first()
-    if days.hi is None:
+    days = table_days(spark, path)
+    if not days:
         return recent_flights(table, n)
-    newest = table.where(F.col("dt") == days.hi).agg(F.max("timestamp")).first()[0]
+    newest = table.where(F.col("dt") == days[-1]).agg(F.max("timestamp")).first()[0]
     span = lookback_s
     while True:
         lo = newest - span
         day = _dt.datetime.fromtimestamp(lo, _dt.timezone.utc).strftime("%Y-%m-%d")
-        if day <= str(days.lo):
+        if day <= days[0]:
             return recent_flights(table, n)
         window = table.where((F.col("dt") >= day) & (F.col("timestamp") >= F.lit(lo)))
         if window.limit(n).count() >= n:
@@ -133,11 +134,12 @@ def geojson_feature_json(features: DataFrame) -> DataFrame:
 
 
 def geojson_collection(page: DataFrame) -> DataFrame:
-    """FeatureCollection document for ONE bounded page (<= MAX_LIMIT rows)."""
-    feats = geojson_feature_json(geojson_features(page.limit(MAX_LIMIT)))
-    return feats.agg(F.concat(F.lit('{"type":"FeatureCollection","features":['),
-                              F.concat_ws(",", F.collect_list("feature")),
-                              F.lit("]}")).alias("geojson"))
+    """FeatureCollection document for ONE bounded page; over MAX_LIMIT rows it fails."""
+    feats = geojson_feature_json(geojson_features(page.limit(MAX_LIMIT + 1)))
+    whole = F.concat(F.lit('{"type":"FeatureCollection","features":['),
+                     F.concat_ws(",", F.collect_list("feature")), F.lit("]}"))
+    return feats.agg(F.when(F.count(F.lit(1)) <= MAX_LIMIT, whole).otherwise(
+        F.raise_error(F.lit(f"a page has at most {MAX_LIMIT} rows"))).alias("geojson"))
 
 
 def popup_label(features: DataFrame) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import datetime
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flight_engine.files import delete, exists, folders
 from flight_engine.schema import PROCESSED_COLUMNS, PROCESSED_SCHEMA
+from flight_engine.session import scratch_path
 
 
 def normalize_record(df: DataFrame, value_col: str = "value", bool_case: str = "lower") -> DataFrame:
@@ -47,34 +52,95 @@ def with_partition_columns(df: DataFrame, ts: str = "timestamp") -> DataFrame:
               .withColumn("hr", F.hour(t)))
 
 
+TABLE_PARTITIONS = ("dt", "batch")
+
+
 def ensure_table(spark: SparkSession, path: str) -> None:
-    """Create the (empty) history table if absent; schema = PROCESSED + created_at."""
-    from pyspark.errors import AnalysisException
-    try:
-        spark.read.parquet(path).schema
+    """Create the empty history table if absent: PROCESSED + created_at, by day and batch.
+
+    One file without rows carries the schema, so the table is readable at once.
+    """
+    if any(f.startswith("dt=") for f in folders(spark, path)):
         return
-    except AnalysisException:
-        pass
-    empty = spark.createDataFrame([], PROCESSED_SCHEMA)
-    (with_partition_columns(empty.withColumn("created_at", F.current_timestamp()))
-     .write.mode("append").partitionBy("dt").parquet(path))
+    empty = spark.createDataFrame([], PROCESSED_SCHEMA).withColumn("created_at", F.current_timestamp())
+    empty.withColumn("hr", F.lit(None).cast("int")).coalesce(1).write.mode("append").parquet(f"{path}/dt=1970-01-01/batch=schema")
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int | None = None) -> None:
+def append_batch(df: DataFrame, path: str, batch_id: str | int | None = None) -> None:
     """Append one batch of processed states to the history table.
 
-    Rows are guarded, stamped with ``created_at`` and partitioned by day.
-    With a ``batch_id`` the write is idempotent: a replayed micro-batch
-    overwrites only its own ``batch`` partition instead of appending twice.
+    Rows are guarded, stamped with ``created_at`` and partitioned by day and batch,
+    in one layout for all writers. With a ``batch_id`` the write is idempotent: the
+    same id replaces only its own rows. Without one, the batch gets a new id.
     """
+    batch = f"batch-{uuid.uuid4().hex[:12]}" if batch_id is None else f"b{batch_id}"
     out = with_partition_columns(filter_sinkable(df).select(*PROCESSED_COLUMNS)
                                  .withColumn("created_at", F.current_timestamp()))
-    if batch_id is None:
-        out.write.mode("append").partitionBy("dt").parquet(path)
-        return
-    (out.withColumn("batch", F.lit(int(batch_id)))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt", "batch").parquet(path))
+    (out.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*TABLE_PARTITIONS).parquet(path))
+
+
+def table_days(spark: SparkSession, path: str) -> list[str]:
+    """Days that the table has folders of, oldest first (a listing, no file is opened)."""
+    return [f[3:] for f in folders(spark, path) if f.startswith("dt=") and f != "dt=1970-01-01"]
+
+
+def replace_days(spark: SparkSession, path: str, rows: DataFrame, days: list[str], name: str) -> None:
+    """Put ``rows`` in the place of whole days.
+
+    The rows are written first, under a new batch; the days' other batches go after.
+    """
+    batch = f"{name}-{uuid.uuid4().hex[:12]}"
+    (rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*TABLE_PARTITIONS).parquet(path))
+    for day in days:
+        for old in folders(spark, f"{path}/dt={day}"):
+            if old.startswith("batch=") and old != f"batch={batch}":
+                delete(spark, f"{path}/dt={day}/{old}")
+
+
+def compact_table(spark: SparkSession, path: str, max_batches: int = 24) -> list[str]:
+    """Rewrite days that more than ``max_batches`` batches were written to as one batch each."""
+    days = [d for d in table_days(spark, path) if len(folders(spark, f"{path}/dt={d}")) > max_batches]
+    if days:
+        rows = spark.read.parquet(path).where(F.col("dt").cast("string").isin(days)).drop("batch")
+        staging = scratch_path(spark, "compact")
+        rows.write.partitionBy("dt").parquet(staging)
+        replace_days(spark, path, spark.read.parquet(staging), days, "compact")
+        delete(spark, staging)
+    return days
+
+
+def retain_table(spark: SparkSession, path: str, days: int = 7, as_of: int | None = None) -> list[str]:
+    """Delete the rows older than ``days`` before ``as_of`` (default: newest timestamp) from the table.
+
+    Days before the cutoff go as folders; the day that the cutoff falls in is rewritten.
+    """
+    if as_of is None:
+        as_of = spark.read.parquet(path).select(F.max("timestamp")).first()[0]
+    if as_of is None:
+        return []
+    cutoff = as_of - days * 86400
+    edge = datetime.datetime.fromtimestamp(cutoff, datetime.timezone.utc).strftime("%Y-%m-%d")
+    old = [d for d in table_days(spark, path) if d < edge]
+    if edge in table_days(spark, path) and cutoff % 86400:
+        staging = scratch_path(spark, "retain")
+        (spark.read.parquet(path).where((F.col("dt").cast("string") == edge) & (F.col("timestamp") >= cutoff)).drop("batch")
+         .write.partitionBy("dt").parquet(staging))
+        kept = spark.read.schema(spark.read.parquet(path).drop("batch").schema).parquet(staging)
+        replace_days(spark, path, kept, [edge], "retain")
+        delete(spark, staging)
+    ensure_schema_file(spark, path)
+    for day in old:
+        delete(spark, f"{path}/dt={day}")
+    return old
+
+
+def ensure_schema_file(spark: SparkSession, path: str) -> None:
+    """The file without rows that keeps an emptied table readable."""
+    if not exists(spark, f"{path}/dt=1970-01-01/batch=schema"):
+        (spark.read.parquet(path).drop(*TABLE_PARTITIONS).limit(0).coalesce(1)
+         .write.mode("overwrite").parquet(f"{path}/dt=1970-01-01/batch=schema"))
 
 
 def retain_window(df: DataFrame, days: int = 7, as_of: int | None = None) -> DataFrame:
@@ -83,9 +149,11 @@ def retain_window(df: DataFrame, days: int = 7, as_of: int | None = None) -> Dat
     return df.where(F.col("timestamp") >= ref - F.lit(days * 86400))
 
 
-def reset_table(df: DataFrame) -> DataFrame:
-    """Empty table with the same schema (write it with mode overwrite)."""
-    return df.limit(0)
+def reset_table(spark: SparkSession, path: str) -> None:
+    """Delete every row of the table; it stays a readable, empty table."""
+    ensure_schema_file(spark, path)
+    for day in table_days(spark, path):
+        delete(spark, f"{path}/dt={day}")
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, driver: str | None = None,

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from flight_engine.functions.geo import (
     cell_center_lat, cell_center_lon, grid_cell, haversine_km, in_bbox,
 )
-from flight_engine.operators.joins import points_in_boxes
 from flight_engine.operators.sequence import DEFAULT_BUCKET_SECONDS, with_previous
 
 INEFFICIENT_RATIO = 1.15
@@ -28,13 +27,42 @@ def bbox_filter(history: DataFrame, min_lat: float, max_lat: float, min_lon: flo
     return history.where(in_bbox(min_lat, max_lat, min_lon, max_lon))
 
 
+AIRPORT_CELL_DEG = 10.0
+
+
+def nearest_candidates(airports: DataFrame, deg: float = AIRPORT_CELL_DEG) -> DataFrame:
+    """(cell, airports): every airport that is nearest to some point of the cell, as an array.
+
+    With c the cell's centre and r a bound of its radius, an airport further from c
+    than the nearest one plus 2 r cannot win anywhere in the cell. The work is
+    cells x airports, two dimensions that do not grow with the states.
+    """
+    ap = airports.select("airport_id", "airport_code", F.col("country").alias("airport_country"), "ap_lat", "ap_lon")
+    radius = 111.2 * deg * 0.7072
+    n = int(round(180 / deg)) * int(round(360 / deg))
+    cells = ap.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
+    far = cells.withColumn("d", haversine_km(cell_center_lat("cell", deg), cell_center_lon("cell", deg), "ap_lat", "ap_lon"))
+    least = far.groupBy("cell").agg(F.min("d").alias("least"))
+    return (far.join(least, "cell").where(F.col("d") <= F.col("least") + 2 * radius)
+            .groupBy("cell").agg(F.collect_list(F.struct(*ap.columns)).alias("near")))
+
+
 def with_airport(history: DataFrame, airports: DataFrame, how: str = "inner") -> DataFrame:
-    """Attach the airport whose bounding box contains each position."""
-    ap = airports.select("airport_id", "airport_code", F.col("country").alias("airport_country"),
-                         "ap_lat", "ap_lon", "min_lat", "max_lat", "min_lon", "max_lon")
-    return (points_in_boxes(history, ap, deg=10.0, how=how)
-            .withColumn("dist_km", haversine_km("latitude", "longitude", "ap_lat", "ap_lon"))
-            .drop("min_lat", "max_lat", "min_lon", "max_lon"))
+    """Attach the nearest airport to each position: exactly one row per positioned state.
+
+    An equi-join on the grid cell with at most one row per cell (a fixed number, so
+    it is broadcast), then the least distance within the row; ties go to the smaller
+    airport id. Rows without a position have no airport: dropped by ``inner``.
+    """
+    near = nearest_candidates(airports)
+    p = history.withColumn("_cell", grid_cell("latitude", "longitude", AIRPORT_CELL_DEG))
+    p = p.join(F.broadcast(near.withColumnRenamed("cell", "_cell")), "_cell", how)
+    best = F.array_min(F.transform("near", lambda a: F.struct(
+        F.round(haversine_km("latitude", "longitude", a["ap_lat"], a["ap_lon"]), 6).alias("km"), a["airport_id"].alias("id"), a.alias("a"))))
+    return (p.withColumn("_best", best)
+            .select(*history.columns, *[F.col(f"_best.a.{c}").alias(c) for c in
+                                        ("airport_id", "airport_code", "airport_country", "ap_lat", "ap_lon")])
+            .withColumn("dist_km", haversine_km("latitude", "longitude", "ap_lat", "ap_lon")))
 
 
 def airport_broadcast_join(history: DataFrame, airports: DataFrame) -> DataFrame:
@@ -43,15 +71,25 @@ def airport_broadcast_join(history: DataFrame, airports: DataFrame) -> DataFrame
         F.round("dist_km", 6).alias("dist_km"))
 
 
-def airport_ground(history: DataFrame, airports: DataFrame) -> DataFrame:
-    """On-ground aircraft per airport: fixes, first/last seen and dwell span."""
+VISIT_GAP_S = 3600
+
+
+def airport_ground(history: DataFrame, airports: DataFrame, gap_s: int = VISIT_GAP_S) -> DataFrame:
+    """Ground visits per airport and aircraft: visits, fixes, first/last seen and time on ground.
+
+    A visit is a run of ground fixes of one aircraft at one airport without a gap
+    over ``gap_s`` and without another airport between; dwell is the sum of the
+    visits' lengths, so absences do not count.
+    """
     ground = history.where(F.lower(F.col("on_ground")) == "true")
-    return (with_airport(ground, airports)
-            .groupBy("airport_id", "icao24")
-            .agg(F.count(F.lit(1)).alias("ground_fixes"),
-                 F.min("timestamp").alias("first_seen"),
-                 F.max("timestamp").alias("last_seen"))
-            .withColumn("dwell_s", F.col("last_seen") - F.col("first_seen")))
+    at = with_airport(ground, airports).select("airport_id", "icao24", "timestamp", "time_position")
+    d = with_previous(at, "icao24", "timestamp", ["timestamp", "airport_id"], n=1, tiebreak=("time_position",))
+    step = F.col("timestamp") - F.col("prev1_timestamp")
+    goes_on = F.coalesce((F.col("prev1_airport_id") == F.col("airport_id")) & (step <= gap_s), F.lit(False))
+    return (d.groupBy("airport_id", "icao24")
+            .agg(F.count(F.when(~goes_on, 1)).alias("visits"), F.count(F.lit(1)).alias("ground_fixes"),
+                 F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"),
+                 F.coalesce(F.sum(F.when(goes_on, step)), F.lit(0)).cast("bigint").alias("dwell_s")))
 
 
 def corridors(history: DataFrame, airports: DataFrame) -> DataFrame:
@@ -63,16 +101,13 @@ def corridors(history: DataFrame, airports: DataFrame) -> DataFrame:
                  F.countDistinct("icao24").alias("aircraft")))
 
 
-def od_matrix(rows_with_airport: DataFrame, countries: list[str] | None = None) -> DataFrame:
-    """Wide OD matrix: one column per airport-area country, states per origin.
+def od_matrix(rows_with_airport: DataFrame, countries: list[str]) -> DataFrame:
+    """Wide OD matrix: one column per listed airport country, states per origin.
 
-    Without an explicit ``countries`` list Spark discovers the pivot values
-    itself (a distinct over the column, capped by spark.sql.pivotMaxValues).
-    An absent origin/destination pair has zero states.
+    The list fixes the schema. An absent origin/destination pair has zero states.
     """
-    g = rows_with_airport.groupBy("origin_country")
-    g = g.pivot("airport_country", countries) if countries else g.pivot("airport_country")
-    return g.agg(F.count(F.lit(1))).na.fill(0)
+    return (rows_with_airport.groupBy("origin_country").pivot("airport_country", countries)
+            .agg(F.count(F.lit(1))).na.fill(0))
 
 
 def route_efficiency(history: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flight_engine.functions.columns import is_on_ground
 from flight_engine.operators.anomalies import MAX_KMH, quality_flag_col
 from flight_engine.operators.sequence import DEFAULT_BUCKET_SECONDS, with_previous
+from flight_engine.functions.geo import grid_cell
 from flight_engine.operators.spatial import with_airport
 
 # Hour-of-day buckets of dim_time.
@@ -84,8 +85,10 @@ def fact_flights(history: DataFrame, airports: DataFrame) -> DataFrame:
         flight_sk().alias("flight_sk"),
         F.date_format(_ts(), "yyyyMMdd").cast("int").alias("date_key"),
         F.hour(_ts()).alias("hour"),
-        "icao24", "timestamp", "time_position", "origin_country", "airport_id",
-        F.round("velocity_kmh", 6).alias("velocity_kmh"), "baro_altitude", "status",
+        "icao24", "callsign", "timestamp", "time_position", "origin_country",
+        "longitude", "latitude", grid_cell().alias("cell"), "airport_id",
+        F.round("velocity_kmh", 6).alias("velocity_kmh"), "baro_altitude", "vertical_rate",
+        is_on_ground().alias("on_ground"), "status",
         quality_flag_col().alias("quality_flag"))
 
 
@@ -127,10 +130,10 @@ def agg_daily_airport_stats(history: DataFrame, airports: DataFrame,
 
 
 def agg_delay_patterns(schedule: DataFrame, keys=("carrier",)) -> DataFrame:
-    """By carrier and scheduled month: legs, average delay (days), delayed share."""
+    """By carrier, ISO day of week and hour of the schedule: legs, average delay (days), delayed share."""
     delay = F.col("actual") - F.col("scheduled")
-    month = F.date_format(_ts("scheduled"), "yyyy-MM")
-    return (schedule.groupBy(*keys, month.alias("month"))
+    t = _ts("scheduled")
+    return (schedule.groupBy(*keys, (F.weekday(t) + 1).cast("int").alias("iso_dow"), F.hour(t).alias("hour"))
             .agg(F.count(F.lit(1)).alias("legs"),
                  F.round(F.avg(delay / 86400.0), 6).alias("avg_delay_days"),
                  F.round(F.avg(F.when(delay > DELAYED_AFTER_S, 1.0).otherwise(0.0)), 6)
@@ -207,18 +210,22 @@ def expectations(states: DataFrame, nation_names: DataFrame, as_of: int | None =
 
 def merge_corrections(base: DataFrame, corrections: DataFrame,
                       keys=("icao24", "timestamp"), order=("last_contact",)) -> DataFrame:
-    """MERGE: for each key keep the row with the newest ``last_contact``.
+    """MERGE: a corrected key keeps its newest row by ``last_contact``; other rows stay as they are.
 
-    Union + ``max_by`` aggregate (partial on the map side).  Written back per
-    day partition with dynamic partition overwrite, only touched days change.
+    Rows of keys that no correction has (also several of one key, the evidence of
+    duplicated transponders) are not touched. The newest row per corrected key is a
+    ``max_by`` aggregate, partial on the map side.
     """
-    u = base.unionByName(corrections)
+    keys = list(keys)
+    hit = corrections.select(*keys).distinct()
+    untouched = base.join(hit, keys, "left_anti").select(*base.columns)
+    u = base.join(hit, keys, "left_semi").select(*base.columns).unionByName(corrections.select(*base.columns))
     cols = [c for c in u.columns if c not in keys]
     best = F.max_by(F.struct(*[F.col(c) for c in cols]),
                     F.struct(*[F.col(c) for c in order], F.col("time_position")))
-    return (u.groupBy(*keys).agg(best.alias("r"))
-            .select(*keys, *[F.col(f"r.{c}").alias(c) for c in cols])
-            .select(*base.columns))
+    newest = (u.groupBy(*keys).agg(best.alias("r"))
+              .select(*keys, *[F.col(f"r.{c}").alias(c) for c in cols]).select(*base.columns))
+    return untouched.unionByName(newest)
 
 
 def partition_freshness(history: DataFrame) -> DataFrame:
@@ -240,6 +247,11 @@ def trajectory_window(history: DataFrame, minutes: int = 5) -> DataFrame:
     one = (history.groupBy("icao24", "timestamp")
            .agg(F.max_by(F.struct("longitude", "latitude"), F.col("time_position")).alias("p"))
            .select("icao24", "timestamp", "p.longitude", "p.latitude"))
+    return tracks(one, minutes)
+
+
+def tracks(one: DataFrame, minutes: int = 5) -> DataFrame:
+    """Ordered track per aircraft and window from one fix per aircraft and second."""
     win = F.window(_ts(), f"{minutes} minutes")
     pts = F.sort_array(F.collect_list(F.struct("timestamp", "longitude", "latitude")))
     g = (one.groupBy("icao24", win.alias("w")).agg(pts.alias("pts"))
@@ -269,44 +281,46 @@ def hourly_aircraft(history: DataFrame) -> DataFrame:
 
 def merge_into_partitioned(spark, table_path: str, corrections: DataFrame, staging_path: str,
                            keys=("icao24", "timestamp"), order=("last_contact",)) -> None:
-    """MERGE late corrections into a day-partitioned Parquet table.
+    """MERGE late corrections into the history table.
 
     Only the days the corrections touch are read (partition pruning), merged
     with ``merge_corrections`` and written to a staging folder in the shared
-    checkpoint root (this cuts the lineage: a path cannot be overwritten
-    while it is being read).  The staged days then replace their partitions
-    through dynamic partition overwrite; untouched days are not rewritten.
+    checkpoint root (this cuts the lineage: a path cannot be overwritten while it is
+    being read). The staged days then replace the table's.
     """
-    from flight_engine.operators.sink import with_partition_columns
+    from flight_engine.operators.sink import replace_days, with_partition_columns
     corr = with_partition_columns(corrections)
-    days = corr.select("dt").distinct()
+    days = [r[0] for r in corr.select("dt").distinct().collect()]  # one value a corrected day
     base = spark.read.parquet(table_path)
-    # semi-join on the (few) touched days; the planner broadcasts the day list by size
-    touched = base.join(days, "dt", "left_semi")
-    cols = [c for c in base.columns if c not in ("dt",)]
+    touched = base.where(F.col("dt").cast("string").isin(days))
+    cols = [c for c in base.columns if c not in ("dt", "batch")]
     merged = merge_corrections(touched.select(*cols), corr.select(*cols), keys, order)
     (merged.withColumn("dt", F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd"))
      .write.mode("overwrite").partitionBy("dt").parquet(staging_path))
-    (spark.read.parquet(staging_path).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(table_path))
+    replace_days(spark, table_path, spark.read.parquet(staging_path), days, "merge")
 
 
 def drop_expired_partitions(spark, table: str, as_of: int, days: int) -> list[str]:
-    """Retention for a catalog table partitioned by year/month/day/hour.
+    """Retention for a catalog table partitioned by year/month/day/hour; files go too.
 
-    Lists the table's partitions (metadata: one entry per hour of data),
-    drops those that end before ``as_of - days``.  Managed tables delete the
-    files with the partition.
+    Lists the table's partitions (metadata: one entry per hour of data), drops those
+    that end before ``as_of - days`` in one statement, and deletes their folders
+    (an external table keeps them otherwise).
     """
     import datetime as _dt
+    from flight_engine.files import delete
     cutoff = _dt.datetime.fromtimestamp(as_of - days * 86400, _dt.timezone.utc)
-    dropped = []
+    dropped, specs = [], []
     for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
         spec = dict(kv.split("=", 1) for kv in row[0].split("/"))
         end = _dt.datetime(int(spec["year"]), int(spec["month"]), int(spec["day"]),
                            int(spec["hour"]), tzinfo=_dt.timezone.utc) + _dt.timedelta(hours=1)
         if end <= cutoff:
-            parts = ", ".join(f"{k}={int(v)}" for k, v in spec.items())
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({parts})")
+            specs.append("PARTITION (" + ", ".join(f"{k}={int(v)}" for k, v in spec.items()) + ")")
             dropped.append(row[0])
+    location = next(r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r[0] == "Location")
+    for i in range(0, len(specs), 500):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs[i:i + 500])}")
+    for spec in dropped:
+        delete(spark, f"{location}/{spec}")
     return dropped

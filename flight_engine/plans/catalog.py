@@ -183,12 +183,14 @@ def q_recent_flights(spark, sf):
 
 
 def q_parse_limit(spark, sf):
-    h = history(spark, sf)
-    parts = [sv.recent_flights(h, arg).withColumn("limit_arg", F.lit(arg)) for arg, _ in LIMIT_CASES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # the largest page once; every other page is a beginning of it
+    page_ = sv.recent_flights(history(spark, sf), str(sv.MAX_LIMIT))
+    ranked = (page_.select(F.monotonically_increasing_id().alias("i"), F.struct("*").alias("r"))
+              .agg(F.sort_array(F.collect_list(F.struct("i", "r"))).alias("rows")))
+    cases = F.array(*[F.struct(F.lit(arg).alias("limit_arg"), F.lit(sv.parse_limit(arg)).alias("n")) for arg, _ in LIMIT_CASES])
+    each = ranked.select("rows", F.explode(cases).alias("c"))
+    return (each.select("c.limit_arg", F.explode(F.slice("rows", F.lit(1), F.col("c.n"))).alias("e"))
+            .select("e.r.*", "limit_arg"))
 
 
 def q_peek_rows(spark, sf):
@@ -274,22 +276,33 @@ def q_ensure_table(spark, sf):
     path = scratch_path(spark, "ensured")
     sk.ensure_table(spark, path)
     sk.ensure_table(spark, path)  # idempotent
+    empty = spark.read.parquet(path).count()
     sk.append_batch(history(spark, sf), path)
     t = spark.read.parquet(path)
-    return t.agg(F.count(F.lit(1)).alias("row_count"),
+    return t.agg(F.lit(empty).cast("bigint").alias("rows_before"), F.count(F.lit(1)).alias("row_count"),
                  F.count(F.when(F.col("icao24").isNull(), 1)).alias("null_icao24"),
                  F.count(F.when(F.col("timestamp").isNull(), 1)).alias("null_timestamp"))
 
 
 def q_retain_window(spark, sf):
-    return sk.retain_window(history(spark, sf), days=7)
+    path = scratch_path(spark, "retained")
+    sk.append_batch(history(spark, sf), path)
+    sk.retain_table(spark, path, days=7)
+    return spark.read.parquet(path).select(*PROCESSED_COLUMNS)
 
 
 def q_reset_table(spark, sf):
+    """Rows of the same table before, after the reset, and after the next append."""
     path = scratch_path(spark, "reset")
-    sk.append_batch(history(spark, sf), path)
-    sk.reset_table(spark.read.parquet(path)).write.mode("overwrite").parquet(path + "-empty")
-    return spark.read.parquet(path + "-empty").select(*PROCESSED_COLUMNS)
+    h = history(spark, sf)
+    sk.append_batch(h, path)
+    before = spark.read.parquet(path).count()
+    sk.reset_table(spark, path)
+    after = spark.read.parquet(path).count()
+    sk.append_batch(h.where("timestamp % 2 = 0"), path)
+    return spark.read.parquet(path).agg(
+        F.lit(before).cast("bigint").alias("rows_before"), F.lit(after).cast("bigint").alias("rows_reset"),
+        F.count(F.lit(1)).alias("rows_appended"))
 
 
 # ---- specified analytics -------------------------------------------------
@@ -309,7 +322,7 @@ def q_dedup_states(spark, sf):
 
 
 def q_congestion(spark, sf):
-    return an.congestion(history(spark, sf, FAST))
+    return an.congestion(history(spark, sf, FAST), deg=30.0)
 
 
 def q_ghost_null_callsign(spark, sf):
@@ -345,7 +358,7 @@ def q_velocity_outliers(spark, sf):
 
 
 def q_quality_score(spark, sf):
-    return an.quality_score(history(spark, sf))
+    return an.quality_score(history(spark, sf), deg=10.0)
 
 
 def q_airport_ground(spark, sf):
@@ -353,7 +366,7 @@ def q_airport_ground(spark, sf):
 
 
 def q_coverage_gaps(spark, sf):
-    return an.coverage_gaps(history(spark, sf))
+    return an.coverage_gaps(history(spark, sf), deg=10.0)
 
 
 def q_latest_state(spark, sf):
@@ -504,7 +517,7 @@ def q_dedup_stream(spark, sf):
 
 
 def q_congestion_stream(spark, sf):
-    return st.congestion_stream(spark, history(spark, sf, FAST))
+    return st.congestion_stream(spark, history(spark, sf, FAST), deg=30.0)
 
 
 def q_trajectory_stream(spark, sf):
@@ -513,17 +526,14 @@ def q_trajectory_stream(spark, sf):
 
 # ---- added: series, pivots, stream metrics, table maintenance ------------------
 
-DERBY_URL = "jdbc:derby:memory:flight_engine;create=true"
-DERBY_DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
-
-
 def q_hourly_aircraft(spark, sf):
     return wh.hourly_aircraft(history(spark, sf))
 
 
 def q_corridors_od_matrix(spark, sf):
-    """Wide OD matrix; pivot values are discovered by Spark (bounded by pivotMaxValues)."""
-    return sp.od_matrix(_corridor_rows(spark, sf))
+    """Wide OD matrix over the countries of the nation table."""
+    countries = [r[0] for r in td.table(spark, sf, "nation").select("n_name").distinct().orderBy("n_name").collect()]
+    return sp.od_matrix(_corridor_rows(spark, sf), countries)
 
 
 def q_pipeline_counters_stream(spark, sf):
@@ -561,16 +571,8 @@ def q_merge_corrections_table(spark, sf):
     return spark.read.parquet(path).select(*PROCESSED_COLUMNS)
 
 
-def q_sink_jdbc_table(spark, sf):
-    """History appended through JDBC (embedded in-process Derby here) and read back."""
-    import uuid
-    table = f"FLIGHTS_{uuid.uuid4().hex[:8].upper()}"
-    sk.append_jdbc(history(spark, sf), DERBY_URL, table, DERBY_DRIVER, max_connections=4)
-    return sk.read_jdbc(spark, DERBY_URL, table, DERBY_DRIVER).select(*PROCESSED_COLUMNS)
-
-
-def q_archive_retention(spark, sf, retention_days=90):
-    """Hourly archive as a catalog table; partitions older than the retention are dropped."""
+def q_archive_retention(spark, sf, retention_days=10):
+    """Hourly archive as a catalog table; partitions older than the retention go, files too."""
     import uuid
     name = f"archive_{uuid.uuid4().hex[:8]}"
     h = history(spark, sf)
@@ -608,7 +610,11 @@ def q_request_duration_p95(spark, sf):
 
 
 def q_ingest_counters(spark, sf):
-    return snap.ingest_counters(_docs(spark, sf))
+    """Counters over the snapshots, polls without states, and polls that failed."""
+    times = states(spark, sf).select("timestamp").distinct()
+    idle = times.where("timestamp % 10 = 0").select(F.format_string('{"time":%d,"states":null}', -F.col("timestamp")).alias("value"))
+    failed = times.where("timestamp % 10 = 1").select(F.lit("").alias("value"))
+    return snap.ingest_counters(_docs(spark, sf).union(idle).union(failed))
 
 
 QUERIES: dict[str, Query] = {

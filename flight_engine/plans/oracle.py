@@ -13,6 +13,8 @@ from flight_engine.operators.metrics import DB_DURATION_BOUNDS, PAGE_SIZE_BOUNDS
 from flight_engine.operators.spatial import AIRLINES
 
 EP = "CAST(floor(epoch(ts)) AS BIGINT)"
+# Names of the nation table, columns of the wide OD matrix.
+COUNTRIES = [f"NATION_{i}" for i in range(25)]
 
 
 def _states(k: int) -> str:
@@ -94,8 +96,12 @@ BASE = [
   value / 1000.0E0 AS duration_s FROM events)""",
     """ap AS (SELECT CAST(n_nationkey AS BIGINT) AS airport_id, 'AP' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS airport_code,
   n_name AS country, CAST(n_nationkey * 7 - 84 AS DOUBLE) AS ap_lat, CAST(n_nationkey * 14 - 168 AS DOUBLE) AS ap_lon FROM nation)""",
-    """withap AS (SELECT h.*, ap.airport_id, ap.airport_code, ap.country AS airport_country, ap.ap_lat, ap.ap_lon FROM hist h JOIN ap
-  ON h.latitude BETWEEN ap.ap_lat - 5.0E0 AND ap.ap_lat + 5.0E0 AND h.longitude BETWEEN ap.ap_lon - 5.0E0 AND ap.ap_lon + 5.0E0)""",
+    # every positioned state with its nearest airport, by brute force over all airports
+    f"""withap AS (SELECT * EXCLUDE (rid, km) FROM (
+  SELECT h.*, ap.airport_id, ap.airport_code, ap.country AS airport_country, ap.ap_lat, ap.ap_lon,
+    round({hav('h.latitude', 'h.longitude', 'ap.ap_lat', 'ap.ap_lon')}, 6) AS km
+  FROM (SELECT *, row_number() OVER () AS rid FROM hist) h CROSS JOIN ap)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY km, airport_id) = 1)""",
     f"jumps AS ({_jumps('hist')})",
     f"""descents AS (SELECT icao24, t2 AS start_timestamp, timestamp, longitude, latitude, vertical_rate FROM (
   SELECT *, lag(dsc, 1) OVER w AS d1, lag(dsc, 2) OVER w AS d2, lag(dsc, 3) OVER w AS d3, lag(timestamp, 2) OVER w AS t2
@@ -216,12 +222,10 @@ def _daily_airport() -> str:
   count(*) FILTER (WHERE pg AND NOT g) AS departures, count(*) FILTER (WHERE NOT pg AND g) AS arrivals,
   count(*) FILTER (WHERE g) AS ground_fixes, count(*) AS fixes, count(DISTINCT icao24) AS aircraft,
   round(avg(CASE WHEN flag = 'OK' THEN 1.0E0 ELSE 0.0E0 END), 6) AS quality_ok
-  FROM gg JOIN ap ON gg.latitude BETWEEN ap.ap_lat - 5.0E0 AND ap.ap_lat + 5.0E0
-   AND gg.longitude BETWEEN ap.ap_lon - 5.0E0 AND ap.ap_lon + 5.0E0
-  GROUP BY 1, 2""",
+  FROM gg GROUP BY 1, 2""",
         f"""gg AS (SELECT *, lower(on_ground) = 'true' AS g,
   lag(lower(on_ground) = 'true') OVER (PARTITION BY icao24 ORDER BY timestamp, time_position) AS pg,
-  {qflag()} AS flag FROM hist)""")
+  {qflag()} AS flag FROM withap)""")
 
 
 def _scd2() -> str:
@@ -237,8 +241,8 @@ _DAY_PART = ("CASE WHEN hour BETWEEN 0 AND 5 THEN 'night' WHEN hour BETWEEN 6 AN
              "WHEN hour BETWEEN 12 AND 17 THEN 'afternoon' WHEN hour BETWEEN 18 AND 23 THEN 'evening' END")
 
 _MERGE = with_base(
-    "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY icao24, timestamp ORDER BY last_contact DESC, time_position DESC) AS rn FROM u) WHERE rn = 1",
-    """u AS (SELECT * FROM hist UNION ALL SELECT icao24, callsign, origin_country, time_position, last_contact + 2, longitude, latitude,
+    "SELECT * FROM hist WHERE timestamp % 13 <> 0 UNION ALL SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY icao24, timestamp ORDER BY last_contact DESC, time_position DESC) AS rn FROM u) WHERE rn = 1",
+    """u AS (SELECT * FROM hist WHERE timestamp % 13 = 0 UNION ALL SELECT icao24, callsign, origin_country, time_position, last_contact + 2, longitude, latitude,
   baro_altitude, on_ground, velocity * 1.1E0, true_track, vertical_rate, timestamp, velocity * 1.1E0 * 3.6E0, status FROM hist WHERE timestamp % 13 = 0)""")
 
 _DEDUP = with_base(
@@ -317,9 +321,9 @@ ORACLE: dict[str, str] = {
     "publish_raw": with_base(f"SELECT {FCOLS} FROM fs WHERE last_contact % 41 <> 0"),
     "stream_write_processed": with_base("SELECT icao24 AS key, * FROM hist"),
     "sink_append_table": with_base(f"SELECT *, velocity * 3.6E0 AS velocity_kmh, {STATUS} AS status FROM dirty WHERE {HAS_POS} AND {SINKABLE}"),
-    "ensure_table": with_base("SELECT count(*) AS row_count, count(*) FILTER (WHERE icao24 IS NULL) AS null_icao24, count(*) FILTER (WHERE timestamp IS NULL) AS null_timestamp FROM hist"),
+    "ensure_table": with_base("SELECT CAST(0 AS BIGINT) AS rows_before, count(*) AS row_count, count(*) FILTER (WHERE icao24 IS NULL) AS null_icao24, count(*) FILTER (WHERE timestamp IS NULL) AS null_timestamp FROM hist"),
     "retain_window": with_base("SELECT * FROM hist WHERE timestamp >= (SELECT max(timestamp) FROM hist) - 604800"),
-    "reset_table": with_base("SELECT * FROM hist WHERE false"),
+    "reset_table": with_base("SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_reset, count(*) FILTER (WHERE timestamp % 2 = 0) AS rows_appended FROM hist"),
     # specified analytics
     "grid_cell": with_base(f"SELECT icao24, timestamp, time_position, {cell(0.5)} AS cell FROM hist"),
     "quality_flag": with_base(f"SELECT icao24, timestamp, time_position, {qflag()} AS quality_flag FROM fs"),
@@ -336,7 +340,12 @@ ORACLE: dict[str, str] = {
     "corridors": with_base("SELECT timestamp - timestamp % 3600 AS hour_start, origin_country, airport_country, count(*) AS states, count(DISTINCT icao24) AS aircraft FROM withap GROUP BY 1, 2, 3"),
     "velocity_outliers": with_base("SELECT icao24, timestamp, time_position, longitude, latitude, velocity_kmh FROM hist WHERE velocity_kmh > 1100.0E0 OR velocity_kmh < 0"),
     "quality_score": with_base(f"SELECT {cell(10.0)} AS cell, count(*) AS n, round(avg(CASE WHEN {qflag('velocity * 3.6E0')} = 'OK' THEN 1.0E0 ELSE 0.0E0 END), 6) AS quality_score FROM hist GROUP BY 1"),
-    "airport_ground": with_base("SELECT airport_id, icao24, count(*) AS ground_fixes, min(timestamp) AS first_seen, max(timestamp) AS last_seen, max(timestamp) - min(timestamp) AS dwell_s FROM withap WHERE lower(on_ground) = 'true' GROUP BY 1, 2"),
+    "airport_ground": with_base(f"""SELECT airport_id, icao24, count(*) FILTER (WHERE NOT goes_on) AS visits, count(*) AS ground_fixes,
+  min(timestamp) AS first_seen, max(timestamp) AS last_seen,
+  CAST(coalesce(sum(timestamp - pt) FILTER (WHERE goes_on), 0) AS BIGINT) AS dwell_s
+  FROM (SELECT *, coalesce(pa = airport_id AND timestamp - pt <= 3600, false) AS goes_on FROM (
+    SELECT *, lag(airport_id) OVER w AS pa, lag(timestamp) OVER w AS pt FROM withap WHERE lower(on_ground) = 'true'
+    WINDOW w AS ({ORDER_ACFT}))) GROUP BY 1, 2"""),
     "coverage_gaps": with_base(f"SELECT cell, last_seen, silence_s FROM (SELECT cell, last_seen, (SELECT max(last_contact) FROM hist) - last_seen AS silence_s FROM (SELECT {cell(10.0)} AS cell, max(last_contact) AS last_seen FROM hist GROUP BY 1)) WHERE silence_s > 60"),
     "latest_state": _LATEST,
     "latest_state_stream": _LATEST,
@@ -355,19 +364,19 @@ ORACLE: dict[str, str] = {
     "dim_airlines": with_base("SELECT substr(trim(callsign), 1, 3) AS airline_code, count(DISTINCT icao24) AS aircraft, min(timestamp) AS first_seen, max(timestamp) AS last_seen FROM hist WHERE callsign IS NOT NULL GROUP BY 1"),
     "fact_flights": with_base(f"""SELECT md5(concat_ws('-', icao24, CAST(timestamp AS VARCHAR))) AS flight_sk,
   CAST(strftime({ts()}, '%Y%m%d') AS INTEGER) AS date_key, CAST(hour({ts()}) AS INTEGER) AS hour,
-  icao24, timestamp, time_position, origin_country, airport_id, round(velocity_kmh, 6) AS velocity_kmh, baro_altitude, status,
-  {qflag()} AS quality_flag
-  FROM hist LEFT JOIN ap ON hist.latitude BETWEEN ap.ap_lat - 5.0E0 AND ap.ap_lat + 5.0E0 AND hist.longitude BETWEEN ap.ap_lon - 5.0E0 AND ap.ap_lon + 5.0E0"""),
+  icao24, callsign, timestamp, time_position, origin_country, longitude, latitude, {cell(0.5)} AS cell, airport_id,
+  round(velocity_kmh, 6) AS velocity_kmh, baro_altitude, vertical_rate, lower(on_ground) = 'true' AS on_ground, status,
+  {qflag()} AS quality_flag FROM withap"""),
     "agg_hourly_routes": with_base("""SELECT timestamp - timestamp % 3600 AS hour_start, origin_country, count(*) AS states,
   round(avg(velocity_kmh), 6) AS avg_velocity_kmh, round(avg(baro_altitude), 6) AS avg_altitude,
   round(avg(CASE WHEN lower(on_ground) = 'true' THEN 1.0E0 ELSE 0.0E0 END) * 100, 6) AS pct_on_ground,
   count(*) FILTER (WHERE velocity_kmh > 1100.0E0 OR velocity_kmh < 0 OR callsign IS NULL) AS alert_count
   FROM hist GROUP BY 1, 2"""),
     "agg_daily_airport_stats": _daily_airport(),
-    "agg_delay_patterns": """SELECT o_orderpriority AS carrier, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS legs,
+    "agg_delay_patterns": """SELECT o_orderpriority AS carrier, CAST(isodow(o_orderdate) AS INTEGER) AS iso_dow, CAST(hour(o_orderdate) AS INTEGER) AS hour, count(*) AS legs,
   round(avg((CAST(floor(epoch(l_shipdate)) AS BIGINT) - CAST(floor(epoch(o_orderdate)) AS BIGINT)) / 86400.0E0), 6) AS avg_delay_days,
   round(avg(CASE WHEN CAST(floor(epoch(l_shipdate)) AS BIGINT) - CAST(floor(epoch(o_orderdate)) AS BIGINT) > 5184000 THEN 1.0E0 ELSE 0.0E0 END), 6) AS delayed_rate
-  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2""",
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2, 3""",
     "busiest_routes": with_base("""SELECT window_days, origin_country, airport_country, states, CAST(rnk AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY window_days ORDER BY states DESC, origin_country, airport_country) AS rnk FROM (
   SELECT w.window_days, origin_country, airport_country, count(*) AS states FROM withap CROSS JOIN (VALUES (30), (90), (365)) w(window_days)
@@ -391,15 +400,21 @@ ORACLE: dict[str, str] = {
 
 ORACLE.update({
     "hourly_aircraft": with_base("SELECT timestamp - timestamp % 3600 AS hour_start, count(DISTINCT icao24) AS aircraft, count(*) AS states FROM hist GROUP BY 1"),
-    "corridors_od_matrix": with_base("PIVOT (SELECT origin_country, airport_country FROM withap) ON airport_country USING count(*) GROUP BY origin_country"),
+    "corridors_od_matrix": with_base("SELECT origin_country, " + ", ".join(
+        f"count(*) FILTER (WHERE airport_country = '{c}') AS \"{c}\"" for c in COUNTRIES) + " FROM withap GROUP BY origin_country"),
     "pipeline_counters_stream": with_base(f"SELECT count(*) AS consumed, count(*) FILTER (WHERE {SINKABLE}) AS success, count(*) FILTER (WHERE NOT coalesce({SINKABLE}, false)) AS skipped FROM dirty WHERE {HAS_POS}"),
     "stream_progress": with_base("SELECT count(*) AS input_rows FROM fs"),
     "merge_corrections_table": _MERGE,
-    "sink_jdbc_table": with_base("SELECT * FROM hist"),
-    "archive_retention": ORACLE["archive_hourly"],
+    "trajectory_stream": ORACLE["trajectory_window"],
+    "archive_retention": with_base(f"""SELECT CAST(year({ts()}) AS INTEGER) AS year, CAST(month({ts()}) AS INTEGER) AS month,
+  CAST(day({ts()}) AS INTEGER) AS day, CAST(hour({ts()}) AS INTEGER) AS hour, count(*) AS states
+  FROM hist WHERE timestamp - timestamp % 3600 + 3600 > (SELECT max(timestamp) FROM hist) - 864000 GROUP BY 1, 2, 3, 4"""),
     "recent_flights_table": ORACLE["recent_flights"],
     "latest_state_ttl_stream": _LATEST,
-    "ingest_counters": with_base("SELECT count(DISTINCT timestamp) AS polls_total, count(*) FILTER (WHERE last_contact % 41 <> 0) AS flights_sent_total, count(*) FILTER (WHERE last_contact % 41 = 0) AS errors_malformed FROM fs"),
+    "ingest_counters": with_base("""SELECT (SELECT count(DISTINCT timestamp) + count(DISTINCT timestamp) FILTER (WHERE timestamp % 10 < 2) FROM fs) AS polls_total,
+  count(*) FILTER (WHERE last_contact % 41 <> 0) AS flights_sent_total,
+  (SELECT count(DISTINCT timestamp) FILTER (WHERE timestamp % 10 = 1) FROM fs) AS errors_fetch,
+  count(*) FILTER (WHERE last_contact % 41 = 0) AS errors_malformed FROM fs"""),
     "histogram_request_duration": with_base("SELECT label AS path, le, bucket_count FROM hb",
                                             _hist_buckets(DB_DURATION_BOUNDS, "req", "duration_s", "path")),
     "request_duration_p95": _quantile(_hist_buckets(DB_DURATION_BOUNDS, "req", "duration_s", "path"), "path"),

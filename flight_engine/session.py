@@ -8,6 +8,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Initial shuffle partitions off local mode; AQE coalesces them to the advisory size.
+CLUSTER_PARTITIONS = 2000
 
 
 def get_spark(app: str = "flight_engine", master: str | None = None,
@@ -21,7 +23,10 @@ def get_spark(app: str = "flight_engine", master: str | None = None,
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    parts = shuffle_partitions or int(os.environ.get("FE_SHUFFLE_PARTITIONS", "8"))
+    # a small fixed number only on one machine; a cluster starts high and lets AQE merge
+    parts = shuffle_partitions or int(os.environ.get("FE_SHUFFLE_PARTITIONS", "0"))
+    if not parts and (master or "").startswith("local"):
+        parts = 8
     # split size of file scans and the size AQE aims for after a shuffle; on a
     # cluster set FE_SHUFFLE_PARTITIONS ~ shuffled bytes / advisory size
     split = os.environ.get("FE_MAX_PARTITION_BYTES", str(128 * 1024 * 1024))
@@ -29,7 +34,7 @@ def get_spark(app: str = "flight_engine", master: str | None = None,
     b = (b.config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(parts))
+         .config("spark.sql.shuffle.partitions", str(parts or CLUSTER_PARTITIONS))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -46,6 +51,10 @@ def get_spark(app: str = "flight_engine", master: str | None = None,
     return spark
 
 
+#: Folders made for local sessions whose setting is unset, by application.
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
@@ -54,14 +63,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
-            raise RuntimeError(
-                f"{CHECKPOINT_CONF} is not set: on a cluster checkpoints, staging folders and "
-                "stream sinks must live in a shared folder; set it to one.")
-        root = tempfile.mkdtemp(prefix="fe-ckpt-")  # single machine: local is shared
-        spark.conf.set(CHECKPOINT_CONF, root)
-    spark.sparkContext.setCheckpointDir(root)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_ROOTS:
+            if not (spark.sparkContext.master or "").startswith("local"):
+                raise RuntimeError(
+                    f"{CHECKPOINT_CONF} is not set: on a cluster checkpoints, staging folders and "
+                    "stream sinks must live in a shared folder; set it to one.")
+            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="fe-ckpt-")  # single machine: local is shared
+        root = _OWN_ROOTS[app]
     return root.rstrip("/")
 
 

@@ -12,20 +12,31 @@ from pyspark.sql import functions as F
 
 from flight_engine.schema import RAW_COLUMNS, RAW_CELL_TYPES
 
-SNAPSHOT_SCHEMA = "time BIGINT, states ARRAY<ARRAY<STRING>>"
+SNAPSHOT_SCHEMA = "time BIGINT, states ARRAY<STRING>"
 N_CELLS = len(RAW_COLUMNS)
 
 
 def _parse(docs: DataFrame, value_col: str) -> DataFrame:
+    """One parse per document: its time and the JSON text of each state.
+
+    A null time is kept (the key is there), an absent one is not; only documents
+    without a time value are searched for the key.
+    """
     v = F.col(value_col).cast("string")
-    return docs.select(F.from_json(v, SNAPSHOT_SCHEMA).alias("d"),
-                       F.array_contains(F.json_object_keys(v), "time").alias("has_time"))
+    return (docs.select(v.alias("v"), F.from_json(v, SNAPSHOT_SCHEMA).alias("d"))
+            .select("d", (F.col("d.time").isNotNull() | F.col("v").rlike(r'"time"\s*:')).alias("has_time")))
 
 
 def explode_states(docs: DataFrame, value_col: str = "value") -> DataFrame:
-    """(time, state) per state; documents without a ``time`` key yield nothing."""
+    """(time, state cells) per element; documents without a ``time`` key yield nothing.
+
+    Each element is parsed on its own, so one that is no array (a number, text, an
+    object, null) is a state without cells and leaves its neighbours alone.
+    """
+    cells = F.when(F.ltrim("s").startswith("["), F.from_json("s", "ARRAY<STRING>"))
     return (_parse(docs, value_col).where(F.col("has_time"))
-            .select(F.col("d.time").alias("timestamp"), F.explode("d.states").alias("st")))
+            .select(F.col("d.time").alias("timestamp"), F.explode("d.states").alias("s"))
+            .select("timestamp", cells.alias("st")))
 
 
 def state_is_complete():
@@ -62,13 +73,19 @@ def malformed_counts(docs: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def ingest_counters(docs: DataFrame, value_col: str = "value") -> DataFrame:
-    """Ingest-side counters in one pass: polls (distinct snapshot times), states
-    published, and errors by type (malformed state vectors)."""
-    st = explode_states(docs, value_col)
-    ok = state_is_complete()
-    return st.agg(F.countDistinct("timestamp").alias("polls_total"),
-                  F.count(F.when(ok, 1)).alias("flights_sent_total"),
-                  F.count(F.when(~ok, 1)).alias("errors_malformed"))
+    """Ingest-side counters: polls (snapshot times, empty ones too, and failed fetches), states
+    published, fetch errors (documents without content) and malformed state vectors."""
+    v = F.col(value_col).cast("string")
+    d = docs.select(v.alias("v"), F.from_json(v, SNAPSHOT_SCHEMA).alias("d"))
+    states = F.when(F.col("d.time").isNotNull() | F.col("v").rlike(r'"time"\s*:'), F.col("d.states"))
+    kinds = F.transform(F.coalesce(states, F.array().cast("array<string>")), lambda s: F.coalesce(
+        F.when(F.ltrim(s).startswith("["), F.size(F.from_json(s, "ARRAY<STRING>")) >= N_CELLS), F.lit(False)))
+    empty = F.coalesce(F.trim("v"), F.lit("")).isin("", "null", "{}")
+    return (d.select("d.time", kinds.alias("ok"), empty.alias("empty"))
+            .agg((F.countDistinct("time") + F.count(F.when(F.col("time").isNull(), 1))).alias("polls_total"),
+                 F.coalesce(F.sum(F.size(F.filter("ok", lambda x: x))), F.lit(0)).cast("bigint").alias("flights_sent_total"),
+                 F.count(F.when(F.col("empty"), 1)).alias("errors_fetch"),
+                 F.coalesce(F.sum(F.size(F.filter("ok", lambda x: ~x))), F.lit(0)).cast("bigint").alias("errors_malformed")))
 
 
 def _cell_json(c, kind: str = "number"):

@@ -9,11 +9,14 @@ executor or a restarted driver resumes from the last committed offsets.
 from __future__ import annotations
 
 import json
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from flight_engine.files import read_text, write_text
 from flight_engine.operators.sink import append_batch, normalize_record, sinkable_condition
 from flight_engine.operators.transform import process_raw, serialize_keyed, serialize_unkeyed
 from flight_engine.schema import ENVELOPE_SCHEMA
@@ -58,11 +61,9 @@ def write_messages(df: DataFrame, path: str, keyed: bool = False, fmt: str = "js
     out.write.mode("append").format(fmt).save(path)
 
 
-def run_until_caught_up(q: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {q.name} did not finish within {timeout_s}s")
+def run_until_caught_up(q: StreamingQuery) -> StreamingQuery:
+    """Wait, as long as it takes, until an availableNow query has read all there was."""
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
@@ -82,6 +83,20 @@ def stream_transform(source: DataFrame, out_path: str, checkpoint: str,
 SINK_METRICS = "sink_counters"
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name of the stream that lives and dies with its checkpoint folder.
+
+    Batch numbers start at 0 again under a new checkpoint; with this name beside
+    them, a replayed batch still replaces itself and never another stream's rows.
+    """
+    path = f"{checkpoint.rstrip('/')}/sink_stream_id"
+    found = read_text(spark, path)
+    if found is None:
+        found = uuid.uuid4().hex[:12]
+        write_text(spark, path, found)
+    return found
+
+
 def stream_sink_table(source: DataFrame, table_path: str, checkpoint: str,
                       available_now: bool = True) -> StreamingQuery:
     """Processed envelopes -> guarded, idempotent appends to the history table.
@@ -91,13 +106,14 @@ def stream_sink_table(source: DataFrame, table_path: str, checkpoint: str,
     progress under ``sink_counters``.
     """
     ok = sinkable_condition()
+    stream = stream_id(source.sparkSession, checkpoint)
     rows = normalize_record(source).observe(
         SINK_METRICS, F.count(F.lit(1)).alias("consumed"),
         F.count(F.when(ok, 1)).alias("success"),
         F.count(F.when(~ok, 1)).alias("skipped"))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, table_path, batch_id)
+        append_batch(batch, table_path, f"{stream}-{batch_id}")
     w = (rows.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint))
     if available_now:
@@ -155,20 +171,20 @@ class ProgressLog(StreamingQueryListener):
         pass
 
 
-def run_logged(spark: SparkSession, start, timeout_s: int = 600) -> list[dict]:
-    """Start a query with a progress listener attached; return its progress events."""
+def run_logged(spark: SparkSession, start) -> list[dict]:
+    """Start a query with a progress listener attached; return its progress events.
+
+    Listener events arrive in order on one bus, so once the last batch has
+    reported, all have.
+    """
     log = ProgressLog()
     spark.streams.addListener(log)
     try:
         q = start()
-        run_until_caught_up(q, timeout_s)
-        # the listener bus is asynchronous: wait until every batch has reported
-        import time
-        deadline = time.time() + 30
-        last = q.lastProgress["batchId"] if q.lastProgress else -1
-        while time.time() < deadline and not any(e["batchId"] == last and e["id"] == str(q.id)
-                                                 for e in log.events):
-            time.sleep(0.2)
+        run_until_caught_up(q)
+        last = q.lastProgress["batchId"] if q.lastProgress else None
+        while last is not None and not any(e["batchId"] == last and e["id"] == str(q.id) for e in log.events):
+            time.sleep(0.1)
         return [e for e in log.events if e["id"] == str(q.id)]
     finally:
         spark.streams.removeListener(log)

@@ -1,19 +1,23 @@
 """Stateful streaming operators and their stream-equals-batch harness.
 
-Inputs are landed as time-ordered Parquet chunks and consumed with
-``maxFilesPerTrigger=1`` under ``availableNow``, so every query runs over
-several micro-batches and its state is carried between them.
+Inputs are landed as time-ordered chunks and every chunk is one micro-batch, however
+many files it was written as: the query runs on its checkpoint under
+``availableNow`` each time a chunk has landed, so its state is carried from chunk
+to chunk and no row of a chunk can be late against the chunk's own watermark.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from flight_engine.files import delete
 from flight_engine.functions.columns import event_time
 from flight_engine.functions.geo import grid_cell
 from flight_engine.operators.anomalies import DESCENT_RATE, DESCENT_TICKS, LATEST_TTL_S
@@ -23,28 +27,35 @@ from flight_engine.streaming.pipeline import (
 )
 
 WATERMARK = "10 minutes"
-IDLE_TIMEOUT_MS = 3600 * 1000
+#: Silence after which a run of descending fixes is forgotten (the retention of the table).
+IDLE_TIMEOUT_MS = 7 * 86400 * 1000
 
 
-def land_in_time_order(spark: SparkSession, df: DataFrame, name: str, chunks: int = 4) -> str:
-    """Write ``df`` as ``chunks`` Parquet file groups, oldest first (one write each)."""
-    path = scratch_path(spark, name)
-    lo, hi = df.agg(F.min("timestamp"), F.max("timestamp")).first()
-    if lo is None:
-        df.limit(0).write.mode("append").parquet(path)
-        return path
-    step = (hi - lo) // chunks + 1
+def run_in_chunks(spark: SparkSession, df: DataFrame, name: str,
+                  start: Callable[[DataFrame], StreamingQuery], chunks: int = 4) -> None:
+    """Feed ``df`` to a streaming query, one micro-batch for each of ``chunks`` spans of time.
+
+    ``df`` is derived and written once, by chunk; each chunk is then landed in the
+    source folder and the query started on what is new.
+    """
+    staged, source = scratch_path(spark, f"{name}-staged"), scratch_path(spark, f"{name}-src")
+    bounds = df.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
+    span = bounds.select(F.struct("lo", ((F.col("hi") - F.col("lo")) / chunks + 1).cast("bigint").alias("step")).alias("s"))
+    lo_step = span.scalar()
+    chunk = ((F.col("timestamp") - lo_step["lo"]) / lo_step["step"]).cast("int")
+    df.where(F.col("timestamp").isNotNull()).withColumn("chunk", chunk).write.partitionBy("chunk").parquet(staged)
+    df.limit(0).coalesce(1).write.parquet(source)
     for i in range(chunks):
-        a, b = lo + i * step, lo + (i + 1) * step
-        (df.where((F.col("timestamp") >= a) & (F.col("timestamp") < b))
-         .write.mode("append").parquet(path))
-    return path
+        part = spark.read.schema(f"chunk int, {_ddl(df)}").parquet(staged).where(F.col("chunk") == i).drop("chunk")
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(df.schema).parquet(source).withColumn("event_time", event_time())
+        run_until_caught_up(start(stream))
+    delete(spark, staged)
+    delete(spark, source)
 
 
-def stream_of(spark: SparkSession, df: DataFrame, name: str, chunks: int = 4) -> DataFrame:
-    path = land_in_time_order(spark, df, name, chunks)
-    return (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
-            .parquet(path).withColumn("event_time", event_time()))
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
 # ---- continuous aggregate --------------------------------------------------
@@ -52,15 +63,18 @@ def stream_of(spark: SparkSession, df: DataFrame, name: str, chunks: int = 4) ->
 def continuous_hourly(spark: SparkSession, states: DataFrame) -> DataFrame:
     """Hourly (window, country) aggregates maintained incrementally; merged on read."""
     from flight_engine.operators.transform import process
-    src = process(stream_of(spark, states, "cagg-src"))
-    agg = (src.withWatermark("event_time", WATERMARK)
-           .groupBy(F.window("event_time", "1 hour").alias("w"), "origin_country")
-           .agg(F.count(F.lit(1)).alias("states"), F.sum("velocity_kmh").alias("kmh_sum"),
-                F.count("velocity_kmh").alias("kmh_n"))
-           .select(F.unix_seconds(F.col("w.start")).alias("hour_start"), "origin_country",
-                   "states", "kmh_sum", "kmh_n"))
     out, ck = scratch_path(spark, "cagg"), scratch_path(spark, "cagg-ck")
-    run_until_caught_up(stream_upserts(agg, out, ck))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        agg = (process(stream).withWatermark("event_time", WATERMARK)
+               .groupBy(F.window("event_time", "1 hour").alias("w"), "origin_country")
+               .agg(F.count(F.lit(1)).alias("states"), F.sum("velocity_kmh").alias("kmh_sum"),
+                    F.count("velocity_kmh").alias("kmh_n"))
+               .select(F.unix_seconds(F.col("w.start")).alias("hour_start"), "origin_country",
+                       "states", "kmh_sum", "kmh_n"))
+        return stream_upserts(agg, out, ck)
+
+    run_in_chunks(spark, states, "cagg", start)
     r = read_upserts(spark, out, ["hour_start", "origin_country"])
     return r.select("hour_start", "origin_country", "states",
                     F.round(F.col("kmh_sum") / F.col("kmh_n"), 6).alias("avg_velocity_kmh"))
@@ -70,15 +84,18 @@ def continuous_hourly(spark: SparkSession, states: DataFrame) -> DataFrame:
 
 def dedup_stream(spark: SparkSession, states: DataFrame) -> DataFrame:
     """Latest last_contact per (icao24, timestamp); state expires behind the watermark."""
-    src = stream_of(spark, states, "dedup-src")
     cols = [c for c in states.columns if c not in ("icao24", "timestamp")]
     best = F.max_by(F.struct(*[F.col(c) for c in cols]),
                     F.struct(F.col("last_contact"), F.col("time_position")))
-    agg = (src.withWatermark("event_time", WATERMARK)
-           .groupBy("icao24", "timestamp", "event_time").agg(best.alias("r"))
-           .select("icao24", "timestamp", *[F.col(f"r.{c}").alias(c) for c in cols]))
     out, ck = scratch_path(spark, "dedup"), scratch_path(spark, "dedup-ck")
-    run_until_caught_up(stream_upserts(agg, out, ck))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        agg = (stream.withWatermark("event_time", WATERMARK)
+               .groupBy("icao24", "timestamp", "event_time").agg(best.alias("r"))
+               .select("icao24", "timestamp", *[F.col(f"r.{c}").alias(c) for c in cols]))
+        return stream_upserts(agg, out, ck)
+
+    run_in_chunks(spark, states, "dedup", start)
     return read_upserts(spark, out, ["icao24", "timestamp"]).select(*states.columns)
 
 
@@ -87,14 +104,17 @@ def dedup_stream(spark: SparkSession, states: DataFrame) -> DataFrame:
 def latest_state_stream(spark: SparkSession, history: DataFrame,
                         ttl_s: int = LATEST_TTL_S) -> DataFrame:
     """Newest row per aircraft kept as streaming aggregate state; TTL applied on read."""
-    src = stream_of(spark, history, "latest-src")
     cols = [c for c in history.columns if c != "icao24"]
     best = F.max_by(F.struct(*[F.col(c) for c in cols]),
                     F.struct(F.col("timestamp"), F.col("time_position")))
-    agg = (src.groupBy("icao24").agg(best.alias("r"))
-           .select("icao24", *[F.col(f"r.{c}").alias(c) for c in cols]))
     out, ck = scratch_path(spark, "latest"), scratch_path(spark, "latest-ck")
-    run_until_caught_up(stream_upserts(agg, out, ck))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        agg = (stream.groupBy("icao24").agg(best.alias("r"))
+               .select("icao24", *[F.col(f"r.{c}").alias(c) for c in cols]))
+        return stream_upserts(agg, out, ck)
+
+    run_in_chunks(spark, history, "latest", start)
     latest = read_upserts(spark, out, ["icao24"]).select(*history.columns)
     ref = latest.select(F.max("timestamp")).scalar()
     return latest.where(F.col("timestamp") >= ref - F.lit(ttl_s))
@@ -102,37 +122,48 @@ def latest_state_stream(spark: SparkSession, history: DataFrame,
 
 # ---- congestion -----------------------------------------------------------------
 
-def congestion_stream(spark: SparkSession, history: DataFrame, deg: float = 30.0,
+def congestion_stream(spark: SparkSession, history: DataFrame, deg: float = 0.5,
                       min_aircraft: int = 3) -> DataFrame:
-    """(minute, cell) aircraft counts; streams only allow approximate distinct counts."""
-    src = stream_of(spark, history, "cong-src")
-    agg = (src.withWatermark("event_time", WATERMARK)
-           .groupBy(F.window("event_time", "1 minute").alias("w"),
-                    grid_cell(deg=deg).alias("cell"))
-           .agg(F.approx_count_distinct("icao24", 0.01).alias("aircraft"))
-           .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "cell", "aircraft"))
+    """(minute, cell) counts of distinct aircraft, exact.
+
+    The state is one row per (minute, cell, aircraft) within the watermark, so a
+    crowded cell is spread over its aircraft; the read-back counts them.
+    """
     out, ck = scratch_path(spark, "cong"), scratch_path(spark, "cong-ck")
-    run_until_caught_up(stream_upserts(agg, out, ck))
-    return (read_upserts(spark, out, ["window_start", "cell"])
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        agg = (stream.withWatermark("event_time", WATERMARK)
+               .groupBy(F.window("event_time", "1 minute").alias("w"), grid_cell(deg=deg).alias("cell"), "icao24")
+               .agg(F.count(F.lit(1)).alias("states"))
+               .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "cell", "icao24", "states"))
+        return stream_upserts(agg, out, ck)
+
+    run_in_chunks(spark, history, "cong", start)
+    return (read_upserts(spark, out, ["window_start", "cell", "icao24"])
+            .groupBy("window_start", "cell").agg(F.count("icao24").alias("aircraft"))
             .where(F.col("aircraft") >= min_aircraft))
 
 
 # ---- trajectories -----------------------------------------------------------------
 
 def trajectory_stream(spark: SparkSession, history: DataFrame, minutes: int = 5) -> DataFrame:
-    """Watermarked 5-minute tracks; points de-duplicated per second before collecting."""
-    src = stream_of(spark, history, "traj-src")
-    agg = (src.withWatermark("event_time", WATERMARK)
-           .groupBy("icao24", F.window("event_time", f"{minutes} minutes").alias("w"))
-           .agg(F.collect_set(F.struct("timestamp", "longitude", "latitude")).alias("pts"))
-           .select("icao24", F.unix_seconds(F.col("w.start")).alias("window_start"), "pts"))
+    """Tracks of ``trajectory_window``, from one fix per aircraft and second kept as stream state.
+
+    The state value is one position, whatever an aircraft sends; tracks are put
+    together on read, at most 60 * ``minutes`` points each.
+    """
+    from flight_engine.operators.warehouse import tracks
     out, ck = scratch_path(spark, "traj"), scratch_path(spark, "traj-ck")
-    run_until_caught_up(stream_upserts(agg, out, ck))
-    r = read_upserts(spark, out, ["icao24", "window_start"])
-    pts = F.sort_array("pts")
-    return r.select("icao24", "window_start", F.size("pts").cast("bigint").alias("points"),
-                    pts[0]["timestamp"].alias("first_ts"),
-                    F.element_at(pts, -1)["timestamp"].alias("last_ts"))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        agg = (stream.withWatermark("event_time", WATERMARK)
+               .groupBy("icao24", "timestamp", "event_time")
+               .agg(F.max_by(F.struct("longitude", "latitude"), F.col("time_position")).alias("p"))
+               .select("icao24", "timestamp", "p.longitude", "p.latitude"))
+        return stream_upserts(agg, out, ck)
+
+    run_in_chunks(spark, history, "traj", start)
+    return tracks(read_upserts(spark, out, ["icao24", "timestamp"]), minutes)
 
 
 # ---- emergency descent (custom state) -----------------------------------------
@@ -142,46 +173,64 @@ DESCENT_OUT = ("icao24 string, start_timestamp bigint, timestamp bigint, longitu
 DESCENT_STATE = "run long, run_start long, last_ts long, last_tp long"
 
 
+def _timeout(state: GroupState, at_ms: int) -> None:
+    """Event-time timeout, never behind the watermark."""
+    state.setTimeoutTimestamp(max(at_ms, state.getCurrentWatermarkMs() + 1))
+
+
+def _times(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(timestamp, time_position); a null position time counts as the earliest."""
+    return pdf["timestamp"].to_numpy("int64"), pdf["time_position"].fillna(NO_TIME).to_numpy("int64")
+
+
+NO_TIME = -(1 << 53)
+
+
 def _descent_fn(rate: float, ticks: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         run, start, last_ts, last_tp = state.get if state.exists else (0, None, None, None)
-        rows = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["timestamp", "time_position"], kind="mergesort")
-            for r in pdf.itertuples(index=False):
-                if last_ts is not None and (r.timestamp, r.time_position) <= (last_ts, last_tp):
-                    continue  # late or replayed fix behind the aircraft's state
-                dsc = r.vertical_rate is not None and not pd.isna(r.vertical_rate) \
-                    and r.vertical_rate < rate
-                if dsc:
-                    run += 1
-                    start = r.timestamp if run == 1 else start
-                    if run == ticks:
-                        rows.append((key[0], start, r.timestamp, r.longitude, r.latitude,
-                                     r.vertical_rate))
-                else:
-                    run, start = 0, None
-                last_ts, last_tp = r.timestamp, r.time_position
-        state.update((run, start, last_ts, last_tp))
-        state.setTimeoutTimestamp(int(last_ts) * 1000 + IDLE_TIMEOUT_MS)
-        yield pd.DataFrame(rows, columns=["icao24", "start_timestamp", "timestamp", "longitude",
-                                          "latitude", "vertical_rate"])
+        # an aircraft's rows of a micro-batch come as any number of Arrow batches in any order
+        pdf = pd.concat(list(pdfs), ignore_index=True)
+        ts, tp = _times(pdf)
+        pdf = pdf.iloc[np.lexsort((tp, ts))]
+        ts, tp = _times(pdf)
+        if last_ts is not None:  # late or replayed fixes behind the aircraft's state
+            new = (ts > last_ts) | ((ts == last_ts) & (tp > last_tp))
+            pdf, ts, tp = pdf[new], ts[new], tp[new]
+        if not len(ts):
+            _timeout(state, int(last_ts) * 1000 + IDLE_TIMEOUT_MS)
+            return
+        falling = (pdf["vertical_rate"].to_numpy("float64", na_value=np.nan) < rate)
+        at = np.arange(len(ts))
+        broken = np.maximum.accumulate(np.where(falling, -1, at))
+        length = np.where(falling, at - broken + np.where(broken < 0, run, 0), 0)
+        first = np.where(broken < 0, start if run else ts[0], ts[np.minimum(broken + 1, len(ts) - 1)])
+        hit = falling & (length == ticks)
+        state.update((int(length[-1]), int(first[-1]) if length[-1] else None, int(ts[-1]), int(tp[-1])))
+        _timeout(state, int(ts[-1]) * 1000 + IDLE_TIMEOUT_MS)
+        found = pdf[hit]
+        yield pd.DataFrame({"icao24": [key[0]] * len(found), "start_timestamp": first[hit], "timestamp": ts[hit],
+                            "longitude": found["longitude"].to_numpy(), "latitude": found["latitude"].to_numpy(),
+                            "vertical_rate": found["vertical_rate"].to_numpy()})
     return fn
 
 
 def descent_stream(spark: SparkSession, history: DataFrame, rate: float = DESCENT_RATE,
                    ticks: int = DESCENT_TICKS) -> DataFrame:
     """Runs of ``ticks`` descending fixes per aircraft, counted across micro-batches."""
-    src = stream_of(spark, history.select("icao24", "timestamp", "time_position", "longitude",
-                                          "latitude", "vertical_rate"), "descent-src")
-    events = (src.withWatermark("event_time", WATERMARK).groupBy("icao24")
-              .applyInPandasWithState(_descent_fn(rate, ticks), DESCENT_OUT, DESCENT_STATE,
-                                      "append", GroupStateTimeout.EventTimeTimeout))
     out, ck = scratch_path(spark, "descent"), scratch_path(spark, "descent-ck")
-    run_until_caught_up(stream_to_parquet(events, out, ck))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        events = (stream.withWatermark("event_time", WATERMARK).groupBy("icao24")
+                  .applyInPandasWithState(_descent_fn(rate, ticks), DESCENT_OUT, DESCENT_STATE,
+                                          "append", GroupStateTimeout.EventTimeTimeout))
+        return stream_to_parquet(events, out, ck)
+
+    cols = ["icao24", "timestamp", "time_position", "longitude", "latitude", "vertical_rate"]
+    run_in_chunks(spark, history.select(*cols), "descent", start)
     return spark.read.schema(DESCENT_OUT).parquet(out)
 
 
@@ -194,22 +243,22 @@ def _latest_ttl_fn(columns: list[str], ttl_s: int):
             last = state.get
             state.remove()
             row = {c: None for c in columns}
-            row.update(icao24=key[0], timestamp=last[0], time_position=last[1], evicted=True)
+            row.update(icao24=key[0], timestamp=last[0], evicted=True)
             yield pd.DataFrame([row], columns=columns + ["evicted"])
             return
         best = None
         for pdf in pdfs:
-            top = pdf.sort_values(["timestamp", "time_position"], kind="mergesort").iloc[-1]
-            if best is None or (top["timestamp"], top["time_position"]) > (
-                    best["timestamp"], best["time_position"]):
-                best = top
-        if state.exists and (state.get[0], state.get[1]) >= (best["timestamp"], best["time_position"]):
+            ts, tp = _times(pdf)
+            i = int(np.lexsort((tp, ts))[-1])
+            if best is None or (ts[i], tp[i]) > best[0]:
+                best = ((ts[i], tp[i]), pdf.iloc[[i]])
+        (ts, tp), top = best
+        if state.exists and state.get >= (ts, tp):
+            _timeout(state, (int(state.get[0]) + ttl_s) * 1000)
             return  # nothing newer in this batch
-        state.update((int(best["timestamp"]), int(best["time_position"])))
-        state.setTimeoutTimestamp((int(best["timestamp"]) + ttl_s) * 1000)
-        out = best[columns].to_frame().T
-        out["evicted"] = False
-        yield out
+        state.update((int(ts), int(tp)))
+        _timeout(state, (int(ts) + ttl_s) * 1000)
+        yield top[columns].assign(evicted=False)
     return fn
 
 
@@ -224,16 +273,17 @@ def latest_state_ttl_stream(spark: SparkSession, history: DataFrame,
     TTL against the newest fix (as the batch ``latest_state`` does).
     """
     columns = list(history.columns)
-    schema = history.schema
-    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) \
-        + ", evicted boolean"
-    src = stream_of(spark, history, "latest-ttl-src")
-    upd = (src.withWatermark("event_time", WATERMARK).groupBy("icao24")
-           .applyInPandasWithState(_latest_ttl_fn(columns, ttl_s), out_schema,
-                                   "timestamp long, time_position long", "update",
-                                   GroupStateTimeout.EventTimeTimeout))
+    out_schema = f"{_ddl(history)}, evicted boolean"
     out, ck = scratch_path(spark, "latest-ttl"), scratch_path(spark, "latest-ttl-ck")
-    run_until_caught_up(stream_upserts(upd, out, ck))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        upd = (stream.withWatermark("event_time", WATERMARK).groupBy("icao24")
+               .applyInPandasWithState(_latest_ttl_fn(columns, ttl_s), out_schema,
+                                       "timestamp long, time_position long", "update",
+                                       GroupStateTimeout.EventTimeTimeout))
+        return stream_upserts(upd, out, ck)
+
+    run_in_chunks(spark, history, "latest-ttl", start)
     return latest_from_upserts(spark, out, columns, ttl_s)
 
 

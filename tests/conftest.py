@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,9 +13,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
     from flight_engine.session import get_spark
+    # tests own no cluster; where spark.checkpoint.dir is unset, session.checkpoint_root makes a folder
     s = get_spark("tests", master="local[4]", shuffle_partitions=4)
-    # tests own no cluster: give the session a checkpoint root only if unset
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fe-test-ckpt-"))
     yield s
     SparkSession.getActiveSession() and s.stop()

@@ -92,3 +92,20 @@ def test_whole_file_documents_batch_and_stream(spark, tmp_path):
     run_until_caught_up(q)
     assert spark.read.parquet(out).select("icao24", "timestamp").exceptAll(
         batch.select("icao24", "timestamp")).count() == 0
+
+
+def test_odd_elements_leave_their_neighbours_alone(spark):
+    odd = [5, "x", {}, {"a": [1]}, None, True, [], ["short"]]
+    d = docs(spark, json.dumps({"time": 9, "states": [full_state("a1"), *odd, full_state("b2")]}),
+             json.dumps({"time": 10, "states": odd}))
+    assert sorted(r.icao24 for r in decode_snapshot(d).collect()) == ["a1", "b2"]
+    c = malformed_counts(d).first()
+    assert (c.accepted, c.rejected) == (2, 2 * len(odd))
+
+
+def test_ingest_counters_count_empty_and_failed_polls(spark):
+    from flight_engine.sources.snapshot import ingest_counters
+    d = docs(spark, json.dumps({"time": 1, "states": [full_state(), [1]]}), json.dumps({"time": 2, "states": None}),
+             json.dumps({"time": 3, "states": []}), "", None)
+    c = ingest_counters(d).first()
+    assert (c.polls_total, c.flights_sent_total, c.errors_fetch, c.errors_malformed) == (5, 1, 2, 1)

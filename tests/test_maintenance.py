@@ -35,6 +35,19 @@ def test_merge_into_partitioned_equals_batch_merge(spark):
     assert before == after  # corrections replace rows, they never add or lose any
 
 
+def test_merge_keeps_rows_without_corrections_and_works_on_streamed_tables(spark):
+    h = hist(spark)
+    twice = h.union(h.where("timestamp % 13 = 1"))  # duplicated transponders, no correction for them
+    path = scratch_path(spark, "t-merge-sink")
+    sk.append_batch(twice, path, "stream-0")
+    corr = h.where("timestamp % 13 = 0").withColumn("last_contact", F.col("last_contact") + 2)
+    wh.merge_into_partitioned(spark, path, corr.withColumn("created_at", F.current_timestamp()), scratch_path(spark, "t-merge-sink-stage"))
+    got = spark.read.parquet(path).select(*PROCESSED_COLUMNS)
+    assert same(got, twice.where("timestamp % 13 <> 0").union(corr))
+    sk.append_batch(h.limit(1), path, "stream-1")
+    assert spark.read.parquet(path).count() == twice.count() + 1
+
+
 def test_drop_expired_partitions(spark):
     h = hist(spark)
     name = f"t_archive_{uuid.uuid4().hex[:8]}"
@@ -47,6 +60,8 @@ def test_drop_expired_partitions(spark):
     hour_end = F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(3600)) + 3600
     expected = h.where(hour_end > cutoff).count()
     assert dropped and kept.count() == expected < h.count()
+    path = next(r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r[0] == "Location")
+    assert spark.read.parquet(path).count() == expected  # the files are gone too
 
 
 def test_jdbc_round_trip(spark):

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from flight_engine.plans.catalog import QUERIES
 
 # queries that run a stream or write a table while being built
 SIDE_EFFECTS = {
@@ -10,8 +11,8 @@ SIDE_EFFECTS = {
     "publish_raw", "stream_write_processed", "sink_append_table", "ensure_table", "reset_table",
     "archive_hourly", "archive_retention", "replay", "continuous_agg", "emergency_descent_stream",
     "latest_state_stream", "dedup_stream", "congestion_stream", "trajectory_stream",
-    "pipeline_counters_stream", "stream_progress", "merge_corrections_table", "sink_jdbc_table",
-    "recent_flights_table", "latest_state_ttl_stream",
+    "pipeline_counters_stream", "stream_progress", "merge_corrections_table",
+    "recent_flights_table", "latest_state_ttl_stream", "retain_window",
 }
 
 
@@ -19,7 +20,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
 def test_no_cartesian_or_nested_loop(spark, name):
     from conftest import SF_SMALL
     p = plan_of(entry.queries()[name](spark, SF_SMALL))

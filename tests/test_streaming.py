@@ -1,5 +1,6 @@
 """Stream equals batch, and a checkpointed restart loses and duplicates nothing."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from flight_engine.operators.transform import process
@@ -105,3 +106,41 @@ def test_late_rows_are_dropped_and_counted(spark):
     assert dropped == late_windows > 0
     got = pl.read_upserts(spark, out, ["w"]).agg(F.sum("n")).first()[0]
     assert got == newer.count()  # late rows never reach the result
+
+
+LAYOUTS = [(1, 10_000), (4, 50), (16, 7)]
+
+
+@pytest.mark.parametrize("files,arrow_rows", LAYOUTS)
+def test_stateful_streams_do_not_depend_on_files_or_arrow_batches(spark, files, arrow_rows):
+    """Every stateful stream equals its batch operator however the input is split, in any order."""
+    from conftest import SF_SMALL
+    from flight_engine.operators import anomalies as an
+    from flight_engine.operators import warehouse as wh
+    from flight_engine.plans.catalog import dirty, history
+    from flight_engine.operators.sink import filter_sinkable
+    from flight_engine.streaming import stateful as st
+    mixed = lambda df: df.orderBy(F.xxhash64(*df.columns)).repartition(files)
+    h, fast = history(spark, SF_SMALL), history(spark, SF_SMALL, 60)
+    hot = h.withColumn("icao24", F.when(F.col("timestamp") % 3 == 0, F.lit("hot")).otherwise(F.col("icao24")))
+    hot = hot.withColumn("vertical_rate", F.when(F.col("timestamp") % 5 > 0, F.lit(-20.0)).otherwise(F.col("vertical_rate")))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", arrow_rows)
+    try:
+        pairs = [
+            (st.descent_stream(spark, mixed(hot)), an.emergency_descent(hot)),
+            (st.latest_state_ttl_stream(spark, mixed(fast.withColumn("time_position", F.when(F.col("timestamp") % 2 == 0, F.col("time_position"))))), None),
+            (st.dedup_stream(spark, mixed(filter_sinkable(dirty(spark, SF_SMALL)))), an.dedup_states(filter_sinkable(dirty(spark, SF_SMALL)))),
+            (st.congestion_stream(spark, mixed(fast), deg=90.0, min_aircraft=1), an.congestion(fast, deg=90.0, min_aircraft=1)),
+            (st.trajectory_stream(spark, mixed(fast)), wh.trajectory_window(fast)),
+            (st.latest_state_stream(spark, mixed(fast)), an.latest_state(fast)),
+        ]
+        for got, want in pairs:
+            assert got.count() > 0
+            if want is not None:
+                want = want.select(*got.columns)
+                assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        total = st.continuous_hourly(spark, mixed(h)).agg(F.sum("states")).first()[0]
+        assert total == h.count()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
