@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flight_engine.llm.pattern_spans import label, outside, with_spans, written
+from flight_engine.llm.store import stage
 
 # Kinds and patterns of the base rules, in their order. Quantifiers
 # that nothing can follow are possessive, and runs are only entered at their
@@ -203,7 +204,9 @@ def train_classifier(rows: list[tuple[str, float, int]], rounds: int = 300, l2:
 
 def learn(docs: DataFrame) -> dict[str, list[float]]:
     """The span classifier's weights by kind, from the whole corpus."""
-    c = _scanned(docs.select(F.struct(F.col("text").alias("text")).alias("doc"))).select(F.explode("wide").alias("c"))
+    # written first: exploding the expression itself makes Spark filter on it, and so scan every text again
+    found = stage(_scanned(docs.select(F.struct(F.col("text").alias("text")).alias("doc"))).select("wide"), "pii-candidates")
+    c = found.select(F.explode("wide").alias("c"))
     rows = c.groupBy("c.kind", "c.votes", "c.features").agg(F.count(F.lit(1)).alias("n")).orderBy("kind", "votes", "features").collect()
     out = {}
     for kind in WIDE:
