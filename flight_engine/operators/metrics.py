@@ -36,8 +36,10 @@ def histogram_buckets(events: DataFrame, bounds: list[float], value: str = "valu
                       label: str = "label") -> DataFrame:
     """Cumulative bucket counts per label: (label, le, bucket_count).
 
-    Every bound (and +Inf) is listed for every label, empty ones included.
+    Every bound (and +Inf) is listed for every label, empty ones included. A null
+    value is no observation.
     """
+    events = events.where(F.col(value).isNotNull())
     all_bounds = list(bounds) + [float("inf")]
     counts = (events.groupBy(label, _bucket_index(F.col(value), bounds).alias("idx"))
               .agg(F.count(F.lit(1)).alias("n")))
@@ -90,7 +92,8 @@ def rate_per_window(events: DataFrame, label: str = "label", ts: str = "ts",
 
 def avg_per_window(events: DataFrame, value: str = "value", label: str = "label",
                    ts: str = "ts", seconds: int = 60) -> DataFrame:
-    """rate(sum) / rate(count) = mean value per window and label."""
+    """rate(sum) / rate(count) = mean value per window and label, over what has a value."""
+    events = events.where(F.col(value).isNotNull())
     win = F.window(F.timestamp_seconds(F.col(ts)), f"{seconds} seconds")
     return (events.groupBy(win.alias("w"), label)
             .agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("n"))
@@ -136,6 +139,15 @@ def request_metrics(requests: DataFrame) -> DataFrame:
                  F.count(F.when(F.col("status") >= 500, 1)).alias("errors")))
 
 
+def query_metrics(requests: DataFrame) -> DataFrame:
+    """Database queries by name: number, durations and errors."""
+    return (requests.where(F.col("query_name").isNotNull()).groupBy("query_name")
+            .agg(F.count(F.lit(1)).alias("queries"),
+                 F.round(F.sum("query_duration_s"), 6).alias("duration_sum"),
+                 F.round(F.avg("query_duration_s"), 6).alias("duration_avg"),
+                 F.count(F.when(F.col("status") >= 500, 1)).alias("errors")))
+
+
 def slowest_requests(requests: DataFrame, n: int = 5) -> DataFrame:
     return (requests.orderBy(F.col("duration_s").desc(), F.col("request_id").asc()).limit(n)
             .select("request_id", "path", "method", "status", "duration_s"))

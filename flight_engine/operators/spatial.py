@@ -55,7 +55,8 @@ def with_airport(history: DataFrame, airports: DataFrame, how: str = "inner") ->
     airport id. Rows without a position have no airport: dropped by ``inner``.
     """
     near = nearest_candidates(airports)
-    p = history.withColumn("_cell", grid_cell("latitude", "longitude", AIRPORT_CELL_DEG))
+    placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    p = history.withColumn("_cell", F.when(placed, grid_cell("latitude", "longitude", AIRPORT_CELL_DEG)))
     p = p.join(F.broadcast(near.withColumnRenamed("cell", "_cell")), "_cell", how)
     best = F.array_min(F.transform("near", lambda a: F.struct(
         F.round(haversine_km("latitude", "longitude", a["ap_lat"], a["ap_lon"]), 6).alias("km"), a["airport_id"].alias("id"), a.alias("a"))))

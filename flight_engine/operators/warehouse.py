@@ -35,13 +35,17 @@ def dim_date(history: DataFrame) -> DataFrame:
 
 
 def dim_time(history: DataFrame) -> DataFrame:
-    """Hours of day seen in the data with their day-part bucket."""
-    h = history.select(F.hour(_ts()).alias("hour")).distinct()
+    """All 24 hours of the day with their day-part bucket, and the states seen in each."""
+    seen = history.groupBy(F.hour(_ts()).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    # at most 24 rows: spread into the spine from one row of counts
+    spine = (seen.agg(F.map_from_entries(F.collect_list(F.struct("hour", "n"))).alias("m"))
+             .select("m", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")))
     part = F.lit(None).cast("string")
     for lo, hi, name in reversed(DAY_PARTS):
         part = F.when(F.col("hour").between(lo, hi), F.lit(name)).otherwise(part)
-    return h.select("hour", part.alias("day_part"),
-                    (F.col("hour") * 3600).cast("bigint").alias("seconds_from_midnight"))
+    return spine.select("hour", part.alias("day_part"),
+                        (F.col("hour") * 3600).cast("bigint").alias("seconds_from_midnight"),
+                        F.coalesce(F.try_element_at("m", F.col("hour")), F.lit(0).cast("bigint")).alias("states"))
 
 
 def dim_airports_scd2(airports: DataFrame, change_ts: int = 1705276800) -> DataFrame:
@@ -228,11 +232,15 @@ def merge_corrections(base: DataFrame, corrections: DataFrame,
     return untouched.unionByName(newest)
 
 
-def partition_freshness(history: DataFrame) -> DataFrame:
-    """Hours between the first and last state that have no data (hour spine anti-join)."""
+def partition_freshness(history: DataFrame, as_of: int | None = None) -> DataFrame:
+    """Hours from the first state to ``as_of`` (default: the last state) that have no data.
+
+    A trailing outage shows only against an ``as_of``, such as the present time.
+    """
     hour = F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(3600))
     present = history.select(hour.alias("hour_start")).distinct()
-    spine = (history.agg(F.min(hour).alias("lo"), F.max(hour).alias("hi"))
+    end = F.max(hour) if as_of is None else F.greatest(F.max(hour), F.lit(as_of - as_of % 3600).cast("bigint"))
+    spine = (history.agg(F.min(hour).alias("lo"), end.alias("hi"))
              .select(F.explode(F.sequence("lo", "hi", F.lit(3600).cast("bigint")))
                      .alias("hour_start")))
     return spine.join(present, "hour_start", "left_anti")

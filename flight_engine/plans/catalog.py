@@ -389,8 +389,13 @@ def q_archive_hourly(spark, sf, retention_days=90):
     return a.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("states"))
 
 
+FRESH_AS_OF = 1706745600  # 2024-02-01T00:00:00Z, after the last state
+
+
 def q_partition_freshness(spark, sf):
-    return wh.partition_freshness(history(spark, sf))
+    """Missing hours of a history that lost every seventh hour, up to a fixed present."""
+    h = history(spark, sf)
+    return wh.partition_freshness(h.where(F.floor(F.col("timestamp") / 3600) % 7 != 3), FRESH_AS_OF)
 
 
 def _corrections(h):
@@ -596,19 +601,42 @@ def q_latest_state_ttl_stream(spark, sf):
     return st.latest_state_ttl_stream(spark, history(spark, sf, FAST))
 
 
+def _series(spark, sf):
+    return td.request_events(spark, sf).withColumn("series", F.concat_ws(" ", "method", "path"))
+
+
 def q_histogram_request_duration(spark, sf):
-    """Request-duration histogram per path with the database latency bounds."""
-    b = mt.histogram_buckets(td.request_events(spark, sf), mt.DB_DURATION_BOUNDS,
-                             value="duration_s", label="path")
-    return b.drop("idx", "upper")
+    """Request-duration histogram by path and method."""
+    b = mt.histogram_buckets(_series(spark, sf), mt.DEFAULT_DURATION_BOUNDS, value="duration_s", label="series")
+    part = F.split("series", " ")
+    return b.select(part[1].alias("path"), part[0].alias("method"), "le", "bucket_count")
 
 
 def q_request_duration_p95(spark, sf):
-    b = mt.histogram_buckets(td.request_events(spark, sf), mt.DB_DURATION_BOUNDS,
+    b = mt.histogram_buckets(td.request_events(spark, sf), mt.DEFAULT_DURATION_BOUNDS,
                              value="duration_s", label="path")
     return mt.histogram_quantile(b, 0.95, label="path")
 
 
+def q_histogram_query_duration(spark, sf):
+    """Database-query duration histogram by query name."""
+    named = td.request_events(spark, sf).where("query_name is not null")
+    return mt.histogram_buckets(named, mt.DB_DURATION_BOUNDS, value="query_duration_s", label="query_name").drop("idx", "upper")
+
+
+def q_query_metrics(spark, sf):
+    return mt.query_metrics(td.request_events(spark, sf))
+
+
+def q_histogram_page_size(spark, sf):
+    """Flights served per request, by path."""
+    return mt.histogram_buckets(td.request_events(spark, sf), mt.PAGE_SIZE_BOUNDS, value="flights_served", label="path").drop("idx", "upper")
+
+
+def q_avg_flights_per_request(spark, sf):
+    return mt.avg_per_window(td.request_events(spark, sf), value="flights_served", label="path", seconds=3600)
+
+
 def q_ingest_counters(spark, sf):
     """Counters over the snapshots, polls without states, and polls that failed."""
     times = states(spark, sf).select("timestamp").distinct()

@@ -8,8 +8,10 @@ an ``E0`` suffix so DuckDB never switches to DECIMAL arithmetic.
 
 from __future__ import annotations
 
-from flight_engine.plans.catalog import EUROPE, LIMIT_CASES, PACIFIC
-from flight_engine.operators.metrics import DB_DURATION_BOUNDS, PAGE_SIZE_BOUNDS, bound_label
+from flight_engine.plans.catalog import EUROPE, FRESH_AS_OF, LIMIT_CASES, PACIFIC
+from flight_engine.operators.metrics import (
+    DB_DURATION_BOUNDS, DEFAULT_DURATION_BOUNDS, PAGE_SIZE_BOUNDS, bound_label,
+)
 from flight_engine.operators.spatial import AIRLINES
 
 EP = "CAST(floor(epoch(ts)) AS BIGINT)"
@@ -93,7 +95,12 @@ BASE = [
   CASE WHEN event_type = 'signup' THEN '/health' ELSE '/flights' END AS path,
   CASE WHEN event_id % 50 = 0 THEN 'POST' ELSE 'GET' END AS method,
   CAST(CASE WHEN event_id % 50 = 0 THEN 405 WHEN event_type = 'error' THEN 500 ELSE 200 END AS INTEGER) AS status,
-  value / 1000.0E0 AS duration_s FROM events)""",
+  value / 1000.0E0 AS duration_s,
+  CASE WHEN event_id % 50 <> 0 AND event_type NOT IN ('signup', 'error') THEN CAST(least(500, greatest(1, ceil(value))) AS BIGINT) END AS flights_served,
+  CASE WHEN event_id % 50 <> 0 THEN CASE WHEN event_type = 'signup' THEN 'ping' ELSE 'recent_flights' END END AS query_name,
+  CASE WHEN event_id % 50 <> 0 THEN value * 0.75E0 / 1000.0E0 END AS query_duration_s,
+  CASE WHEN event_id % 50 = 0 THEN 'POST' ELSE 'GET' END || ' ' || CASE WHEN event_type = 'signup' THEN '/health' ELSE '/flights' END AS series
+  FROM events)""",
     """ap AS (SELECT CAST(n_nationkey AS BIGINT) AS airport_id, 'AP' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS airport_code,
   n_name AS country, CAST(n_nationkey * 7 - 84 AS DOUBLE) AS ap_lat, CAST(n_nationkey * 14 - 168 AS DOUBLE) AS ap_lon FROM nation)""",
     # every positioned state with its nearest airport, by brute force over all airports
@@ -131,8 +138,8 @@ def _hist_buckets(finite=None, src: str = "me", value: str = "value", label: str
         for i, b in enumerate(bounds))
     return f"""hb AS (SELECT l.label, b.idx, b.le, b.upper,
   CAST(sum(coalesce(c.n, 0)) OVER (PARTITION BY l.label ORDER BY b.idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS bucket_count
-  FROM (SELECT DISTINCT {label} AS label FROM {src}) l CROSS JOIN (VALUES {vals}) b(idx, le, upper)
-  LEFT JOIN (SELECT {label} AS label, {case} AS idx, count(*) AS n FROM {src} GROUP BY ALL) c ON c.label = l.label AND c.idx = b.idx)"""
+  FROM (SELECT DISTINCT {label} AS label FROM {src} WHERE {value} IS NOT NULL) l CROSS JOIN (VALUES {vals}) b(idx, le, upper)
+  LEFT JOIN (SELECT {label} AS label, {case} AS idx, count(*) AS n FROM {src} WHERE {value} IS NOT NULL GROUP BY ALL) c ON c.label = l.label AND c.idx = b.idx)"""
 
 
 def _limit_union() -> str:
@@ -353,13 +360,17 @@ ORACLE: dict[str, str] = {
     "trajectory_stream": with_base("SELECT icao24, timestamp - timestamp % 300 AS window_start, count(DISTINCT CAST(timestamp AS VARCHAR) || ':' || CAST(longitude AS VARCHAR) || ':' || CAST(latitude AS VARCHAR)) AS points, min(timestamp) AS first_ts, max(timestamp) AS last_ts FROM hist60 GROUP BY 1, 2"),
     "airport_broadcast_join": with_base(f"SELECT icao24, timestamp, time_position, airport_id, airport_code, round({hav('latitude', 'longitude', 'ap_lat', 'ap_lon')}, 6) AS dist_km FROM withap"),
     "archive_hourly": with_base(f"SELECT CAST(year({ts()}) AS INTEGER) AS year, CAST(month({ts()}) AS INTEGER) AS month, CAST(day({ts()}) AS INTEGER) AS day, CAST(hour({ts()}) AS INTEGER) AS hour, count(*) AS states FROM hist GROUP BY 1, 2, 3, 4"),
-    "partition_freshness": with_base("SELECT CAST(h AS BIGINT) AS hour_start FROM (SELECT unnest(generate_series(lo, hi, 3600)) AS h FROM (SELECT min(timestamp - timestamp % 3600) AS lo, max(timestamp - timestamp % 3600) AS hi FROM hist)) WHERE h NOT IN (SELECT timestamp - timestamp % 3600 FROM hist)"),
+    "partition_freshness": with_base(f"""SELECT CAST(h AS BIGINT) AS hour_start FROM (
+  SELECT unnest(generate_series((SELECT min(timestamp - timestamp % 3600) FROM thin), CAST({FRESH_AS_OF} AS BIGINT), 3600)) AS h)
+  WHERE h NOT IN (SELECT timestamp - timestamp % 3600 FROM thin)""",
+        "thin AS (SELECT * FROM hist WHERE CAST(floor(timestamp / 3600) AS BIGINT) % 7 <> 3)"),
     "merge_corrections": _MERGE,
     "dim_date": with_base(f"""SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, strftime(d, '%Y-%m-%d') AS date,
   CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
   CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS iso_dow, dayofweek(d) IN (0, 6) AS is_weekend
   FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM (SELECT CAST(min({ts()}) AS DATE) AS lo, CAST(max({ts()}) AS DATE) AS hi FROM hist))"""),
-    "dim_time": with_base(f"SELECT hour, {_DAY_PART} AS day_part, CAST(hour * 3600 AS BIGINT) AS seconds_from_midnight FROM (SELECT DISTINCT CAST(hour({ts()}) AS INTEGER) AS hour FROM hist)"),
+    "dim_time": with_base(f"""SELECT hour, {_DAY_PART} AS day_part, CAST(hour * 3600 AS BIGINT) AS seconds_from_midnight, coalesce(n, 0) AS states
+  FROM (SELECT CAST(unnest(generate_series(0, 23)) AS INTEGER) AS hour) LEFT JOIN (SELECT CAST(hour({ts()}) AS INTEGER) AS hour, count(*) AS n FROM hist GROUP BY 1) USING (hour)"""),
     "dim_airports_scd2": _scd2(),
     "dim_airlines": with_base("SELECT substr(trim(callsign), 1, 3) AS airline_code, count(DISTINCT icao24) AS aircraft, min(timestamp) AS first_seen, max(timestamp) AS last_seen FROM hist WHERE callsign IS NOT NULL GROUP BY 1"),
     "fact_flights": with_base(f"""SELECT md5(concat_ws('-', icao24, CAST(timestamp AS VARCHAR))) AS flight_sk,
@@ -415,7 +426,13 @@ ORACLE.update({
   count(*) FILTER (WHERE last_contact % 41 <> 0) AS flights_sent_total,
   (SELECT count(DISTINCT timestamp) FILTER (WHERE timestamp % 10 = 1) FROM fs) AS errors_fetch,
   count(*) FILTER (WHERE last_contact % 41 = 0) AS errors_malformed FROM fs"""),
-    "histogram_request_duration": with_base("SELECT label AS path, le, bucket_count FROM hb",
-                                            _hist_buckets(DB_DURATION_BOUNDS, "req", "duration_s", "path")),
-    "request_duration_p95": _quantile(_hist_buckets(DB_DURATION_BOUNDS, "req", "duration_s", "path"), "path"),
+    "histogram_request_duration": with_base("SELECT split_part(label, ' ', 2) AS path, split_part(label, ' ', 1) AS method, le, bucket_count FROM hb",
+                                            _hist_buckets(DEFAULT_DURATION_BOUNDS, "req", "duration_s", "series")),
+    "request_duration_p95": _quantile(_hist_buckets(DEFAULT_DURATION_BOUNDS, "req", "duration_s", "path"), "path"),
+    "histogram_query_duration": with_base("SELECT label AS query_name, le, bucket_count FROM hb",
+                                          _hist_buckets(DB_DURATION_BOUNDS, "req", "query_duration_s", "query_name")),
+    "query_metrics": with_base("SELECT query_name, count(*) AS queries, round(sum(query_duration_s), 6) AS duration_sum, round(avg(query_duration_s), 6) AS duration_avg, count(*) FILTER (WHERE status >= 500) AS errors FROM req WHERE query_name IS NOT NULL GROUP BY 1"),
+    "histogram_page_size": with_base("SELECT label AS path, le, bucket_count FROM hb",
+                                     _hist_buckets(PAGE_SIZE_BOUNDS, "req", "flights_served", "path")),
+    "avg_flights_per_request": with_base("SELECT ts - ts % 3600 AS window_start, path, count(*) AS n, round(sum(flights_served) / count(*), 6) AS avg_value FROM req WHERE flights_served IS NOT NULL GROUP BY 1, 2"),
 })

@@ -85,7 +85,9 @@ def request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path: signups hit /health, everything else /flights; every 50th
     request is a POST (405); error events fail with 500; duration in
-    seconds is value / 1000; flights served is the clamped page size.
+    seconds is value / 1000; flights served is the clamped page size. A GET
+    asks the database (recent_flights, or a ping for /health) for three quarters
+    of its duration; a POST is refused before.
     """
     e = table(spark, sf_dir, "events")
     method = F.when(F.col("event_id") % 50 == 0, "POST").otherwise("GET")
@@ -103,6 +105,8 @@ def request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((path == "/flights") & (status == 200),
                F.least(F.lit(500), F.greatest(F.lit(1), F.ceil(F.col("value")))))
          .cast("bigint").alias("flights_served"),
+        F.when(method == "GET", F.when(path == "/health", "ping").otherwise("recent_flights")).alias("query_name"),
+        F.when(method == "GET", F.col("value") * 0.75 / 1000.0).alias("query_duration_s"),
     )
 
 
