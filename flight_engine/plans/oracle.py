@@ -8,7 +8,7 @@ an ``E0`` suffix so DuckDB never switches to DECIMAL arithmetic.
 
 from __future__ import annotations
 
-from flight_engine.plans.catalog import EUROPE, FRESH_AS_OF, LIMIT_CASES, PACIFIC
+from flight_engine.plans.catalog import EUROPE, EXPECT_AS_OF, FRESH_AS_OF, LIMIT_CASES, PACIFIC
 from flight_engine.operators.metrics import (
     DB_DURATION_BOUNDS, DEFAULT_DURATION_BOUNDS, PAGE_SIZE_BOUNDS, bound_label,
 )
@@ -168,14 +168,14 @@ def _expectations() -> str:
         "hex_icao24": "NOT coalesce(regexp_matches(icao24, '^[0-9a-f]{6}$'), false)",
         "velocity_bounds": "velocity_kmh < 0 OR velocity_kmh > 1100.0E0",
         "null_callsign": "callsign IS NULL",
-        "no_future_timestamps": "timestamp > (SELECT max(timestamp) FROM dp) + 60",
+        "no_future_timestamps": f"timestamp > {EXPECT_AS_OF} + 60",
     }
     agg = ", ".join(f"count(*) FILTER (WHERE {c}) AS {k}" for k, c in checks.items())
     parts = []
     for k in checks:
         passed = (f"{k} <= total * 0.05E0" if k == "null_callsign" else f"{k} = 0")
         parts.append(f"SELECT '{k}' AS expectation, CAST({k} AS BIGINT) AS failures, total, {passed} AS passed FROM agg")
-    parts.append("SELECT 'recency' AS expectation, CAST(CASE WHEN newest >= newest - 3600 THEN 0 ELSE 1 END AS BIGINT), total, newest >= newest - 3600 FROM agg")
+    parts.append("SELECT 'recency' AS expectation, CAST(CASE WHEN newest >= {r} - 3600 THEN 0 ELSE 1 END AS BIGINT), total, newest >= {r} - 3600 FROM agg".format(r=EXPECT_AS_OF))
     parts.append("SELECT 'relationships_origin_country', CAST((SELECT count(*) FROM dp WHERE origin_country IS NOT NULL AND origin_country NOT IN (SELECT n_name FROM nation)) AS BIGINT), total, (SELECT count(*) FROM dp WHERE origin_country IS NOT NULL AND origin_country NOT IN (SELECT n_name FROM nation)) = 0 FROM agg")
     return with_base("\nUNION ALL ".join(parts),
                      f"dp AS (SELECT *, velocity * 3.6E0 AS velocity_kmh, {STATUS} AS status FROM dirty WHERE {HAS_POS})",
