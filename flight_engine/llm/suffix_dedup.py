@@ -314,12 +314,13 @@ def repeated_spans(docs: DataFrame, copies: str = "later") -> DataFrame:
     texts = _keyed(docs)
     found = stage(texts.mapInArrow(_anchor_rows, "gram long, ctx long, id long, h long, lo long, hi long, at int"), "lpf-anchors")
     twice = found.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
-    found = stage(found.join(twice, "gram"), "lpf-repeated")
+    # written first: between two plain exchanges Spark can split a hot gram's rows
+    found = stage(found.join(stage(twice, "lpf-grams"), "gram"), "lpf-repeated")
     release(spark)
 
     ctx = found.groupBy("gram", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "h", "lo", "hi", "at")).alias("r"))
     ctx = stage(ctx, "lpf-contexts")
-    several = ctx.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    several = stage(ctx.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "lpf-several")
     wanted = stage(ctx.join(several, "gram").select("gram", "ctx", "members", "r.*"), "lpf-wanted")
     contexts = stage(_context_bytes(texts, wanted), "lpf-bytes")
     release(spark)
