@@ -171,11 +171,26 @@ def pipeline_counters(states: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_health(rates: DataFrame, lag: DataFrame, lag_threshold: int) -> DataFrame:
-    """Per window: messages/s, backlog and an alert flag when backlog > threshold."""
+def backlog_age(messages: DataFrame, produced: str, consumed: str, seconds: int = 60) -> DataFrame:
+    """Per window: messages not consumed at its end and the age of the oldest, in seconds.
+
+    A message counts for the window ends that it is pending at, so the rows grow
+    with the time messages wait, not with pairs of windows.
+    """
+    p, c = F.col(produced), F.col(consumed)
+    first = p - F.pmod(p, F.lit(seconds)) + seconds
+    last = c - 1 - F.pmod(c - 1, F.lit(seconds))
+    pending = messages.where(last >= first).select(
+        p.alias("produced"), F.explode(F.sequence(first, last, F.lit(seconds).cast("bigint"))).alias("end"))
+    return (pending.groupBy((F.col("end") - seconds).alias("window_start"))
+            .agg(F.count(F.lit(1)).alias("pending"), (F.first("end") - F.min("produced")).alias("oldest_age_s")))
+
+
+def pipeline_health(rates: DataFrame, lag: DataFrame, ages: DataFrame, max_age_s: int = 300) -> DataFrame:
+    """Per window: messages/s, backlog, age of the oldest waiting message, alert when over ``max_age_s``."""
     r = rates.groupBy("window_start").agg(F.sum("n").alias("messages"))
-    return (lag.join(r, "window_start", "left").select(
+    age = F.coalesce(F.col("oldest_age_s"), F.lit(0))
+    return (lag.join(r, "window_start", "left").join(ages.select("window_start", "oldest_age_s"), "window_start", "left").select(
         "window_start",
         F.round(F.coalesce(F.col("messages"), F.lit(0)) / 60.0, 9).alias("messages_per_second"),
-        "lag", (F.col("lag") > F.lit(lag_threshold)).alias("lag_alert")))
-
+        "lag", age.alias("oldest_age_s"), (age > F.lit(max_age_s)).alias("lag_alert")))

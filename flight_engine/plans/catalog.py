@@ -483,10 +483,13 @@ def q_continuous_agg(spark, sf):
     return st.continuous_hourly(spark, states(spark, sf))
 
 
-def q_pipeline_health(spark, sf, lag_threshold=300):
-    rates = mt.rate_per_window(states(spark, sf, FAST).select(
-        F.col("timestamp").alias("ts"), F.lit("raw").alias("label")))
-    return mt.pipeline_health(rates, _lag(spark, sf), lag_threshold)
+def q_pipeline_health(spark, sf):
+    """Health against a consumer that takes up to ten minutes; over five is an alert."""
+    s = states(spark, sf, FAST)
+    rates = mt.rate_per_window(s.select(F.col("timestamp").alias("ts"), F.lit("raw").alias("label")))
+    consumed = history(spark, sf, FAST).withColumn("consumed_at", F.col("timestamp") + F.col("timestamp") % 601)
+    return mt.pipeline_health(rates, mt.consumer_lag(s, consumed, "timestamp", "consumed_at"),
+                              mt.backlog_age(consumed, "timestamp", "consumed_at"))
 
 
 def q_validate_schema(spark, sf):

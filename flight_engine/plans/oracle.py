@@ -401,8 +401,13 @@ ORACLE: dict[str, str] = {
     "bbox_filter_antimeridian": with_base(f"SELECT icao24, timestamp, time_position, longitude, latitude FROM hist WHERE latitude BETWEEN {PACIFIC[0]}E0 AND {PACIFIC[1]}E0 AND (longitude >= {PACIFIC[2]}E0 OR longitude <= {PACIFIC[3]}E0)"),
     "replay": with_base("SELECT * FROM hist"),
     "continuous_agg": with_base("SELECT timestamp - timestamp % 3600 AS hour_start, origin_country, count(*) AS states, round(sum(velocity_kmh) / count(velocity_kmh), 6) AS avg_velocity_kmh FROM hist GROUP BY 1, 2"),
-    "pipeline_health": with_base("""SELECT l.window_start, round(coalesce(r.messages, 0) / 60.0E0, 9) AS messages_per_second, l.lag, l.lag > 300 AS lag_alert
-  FROM lagq l LEFT JOIN (SELECT timestamp - timestamp % 60 AS window_start, count(*) AS messages FROM fs60 GROUP BY 1) r ON l.window_start = r.window_start"""),
+    "pipeline_health": with_base("""SELECT l.window_start, round(coalesce(r.messages, 0) / 60.0E0, 9) AS messages_per_second, l.lag,
+  CAST(coalesce(a.age, 0) AS BIGINT) AS oldest_age_s, coalesce(a.age, 0) > 300 AS lag_alert
+  FROM slow l LEFT JOIN (SELECT timestamp - timestamp % 60 AS window_start, count(*) AS messages FROM fs60 GROUP BY 1) r ON l.window_start = r.window_start
+  LEFT JOIN (SELECT e - 60 AS window_start, e - min(timestamp) AS age FROM (
+    SELECT timestamp, timestamp + timestamp % 601 AS c, unnest(generate_series(timestamp - timestamp % 60 + 60, timestamp + timestamp % 601, 60)) AS e FROM hist60)
+    WHERE e < c GROUP BY e) a ON l.window_start = a.window_start""",
+        next(x for x in BASE if x.startswith("lagq")).replace("lagq AS", "slow AS").replace("(time_position + 10)", "(timestamp + timestamp % 601)")),
     "validate_schema": with_base("SELECT timestamp % 11 <> 0 AS accepted, count(*) AS messages FROM fs GROUP BY 1"),
     "airline_lookup": with_base(f"SELECT icao24, timestamp, time_position, substr(trim(callsign), 1, 3) AS airline_code, a.airline_name FROM hist LEFT JOIN (VALUES {_airlines_values()}) a(airline_code, airline_name) ON substr(trim(hist.callsign), 1, 3) = a.airline_code"),
     "cell_center": with_base(f"SELECT icao24, timestamp, time_position, cell, round(floor(cell / 720) * 0.5E0 - 90.0E0 + 0.25E0, 6) AS center_lat, round((cell % 720) * 0.5E0 - 180.0E0 + 0.25E0, 6) AS center_lon FROM (SELECT *, {cell(0.5)} AS cell FROM hist)"),
