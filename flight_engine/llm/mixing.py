@@ -131,21 +131,27 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, per_domain: int = SAMPLE_
     return Classifier(domains, w)
 
 
-def posteriors(model: Classifier, docs: DataFrame):
-    """An expression of a text: its words and its posterior over the domains."""
+def posteriors(model: Classifier, docs: DataFrame, residuals: np.ndarray | None = None, ridge: float = RIDGE):
+    """An expression of a text: its words, its posterior over the domains and its rate.
+
+    The rate replays the residuals of the rounds so far (1 without any).
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    k = len(model.domains)
+    seen = np.empty((0, k)) if residuals is None else residuals
 
-    @F.arrow_udf(T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("p", T.ArrayType(T.DoubleType()))]))
+    @F.arrow_udf(T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("p", T.ArrayType(T.DoubleType())),
+                               T.StructField("rate", T.DoubleType())]))
     def predict(texts: pa.Array) -> pa.Array:
-        n, p = [np.empty(0, np.int64)], [np.empty((0, len(sent.value.domains)))]
+        n, p = [np.empty(0, np.int64)], [np.empty((0, k))]
         for _, data, offsets in tx.text_blocks(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
             a, b = sent.value.posteriors(data, offsets)
             n.append(a)
             p.append(b)
         n, p = np.concatenate(n), np.concatenate(p)
-        cuts = pa.array(np.arange(0, p.size + 1, p.shape[1], dtype=np.int32))
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.ListArray.from_arrays(cuts, pa.array(p.ravel()))],
-                                          ["n_tokens", "p"])
+        cuts = pa.array(np.arange(0, p.size + 1, k, dtype=np.int32))
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.ListArray.from_arrays(cuts, pa.array(p.ravel())),
+                                           pa.array(replay(p, seen, ridge)[0])], ["n_tokens", "p", "rate"])
 
     return predict
 
@@ -219,7 +225,7 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
     """doc_id, n_tokens, domain, its posterior, rate and copies of every document."""
     model = fit_classifier(docs, labels)
     members = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), posteriors(model, docs)(F.col("text")).alias("m"))
-                    .select("doc_id", "m.*"), "mix-members")
+                    .select("doc_id", "m.n_tokens", "m.p"), "mix-members")
     residuals = fit_rates(members, target_shares(model.domains, targets))
     best = F.array_position("p", F.array_max("p")).cast("int")
     rated = members.withColumn("rate", rate_of(model, residuals)(F.col("p")))
@@ -230,11 +236,10 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
 def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """The documents with one copy or more, all their columns, and mix_rate and mix_copies."""
     model = fit_classifier(docs, labels)
-    predict = posteriors(model, docs)
-    members = stage(docs.select(predict(F.col("text")).alias("m")).select("m.*"), "mix-members")
-    rate = rate_of(model, fit_rates(members, target_shares(model.domains, targets)))
-    own = docs.select(F.struct("*").alias("own_row"), predict(F.col("text")).alias("m"))
-    own = own.select("own_row", rate(F.col("m.p")).alias("mix_rate"))
+    members = stage(docs.select(posteriors(model, docs)(F.col("text")).alias("m")).select("m.n_tokens", "m.p"), "mix-members")
+    residuals = fit_rates(members, target_shares(model.domains, targets))
+    own = docs.select(F.struct("*").alias("own_row"), posteriors(model, docs, residuals)(F.col("text")).alias("m"))
+    own = own.select("own_row", F.col("m.rate").alias("mix_rate"))
     own = own.withColumn("mix_copies", copies(F.col("mix_rate"), F.col("own_row.doc_id")))
     clash = [c for c in ("mix_rate", "mix_copies") if c in docs.columns]
     kept = own.where("mix_copies > 0").select("own_row.*", "mix_rate", "mix_copies") if not clash else \

@@ -1,7 +1,7 @@
 """Vectorised text kernels shared by the operators: words, hashes, shingles.
 
-All kernels work on the data buffer of an Arrow string column, a block of a few
-MB at a time, so a task's memory follows the block (or the longest document),
+All kernels work on the data buffer of an Arrow string column, a block of a
+quarter MB at a time, so a task's memory follows the block (or the longest document),
 never the partition.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _HASH_BLOCK = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
