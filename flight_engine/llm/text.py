@@ -74,6 +74,8 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
             hi = min(n, max(hi, lo + 1))
             yield batch.slice(lo, hi - lo), data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
             lo = hi
+        # workers live on after a task; what Arrow holds for them counts against the executor
+        pa.default_memory_pool().release_unused()
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
