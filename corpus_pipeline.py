@@ -4,35 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flight_engine.llm.store import lean_batches
 from flight_engine.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the adaptive quality rules keep."""
+    lean_batches(spark)
     from flight_engine.llm.quality_rules import keep_documents
     return keep_documents(docs)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, similarity 0.8)."""
+    lean_batches(spark)
     from flight_engine.llm.ngram_join import one_per_group
     return one_per_group(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
+    lean_batches(spark)
     from flight_engine.llm.decontaminate import clean_documents
     return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind; n_chars follows the text."""
+    lean_batches(spark)
     from flight_engine.llm.pii import redact
     return redact(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with one copy or more at the target weights, with mix_rate and mix_copies."""
+    lean_batches(spark)
     from flight_engine.llm.mixing import mix_documents
     return mix_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 

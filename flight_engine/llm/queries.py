@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flight_engine.llm.store import lean_batches
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    lean_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -27,5 +27,17 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def hash_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Texts a batch between Spark and Python holds at most.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def lean_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Lower the session's Arrow batches to ``rows``, a memory setting without effect on results.
+
+    Rows that hold whole texts are wide: a batch of the usual 10,000 takes tens of
+    MB four times over, in the executor's buffers and in its Python workers.
+    """
+    now = int(spark.conf.get(_BATCH))
+    if now <= 0 or now > rows:
+        spark.conf.set(_BATCH, rows)
