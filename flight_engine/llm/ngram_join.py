@@ -38,7 +38,7 @@ DF_BUCKETS = 1 << 18
 #: Longest extension of a prefix, and the cost of a check in postings.
 MAX_MATCHES, CHECK_COST = 4, 20
 #: 64-bit words of the parity bitmap that bounds how many shingles two sets do not share.
-BITMAP_WORDS = 8
+BITMAP_WORDS = 16
 #: Size of the filter of hashed ids by which texts are passed over early.
 ID_SLOTS = 1 << 20
 
