@@ -37,10 +37,10 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with one copy or more at the target weights, with mix_rate and mix_copies."""
+    """Documents without the toxic and low-quality ones, at the target weights, with mix_rate and mix_copies."""
     lean_batches(spark)
-    from flight_engine.llm.mixing import mix_documents
-    return mix_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    from flight_engine.llm.mixing import CLEAN_TARGETS, mix_documents
+    return mix_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), CLEAN_TARGETS, keep_rest=True)
 
 
 STAGES = [

@@ -6,7 +6,9 @@ the domains (``quality`` x ``toxic``). Rates w >= 0 then minimise
     1/2 |sum_d w_d m_d p_d - target|^2 + ridge / 2 sum_d m_d (w_d - 1)^2
 
 where m_d is the document's share of all words and p_d its posterior: expected
-word totals per domain match the targets and rates stay near one. The gradient in
+word totals per domain match the targets and rates stay near one. Where domains
+are to be kept or dropped as a whole, rates are bounded besides: 1 or more for
+documents likeliest of a kept domain, 0 for those of a dropped one. The gradient in
 the m-weighted metric is p_d . r + ridge (w_d - 1) with one residual vector r for
 all documents, so accelerated projected gradient needs from the cluster only r, a
 sum over documents with one number per domain. A task replays the residuals so
@@ -39,6 +41,8 @@ DIMS = 1 << DIM_BITS
 SAMPLE_PER_DOMAIN = 1500
 #: Target share of the words of each domain; domains not named share what is left evenly.
 TARGETS = {"q1t0": 0.90}
+#: Targets of a corpus to train on: nothing of the toxic and the low-quality domains; the others keep their own share.
+CLEAN_TARGETS = {"q0t0": 0.0, "q0t1": 0.0, "q1t1": 0.0}
 RIDGE, MAX_ROUNDS, TOLERANCE = 1e-3, 60, 1e-5
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -131,10 +135,12 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, per_domain: int = SAMPLE_
     return Classifier(domains, w)
 
 
-def posteriors(model: Classifier, docs: DataFrame, residuals: np.ndarray | None = None, ridge: float = RIDGE):
+def posteriors(model: Classifier, docs: DataFrame, residuals: np.ndarray | None = None, ridge: float = RIDGE,
+               kept: np.ndarray | None = None):
     """An expression of a text: its words, its posterior over the domains and its rate.
 
-    The rate replays the residuals of the rounds so far (1 without any).
+    The rate replays the residuals of the rounds so far (1 without any). A second
+    column may give the number of the domain of texts whose domain is known.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     k = len(model.domains)
@@ -142,26 +148,35 @@ def posteriors(model: Classifier, docs: DataFrame, residuals: np.ndarray | None
 
     @F.arrow_udf(T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("p", T.ArrayType(T.DoubleType())),
                                T.StructField("rate", T.DoubleType())]))
-    def predict(texts: pa.Array) -> pa.Array:
+    def predict(texts: pa.Array, known: pa.Array) -> pa.Array:
         n, p = [np.empty(0, np.int64)], [np.empty((0, k))]
         for _, data, offsets in tx.text_blocks(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
             a, b = sent.value.posteriors(data, offsets)
             n.append(a)
             p.append(b)
         n, p = np.concatenate(n), np.concatenate(p)
+        told = known.fill_null(-1).to_numpy(zero_copy_only=False)
+        p[told >= 0] = np.eye(k)[told[told >= 0]]
         cuts = pa.array(np.arange(0, p.size + 1, k, dtype=np.int32))
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.ListArray.from_arrays(cuts, pa.array(p.ravel())),
-                                           pa.array(replay(p, seen, ridge)[0])], ["n_tokens", "p", "rate"])
+                                           pa.array(replay(p, seen, ridge, kept)[0])], ["n_tokens", "p", "rate"])
 
-    return predict
+    return lambda text, known=None: predict(text, F.lit(None).cast("int") if known is None else known)
 
 
-def replay(p: np.ndarray, residuals: np.ndarray, ridge: float) -> tuple[np.ndarray, np.ndarray]:
+def _limits(p: np.ndarray, kept: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest rate: at least 1 where the likeliest domain is a kept one, else 0; any without ``kept``."""
+    best = np.zeros(len(p), dtype=bool) if kept is None else kept[p.argmax(axis=1)]
+    return np.where(best, 1.0, 0.0), np.where(best | (kept is None), np.inf, 0.0)
+
+
+def replay(p: np.ndarray, residuals: np.ndarray, ridge: float, kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rates of documents with posteriors p after these rounds, and their look-ahead point."""
-    w = ahead = np.ones(len(p))
+    least, most = _limits(p, kept)
+    w = ahead = np.clip(np.ones(len(p)), least, most)
     t = 1.0
     for r in residuals:
-        nxt = np.maximum(0.0, ahead - (p @ r + ridge * (ahead - 1)) / (1 + ridge))
+        nxt = np.clip(ahead - (p @ r + ridge * (ahead - 1)) / (1 + ridge), least, most)
         t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
         ahead, w, t = nxt + (t - 1) / t_next * (nxt - w), nxt, t_next
     return w, ahead
@@ -172,7 +187,7 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
 
 
 def fit_rates(members: DataFrame, target: np.ndarray, ridge: float = RIDGE, rounds: int = MAX_ROUNDS,
-              tolerance: float = TOLERANCE) -> np.ndarray:
+              tolerance: float = TOLERANCE, kept: np.ndarray | None = None) -> np.ndarray:
     """The residuals of each round over ``members(n_tokens, p)``; ``replay`` turns them into rates."""
     total = members.agg(F.sum("n_tokens")).first()[0] or 0
     k, seen = len(target), np.empty((0, len(target)))
@@ -181,7 +196,7 @@ def fit_rates(members: DataFrame, target: np.ndarray, ridge: float = RIDGE, roun
             acc = np.zeros(k)
             for b in batches:
                 p = _matrix(b.column("p"), k)
-                acc += (replay(p, seen, ridge)[1] * np.asarray(b.column("n_tokens"))) @ p
+                acc += (replay(p, seen, ridge, kept)[1] * np.asarray(b.column("n_tokens"))) @ p
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, dtype=np.int32)), pa.array(acc)], ["k", "s"])
 
         rows = members.select("n_tokens", "p").mapInArrow(sums, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
@@ -204,6 +219,25 @@ def target_shares(domains: list[str], targets: dict[str, float] | None = None) -
     return out / out.sum() if out.sum() else np.full(len(domains), 1 / len(domains))
 
 
+def own_shares(members: DataFrame, k: int) -> np.ndarray:
+    """Expected share of the words of each domain in ``members(n_tokens, p)``."""
+    r = members.agg(F.sum("n_tokens"), *[F.sum(F.col("n_tokens") * F.get("p", F.lit(i))) for i in range(k)]).first()
+    return np.array([x or 0.0 for x in r[1:]]) / (r[0] or 1)
+
+
+def keeping_targets(members: DataFrame, domains: list[str], dropped: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Targets and kept domains: those named take their target, the others their own share.
+
+    A domain is kept unless its target is 0; where labels know no other domain than
+    those, they cannot tell what to keep, and every one is kept.
+    """
+    own = own_shares(members, len(domains))
+    kept = np.array([dropped.get(d) != 0 for d in domains])
+    if not kept.any():
+        return own, ~kept
+    return np.array([dropped.get(d, s) for d, s in zip(domains, own)]), kept
+
+
 def rate_of(model: Classifier, residuals: np.ndarray, ridge: float = RIDGE):
     """An expression of a posterior: the document's rate."""
     k = len(model.domains)
@@ -233,13 +267,37 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
                         F.array_max("p").alias("p_domain"), "p", "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
 
-def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """The documents with one copy or more, all their columns, and mix_rate and mix_copies."""
-    model = fit_classifier(docs, labels)
-    members = stage(docs.select(posteriors(model, docs)(F.col("text")).alias("m")).select("m.n_tokens", "m.p"), "mix-members")
-    residuals = fit_rates(members, target_shares(model.domains, targets))
-    own = docs.select(F.struct("*").alias("own_row"), posteriors(model, docs, residuals)(F.col("text")).alias("m"))
-    own = own.select("own_row", F.col("m.rate").alias("mix_rate"))
+def known_domains(labels: DataFrame, domains: list[str], targets: dict[str, float]) -> DataFrame:
+    """(label_id, known, gone): number of a labelled document's domain, and whether its target is 0.
+
+    Of several labels of one document, one with target 0 counts.
+    """
+    code = F.create_map(*[F.lit(x) for i, d in enumerate(domains) for x in (d, i)])
+    gone = F.col("domain").isin([d for d, w in targets.items() if w == 0])
+    return (label_domains(labels).groupBy("label_id").agg(F.max(F.struct(gone.alias("gone"), 
+        F.try_element_at(code, F.col("domain")).alias("known"))).alias("m")).select("label_id", "m.known", "m.gone"))
+
+
+def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, keep_rest: bool = False) -> DataFrame:
+    """The documents with one copy or more, all their columns, and mix_rate and mix_copies.
+
+    With ``keep_rest``, domains that ``targets`` does not name keep their own share
+    of the words, a document that is likeliest of a kept domain has a rate of 1 or
+    more, and one that is likeliest of a domain with target 0 goes. The domain of
+    labelled documents is then their label's.
+    """
+    model, targets = fit_classifier(docs, labels), targets or TARGETS
+    rows = docs.select(F.struct("*").alias("own_row"))
+    known, gone = None, F.lit(False)
+    if keep_rest:
+        rows = rows.join(known_domains(labels, model.domains, targets), F.col("own_row.doc_id").cast("long") == F.col("label_id"), "left")
+        known, gone = F.col("known"), F.coalesce("gone", F.lit(False))
+    text = F.col("own_row.text")
+    members = stage(rows.select(posteriors(model, docs)(text, known).alias("m")).select("m.n_tokens", "m.p"), "mix-members")
+    target, kept = keeping_targets(members, model.domains, targets) if keep_rest else (target_shares(model.domains, targets), None)
+    residuals = fit_rates(members, target, kept=kept)
+    own = rows.select("own_row", gone.alias("gone"), posteriors(model, docs, residuals, kept=kept)(text, known).alias("m"))
+    own = own.select("own_row", F.when(F.col("gone"), 0.0).otherwise(F.col("m.rate")).alias("mix_rate"))
     own = own.withColumn("mix_copies", copies(F.col("mix_rate"), F.col("own_row.doc_id")))
     clash = [c for c in ("mix_rate", "mix_copies") if c in docs.columns]
     kept = own.where("mix_copies > 0").select("own_row.*", "mix_rate", "mix_copies") if not clash else \

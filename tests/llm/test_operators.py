@@ -298,6 +298,26 @@ def test_mixing_query(spark):
     assert abs(share - 0.9) < 0.02
 
 
+def test_pipeline_mixing_drops_toxic_documents_and_keeps_clean_ones(spark):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    rows = {r.doc_id: r for r in corpus_pipeline.mixing(spark, docs, SF_MID).select("doc_id", "mix_rate", "mix_copies").collect()}
+    labels = pq.read_table(f"{SF_MID}/labels.parquet").to_pylist()
+    clean = {r["doc_id"] for r in labels if (r["quality"], r["toxic"]) == (1, 0)}
+    other = {r["doc_id"] for r in labels} - clean
+    assert clean and other and clean <= set(rows) and not other & set(rows)
+    assert all(1 <= r.mix_rate < 1.1 and r.mix_copies >= 1 for r in rows.values())
+    assert len(rows) > 0.8 * 1000
+
+
+def test_labels_of_dropped_domains_alone_drop_only_their_documents(spark):
+    from flight_engine.llm.mixing import CLEAN_TARGETS, mix_documents
+    docs = spark.createDataFrame([(i, f"some plain words number {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(3, 1, 1), (4, 0, 0), (5, 1, 1)], "doc_id long, quality int, toxic int")
+    got = mix_documents(docs, labels, CLEAN_TARGETS, keep_rest=True).collect()
+    assert {r.doc_id for r in got} == set(range(20)) - {3, 4, 5}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_equal_their_sql(spark, name):
     import duckdb
