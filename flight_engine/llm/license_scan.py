@@ -1,11 +1,13 @@
 """Licence scan with a positional rare-token index.
 
-Template postings give, for each licence word, the templates and positions that
-hold it. A file's highest-IDF licence words (IDF over the whole corpus) are
-looked up; every occurrence at p of a word that a template holds at q votes for
-(template, p - q). Alignments on which enough rare words agree are verified: the
-template's mandatory key phrases must stand there word for word, and the
-IDF-weighted share of template words in place is the score.
+Postings give, for the highest-IDF word of each template's key phrases (IDF over
+the whole corpus), the template, the phrase and the word's position in it. Each
+rare word that a file has is looked up; where the phrases around it stand word for
+word, every alignment (template, start) that covers the place with the fewest is
+counted: the template's words in place vote for it. Alignments on which enough
+words agree are verified: all mandatory key phrases must stand within, and the
+IDF-weighted share of template words in place is the score. An alignment without
+its key phrases has no label, so none is missed, however many notices a file holds.
 
 Defined results: null or empty text has no words, no label and score 0; repeated
 rows are scanned row by row; extra columns are ignored; an empty table gives an
@@ -71,8 +73,10 @@ TEMPLATES = [
      ["free and unencumbered software"]),
 ]
 
-#: Rare licence words looked up in a file, alignments' least votes, least score of a label.
-RARE_WORDS, MIN_VOTES, MIN_SCORE = 8, 2, 0.6
+#: Alignments' least votes, least score of a label.
+MIN_VOTES, MIN_SCORE = 2, 0.6
+#: Alignments counted at a time.
+BLOCK_STARTS = 1 << 14
 
 RESULT = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_base", T.LongType()),
@@ -137,39 +141,55 @@ class Index:
     def __init__(self, idf: dict[str, float]):
         self.idf = np.array([idf[w] for w in _WORDS])
         self.templates = [(label, np.array(_ids(t)), [_ids(p) for p in keys]) for label, t, keys in TEMPLATES]
-        self.postings: dict[int, list[tuple[int, int]]] = {}
-        for t, (_, words, _) in enumerate(self.templates):
-            for q, w in enumerate(words):
-                self.postings.setdefault(int(w), []).append((t, q))
+        #: Rarest word of a key phrase -> (template, phrase, position of the word).
+        self.postings: dict[int, list[tuple[int, int, int]]] = {}
+        for t, (_, _, phrases) in enumerate(self.templates):
+            for j, phrase in enumerate(phrases):
+                q = max(range(len(phrase)), key=lambda i: self.idf[phrase[i]])
+                self.postings.setdefault(phrase[q], []).append((t, j, q))
         #: A file without any of these cannot hold any template's key phrases.
-        self.needed = np.unique([max((w for p in keys for w in p), key=lambda w: self.idf[w])
-                                 for _, _, keys in self.templates])
+        self.needed = np.array(sorted(self.postings))
+
+    def _phrases(self, ids: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
+        """Starts of each key phrase (template, phrase) that stands in a file."""
+        out = {}
+        at = np.flatnonzero(np.isin(ids, self.needed))
+        for w in np.unique(ids[at]):
+            p = at[ids[at] == w]
+            for t, j, q in self.postings[int(w)]:
+                phrase = self.templates[t][2][j]
+                start = p - q
+                start = start[(start >= 0) & (start + len(phrase) <= len(ids))]
+                for i, x in enumerate(phrase):
+                    start = start[ids[start + i] == x]
+                if len(start):
+                    out[t, j] = start
+        return out
 
     def labels(self, ids: np.ndarray) -> dict[str, float]:
         """Verified labels of a file's word numbers, with their scores."""
-        at = np.flatnonzero(ids >= 0)
-        words = ids[at]
-        present = np.unique(words)
-        rare = present[np.argsort(-self.idf[present], kind="stable")][:RARE_WORDS]
-        votes: list[np.ndarray] = []
-        for w in rare:
-            p = at[words == w]
-            votes += [t * (1 << 40) + (p - q + (1 << 20)) for t, q in self.postings.get(int(w), ())]
-        if not votes:
-            return {}
-        keys, n = np.unique(np.concatenate(votes), return_counts=True)
+        found = self._phrases(ids)
         out: dict[str, float] = {}
-        for key in keys[n >= MIN_VOTES]:
-            label, words, phrases = self.templates[key >> 40]
-            start = int(key & ((1 << 40) - 1)) - (1 << 20)
-            spot = start + np.arange(len(words))
-            inside = (spot >= 0) & (spot < len(ids))
-            right = np.zeros(len(words), dtype=bool)
-            right[inside] = ids[spot[inside]] == words[inside]
-            score = float(self.idf[words[right]].sum() / self.idf[words].sum())
-            window = ids[max(start, 0):start + len(words)]
-            if score >= MIN_SCORE and all(len(_found(window, p)) for p in phrases):
-                out[label] = max(out.get(label, 0.0), score)
+        for t, (label, words, phrases) in enumerate(self.templates):
+            places = [found.get((t, j)) for j in range(len(phrases))]
+            if any(p is None for p in places):
+                continue
+            anchor = min(range(len(phrases)), key=lambda j: len(places[j]))
+            slack = np.arange(len(words) - len(phrases[anchor]) + 1)
+            for lo in range(0, len(places[anchor]), BLOCK_STARTS // len(slack) + 1):
+                part = places[anchor][lo:lo + BLOCK_STARTS // len(slack) + 1]
+                start = np.unique(part[:, None] - slack)
+                for p, phrase in zip(places, phrases):
+                    # the first place at or after the start has to end within the template's length
+                    first = p[np.minimum(np.searchsorted(p, start), len(p) - 1)]
+                    start = start[(first >= start) & (first + len(phrase) <= start + len(words))]
+                spot = start[:, None] + np.arange(len(words))
+                inside = (spot >= 0) & (spot < len(ids))
+                right = inside & (ids[np.clip(spot, 0, len(ids) - 1)] == words)
+                missed = np.where(right, 0.0, self.idf[words]).sum(axis=1)
+                score = (1 - missed / self.idf[words].sum())[right.sum(axis=1) >= MIN_VOTES]
+                if len(score) and score.max() >= MIN_SCORE:
+                    out[label] = max(out.get(label, 0.0), float(score.max()))
         return out
 
 

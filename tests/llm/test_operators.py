@@ -142,6 +142,45 @@ def test_licence_scan_verifies_key_phrases_in_place(spark):
     assert got[1].score == 1.0 and got[2].score == 0.0
 
 
+def test_licence_scan_finds_every_notice_of_a_long_file(spark):
+    from flight_engine.llm.license_scan import BASE, TEMPLATES, scan_licences
+    filler = " ".join(f"plain{i}" for i in range(40))
+    every = f" {filler} ".join(t for _, t, _ in TEMPLATES)
+    # rare licence words by themselves, then one notice of common ones
+    loose = " ".join(f"{w} {filler}" for w in ("affero", "lesser", "mozilla", "unencumbered", "noncommercial", "dedication", "universal",
+                                               "creative", "commons", "endorse", "redistribution", "contributors"))
+    gpl = "this work is licensed under the gnu general public license version 3"
+    rows = [(1, every), (2, f"{loose} {gpl} {filler}"), (3, loose), (4, " ".join(reversed(every.split()))), (5, gpl[10:])]
+    rows += [(10 + i, f"{gpl} some plain words number {i}") for i in range(50)]
+    got = by_id(scan_licences(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got[1].labels == ",".join(sorted({x for x, _, _ in TEMPLATES} | {x for _, x in BASE})) and got[1].score == 1.0
+    assert (got[2].labels, got[2].score) == ("gpl-3", 1.0)
+    assert [got[i].labels for i in (3, 4, 5)] == ["", "", "gpl-3"]
+
+
+def test_licence_alignments_equal_trying_every_start():
+    import numpy as np
+    from flight_engine.llm import license_scan as ls
+    rng = np.random.default_rng(3)
+    index = ls.Index({w: 1 + 5 * rng.random() for w in ls._WORDS})
+    for _ in range(60):
+        parts = []
+        for k in rng.integers(0, len(ls.TEMPLATES), 6):
+            w = index.templates[k][1].copy()
+            w[rng.random(len(w)) < 0.1] = -1
+            parts += [w[rng.integers(0, 3):], np.full(rng.integers(0, 4), -1)]
+        ids, want = np.concatenate(parts), {}
+        for label, words, phrases in index.templates:
+            for start in range(-len(words), len(ids)):
+                window = ids[max(start, 0):max(start + len(words), 0)]
+                right = np.array([0 <= start + i < len(ids) and ids[start + i] == w for i, w in enumerate(words)])
+                score = index.idf[words[right]].sum() / index.idf[words].sum()
+                if right.sum() >= ls.MIN_VOTES and score >= ls.MIN_SCORE and all(len(ls._found(window, p)) for p in phrases):
+                    want[label] = max(want.get(label, 0.0), score)
+        got = index.labels(ids)
+        assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in want)
+
+
 def test_secret_spans_equal_brute_force(spark):
     got = by_id(QUERIES["op3_secret_scan"](spark, SF_MID))
     for i, t in docs_of(SF_MID):
