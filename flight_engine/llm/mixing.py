@@ -13,6 +13,9 @@ the m-weighted metric is p_d . r + ridge (w_d - 1) with one residual vector r fo
 all documents, so accelerated projected gradient needs from the cluster only r, a
 sum over documents with one number per domain. A task replays the residuals so
 far to have its documents' rates, so nothing is kept between rounds on executors.
+Where the rounds end short of the optimum (rare domains are slow), Newton steps on
+the dual, a function of the residual alone, go on to the tolerance: there the rate
+is 1 - p_d . r / ridge within its bounds and r is what the totals miss.
 
 Defined results: null or empty texts have 0 words and the posterior of a wordless
 text; labels with a null are not learnt from; a repeated doc_id in labels gives a
@@ -23,6 +26,7 @@ empty result.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -188,7 +192,7 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
 
 def fit_rates(members: DataFrame, target: np.ndarray, ridge: float = RIDGE, rounds: int = MAX_ROUNDS,
               tolerance: float = TOLERANCE, kept: np.ndarray | None = None) -> np.ndarray:
-    """The residuals of each round over ``members(n_tokens, p)``; ``replay`` turns them into rates."""
+    """A residual over ``members(n_tokens, p)`` that ``replay`` turns into the rates of the optimum, within the tolerance."""
     total = members.agg(F.sum("n_tokens")).first()[0] or 0
     k, seen = len(target), np.empty((0, len(target)))
     for _ in range(rounds if total else 0):
@@ -208,7 +212,61 @@ def fit_rates(members: DataFrame, target: np.ndarray, ridge: float = RIDGE, roun
         seen = np.vstack([seen, residual])
         if still:
             break
-    return seen
+    if not len(seen):
+        return seen
+    best, miss = _newton(members, seen[-1], target, total, ridge, kept, tolerance)
+    if miss >= tolerance:
+        warnings.warn(f"mixing rates stop {miss:.2g} of the words from the optimum")
+    # from rates of one, a single round with this residual is the optimum's rate
+    return best[None, :] * (1 + ridge) / ridge
+
+
+def _dual(members: DataFrame, r: np.ndarray, target: np.ndarray, total: int, ridge: float,
+          kept: np.ndarray | None) -> tuple[float, np.ndarray, np.ndarray]:
+    """The dual at residual r, its gradient (r less what the totals miss) and its Hessian."""
+    k = len(target)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc = np.zeros(1 + k + k * k)
+        for b in batches:
+            p, n = _matrix(b.column("p"), k), np.asarray(b.column("n_tokens")).astype(float)
+            least, most = _limits(p, kept)
+            s = p @ r
+            free = 1 - s / ridge
+            w = np.clip(free, least, most)
+            part = p[(free > least) & (free < most)]
+            acc[0] += n @ (ridge / 2 * (w - 1) ** 2 + w * s)
+            acc[1:1 + k] += (w * n) @ p
+            acc[1 + k:] += (part.T @ (part * n[(free > least) & (free < most), None])).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(acc), dtype=np.int32)), pa.array(acc)], ["k", "s"])
+
+    rows = members.select("n_tokens", "p").mapInArrow(sums, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
+    got = np.zeros(1 + k + k * k)
+    for x in rows:
+        got[x["k"]] = x["s"] / total
+    return (r @ r / 2 + r @ target - got[0], r + target - got[1:1 + k],
+            np.eye(k) + got[1 + k:].reshape(k, k) / ridge)
+
+
+def _newton(members: DataFrame, r: np.ndarray, target: np.ndarray, total: int, ridge: float, kept: np.ndarray | None,
+            tolerance: float) -> tuple[np.ndarray, float]:
+    """The residual of the optimum and the greatest share of the words by which it is missed.
+
+    The dual is strongly convex and quadratic in pieces, so damped steps end at the
+    optimum after a few; only rounding can stop them before.
+    """
+    value, slope, bend = _dual(members, r, target, total, ridge, kept)
+    while np.abs(slope).max() >= tolerance:
+        step, size = -np.linalg.solve(bend, slope), 1.0
+        while size > 1e-9:
+            tried = _dual(members, r + size * step, target, total, ridge, kept)
+            if tried[0] <= value + 1e-4 * size * (slope @ step) or np.abs(tried[1]).max() < tolerance:
+                break
+            size /= 2
+        else:
+            break
+        r, (value, slope, bend) = r + size * step, tried
+    return r, float(np.abs(slope).max())
 
 
 def target_shares(domains: list[str], targets: dict[str, float] | None = None) -> np.ndarray:
@@ -255,16 +313,42 @@ def copies(rate: Column, key: Column) -> Column:
             .otherwise(0)).cast("long")
 
 
-def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """doc_id, n_tokens, domain, its posterior, rate and copies of every document."""
+def _rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None) -> tuple[DataFrame, list[str], np.ndarray]:
+    """Rates of every document, the domains of its posterior and their targets."""
     model = fit_classifier(docs, labels)
     members = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), posteriors(model, docs)(F.col("text")).alias("m"))
                     .select("doc_id", "m.n_tokens", "m.p"), "mix-members")
-    residuals = fit_rates(members, target_shares(model.domains, targets))
+    target = target_shares(model.domains, targets)
+    residuals = fit_rates(members, target)
     best = F.array_position("p", F.array_max("p")).cast("int")
     rated = members.withColumn("rate", rate_of(model, residuals)(F.col("p")))
     return rated.select("doc_id", "n_tokens", F.element_at(F.array(*map(F.lit, model.domains)), best).alias("domain"),
-                        F.array_max("p").alias("p_domain"), "p", "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+                        F.array_max("p").alias("p_domain"), "p", "rate",
+                        copies(F.col("rate"), F.col("doc_id")).alias("copies")), model.domains, target
+
+
+def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """doc_id, n_tokens, domain, its posterior, rate and copies of every document."""
+    return _rated(docs, labels, targets)[0]
+
+
+def mixing_totals(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """The reached totals of ``mixing_rates`` beside the targets, a row a domain."""
+    return reached_totals(*_rated(docs, labels, targets))
+
+
+def reached_totals(rated: DataFrame, domains: list[str], target: np.ndarray) -> DataFrame:
+    """(domain, target, reached, drawn): shares of the words by the rates and by the copies of ``rated``.
+
+    One row a domain, in parts of all words of the documents before mixing.
+    """
+    part = F.posexplode(F.transform("p", lambda x: F.col("n_tokens") * x)).alias("k", "words")
+    sums = (rated.select("n_tokens", "rate", "copies", part)
+            .groupBy("k").agg(F.sum(F.col("rate") * F.col("words")).alias("r"), F.sum(F.col("copies") * F.col("words")).alias("c"),
+                              F.sum("n_tokens").alias("n")))
+    names = F.array(*map(F.lit, domains))
+    return sums.select(F.get(names, F.col("k")).alias("domain"), F.get(F.array(*[F.lit(float(x)) for x in target]), F.col("k")).alias("target"),
+                       (F.col("r") / F.col("n")).alias("reached"), (F.col("c") / F.col("n")).alias("drawn"))
 
 
 def known_domains(labels: DataFrame, domains: list[str], targets: dict[str, float]) -> DataFrame:

@@ -337,6 +337,43 @@ def test_mixing_query(spark):
     assert abs(share - 0.9) < 0.02
 
 
+@pytest.mark.parametrize("rare", [0.0005, 0.03])
+@pytest.mark.parametrize("kept", [None, [True, False, False, False]])
+def test_mixing_rates_are_the_optimum_for_rare_domains(spark, rare, kept):
+    import numpy as np
+    from flight_engine.llm import mixing
+    rng = np.random.default_rng(4)
+    kind = rng.choice(4, 4000, p=[0.88 - rare, rare, 0.02, 0.1])
+    p = 0.97 * np.eye(4)[kind] + 0.03 * rng.dirichlet([0.3] * 4, 4000)
+    n = rng.integers(10, 500, 4000)
+    members = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p)], "n_tokens long, p array<double>").repartition(4)
+    kept = None if kept is None else np.array(kept)
+    target = np.array([0.9, 0.1 / 3, 0.1 / 3, 0.1 / 3]) if kept is None else np.array([0.88, 0, 0, 0])
+    w = mixing.replay(p, mixing.fit_rates(members, target, kept=kept), mixing.RIDGE, kept)[0]
+    least, most = (np.zeros(4000), np.full(4000, np.inf)) if kept is None else (np.where(kept[kind], 1, 0), np.where(kept[kind], np.inf, 0))
+    # plain gradient steps with constant momentum, on until nothing moves
+    m, best, ahead, root = n / n.sum(), np.ones(4000), np.ones(4000), (mixing.RIDGE / (1 + mixing.RIDGE)) ** 0.5
+    for _ in range(3000):
+        r = (ahead * m) @ p - target
+        nxt = np.clip(ahead - (p @ r + mixing.RIDGE * (ahead - 1)) / (1 + mixing.RIDGE), least, most)
+        ahead, best = nxt + (1 - root) / (1 + root) * (nxt - best), nxt
+    assert np.abs((w * m) @ p - (best * m) @ p).max() < 2 * mixing.TOLERANCE
+    assert (w >= least).all() and (w <= most).all()
+
+
+def test_mixing_totals_stand_beside_the_targets(spark):
+    from flight_engine.llm.mixing import mixing_rates, mixing_totals
+    docs, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
+    rows = mixing_rates(docs, labels).collect()
+    words = sum(r.n_tokens for r in rows)
+    got = {r.domain: r for r in mixing_totals(docs, labels).collect()}
+    assert sorted(got) == ["q0t0", "q0t1", "q1t0", "q1t1"] and abs(sum(r.target for r in got.values()) - 1) < 1e-9
+    for k, d in enumerate(sorted(got)):
+        assert abs(got[d].reached - sum(r.rate * r.n_tokens * r.p[k] for r in rows) / words) < 1e-6
+        assert abs(got[d].drawn - sum(r.copies * r.n_tokens * r.p[k] for r in rows) / words) < 1e-6
+        assert abs(got[d].reached - got[d].target) < 0.1 * got[d].target
+
+
 def test_pipeline_mixing_drops_toxic_documents_and_keeps_clean_ones(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
