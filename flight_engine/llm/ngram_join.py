@@ -82,6 +82,11 @@ def _parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _identity(s: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set; zeros for the empty one."""
+    return (int(tx.mix(s).sum()), int(tx.mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum())) if len(s) else (0, 0)
+
+
 def _signatures(docs: DataFrame, counters: np.ndarray, k: int, num: int, den: int) -> DataFrame:
     """doc_id, n, 128-bit set identity (s1, s2), l and the prefix tokens in order."""
     buckets = len(counters)
@@ -96,8 +101,9 @@ def _signatures(docs: DataFrame, counters: np.ndarray, k: int, num: int, den: in
             for s in doc_shingles(data, offsets, k):
                 m = len(s)
                 n.append(m)
-                s1.append(int(tx.mix(s).sum()) if m else 0)
-                s2.append(int(tx.mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()) if m else 0)
+                a, b = _identity(s)
+                s1.append(a)
+                s2.append(b)
                 bits.append(_parity(s))
                 need = -(-num * m // den)
                 token = np.sort((rank[_bucket(s, buckets)] << np.uint64(58)) | (s >> np.uint64(6)))
@@ -231,8 +237,11 @@ def _check(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return joined.select("a", "b", "x_set", "y_set").mapInArrow(check, "a long, b long, linked boolean")
 
 
-def similar_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document, linked at num / den or more."""
+def _memberships(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' signatures, and each set's group: (s1, s2, component, component_id).
+
+    Groups of different sets can have one least doc_id; their components differ.
+    """
     spark = docs.sparkSession
     signed = stage(_signatures(docs, df_counters(docs, k), k, num, den), "ngram-signed")
     classes = _classes(signed)
@@ -282,19 +291,60 @@ def similar_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     member = classes.select("s1", "s2", "node", "id").join(groups, "node", "left")
     member = member.withColumn("component", F.coalesce("component", "node"))
     least = member.groupBy("component").agg(F.min("id").alias("component_id"))
-    member = stage(member.join(least, "component").select("s1", "s2", "component_id"), "ngram-members")
+    member = stage(member.join(least, "component").select("s1", "s2", "component", "component_id"), "ngram-members")
     release(spark)
+    return signed, member
+
+
+def _grouped(signed: DataFrame, member: DataFrame) -> DataFrame:
+    """The rows' signatures with component and component_id, the row's own doc_id where nothing links."""
     return (signed.select("doc_id", "n", F.expr("if(n > 0 and doc_id is not null, s1, null)").alias("s1"), "s2")
-            .join(member, ["s1", "s2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+            .join(member, ["s1", "s2"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id")))
+
+
+def similar_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document, linked at num / den or more."""
+    return _grouped(*_memberships(docs, k, num, den)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _set_of(k: int):
+    """An expression of a text: the identity (s1, s2) of its set."""
+
+    @F.arrow_udf("struct<s1: long, s2: long>")
+    def identity(texts: pa.Array) -> pa.Array:
+        s1, s2 = [], []
+        for _, data, offsets in tx.text_blocks(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
+            for s in doc_shingles(data, offsets, k):
+                a, b = _identity(s)
+                s1.append(a)
+                s2.append(b)
+        return pa.StructArray.from_arrays([pa.array(np.array(s, dtype=np.uint64).view(np.int64)) for s in (s1, s2)], ["s1", "s2"])
+
+    return identity
 
 
 def one_per_group(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents whose id is their group's least; of repeated rows of an id one stays.
+    """A row of each group: one of the group's least id. Rows without an id stay.
 
-    Rows without an id stay.
+    Where one doc_id stands on several texts, each goes or stays with its own
+    group; repeated rows of one id and one set are one row.
     """
-    found = similar_components(docs, k, num, den).where("doc_id = component_id").select(
-        F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.where("doc_id is not null").join(found, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    signed, member = _memberships(docs, k, num, den)
+    # wordless texts have no component; those of one id are one row
+    first = (_grouped(signed, member).where("doc_id = component_id").groupBy("component", "doc_id")
+             .agg(F.min(F.struct(F.coalesce("s1", F.lit(0)).alias("s1"), F.when(F.col("s1").isNotNull(), F.col("s2")).otherwise(0).alias("s2"))).alias("s"))
+             .select(F.col("doc_id").alias("kept_id"), "s"))
+    first = stage(first, "ngram-first")
+    no_id, own_id = docs.where("doc_id is null"), F.col("doc_id").cast("long")
+    many = stage(signed.where("doc_id is not null").groupBy(F.col("doc_id").alias("many_id")).agg(F.count(F.lit(1)).alias("c"))
+                 .where("c > 1").select("many_id"), "ngram-repeated")
+    named = docs.where("doc_id is not null")
+    once = named.join(first.select("kept_id").distinct(), own_id == F.col("kept_id"), "left_semi")
+    if not many.take(1):
+        return once.unionByName(no_id)
+    once = once.join(many, own_id == F.col("many_id"), "left_anti")
+    rows = named.select(F.struct("*").alias("own_row")).join(many, F.col("own_row.doc_id").cast("long") == F.col("many_id"))
+    rows = rows.select("own_row", "many_id", _set_of(k)(F.col("own_row.text")).alias("own_set"))
+    rows = rows.join(first, (F.col("many_id") == F.col("kept_id")) & (F.col("own_set") == F.col("s")), "left_semi")
+    rows = rows.dropDuplicates(["many_id", "own_set"]).select("own_row.*")
+    return once.unionByName(rows).unionByName(no_id)

@@ -53,6 +53,18 @@ def test_ngram_join_ids_with_several_texts(spark):
     assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
 
 
+def test_one_per_group_of_ids_with_several_texts(spark):
+    from flight_engine.llm.ngram_join import one_per_group
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    # 5 stands on a near copy of 3 and on two texts of its own; 6 copies one of those; 7 is wordless twice
+    rows = [(3, a), (5, a + " more"), (5, b), (5, b), (5, c), (6, c + " more"), (7, ""), (7, " "), (8, d), (8, d + " more"), (None, a), (9, "few words")]
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = sorted(((r.doc_id or 0, (r.text or "").strip()) for r in one_per_group(df).collect()))
+        assert [x for x in got if x[0] != 8] == [(0, a), (3, a), (5, b), (5, c), (7, ""), (9, "few words")]
+        assert len([x for x in got if x[0] == 8]) == 1
+
+
 @pytest.mark.parametrize("max_bucket", [128, 2])
 def test_suffix_dedup_equals_brute_force(spark, monkeypatch, max_bucket):
     from flight_engine.llm import suffix_dedup as sd
