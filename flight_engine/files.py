@@ -22,6 +22,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate folder when the application ends."""
+    fs, p = _fs(spark, path)
+    fs.deleteOnExit(p)
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path`` (partition values of one level)."""
     fs, p = _fs(spark, path)

@@ -1,7 +1,7 @@
 """Anomaly detection: ghosts, jumps, descents, outliers, congestion,
 coverage gaps, latest state, data-quality flags and the alert union.
 
-Per-aircraft ordering goes through ``with_previous`` (time-bucketed, so
+Per-aircraft ordering goes through ``with_previous`` (range-partitioned, so
 a hot icao24 is spread over many tasks); per-key reductions use
 aggregates with map-side partial combine (``max_by``) instead of
 ``row_number`` windows over whole keys.
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flight_engine.functions.geo import grid_cell, haversine_km
-from flight_engine.operators.sequence import DEFAULT_BUCKET_SECONDS, with_previous
+from flight_engine.operators.sequence import with_previous
 from flight_engine.schema import ALERT_COLUMNS
 
 # Thresholds of the specified anomaly rules.
@@ -69,14 +69,13 @@ def ghost_duplicate(history: DataFrame) -> DataFrame:
             .where(F.col("positions") > 1))
 
 
-def _sequence(history: DataFrame, n: int, bucket_seconds: int,
-              extra: tuple[str, ...] = ()) -> DataFrame:
+def _sequence(history: DataFrame, n: int, extra: tuple[str, ...] = ()) -> DataFrame:
     """Fixes with their previous ``n`` timestamps, positions and descent flags."""
     d = (history.select("icao24", "timestamp", "time_position", "longitude", "latitude",
                         "vertical_rate", *extra)
          .withColumn("dsc", F.coalesce(F.col("vertical_rate") < DESCENT_RATE, F.lit(False))))
     return with_previous(d, "icao24", "timestamp", ["timestamp", "longitude", "latitude", "dsc"],
-                         n=n, tiebreak=("time_position",), bucket_seconds=bucket_seconds)
+                         n=n, tiebreak=("time_position",))
 
 
 def _jump_exprs(km_per_min: float):
@@ -109,20 +108,18 @@ def _descents(seq: DataFrame, n: int = DESCENT_TICKS) -> DataFrame:
         "longitude", "latitude", "vertical_rate")
 
 
-def position_jump(history: DataFrame, km_per_min: float = JUMP_KM_PER_MIN,
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def position_jump(history: DataFrame, km_per_min: float = JUMP_KM_PER_MIN) -> DataFrame:
     """Consecutive fixes implying > km_per_min (time gap > 0 only)."""
-    return _jumps(_sequence(history, 1, bucket_seconds), km_per_min)
+    return _jumps(_sequence(history, 1), km_per_min)
 
 
-def emergency_descent(history: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS
-                      ) -> DataFrame:
+def emergency_descent(history: DataFrame) -> DataFrame:
     """Runs of >= 3 consecutive fixes with vertical_rate < -15; one row per run.
 
     A run is reported at its third fix: that fix and the two before it are
     descending, the one before those is not (or absent).
     """
-    return _descents(_sequence(history, DESCENT_TICKS, bucket_seconds))
+    return _descents(_sequence(history, DESCENT_TICKS))
 
 
 def velocity_outliers(history: DataFrame, max_kmh: float = MAX_KMH) -> DataFrame:
@@ -172,19 +169,22 @@ def latest_state(history: DataFrame, ttl_s: int = LATEST_TTL_S,
     return latest.where(F.col("timestamp") >= ref - F.lit(ttl_s))
 
 
-def alerts(history: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Typed union of every anomaly branch (the alerts topic).
+#: Columns that the alert rules read.
+ALERT_INPUT = ["icao24", "timestamp", "longitude", "latitude", "vertical_rate", "callsign", "velocity_kmh",
+               "prev1_timestamp", "prev1_longitude", "prev1_latitude", "descent"]
 
-    All four rules are evaluated in ONE ordered pass: each fix yields the
-    array of alerts it triggers, which is then exploded.  A union of four
-    separate plans would scan and shuffle the history once per rule.
+
+def alert_rows(fixes: DataFrame) -> DataFrame:
+    """Alerts of fixes (ALERT_INPUT) that know the fix before and whether a descent is due.
+
+    All four rules are evaluated in one pass: each fix yields the array of alerts it
+    triggers, which is then exploded. Batch and stream share it.
     """
-    seq = _sequence(history, DESCENT_TICKS, bucket_seconds, extra=("callsign", "velocity_kmh"))
     jump, _, speed = _jump_exprs(JUMP_KM_PER_MIN)
     # materialise the per-fix rule results once; the alert array only references them
-    seq = seq.select("icao24", "timestamp", "longitude", "latitude", "vertical_rate", "callsign",
-                     "velocity_kmh", F.coalesce(jump, F.lit(False)).alias("_jump"),
-                     F.round(speed, 6).alias("_speed"), _descent_cond().alias("_descent"))
+    seq = fixes.select("icao24", "timestamp", "longitude", "latitude", "vertical_rate", "callsign",
+                       "velocity_kmh", F.coalesce(jump, F.lit(False)).alias("_jump"),
+                       F.round(speed, 6).alias("_speed"), F.col("descent").alias("_descent"))
     jump, speed = F.col("_jump"), F.col("_speed")
     v = F.col("velocity_kmh")
 
@@ -202,3 +202,9 @@ def alerts(history: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) ->
             .select(F.col("a.alert_type").alias("alert_type"), "icao24", "timestamp",
                     "longitude", "latitude", F.col("a.metric").alias("metric"))
             .select(*ALERT_COLUMNS))
+
+
+def alerts(history: DataFrame) -> DataFrame:
+    """Typed union of every anomaly branch (the alerts topic), in one ordered pass."""
+    seq = _sequence(history, DESCENT_TICKS, extra=("callsign", "velocity_kmh"))
+    return alert_rows(seq.withColumn("descent", _descent_cond()).select(*ALERT_INPUT))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flight_engine.operators.sink import sinkable_condition
+from flight_engine.operators.sink import refusal_reason, sinkable_condition
 
 # Histogram upper bounds of the pipeline's metrics.
 POLL_DURATION_BOUNDS = [0.5, 1, 2, 5, 10, 30]
@@ -157,33 +157,55 @@ def pipeline_counters(states: DataFrame) -> DataFrame:
     """One conditional aggregate over the states that entered the pipeline.
 
     polls = distinct snapshot times; sent = states published; consumed =
-    states that passed the position filter; success / skipped = sink guard.
+    states that passed the position filter; success / skipped = sink guard; error = rows that the table refuses.
     """
     has_pos = F.col("longitude").isNotNull() & F.col("latitude").isNotNull()
     ok = sinkable_condition()
+    storable = refusal_reason(states.columns).isNull()
     return states.agg(
         F.countDistinct("timestamp").alias("polls_total"),
         F.count(F.lit(1)).alias("flights_sent_total"),
         F.count(F.when(has_pos, 1)).alias("messages_consumed_total"),
-        F.count(F.when(has_pos & ok, 1)).alias("inserts_success"),
+        F.count(F.when(has_pos & ok & storable, 1)).alias("inserts_success"),
         F.count(F.when(has_pos & ~F.coalesce(ok, F.lit(False)), 1)).alias("inserts_skipped"),
-        F.lit(0).cast("bigint").alias("inserts_error"),
+        F.count(F.when(has_pos & ok & ~storable, 1)).alias("inserts_error"),
     )
 
 
 def backlog_age(messages: DataFrame, produced: str, consumed: str, seconds: int = 60) -> DataFrame:
     """Per window: messages not consumed at its end and the age of the oldest, in seconds.
 
-    A message counts for the window ends that it is pending at, so the rows grow
-    with the time messages wait, not with pairs of windows.
+    A sweep: a message is +1 at the first window end after it was produced and -1 at the first
+    one at which it is consumed; a message without ``consumed`` waits until the last window of the
+    data. The oldest waiting message of an end is the earliest among those consumed after it
+    (one produced after it shows that nothing waits). Rows are reduced to one a window
+    before any ordering; running values are per day, then over days.
     """
-    p, c = F.col(produced), F.col(consumed)
-    first = p - F.pmod(p, F.lit(seconds)) + seconds
-    last = c - 1 - F.pmod(c - 1, F.lit(seconds))
-    pending = messages.where(last >= first).select(
-        p.alias("produced"), F.explode(F.sequence(first, last, F.lit(seconds).cast("bigint"))).alias("end"))
-    return (pending.groupBy((F.col("end") - seconds).alias("window_start"))
-            .agg(F.count(F.lit(1)).alias("pending"), (F.first("end") - F.min("produced")).alias("oldest_age_s")))
+    p, c, w = F.col(produced), F.col(consumed), F.lit(seconds).cast("bigint")
+    up = p - F.pmod(p, w) + w
+    down = F.when(c.isNotNull(), F.greatest(c + F.pmod(-c, w), up))
+    m = messages.where(p.isNotNull()).select(p.alias("p"), up.alias("up"), down.alias("down"))
+    starts = m.groupBy(F.col("up").alias("end")).agg(F.count(F.lit(1)).alias("net"), F.lit(None).cast("bigint").alias("oldest"))
+    # what is never consumed ends after the last window, so it is among those consumed later at every end
+    ends = m.groupBy(F.col("down").alias("end")).agg((-F.count(F.lit(1))).alias("net"), F.min("p").alias("oldest"))
+    span = m.agg(F.min("up").alias("lo"), F.max(F.greatest("up", F.coalesce("down", "up"))).alias("hi"),
+                 F.min(F.when(F.col("down").isNull(), F.col("p"))).alias("never"))
+    spine = span.select(F.explode(F.sequence("lo", "hi", w)).alias("end"), "never")
+    events = starts.unionByName(ends.where("end is not null")).groupBy("end").agg(F.sum("net").alias("net"), F.min("oldest").alias("oldest"))
+    each = (spine.join(events, "end", "left").na.fill(0, ["net"])
+            .withColumn("day", F.floor(F.col("end") / 86400)))
+    up_to, after = Window.unboundedPreceding, Window.unboundedFollowing
+    day = Window.partitionBy("day").orderBy("end")
+    each = (each.withColumn("in_day", F.sum("net").over(day.rowsBetween(up_to, 0)))
+            .withColumn("later_in_day", F.min("oldest").over(day.rowsBetween(1, after))))
+    days = each.groupBy("day").agg(F.sum("net").alias("net"), F.min("oldest").alias("oldest"))
+    by_day = Window.orderBy("day")  # one row a day
+    days = days.select("day", F.coalesce(F.sum("net").over(by_day.rowsBetween(up_to, -1)), F.lit(0)).alias("before"),
+                       F.min("oldest").over(by_day.rowsBetween(1, after)).alias("later_days"))
+    swept = each.join(days, "day").select("end", (F.col("before") + F.col("in_day")).alias("pending"),
+                                          F.least("later_in_day", "later_days", "never").alias("oldest"))
+    return swept.where("pending > 0").select((F.col("end") - w).alias("window_start"), F.col("pending").cast("bigint").alias("pending"),
+                                             (F.col("end") - F.col("oldest")).alias("oldest_age_s"))
 
 
 def pipeline_health(rates: DataFrame, lag: DataFrame, ages: DataFrame, max_age_s: int = 300) -> DataFrame:

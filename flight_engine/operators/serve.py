@@ -166,8 +166,7 @@ def dashboard_header(page: DataFrame) -> DataFrame:
                     F.max("timestamp").alias("latest_timestamp"))
 
 
-def interpolate_positions(history: DataFrame, steps: int = 4,
-                          bucket_seconds: int = 900) -> DataFrame:
+def interpolate_positions(history: DataFrame, steps: int = 4) -> DataFrame:
     """Eased positions between consecutive fixes of each aircraft.
 
     For t in {0, 1/steps, ..., 1}: ease = 1 - (1 - t)^3 and
@@ -177,7 +176,7 @@ def interpolate_positions(history: DataFrame, steps: int = 4,
     pos = history.where(F.col("longitude").isNotNull() & F.col("latitude").isNotNull()) \
         .select("icao24", "timestamp", "time_position", "longitude", "latitude")
     d = with_previous(pos, "icao24", "timestamp", ["longitude", "latitude"], n=1,
-                      tiebreak=("time_position",), bucket_seconds=bucket_seconds)
+                      tiebreak=("time_position",))
     d = d.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(steps))))
     t = F.col("step") / F.lit(float(steps))
     ease = F.lit(1.0) - F.pow(F.lit(1.0) - t, 3)

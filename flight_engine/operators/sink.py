@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flight_engine.files import delete, exists, folders
@@ -53,6 +53,8 @@ def with_partition_columns(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 
 TABLE_PARTITIONS = ("dt", "batch")
+#: Folder of the file without rows: the null day, which no stored row can have.
+SCHEMA_DAY = "dt=__HIVE_DEFAULT_PARTITION__"
 
 
 def ensure_table(spark: SparkSession, path: str) -> None:
@@ -63,7 +65,7 @@ def ensure_table(spark: SparkSession, path: str) -> None:
     if any(f.startswith("dt=") for f in folders(spark, path)):
         return
     empty = spark.createDataFrame([], PROCESSED_SCHEMA).withColumn("created_at", F.current_timestamp())
-    empty.withColumn("hr", F.lit(None).cast("int")).coalesce(1).write.mode("append").parquet(f"{path}/dt=1970-01-01/batch=schema")
+    empty.withColumn("hr", F.lit(None).cast("int")).coalesce(1).write.mode("append").parquet(f"{path}/{SCHEMA_DAY}/batch=schema")
 
 
 def append_batch(df: DataFrame, path: str, batch_id: str | int | None = None) -> None:
@@ -82,7 +84,7 @@ def append_batch(df: DataFrame, path: str, batch_id: str | int | None = None) ->
 
 def table_days(spark: SparkSession, path: str) -> list[str]:
     """Days that the table has folders of, oldest first (a listing, no file is opened)."""
-    return [f[3:] for f in folders(spark, path) if f.startswith("dt=") and f != "dt=1970-01-01"]
+    return [f[3:] for f in folders(spark, path) if f.startswith("dt=") and f != SCHEMA_DAY]
 
 
 def replace_days(spark: SparkSession, path: str, rows: DataFrame, days: list[str], name: str) -> None:
@@ -138,9 +140,9 @@ def retain_table(spark: SparkSession, path: str, days: int = 7, as_of: int | Non
 
 def ensure_schema_file(spark: SparkSession, path: str) -> None:
     """The file without rows that keeps an emptied table readable."""
-    if not exists(spark, f"{path}/dt=1970-01-01/batch=schema"):
+    if not exists(spark, f"{path}/{SCHEMA_DAY}/batch=schema"):
         (spark.read.parquet(path).drop(*TABLE_PARTITIONS).limit(0).coalesce(1)
-         .write.mode("overwrite").parquet(f"{path}/dt=1970-01-01/batch=schema"))
+         .write.mode("overwrite").parquet(f"{path}/{SCHEMA_DAY}/batch=schema"))
 
 
 def retain_window(df: DataFrame, days: int = 7, as_of: int | None = None) -> DataFrame:
@@ -156,6 +158,55 @@ def reset_table(spark: SparkSession, path: str) -> None:
         delete(spark, f"{path}/dt={day}")
 
 
+#: Greatest and least event time that a day folder can be named for: years 1 to 9999.
+MAX_TIMESTAMP, MIN_TIMESTAMP = 253402300799, -62135596800
+REFUSALS = ("undecodable", "time_range", "text_nul")
+TEXT_COLUMNS = [f.name for f in PROCESSED_SCHEMA.fields if f.dataType.simpleString() == "string"]
+
+
+def refusal_reason(columns: list[str], undecodable: Column | None = None) -> Column:
+    """Why the table refuses a record with these columns (null: it does not), in order of precedence.
+
+    undecodable: the message is no JSON object; time_range: no day folder can be named for the
+    event time; text_nul: a NUL character, which text columns of databases do not hold.
+    """
+    nul = F.lit(False)
+    for c in (c for c in TEXT_COLUMNS if c in columns):
+        nul = nul | F.coalesce(F.contains(F.col(c), F.lit("\x00")), F.lit(False))
+    out_of_range = ~F.col("timestamp").between(MIN_TIMESTAMP, MAX_TIMESTAMP)
+    return (F.when(F.lit(False) if undecodable is None else undecodable, "undecodable").when(sinkable_condition() & out_of_range, "time_range")
+            .when(sinkable_condition() & nul, "text_nul"))
+
+
+def judged_records(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """Messages -> record columns, the message itself, its outcome and the reason of an error.
+
+    outcome: success, skipped (guarded away: no aircraft or time) or error (the write refuses it).
+    """
+    value = F.col(value_col).cast("string")
+    parsed = df.select(value.alias("message"), F.from_json(value, PROCESSED_SCHEMA).alias("r"),
+                       F.coalesce(~F.trim(value).rlike(r"(?s)^\{.*\}$") | F.try_parse_json(value).isNull(), F.lit(True)).alias("undecodable"))
+    judged = parsed.select("message", "undecodable", "r.*").withColumn("reason", refusal_reason(PROCESSED_COLUMNS, F.col("undecodable"))).drop("undecodable")
+    ok = F.coalesce(sinkable_condition(), F.lit(False))
+    return judged.withColumn("outcome", F.when(F.col("reason").isNotNull(), "error").when(ok, "success").otherwise("skipped"))
+
+
+def write_dead_letters(judged: DataFrame, path: str, batch_id: str) -> None:
+    """Store refused messages with their reason; the same batch id replaces its own letters."""
+    letters = judged.where("outcome = 'error'").select("reason", "message", F.lit(batch_id).alias("batch"))
+    (letters.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+
+
+DEAD_LETTER_SCHEMA = "reason string, message string, batch string"
+
+
+def dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    """The stored letters; a sink that never refused a row has none."""
+    if not any(f.startswith("batch=") for f in folders(spark, path)):
+        return spark.createDataFrame([], DEAD_LETTER_SCHEMA)
+    return spark.read.schema(DEAD_LETTER_SCHEMA).parquet(path)
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, driver: str | None = None,
                 batch_size: int = 10_000, max_connections: int | None = None) -> None:
     """Append guarded rows to a JDBC table (one transaction per task partition).

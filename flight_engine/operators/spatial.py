@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flight_engine.functions.geo import (
     cell_center_lat, cell_center_lon, grid_cell, haversine_km, in_bbox,
 )
-from flight_engine.operators.sequence import DEFAULT_BUCKET_SECONDS, with_previous
+from flight_engine.operators.sequence import with_previous
 
 INEFFICIENT_RATIO = 1.15
 
@@ -111,8 +111,7 @@ def od_matrix(rows_with_airport: DataFrame, countries: list[str]) -> DataFrame:
             .agg(F.count(F.lit(1))).na.fill(0))
 
 
-def route_efficiency(history: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                     ratio: float = INEFFICIENT_RATIO) -> DataFrame:
+def route_efficiency(history: DataFrame, ratio: float = INEFFICIENT_RATIO) -> DataFrame:
     """Flown path vs great circle per aircraft-day, summarised per airline.
 
     A flight is an aircraft's fixes within one UTC day; airline is the first
@@ -121,7 +120,7 @@ def route_efficiency(history: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SE
     pos = history.select("icao24", "timestamp", "time_position", "longitude", "latitude",
                          "callsign")
     d = with_previous(pos, "icao24", "timestamp", ["timestamp", "longitude", "latitude"], n=1,
-                      tiebreak=("time_position",), bucket_seconds=bucket_seconds)
+                      tiebreak=("time_position",))
     day = F.floor(F.col("timestamp") / 86400)
     same_day = F.floor(F.col("prev1_timestamp") / 86400) == day
     leg = F.when(same_day, haversine_km("prev1_latitude", "prev1_longitude",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flight_engine.functions.columns import is_on_ground
 from flight_engine.operators.anomalies import MAX_KMH, quality_flag_col
-from flight_engine.operators.sequence import DEFAULT_BUCKET_SECONDS, with_previous
+from flight_engine.operators.sequence import with_previous
 from flight_engine.functions.geo import grid_cell
 from flight_engine.operators.spatial import with_airport
 
@@ -113,14 +113,12 @@ def agg_hourly_routes(history: DataFrame) -> DataFrame:
                  F.count(F.when(row_alert_flag(), 1)).alias("alert_count")))
 
 
-def agg_daily_airport_stats(history: DataFrame, airports: DataFrame,
-                            bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def agg_daily_airport_stats(history: DataFrame, airports: DataFrame) -> DataFrame:
     """Per airport-day: departures (ground->air), arrivals (air->ground), fixes, quality."""
     h = history.select("icao24", "timestamp", "time_position", "longitude", "latitude",
                        "on_ground", "velocity", "callsign",
                        is_on_ground().alias("g"))
-    d = with_previous(h, "icao24", "timestamp", ["g"], n=1, tiebreak=("time_position",),
-                      bucket_seconds=bucket_seconds)
+    d = with_previous(h, "icao24", "timestamp", ["g"], n=1, tiebreak=("time_position",))
     d = with_airport(d, airports)
     day = F.date_format(_ts(), "yyyy-MM-dd")
     return (d.groupBy("airport_id", day.alias("day"))

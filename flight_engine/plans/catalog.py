@@ -28,6 +28,7 @@ from flight_engine.schema import (
 from flight_engine.session import scratch_path
 from flight_engine.sources import snapshot as snap
 from flight_engine.sources import testdata as td
+from flight_engine.streaming import alerts as al
 from flight_engine.streaming import pipeline as pl
 from flight_engine.streaming import stateful as st
 
@@ -299,7 +300,7 @@ def q_reset_table(spark, sf):
     before = spark.read.parquet(path).count()
     sk.reset_table(spark, path)
     after = spark.read.parquet(path).count()
-    sk.append_batch(h.where("timestamp % 2 = 0"), path)
+    sk.append_batch(h, path)
     return spark.read.parquet(path).agg(
         F.lit(before).cast("bigint").alias("rows_before"), F.lit(after).cast("bigint").alias("rows_reset"),
         F.count(F.lit(1)).alias("rows_appended"))
@@ -460,6 +461,11 @@ def q_alerts(spark, sf):
     return an.alerts(history(spark, sf))
 
 
+def q_alerts_stream(spark, sf):
+    """The alerts topic, published by one stateful stream over the history."""
+    return al.alerts_stream(spark, history(spark, sf))
+
+
 def q_bbox_filter(spark, sf):
     return sp.bbox_filter(history(spark, sf), *EUROPE).select(
         "icao24", "timestamp", "time_position", "longitude", "latitude")
@@ -492,6 +498,44 @@ def q_pipeline_health(spark, sf):
                               mt.backlog_age(consumed, "timestamp", "consumed_at"))
 
 
+def q_message_backlog(spark, sf):
+    """Waiting messages per minute against a consumer that never takes some aircraft's messages."""
+    t = F.col("timestamp")
+    consumed = F.when(F.substring("icao24", -2, 2) != "0f", t + t % 601)
+    return mt.backlog_age(history(spark, sf, FAST).withColumn("consumed_at", consumed), "timestamp", "consumed_at")
+
+
+def _flawed_messages(spark, sf):
+    """Processed messages of which some are cut off, some in milliseconds and some hold a NUL character."""
+    rows = process(dirty(spark, sf))
+    t = F.col("timestamp")
+    late = rows.withColumn("timestamp", F.when(t % 17 == 3, t * 1000).otherwise(t)).withColumn(
+        "callsign", F.when(t % 17 == 5, F.concat("callsign", F.lit("\x00"))).otherwise(F.col("callsign")))
+    value = F.to_json(F.struct(*[F.col(c) for c in PROCESSED_COLUMNS]))
+    cut = F.when(t % 17 == 7, F.expr("substring(value, 1, 20)")).otherwise(F.col("value"))
+    return late.select("timestamp", F.col("icao24").alias("key"), value.alias("value")).select("key", cut.alias("value"))
+
+
+def q_insert_errors(spark, sf):
+    """Sink outcomes by reason, from the stored table and the dead letters, after a replay of the batch."""
+    proc = scratch_path(spark, "flawed")
+    _flawed_messages(spark, sf).write.parquet(proc)
+    table, dead, ck = (scratch_path(spark, f"checked-{n}") for n in ("table", "dead", "ck"))
+    events = pl.run_logged(spark, lambda: pl.stream_sink_checked(pl.file_source(spark, proc, "parquet"), table, dead, ck))
+    judged = sk.judged_records(spark.read.parquet(proc))
+    batches = sk.dead_letters(spark, dead).select("batch").distinct().collect()  # one a micro-batch
+    for b in batches if len(batches) == 1 else []:  # the batch again, as after a lost driver
+        sk.write_dead_letters(judged, dead, b[0])
+    counted = {}
+    for e in events:
+        for k, v in (e.get("observedMetrics", {}).get(pl.SINK_METRICS) or {}).items():
+            counted[k] = counted.get(k, 0) + int(v)
+    errors = sk.dead_letters(spark, dead).groupBy(F.concat(F.lit("error_"), "reason").alias("outcome")).agg(F.count(F.lit(1)).alias("messages"))
+    stored = spark.read.parquet(table).agg(F.lit("success").alias("outcome"), F.count(F.lit(1)).alias("messages"))
+    observed = F.create_map(*[F.lit(x) for kv in counted.items() for x in kv])
+    return errors.union(stored).select("outcome", "messages", F.try_element_at(observed, F.col("outcome")).cast("bigint").alias("observed"))
+
+
 def q_validate_schema(spark, sf):
     s = states(spark, sf)
     body = F.to_json(F.struct(*[F.col(c) for c in s.columns]))

@@ -330,7 +330,7 @@ ORACLE: dict[str, str] = {
     "sink_append_table": with_base(f"SELECT *, velocity * 3.6E0 AS velocity_kmh, {STATUS} AS status FROM dirty WHERE {HAS_POS} AND {SINKABLE}"),
     "ensure_table": with_base("SELECT CAST(0 AS BIGINT) AS rows_before, count(*) AS row_count, count(*) FILTER (WHERE icao24 IS NULL) AS null_icao24, count(*) FILTER (WHERE timestamp IS NULL) AS null_timestamp FROM hist"),
     "retain_window": with_base("SELECT * FROM hist WHERE timestamp >= (SELECT max(timestamp) FROM hist) - 604800"),
-    "reset_table": with_base("SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_reset, count(*) FILTER (WHERE timestamp % 2 = 0) AS rows_appended FROM hist"),
+    "reset_table": with_base("SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_reset, count(*) AS rows_appended FROM hist"),
     # specified analytics
     "grid_cell": with_base(f"SELECT icao24, timestamp, time_position, {cell(0.5)} AS cell FROM hist"),
     "quality_flag": with_base(f"SELECT icao24, timestamp, time_position, {qflag()} AS quality_flag FROM fs"),
@@ -426,6 +426,15 @@ ORACLE.update({
   CAST(day({ts()}) AS INTEGER) AS day, CAST(hour({ts()}) AS INTEGER) AS hour, count(*) AS states
   FROM hist WHERE timestamp - timestamp % 3600 + 3600 > (SELECT max(timestamp) FROM hist) - 864000 GROUP BY 1, 2, 3, 4"""),
     "recent_flights_table": ORACLE["recent_flights"],
+    "alerts_stream": ORACLE["alerts"],
+    "message_backlog": with_base("""SELECT CAST(e - 60 AS BIGINT) AS window_start, count(*) AS pending, CAST(e - min(p) AS BIGINT) AS oldest_age_s
+  FROM (SELECT unnest(generate_series((SELECT min(p - p % 60 + 60) FROM msg), (SELECT max(greatest(p - p % 60 + 60, coalesce(c + (60 - c % 60) % 60, 0))) FROM msg), 60)) AS e)
+  JOIN msg ON p < e AND (c IS NULL OR c > e) GROUP BY e""",
+        "msg AS (SELECT timestamp AS p, CASE WHEN right(icao24, 2) <> '0f' THEN timestamp + timestamp % 601 END AS c FROM hist60)"),
+    "insert_errors": with_base(f"""SELECT outcome, count(*) AS messages, count(*) AS observed FROM (
+  SELECT CASE WHEN timestamp % 17 = 7 THEN 'error_undecodable' WHEN NOT coalesce({SINKABLE}, false) THEN 'skipped'
+    WHEN timestamp % 17 = 3 THEN 'error_time_range' WHEN timestamp % 17 = 5 AND callsign IS NOT NULL THEN 'error_text_nul'
+    ELSE 'success' END AS outcome FROM dirty WHERE {HAS_POS}) WHERE outcome <> 'skipped' GROUP BY 1"""),
     "latest_state_ttl_stream": _LATEST,
     "ingest_counters": with_base("""SELECT (SELECT count(DISTINCT timestamp) + count(DISTINCT timestamp) FILTER (WHERE timestamp % 10 < 2) FROM fs) AS polls_total,
   count(*) FILTER (WHERE last_contact % 41 <> 0) AS flights_sent_total,

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from flight_engine.files import read_text, write_text
-from flight_engine.operators.sink import append_batch, normalize_record, sinkable_condition
+from flight_engine.operators.sink import (
+    REFUSALS, append_batch, judged_records, normalize_record, sinkable_condition, write_dead_letters,
+)
 from flight_engine.operators.transform import process_raw, serialize_keyed, serialize_unkeyed
 from flight_engine.schema import ENVELOPE_SCHEMA
 
@@ -121,6 +123,29 @@ def stream_sink_table(source: DataFrame, table_path: str, checkpoint: str,
     return w.start()
 
 
+def stream_sink_checked(source: DataFrame, table_path: str, dead_path: str, checkpoint: str,
+                        available_now: bool = True) -> StreamingQuery:
+    """``stream_sink_table`` with a dead-letter store: rows that the table refuses go there with a reason.
+
+    Outcomes are counted in the same pass, also by reason, under ``sink_counters``. Both writes of a
+    batch replace their own earlier try, so a replayed batch is stored and counted once.
+    """
+    stream = stream_id(source.sparkSession, checkpoint)
+    kinds = [F.count(F.when(F.col("outcome") == o, 1)).alias(o) for o in ("success", "skipped", "error")]
+    reasons = [F.count(F.when(F.col("reason") == r, 1)).alias(f"error_{r}") for r in REFUSALS]
+    rows = judged_records(source).observe(SINK_METRICS, F.count(F.lit(1)).alias("consumed"), *kinds, *reasons)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # two writes of one batch; whoever loses a block reads the batch's source again
+        append_batch(batch.where("outcome = 'success'"), table_path, f"{stream}-{batch_id}")
+        write_dead_letters(batch, dead_path, f"{stream}-{batch_id}")
+        batch.unpersist()
+    w = rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()
+
+
 def stream_to_parquet(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append",
                       available_now: bool = True) -> StreamingQuery:
     w = (df.writeStream.format("parquet").option("path", out_path)
@@ -157,6 +182,7 @@ class ProgressLog(StreamingQueryListener):
 
     def __init__(self):
         self.events: list[dict] = []
+        self.ended: set[str] = set()
 
     def onQueryStarted(self, event):  # noqa: N802 - listener API
         pass
@@ -168,22 +194,22 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):  # noqa: N802
-        pass
+        self.ended.add(str(event.runId))
 
 
 def run_logged(spark: SparkSession, start) -> list[dict]:
     """Start a query with a progress listener attached; return its progress events.
 
-    Listener events arrive in order on one bus, so once the last batch has
-    reported, all have.
+    Listener events arrive in order on one bus, so once the end of the run has been
+    reported, all its batches have; a run that found nothing new reports no batch.
     """
     log = ProgressLog()
     spark.streams.addListener(log)
     try:
         q = start()
         run_until_caught_up(q)
-        last = q.lastProgress["batchId"] if q.lastProgress else None
-        while last is not None and not any(e["batchId"] == last and e["id"] == str(q.id) for e in log.events):
+        until = time.monotonic() + 60
+        while str(q.runId) not in log.ended and time.monotonic() < until:
             time.sleep(0.1)
         return [e for e in log.events if e["id"] == str(q.id)]
     finally:

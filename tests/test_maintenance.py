@@ -92,3 +92,33 @@ def test_observed_sink_counters_equal_batch(spark):
     got = q_pipeline_counters_stream(spark, SF_SMALL).first()
     exp = sk.sink_counts(process(dirty(spark, SF_SMALL))).first()
     assert (got.consumed, got.success, got.skipped) == (exp.consumed, exp.success, exp.skipped)
+
+
+def test_rows_of_the_first_epoch_day(spark):
+    """Timestamp 0 is an ordinary row: it can be reset, retained, compacted and served."""
+    h = hist(spark).limit(3)
+    base = [r.asDict() for r in h.collect()]
+    rows = [base[k] | {"timestamp": t} for k, t in enumerate((0, 100, 1_706_000_000))]
+    df = spark.createDataFrame([tuple(r[c] for c in PROCESSED_COLUMNS) for r in rows], h.schema)
+
+    def times(path):
+        return sorted(r.timestamp for r in spark.read.parquet(path).collect())
+
+    for ensured in (False, True):
+        path = scratch_path(spark, "t-epoch")
+        if ensured:
+            sk.ensure_table(spark, path)
+        sk.append_batch(df, path)
+        assert sk.table_days(spark, path) == ["1970-01-01", "2024-01-23"]
+        assert [r.timestamp for r in sv.recent_flights_from_table(spark, path, 500).collect()] == [1_706_000_000, 100, 0]
+        sk.append_batch(df.where("timestamp = 100"), path)
+        assert sk.compact_table(spark, path, max_batches=1) == ["1970-01-01"] and times(path) == [0, 100, 100, 1_706_000_000]
+        sk.retain_table(spark, path, as_of=604_800 + 50, days=7)
+        assert times(path) == [100, 100, 1_706_000_000]
+        sk.retain_table(spark, path, days=7)
+        assert times(path) == [1_706_000_000]
+        sk.append_batch(df, path)
+        sk.reset_table(spark, path)
+        assert times(path) == [] and sk.table_days(spark, path) == []
+        sk.append_batch(df, path)
+        assert times(path) == [0, 100, 1_706_000_000]

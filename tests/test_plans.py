@@ -31,10 +31,10 @@ def test_previous_rows_never_window_a_whole_aircraft(spark):
     from conftest import SF_SMALL
     from flight_engine.operators.anomalies import position_jump
     from flight_engine.plans.catalog import history
-    p = position_jump(history(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
-    # every per-row window is keyed by (icao24, time bucket); only the per-bucket tail
-    # table (one row per bucket) is windowed by icao24 alone
-    assert "_b" in p and "Window" in p
+    p = plan_of(position_jump(history(spark, SF_SMALL)))
+    # rows are ranged by aircraft, time and a tie; the one window is over the partitions' borders
+    assert "rangepartitioning(icao24" in p and p.count("Window [") == 1
+    assert "hashpartitioning(icao24" not in p
 
 
 def test_stored_table_scans_prune_and_push(spark):

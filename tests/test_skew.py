@@ -36,14 +36,14 @@ def duck(con, sql, cols):
 
 def test_jumps_on_hot_key(skewed):
     df, con = skewed
-    got = an.position_jump(df, bucket_seconds=600)
+    got = an.position_jump(df)
     cols = ", ".join(got.columns)
     assert rows(got) == duck(con, oracle._jumps("hist"), cols)
 
 
 def test_descents_on_hot_key(skewed):
     df, con = skewed
-    got = an.emergency_descent(df, bucket_seconds=600)
+    got = an.emergency_descent(df)
     sql = oracle.BASE[[b.startswith("descents AS") for b in oracle.BASE].index(True)]
     body = sql[len("descents AS ("):-1]
     assert rows(got) == duck(con, body, ", ".join(got.columns))
