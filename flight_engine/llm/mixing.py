@@ -48,6 +48,8 @@ TARGETS = {"q1t0": 0.90}
 #: Targets of a corpus to train on: nothing of the toxic and the low-quality domains; the others keep their own share.
 CLEAN_TARGETS = {"q0t0": 0.0, "q0t1": 0.0, "q1t1": 0.0}
 RIDGE, MAX_ROUNDS, TOLERANCE = 1e-3, 60, 1e-5
+#: Most labelled documents that are sent to every task (a few dozen MB); more are joined by a shuffle.
+MAX_SENT_LABELS = 1_000_000
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>!"]] = True
@@ -371,16 +373,22 @@ def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     labelled documents is then their label's.
     """
     model, targets = fit_classifier(docs, labels), targets or TARGETS
-    rows = docs.select(F.struct("*").alias("own_row"))
+    rows, thin = docs.select(F.struct("*").alias("own_row")), docs.select(F.col("doc_id").cast("long").alias("own_id"), "text")
+    thin = thin.select("own_id", posteriors(model, docs)(F.col("text")).alias("m")).select("own_id", "m.n_tokens", "m.p")
     known, gone = None, F.lit(False)
     if keep_rest:
-        rows = rows.join(known_domains(labels, model.domains, targets), F.col("own_row.doc_id").cast("long") == F.col("label_id"), "left")
+        told = stage(known_domains(labels, model.domains, targets), "mix-known")
+        told = F.broadcast(told) if told.count() <= MAX_SENT_LABELS else told
+        # posteriors first, so that no text is joined for them; a known domain is certain
+        certain = F.transform(F.sequence(F.lit(0), F.lit(len(model.domains) - 1)), lambda i: (i == F.col("known")).cast("double"))
+        thin = thin.join(told, F.col("own_id") == F.col("label_id"), "left").withColumn(
+            "p", F.when(F.col("known").isNotNull(), certain).otherwise(F.col("p")))
+        rows = rows.join(told, F.col("own_row.doc_id").cast("long") == F.col("label_id"), "left")
         known, gone = F.col("known"), F.coalesce("gone", F.lit(False))
-    text = F.col("own_row.text")
-    members = stage(rows.select(posteriors(model, docs)(text, known).alias("m")).select("m.n_tokens", "m.p"), "mix-members")
+    members = stage(thin.select("n_tokens", "p"), "mix-members")
     target, kept = keeping_targets(members, model.domains, targets) if keep_rest else (target_shares(model.domains, targets), None)
     residuals = fit_rates(members, target, kept=kept)
-    own = rows.select("own_row", gone.alias("gone"), posteriors(model, docs, residuals, kept=kept)(text, known).alias("m"))
+    own = rows.select("own_row", gone.alias("gone"), posteriors(model, docs, residuals, kept=kept)(F.col("own_row.text"), known).alias("m"))
     own = own.select("own_row", F.when(F.col("gone"), 0.0).otherwise(F.col("m.rate")).alias("mix_rate"))
     own = own.withColumn("mix_copies", copies(F.col("mix_rate"), F.col("own_row.doc_id")))
     clash = [c for c in ("mix_rate", "mix_copies") if c in docs.columns]

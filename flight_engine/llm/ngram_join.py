@@ -335,16 +335,16 @@ def one_per_group(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
              .agg(F.min(F.struct(F.coalesce("s1", F.lit(0)).alias("s1"), F.when(F.col("s1").isNotNull(), F.col("s2")).otherwise(0).alias("s2"))).alias("s"))
              .select(F.col("doc_id").alias("kept_id"), "s"))
     first = stage(first, "ngram-first")
-    no_id, own_id = docs.where("doc_id is null"), F.col("doc_id").cast("long")
+    # rows as one column, so that no column of theirs can clash with the names here
+    named = docs.select(F.struct("*").alias("own_row"), F.col("doc_id").cast("long").alias("own_id"))
+    no_id, named = named.where("own_id is null").select("own_row.*"), named.where("own_id is not null")
     many = stage(signed.where("doc_id is not null").groupBy(F.col("doc_id").alias("many_id")).agg(F.count(F.lit(1)).alias("c"))
                  .where("c > 1").select("many_id"), "ngram-repeated")
-    named = docs.where("doc_id is not null")
-    once = named.join(first.select("kept_id").distinct(), own_id == F.col("kept_id"), "left_semi")
+    once = named.join(first.select("kept_id").distinct(), F.col("own_id") == F.col("kept_id"), "left_semi")
     if not many.take(1):
-        return once.unionByName(no_id)
-    once = once.join(many, own_id == F.col("many_id"), "left_anti")
-    rows = named.select(F.struct("*").alias("own_row")).join(many, F.col("own_row.doc_id").cast("long") == F.col("many_id"))
-    rows = rows.select("own_row", "many_id", _set_of(k)(F.col("own_row.text")).alias("own_set"))
+        return once.select("own_row.*").unionByName(no_id)
+    once = once.join(many, F.col("own_id") == F.col("many_id"), "left_anti").select("own_row.*")
+    rows = named.join(many, F.col("own_id") == F.col("many_id")).select("own_row", "many_id", _set_of(k)(F.col("own_row.text")).alias("own_set"))
     rows = rows.join(first, (F.col("many_id") == F.col("kept_id")) & (F.col("own_set") == F.col("s")), "left_semi")
     rows = rows.dropDuplicates(["many_id", "own_set"]).select("own_row.*")
     return once.unionByName(rows).unionByName(no_id)

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flight_engine.files import delete
 from flight_engine.session import scratch_path
 
+#: Folders written in the pipeline stage that ran last, by application.
+_STAGE_TABLES: dict[str, list[str]] = {}
+_RECORDING: set[str] = set()
+
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
@@ -16,7 +23,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     that the cluster names in spark.checkpoint.dir.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path, app = scratch_path(spark, name), spark.sparkContext.applicationId
+    if app in _RECORDING:
+        _STAGE_TABLES[app].append(path)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -27,6 +36,25 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextlib.contextmanager
+def pipeline_stage(spark: SparkSession) -> Iterator[None]:
+    """Free the tables and shuffles of the pipeline stage before, and note those of this one.
+
+    A stage starts when the rows of the one before are written and read again, so nothing
+    reads that one's intermediate tables any more. Tables of queries outside are never touched.
+    """
+    app = spark.sparkContext.applicationId
+    for path in _STAGE_TABLES.get(app, []):
+        delete(spark, path)
+    _STAGE_TABLES[app] = []
+    release(spark)
+    _RECORDING.add(app)
+    try:
+        yield
+    finally:
+        _RECORDING.discard(app)
+
+
 #: Texts a batch between Spark and Python holds at most.
 BATCH_ROWS = 2000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
