@@ -69,12 +69,12 @@ def ghost_duplicate(history: DataFrame) -> DataFrame:
             .where(F.col("positions") > 1))
 
 
-def _sequence(history: DataFrame, n: int, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Fixes with their previous ``n`` timestamps, positions and descent flags."""
+def _sequence(history: DataFrame, n: int, extra: tuple[str, ...] = (), before: tuple[str, ...] = ()) -> DataFrame:
+    """Fixes with their previous ``n`` timestamps, positions, descent flags and ``before`` columns."""
     d = (history.select("icao24", "timestamp", "time_position", "longitude", "latitude",
-                        "vertical_rate", *extra)
+                        "vertical_rate", *extra, *before)
          .withColumn("dsc", F.coalesce(F.col("vertical_rate") < DESCENT_RATE, F.lit(False))))
-    return with_previous(d, "icao24", "timestamp", ["timestamp", "longitude", "latitude", "dsc"],
+    return with_previous(d, "icao24", "timestamp", ["timestamp", "longitude", "latitude", "dsc", *before],
                          n=n, tiebreak=("time_position",))
 
 
@@ -174,18 +174,14 @@ ALERT_INPUT = ["icao24", "timestamp", "longitude", "latitude", "vertical_rate",
                "prev1_timestamp", "prev1_longitude", "prev1_latitude", "descent"]
 
 
-def alert_rows(fixes: DataFrame) -> DataFrame:
-    """Alerts of fixes (ALERT_INPUT) that know the fix before and whether a descent is due.
+def with_alerts(fixes: DataFrame) -> DataFrame:
+    """Fixes (at least ALERT_INPUT) with the array of alerts that each raises.
 
-    All four rules are evaluated in one pass: each fix yields the array of alerts it
-    triggers, which is then exploded. Batch and stream share it.
+    All four rules are evaluated in one pass. Batch, stream and aggregates share it.
     """
     jump, _, speed = _jump_exprs(JUMP_KM_PER_MIN)
     # materialise the per-fix rule results once; the alert array only references them
-    seq = fixes.select("icao24", "timestamp", "longitude", "latitude", "vertical_rate", "callsign",
-                       "velocity_kmh", F.coalesce(jump, F.lit(False)).alias("_jump"),
-                       F.round(speed, 6).alias("_speed"), F.col("descent").alias("_descent"))
-    jump, speed = F.col("_jump"), F.col("_speed")
+    seq = fixes.select("*", F.coalesce(jump, F.lit(False)).alias("_jump"), F.round(speed, 6).alias("_speed"))
     v = F.col("velocity_kmh")
 
     def alert(kind, cond, metric):
@@ -193,18 +189,28 @@ def alert_rows(fixes: DataFrame) -> DataFrame:
             F.lit(kind).alias("alert_type"), metric.cast("double").alias("metric")))
     found = F.array(
         alert("GHOST_NULL_CALLSIGN", F.col("callsign").isNull(), F.lit(None)),
-        alert("POSITION_JUMP", jump, speed),
-        alert("EMERGENCY_DESCENT", F.col("_descent"), F.col("vertical_rate")),
+        alert("POSITION_JUMP", F.col("_jump"), F.col("_speed")),
+        alert("EMERGENCY_DESCENT", F.col("descent"), F.col("vertical_rate")),
         alert("VELOCITY_OUTLIER", (v > MAX_KMH) | (v < 0), F.round(v, 6)),
     )
-    return (seq.select("icao24", "timestamp", "longitude", "latitude",
-                       F.explode(F.filter(found, lambda a: a.isNotNull())).alias("a"))
+    return seq.select(*fixes.columns, F.filter(found, lambda a: a.isNotNull()).alias("alerts"))
+
+
+def alert_rows(fixes: DataFrame) -> DataFrame:
+    """Alerts of fixes (ALERT_INPUT) that know the fix before and whether a descent is due, a row each."""
+    return (with_alerts(fixes).select("icao24", "timestamp", "longitude", "latitude", F.explode("alerts").alias("a"))
             .select(F.col("a.alert_type").alias("alert_type"), "icao24", "timestamp",
                     "longitude", "latitude", F.col("a.metric").alias("metric"))
             .select(*ALERT_COLUMNS))
 
 
+def alerted_fixes(history: DataFrame, extra: tuple[str, ...] = (), before: tuple[str, ...] = ()) -> DataFrame:
+    """Every fix with its alerts, in one ordered pass; also ``extra`` columns and the previous fix's ``before``."""
+    seq = _sequence(history, DESCENT_TICKS, ("callsign", "velocity_kmh", *extra), before).withColumn("descent", _descent_cond())
+    return with_alerts(seq.select("time_position", *ALERT_INPUT, *extra, *before, *[f"prev1_{c}" for c in before]))
+
+
 def alerts(history: DataFrame) -> DataFrame:
     """Typed union of every anomaly branch (the alerts topic), in one ordered pass."""
-    seq = _sequence(history, DESCENT_TICKS, extra=("callsign", "velocity_kmh"))
+    seq = _sequence(history, DESCENT_TICKS, ("callsign", "velocity_kmh"))
     return alert_rows(seq.withColumn("descent", _descent_cond()).select(*ALERT_INPUT))

@@ -75,22 +75,49 @@ def airport_broadcast_join(history: DataFrame, airports: DataFrame) -> DataFrame
 VISIT_GAP_S = 3600
 
 
-def airport_ground(history: DataFrame, airports: DataFrame, gap_s: int = VISIT_GAP_S) -> DataFrame:
-    """Ground visits per airport and aircraft: visits, fixes, first/last seen and time on ground.
+def ground_steps(history: DataFrame, airports: DataFrame, gap_s: int = VISIT_GAP_S) -> DataFrame:
+    """Ground fixes with the ground fix before and whether the same visit goes on.
 
     A visit is a run of ground fixes of one aircraft at one airport without a gap
-    over ``gap_s`` and without another airport between; dwell is the sum of the
-    visits' lengths, so absences do not count.
+    over ``gap_s`` and without another airport between.
     """
     ground = history.where(F.lower(F.col("on_ground")) == "true")
     at = with_airport(ground, airports).select("airport_id", "icao24", "timestamp", "time_position")
     d = with_previous(at, "icao24", "timestamp", ["timestamp", "airport_id"], n=1, tiebreak=("time_position",))
     step = F.col("timestamp") - F.col("prev1_timestamp")
-    goes_on = F.coalesce((F.col("prev1_airport_id") == F.col("airport_id")) & (step <= gap_s), F.lit(False))
+    return d.withColumn("step", step).withColumn(
+        "goes_on", F.coalesce((F.col("prev1_airport_id") == F.col("airport_id")) & (step <= gap_s), F.lit(False)))
+
+
+def airport_ground(history: DataFrame, airports: DataFrame, gap_s: int = VISIT_GAP_S) -> DataFrame:
+    """Ground visits per airport and aircraft: visits, fixes, first/last seen and time on ground.
+
+    Dwell is the sum of the visits' lengths, so absences do not count.
+    """
+    d, goes_on = ground_steps(history, airports, gap_s), F.col("goes_on")
     return (d.groupBy("airport_id", "icao24")
             .agg(F.count(F.when(~goes_on, 1)).alias("visits"), F.count(F.lit(1)).alias("ground_fixes"),
                  F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"),
-                 F.coalesce(F.sum(F.when(goes_on, step)), F.lit(0)).cast("bigint").alias("dwell_s")))
+                 F.coalesce(F.sum(F.when(goes_on, F.col("step"))), F.lit(0)).cast("bigint").alias("dwell_s")))
+
+
+def ground_dwell_by_day(history: DataFrame, airports: DataFrame, gap_s: int = VISIT_GAP_S) -> DataFrame:
+    """Per airport and UTC day: visits that touch it, their time on it, and the mean in minutes.
+
+    A visit is the chain of its steps from fix to fix, so it needs no numbering: each step is
+    cut at the midnights it crosses, and a visit is counted on the day it starts and on every day that one of
+    its steps crosses into. The rows stay linear in fixes and days.
+    """
+    d = ground_steps(history, airports, gap_s)
+    first, last = F.floor(F.col("prev1_timestamp") / 86400), F.floor(F.col("timestamp") / 86400)
+    begins = F.array(F.struct(last.alias("d"), F.lit(0).cast("bigint").alias("s"), F.lit(1).alias("visits")))
+    pieces = F.transform(F.sequence(first, last), lambda x: F.struct(
+        x.alias("d"), (F.least(F.col("timestamp"), (x + 1) * 86400) - F.greatest(F.col("prev1_timestamp"), x * 86400)).alias("s"),
+        F.when(x > first, 1).otherwise(0).alias("visits")))
+    parts = d.select("airport_id", F.explode(F.when(F.col("goes_on"), pieces).otherwise(begins)).alias("p"))
+    day = F.date_format(F.timestamp_seconds(F.col("p.d") * 86400), "yyyy-MM-dd")
+    return (parts.groupBy("airport_id", day.alias("day")).agg(F.sum("p.visits").alias("visits"), F.sum("p.s").alias("dwell_s"))
+            .withColumn("ground_dwell_avg_min", F.round(F.col("dwell_s") / 60.0 / F.col("visits"), 6)))
 
 
 def corridors(history: DataFrame, airports: DataFrame) -> DataFrame:

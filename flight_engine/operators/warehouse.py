@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flight_engine.functions.columns import is_on_ground
-from flight_engine.operators.anomalies import MAX_KMH, quality_flag_col
-from flight_engine.operators.sequence import with_previous
+from flight_engine.operators.anomalies import MAX_KMH, alerted_fixes, quality_flag_col
 from flight_engine.functions.geo import grid_cell
-from flight_engine.operators.spatial import with_airport
+from flight_engine.operators.spatial import ground_dwell_by_day, with_airport
 
 # Hour-of-day buckets of dim_time.
 DAY_PARTS = [(0, 5, "night"), (6, 11, "morning"), (12, 17, "afternoon"), (18, 23, "evening")]
@@ -48,26 +47,16 @@ def dim_time(history: DataFrame) -> DataFrame:
                         F.coalesce(F.try_element_at("m", F.col("hour")), F.lit(0).cast("bigint")).alias("states"))
 
 
-def dim_airports_scd2(airports: DataFrame, change_ts: int = 1705276800) -> DataFrame:
-    """Type-2 airport dimension on the UTC offset.
+#: Attributes of the airport dimension that a change feed can change.
+AIRPORT_ATTRS = ["airport_code", "country", "utc_offset"]
 
-    Version 1 of every airport starts at 2024-01-01 with offset
-    round(lon / 15); airports whose id is a multiple of 3 change to
-    offset + 1 at ``change_ts``.  valid_to = next version's valid_from.
-    """
-    base = airports.select("airport_id", "airport_code", "country",
-                           F.round(F.col("ap_lon") / 15.0).cast("int").alias("utc_offset"),
-                           F.lit(1704067200).cast("bigint").alias("valid_from"))
-    changed = (airports.where(F.col("airport_id") % 3 == 0)
-               .select("airport_id", "airport_code", "country",
-                       (F.round(F.col("ap_lon") / 15.0).cast("int") + 1).alias("utc_offset"),
-                       F.lit(change_ts).cast("bigint").alias("valid_from")))
-    w = Window.partitionBy("airport_id").orderBy("valid_from")  # versions per airport: few
-    v = base.unionByName(changed)
-    return v.select("airport_id", "airport_code", "country", "utc_offset", "valid_from",
-                    F.lead("valid_from").over(w).alias("valid_to"),
-                    F.row_number().over(w).alias("version"),
-                    F.lead("valid_from").over(w).isNull().alias("is_current"))
+
+def dim_airports_scd2(spark, path: str, batches: list[DataFrame]) -> DataFrame:
+    """Type-2 airport dimension kept at ``path`` from the batches of a change feed, in any order."""
+    from flight_engine.operators.scd2 import apply_changes, read_versions
+    for batch in batches:
+        apply_changes(spark, path, batch, "airport_id", AIRPORT_ATTRS)
+    return read_versions(spark, path)
 
 
 def dim_airlines(history: DataFrame) -> DataFrame:
@@ -82,53 +71,101 @@ def flight_sk():
     return F.md5(F.concat_ws("-", F.col("icao24"), F.col("timestamp").cast("string")))
 
 
-def fact_flights(history: DataFrame, airports: DataFrame) -> DataFrame:
-    """One row per state with surrogate, date and hour keys, airport and quality."""
-    f = with_airport(history, airports, how="left")
+def fact_flights(history: DataFrame, airports: DataFrame, airport_versions: DataFrame) -> DataFrame:
+    """One row per state with surrogate, date and hour keys, quality, and the airport with the version valid then."""
+    from flight_engine.operators.scd2 import asof_join
+    f = asof_join(with_airport(history, airports, how="left"), airport_versions, "airport_id", "timestamp",
+                  {"version": "airport_version", "utc_offset": "utc_offset"})
     return f.select(
         flight_sk().alias("flight_sk"),
         F.date_format(_ts(), "yyyyMMdd").cast("int").alias("date_key"),
         F.hour(_ts()).alias("hour"),
         "icao24", "callsign", "timestamp", "time_position", "origin_country",
-        "longitude", "latitude", grid_cell().alias("cell"), "airport_id",
+        "longitude", "latitude", grid_cell().alias("cell"), "airport_id", "airport_version", "utc_offset",
         F.round("velocity_kmh", 6).alias("velocity_kmh"), "baro_altitude", "vertical_rate",
         is_on_ground().alias("on_ground"), "status",
         quality_flag_col().alias("quality_flag"))
 
 
-def row_alert_flag():
-    v = F.col("velocity_kmh")
-    return (v > MAX_KMH) | (v < 0) | F.col("callsign").isNull()
+#: Columns of a fix that the hourly routes are made of.
+ROUTE_FIX = ["icao24", "timestamp", "time_position", "origin_country", "velocity_kmh", "baro_altitude", "on_ground", "n_alerts"]
+ROUTE_KEY = ["hour_start", "origin_country"]
+ROUTE_SUMS = ["states", "kmh_sum", "kmh_n", "alt_sum", "alt_n", "ground", "alerts"]
 
 
-def agg_hourly_routes(history: DataFrame) -> DataFrame:
-    """(hour, country): states, avg speed/altitude, % on ground, row-level alerts."""
+def route_fixes(history: DataFrame) -> DataFrame:
+    """ROUTE_FIX of every state: with the number of alerts (all rules) that it raises."""
+    fixes = alerted_fixes(history, extra=("origin_country", "baro_altitude", "on_ground"))
+    return fixes.select(*ROUTE_FIX[:-1], F.size("alerts").alias("n_alerts"))
+
+
+def route_partials(fixes: DataFrame, sign: int = 1) -> DataFrame:
+    """Mergeable sums per (hour, country) of ROUTE_FIX rows; with sign -1 they take rows back."""
     hour = F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(3600))
-    return (history.groupBy(hour.alias("hour_start"), "origin_country")
-            .agg(F.count(F.lit(1)).alias("states"),
-                 F.round(F.avg("velocity_kmh"), 6).alias("avg_velocity_kmh"),
-                 F.round(F.avg("baro_altitude"), 6).alias("avg_altitude"),
-                 F.round(F.avg(F.when(is_on_ground(), 1.0).otherwise(0.0)) * 100, 6)
-                 .alias("pct_on_ground"),
-                 F.count(F.when(row_alert_flag(), 1)).alias("alert_count")))
+    sums = {"states": F.count(F.lit(1)), "kmh_sum": F.sum("velocity_kmh"), "kmh_n": F.count("velocity_kmh"),
+            "alt_sum": F.sum("baro_altitude"), "alt_n": F.count("baro_altitude"), "ground": F.count_if(is_on_ground()),
+            "alerts": F.sum("n_alerts")}
+    return (fixes.groupBy(hour.alias("hour_start"), "origin_country")
+            .agg(*[(F.coalesce(c, F.lit(0)) * sign).alias(n) for n, c in sums.items()]))
+
+
+def routes_of(partials: DataFrame) -> DataFrame:
+    """(hour, country): states, avg speed/altitude, % on ground and alerts from any number of partial sums."""
+    total = partials.groupBy(*ROUTE_KEY).agg(*[F.sum(c).alias(c) for c in ROUTE_SUMS]).where("states > 0")
+    return total.select(
+        *ROUTE_KEY, F.col("states").cast("bigint").alias("states"),
+        F.round(F.try_divide("kmh_sum", "kmh_n"), 6).alias("avg_velocity_kmh"),
+        F.round(F.try_divide("alt_sum", "alt_n"), 6).alias("avg_altitude"),
+        F.round(F.col("ground") / F.col("states") * 100, 6).alias("pct_on_ground"),
+        F.col("alerts").cast("bigint").alias("alert_count"))
+
+
+def agg_hourly_routes(history: DataFrame) -> DataFrame:
+    """(hour, country): states, avg speed/altitude, % on ground, alerts of all rules."""
+    return routes_of(route_partials(route_fixes(history)))
+
+
+def maintain_hourly_routes(path: str, batch: str, old: DataFrame, new: DataFrame) -> None:
+    """Bring the stored hourly routes from ``old`` to ``new``: ``route_fixes`` of some aircraft's states, before and after.
+
+    Each must be made of all states of the aircraft in it, since alerts follow from earlier fixes.
+    Fixes that differ are added or taken back (a correction, also of the next fix's alerts);
+    the difference is written per hour under ``batch``, so hours without one keep their files and
+    the same batch replaces itself.
+    """
+    delta = route_partials(new.exceptAll(old)).unionByName(route_partials(old.exceptAll(new), -1))
+    delta = delta.groupBy(*ROUTE_KEY).agg(*[F.sum(c).alias(c) for c in ROUTE_SUMS])
+    (delta.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("hour_start", "batch").parquet(path))
+
+
+def read_hourly_routes(spark, path: str) -> DataFrame:
+    """The stored hourly routes, their batches summed."""
+    p = spark.read.parquet(path)
+    return routes_of(p.withColumn("hour_start", F.col("hour_start").cast("bigint")))
 
 
 def agg_daily_airport_stats(history: DataFrame, airports: DataFrame) -> DataFrame:
-    """Per airport-day: departures (ground->air), arrivals (air->ground), fixes, quality."""
-    h = history.select("icao24", "timestamp", "time_position", "longitude", "latitude",
-                       "on_ground", "velocity", "callsign",
-                       is_on_ground().alias("g"))
-    d = with_previous(h, "icao24", "timestamp", ["g"], n=1, tiebreak=("time_position",))
+    """Per airport-day: departures, arrivals, ground fixes and dwell, aircraft, quality and alerts.
+
+    Departures (ground->air), arrivals (air->ground) and alerts are found in one ordered pass.
+    ground_dwell_avg_min is the mean time on ground of the day's visits; a visit over
+    midnight counts for each of its days with the time it has there.
+    """
+    d = alerted_fixes(history.withColumn("g", is_on_ground()), extra=("on_ground", "velocity"), before=("g",))
     d = with_airport(d, airports)
     day = F.date_format(_ts(), "yyyy-MM-dd")
-    return (d.groupBy("airport_id", day.alias("day"))
-            .agg(F.count(F.when(F.col("prev1_g") & ~F.col("g"), 1)).alias("departures"),
-                 F.count(F.when(~F.col("prev1_g") & F.col("g"), 1)).alias("arrivals"),
-                 F.count(F.when(F.col("g"), 1)).alias("ground_fixes"),
-                 F.count(F.lit(1)).alias("fixes"),
-                 F.countDistinct("icao24").alias("aircraft"),
-                 F.round(F.avg(F.when(quality_flag_col() == "OK", 1.0).otherwise(0.0)), 6)
-                 .alias("quality_ok")))
+    fixes = (d.groupBy("airport_id", day.alias("day"))
+             .agg(F.count(F.when(F.col("prev1_g") & ~F.col("g"), 1)).alias("departures"),
+                  F.count(F.when(~F.col("prev1_g") & F.col("g"), 1)).alias("arrivals"),
+                  F.count(F.when(F.col("g"), 1)).alias("ground_fixes"),
+                  F.count(F.lit(1)).alias("fixes"),
+                  F.countDistinct("icao24").alias("aircraft"),
+                  F.round(F.avg(F.when(quality_flag_col() == "OK", 1.0).otherwise(0.0)), 6).alias("quality_ok"),
+                  F.sum(F.size("alerts")).alias("alert_count")))
+    dwell = ground_dwell_by_day(history, airports).select("airport_id", "day", "ground_dwell_avg_min")
+    out = fixes.join(dwell, ["airport_id", "day"], "full")
+    return out.na.fill(0, ["departures", "arrivals", "ground_fixes", "fixes", "aircraft", "alert_count"])
 
 
 def agg_delay_patterns(schedule: DataFrame, keys=("carrier",)) -> DataFrame:

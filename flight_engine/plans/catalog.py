@@ -420,8 +420,14 @@ def q_dim_time(spark, sf):
     return wh.dim_time(history(spark, sf))
 
 
+def _airport_versions(spark, sf):
+    """The dimension after three batches of the feed, whose changes are mixed in time."""
+    feed = td.airport_changes(spark, sf)
+    return wh.dim_airports_scd2(spark, scratch_path(spark, "dim-airports"), [feed.where(F.col("seq") % 3 == k) for k in range(3)])
+
+
 def q_dim_airports_scd2(spark, sf):
-    return wh.dim_airports_scd2(td.airports(spark, sf))
+    return _airport_versions(spark, sf)
 
 
 def q_dim_airlines(spark, sf):
@@ -429,13 +435,25 @@ def q_dim_airlines(spark, sf):
 
 
 def q_fact_flights(spark, sf):
-    return wh.fact_flights(history(spark, sf), td.airports(spark, sf))
+    return wh.fact_flights(history(spark, sf), td.airports(spark, sf), _airport_versions(spark, sf))
 
 
 def q_agg_hourly_routes(spark, sf):
     return wh.agg_hourly_routes(history(spark, sf))
 
 
+def q_agg_hourly_routes_stored(spark, sf):
+    """Hourly routes kept from three appended batches and a batch of corrections."""
+    path = scratch_path(spark, "hourly-routes")
+    h = history(spark, sf)
+    part = F.floor((F.col("timestamp") - td.EPOCH_BASE) / (10 * 86400))
+    tables = [*[h.where(part <= k) for k in range(2)], h, wh.merge_corrections(h, _corrections(h))]
+    fixes = [wh.route_fixes(t) for t in tables]
+    for k, (old, new) in enumerate(zip([fixes[0].limit(0), *fixes], fixes)):
+        wh.maintain_hourly_routes(path, f"b{k}", old, new)
+    return wh.read_hourly_routes(spark, path)
+
+
 def q_agg_daily_airport_stats(spark, sf):
     return wh.agg_daily_airport_stats(history(spark, sf), td.airports(spark, sf))
 

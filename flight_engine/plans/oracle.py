@@ -223,34 +223,64 @@ def _route_eff() -> str:
     )
 
 
+#: Alerts of every rule with the country of the fix that raised them, over a table of states.
+def _alerts_of(src: str, name: str) -> list[str]:
+    return [f"""{name} AS (SELECT *, lag(timestamp) OVER w AS pt, {hav('lag(latitude) OVER w', 'lag(longitude) OVER w', 'latitude', 'longitude')} AS pd,
+  coalesce(vertical_rate < -15.0E0, false) AND coalesce(lag(vertical_rate, 1) OVER w < -15.0E0, false) AND coalesce(lag(vertical_rate, 2) OVER w < -15.0E0, false)
+    AND NOT coalesce(lag(vertical_rate, 3) OVER w < -15.0E0, false) AS descent
+  FROM {src} WINDOW w AS ({ORDER_ACFT}))""",
+            f"""{name}_n AS (SELECT *, CAST(callsign IS NULL AS INTEGER) + CAST(coalesce(velocity_kmh > 1100.0E0 OR velocity_kmh < 0, false) AS INTEGER)
+  + CAST(descent AS INTEGER) + CAST(coalesce(timestamp - pt > 0 AND pd / ((timestamp - pt) / 60.0E0) > 500.0E0, false) AS INTEGER) AS alerts FROM {name})"""]
+
+
+def _hourly_routes(src: str) -> str:
+    return f"""SELECT timestamp - timestamp % 3600 AS hour_start, origin_country, count(*) AS states,
+  round(avg(velocity_kmh), 6) AS avg_velocity_kmh, round(avg(baro_altitude), 6) AS avg_altitude,
+  round(avg(CASE WHEN lower(on_ground) = 'true' THEN 1.0E0 ELSE 0.0E0 END) * 100, 6) AS pct_on_ground,
+  CAST(sum(alerts) AS BIGINT) AS alert_count FROM {src} GROUP BY 1, 2"""
+
+
 def _daily_airport() -> str:
     return with_base(
-        f"""SELECT airport_id, strftime({ts()}, '%Y-%m-%d') AS day,
-  count(*) FILTER (WHERE pg AND NOT g) AS departures, count(*) FILTER (WHERE NOT pg AND g) AS arrivals,
-  count(*) FILTER (WHERE g) AS ground_fixes, count(*) AS fixes, count(DISTINCT icao24) AS aircraft,
-  round(avg(CASE WHEN flag = 'OK' THEN 1.0E0 ELSE 0.0E0 END), 6) AS quality_ok
-  FROM gg GROUP BY 1, 2""",
+        f"""SELECT airport_id, day, departures, arrivals, ground_fixes, fixes, aircraft, quality_ok, alert_count, ground_dwell_avg_min FROM (
+  SELECT airport_id, strftime({ts()}, '%Y-%m-%d') AS day,
+    count(*) FILTER (WHERE pg AND NOT g) AS departures, count(*) FILTER (WHERE NOT pg AND g) AS arrivals,
+    count(*) FILTER (WHERE g) AS ground_fixes, count(*) AS fixes, count(DISTINCT icao24) AS aircraft,
+    round(avg(CASE WHEN flag = 'OK' THEN 1.0E0 ELSE 0.0E0 END), 6) AS quality_ok, CAST(sum(alerts) AS BIGINT) AS alert_count
+  FROM gg GROUP BY 1, 2) LEFT JOIN dwell USING (airport_id, day)""",
+        *_alerts_of("withap", "al"),
         f"""gg AS (SELECT *, lower(on_ground) = 'true' AS g,
   lag(lower(on_ground) = 'true') OVER (PARTITION BY icao24 ORDER BY timestamp, time_position) AS pg,
-  {qflag()} AS flag FROM withap)""")
-
-
-def _scd2() -> str:
-    return with_base(
-        """SELECT airport_id, airport_code, country, utc_offset, valid_from, lead(valid_from) OVER w AS valid_to,
+  {qflag()} AS flag FROM al_n)""",
+        # whole visits first, then their days
+        f"""visits AS (SELECT icao24, airport_id, min(timestamp) AS a, max(timestamp) AS b FROM (
+  SELECT *, sum(CAST(NOT goes_on AS INTEGER)) OVER (PARTITION BY icao24 ORDER BY timestamp, time_position ROWS UNBOUNDED PRECEDING) AS visit FROM (
+    SELECT *, coalesce(lag(airport_id) OVER w = airport_id AND timestamp - lag(timestamp) OVER w <= 3600, false) AS goes_on
+    FROM withap WHERE lower(on_ground) = 'true' WINDOW w AS ({ORDER_ACFT}))) GROUP BY icao24, airport_id, visit)""",
+        f"""dwell AS (SELECT airport_id, strftime({ts('d * 86400')}, '%Y-%m-%d') AS day,
+  round(sum(least(b, (d + 1) * 86400) - greatest(a, d * 86400)) / 60.0E0 / count(*), 6) AS ground_dwell_avg_min
+  FROM (SELECT *, unnest(generate_series(a // 86400, b // 86400)) AS d FROM visits) GROUP BY 1, 2)""")
+
+
+_FEED = ["""feed AS (SELECT CAST(0 AS BIGINT) AS seq, airport_id, airport_code, country, CAST(round(ap_lon / 15.0E0) AS INTEGER) AS utc_offset, CAST(1704067200 AS BIGINT) AS valid_from FROM ap
+  UNION ALL SELECT c_custkey, airport_id, airport_code, country, CAST(round(ap_lon / 15.0E0) AS INTEGER) + CAST((c_custkey // 7) % 3 - 1 AS INTEGER),
+    1704067200 + (c_custkey * 7919) % 720 * 3600 FROM customer JOIN ap ON c_nationkey = airport_id)""",
+         """said AS (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY airport_id, valid_from ORDER BY seq DESC) = 1)""",
+         """changed AS (SELECT * FROM said WINDOW w AS (PARTITION BY airport_id ORDER BY valid_from)
+  QUALIFY lag(utc_offset) OVER w IS NULL OR lag(utc_offset) OVER w <> utc_offset)""",
+         """versions AS (SELECT airport_id, airport_code, country, utc_offset, valid_from, lead(valid_from) OVER w AS valid_to,
   CAST(row_number() OVER w AS INTEGER) AS version, lead(valid_from) OVER w IS NULL AS is_current
-  FROM v WINDOW w AS (PARTITION BY airport_id ORDER BY valid_from)""",
-        """v AS (SELECT airport_id, airport_code, country, CAST(round(ap_lon / 15.0E0) AS INTEGER) AS utc_offset, CAST(1704067200 AS BIGINT) AS valid_from FROM ap
-  UNION ALL SELECT airport_id, airport_code, country, CAST(round(ap_lon / 15.0E0) AS INTEGER) + 1, CAST(1705276800 AS BIGINT) FROM ap WHERE airport_id % 3 = 0)""")
+  FROM changed WINDOW w AS (PARTITION BY airport_id ORDER BY valid_from))"""]
 
 
 _DAY_PART = ("CASE WHEN hour BETWEEN 0 AND 5 THEN 'night' WHEN hour BETWEEN 6 AND 11 THEN 'morning' "
              "WHEN hour BETWEEN 12 AND 17 THEN 'afternoon' WHEN hour BETWEEN 18 AND 23 THEN 'evening' END")
 
-_MERGE = with_base(
+_MERGED_ROWS = [
     "SELECT * FROM hist WHERE timestamp % 13 <> 0 UNION ALL SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY icao24, timestamp ORDER BY last_contact DESC, time_position DESC) AS rn FROM u) WHERE rn = 1",
     """u AS (SELECT * FROM hist WHERE timestamp % 13 = 0 UNION ALL SELECT icao24, callsign, origin_country, time_position, last_contact + 2, longitude, latitude,
-  baro_altitude, on_ground, velocity * 1.1E0, true_track, vertical_rate, timestamp, velocity * 1.1E0 * 3.6E0, status FROM hist WHERE timestamp % 13 = 0)""")
+  baro_altitude, on_ground, velocity * 1.1E0, true_track, vertical_rate, timestamp, velocity * 1.1E0 * 3.6E0, status FROM hist WHERE timestamp % 13 = 0)"""]
+_MERGE = with_base(*_MERGED_ROWS)
 
 _DEDUP = with_base(
     f"SELECT {FCOLS} FROM (SELECT *, row_number() OVER (PARTITION BY icao24, timestamp ORDER BY last_contact DESC, time_position DESC) AS rn FROM dirty WHERE {SINKABLE}) WHERE rn = 1")
@@ -371,18 +401,16 @@ ORACLE: dict[str, str] = {
   FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM (SELECT CAST(min({ts()}) AS DATE) AS lo, CAST(max({ts()}) AS DATE) AS hi FROM hist))"""),
     "dim_time": with_base(f"""SELECT hour, {_DAY_PART} AS day_part, CAST(hour * 3600 AS BIGINT) AS seconds_from_midnight, coalesce(n, 0) AS states
   FROM (SELECT CAST(unnest(generate_series(0, 23)) AS INTEGER) AS hour) LEFT JOIN (SELECT CAST(hour({ts()}) AS INTEGER) AS hour, count(*) AS n FROM hist GROUP BY 1) USING (hour)"""),
-    "dim_airports_scd2": _scd2(),
+    "dim_airports_scd2": with_base("SELECT * FROM versions", *_FEED),
     "dim_airlines": with_base("SELECT substr(trim(callsign), 1, 3) AS airline_code, count(DISTINCT icao24) AS aircraft, min(timestamp) AS first_seen, max(timestamp) AS last_seen FROM hist WHERE callsign IS NOT NULL GROUP BY 1"),
     "fact_flights": with_base(f"""SELECT md5(concat_ws('-', icao24, CAST(timestamp AS VARCHAR))) AS flight_sk,
   CAST(strftime({ts()}, '%Y%m%d') AS INTEGER) AS date_key, CAST(hour({ts()}) AS INTEGER) AS hour,
-  icao24, callsign, timestamp, time_position, origin_country, longitude, latitude, {cell(0.5)} AS cell, airport_id,
+  icao24, callsign, timestamp, time_position, origin_country, longitude, latitude, {cell(0.5)} AS cell, f.airport_id,
+  v.version AS airport_version, v.utc_offset,
   round(velocity_kmh, 6) AS velocity_kmh, baro_altitude, vertical_rate, lower(on_ground) = 'true' AS on_ground, status,
-  {qflag()} AS quality_flag FROM withap"""),
-    "agg_hourly_routes": with_base("""SELECT timestamp - timestamp % 3600 AS hour_start, origin_country, count(*) AS states,
-  round(avg(velocity_kmh), 6) AS avg_velocity_kmh, round(avg(baro_altitude), 6) AS avg_altitude,
-  round(avg(CASE WHEN lower(on_ground) = 'true' THEN 1.0E0 ELSE 0.0E0 END) * 100, 6) AS pct_on_ground,
-  count(*) FILTER (WHERE velocity_kmh > 1100.0E0 OR velocity_kmh < 0 OR callsign IS NULL) AS alert_count
-  FROM hist GROUP BY 1, 2"""),
+  {qflag()} AS quality_flag FROM withap f LEFT JOIN versions v
+  ON f.airport_id = v.airport_id AND timestamp >= valid_from AND (valid_to IS NULL OR timestamp < valid_to)""", *_FEED),
+    "agg_hourly_routes": with_base(_hourly_routes("al_n"), *_alerts_of("hist", "al")),
     "agg_daily_airport_stats": _daily_airport(),
     "agg_delay_patterns": """SELECT o_orderpriority AS carrier, CAST(isodow(o_orderdate) AS INTEGER) AS iso_dow, CAST(hour(o_orderdate) AS INTEGER) AS hour, count(*) AS legs,
   round(avg((CAST(floor(epoch(l_shipdate)) AS BIGINT) - CAST(floor(epoch(o_orderdate)) AS BIGINT)) / 86400.0E0), 6) AS avg_delay_days,
@@ -427,6 +455,7 @@ ORACLE.update({
   FROM hist WHERE timestamp - timestamp % 3600 + 3600 > (SELECT max(timestamp) FROM hist) - 864000 GROUP BY 1, 2, 3, 4"""),
     "recent_flights_table": ORACLE["recent_flights"],
     "alerts_stream": ORACLE["alerts"],
+    "agg_hourly_routes_stored": with_base(_hourly_routes("al_n"), _MERGED_ROWS[1], f"merged AS ({_MERGED_ROWS[0]})", *_alerts_of("merged", "al")),
     "message_backlog": with_base("""SELECT CAST(e - 60 AS BIGINT) AS window_start, count(*) AS pending, CAST(e - min(p) AS BIGINT) AS oldest_age_s
   FROM (SELECT unnest(generate_series((SELECT min(p - p % 60 + 60) FROM msg), (SELECT max(greatest(p - p % 60 + 60, coalesce(c + (60 - c % 60) % 60, 0))) FROM msg), 60)) AS e)
   JOIN msg ON p < e AND (c IS NULL OR c > e) GROUP BY e""",

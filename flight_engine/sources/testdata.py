@@ -138,3 +138,22 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         epoch_seconds("o_orderdate").alias("scheduled"),
         epoch_seconds("l_shipdate").alias("actual"),
     )
+
+
+def airport_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change feed of the airports' UTC offsets: seq, the airport's attributes and valid_from.
+
+    Every airport starts with round(lon / 15) at the epoch base (seq 0). Each customer is
+    one change of its nation's airport: by a step of -1, 0 or 1 hours from that, at a full hour that
+    does not follow the order of the feed, so changes come late, repeat and meet at one time.
+    """
+    ap = airports(spark, sf_dir).select("airport_id", "airport_code", "country", F.round(F.col("ap_lon") / 15.0).cast("int").alias("base"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    key = F.col("c_custkey")
+    first = ap.select(F.lit(0).cast("bigint").alias("seq"), "airport_id", "airport_code", "country", F.col("base").alias("utc_offset"),
+                      F.lit(EPOCH_BASE).cast("bigint").alias("valid_from"))
+    later = c.join(ap, F.col("c_nationkey").cast("bigint") == F.col("airport_id")).select(
+        key.alias("seq"), "airport_id", "airport_code", "country",
+        (F.col("base") + (F.floor(key / 7) % 3 - 1).cast("int")).alias("utc_offset"),
+        (F.lit(EPOCH_BASE) + (key * 7919) % 720 * 3600).cast("bigint").alias("valid_from"))
+    return first.union(later)
