@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flight_engine.files import delete_at_end
 from flight_engine.functions.geo import (
-    cell_center_lat, cell_center_lon, grid_cell, haversine_km, in_bbox,
+    EARTH_RADIUS_KM, cell_center_lat, cell_center_lon, grid_cell, haversine_km, in_bbox,
 )
 from flight_engine.operators.sequence import with_previous
+from flight_engine.session import scratch_path
 
 INEFFICIENT_RATIO = 1.15
 
@@ -27,42 +31,109 @@ def bbox_filter(history: DataFrame, min_lat: float, max_lat: float, min_lon: flo
     return history.where(in_bbox(min_lat, max_lat, min_lon, max_lon))
 
 
-AIRPORT_CELL_DEG = 10.0
-
-
-def nearest_candidates(airports: DataFrame, deg: float = AIRPORT_CELL_DEG) -> DataFrame:
-    """(cell, airports): every airport that is nearest to some point of the cell, as an array.
-
-    With c the cell's centre and r a bound of its radius, an airport further from c
-    than the nearest one plus 2 r cannot win anywhere in the cell. The work is
-    cells x airports, two dimensions that do not grow with the states.
+#: Cells that the airport tree starts from (8 x 16 of 22.5 degrees), its finest cells (1 m) and
+#: the airports a leaf may hold before it is split.
+BASE_LEVEL, MAX_LEVEL, MAX_CANDIDATES = 3, 24, 16
+#: Candidates (leaf, airport) that are sent to every task at most (about 100 MB); more are joined by a shuffle.
+MAX_SENT_CANDIDATES = 1_000_000
+_KM_PER_DEG = 111.2
+_AIRPORT = ["airport_id", "airport_code", "airport_country", "ap_lat", "ap_lon"]
+
+
+def _cell_key(level: int, lat: Column, lon: Column) -> Column:
+    """The cell of a position at a level: squares of 180 / 2^level degrees."""
+    side = 180.0 / 2 ** level
+    row = F.least(F.floor((lat + 90.0) / side), F.lit(2 ** level - 1))
+    col = F.least(F.floor((lon + 180.0) / side), F.lit(2 ** (level + 1) - 1))
+    return (F.lit(level << 52) + row * F.lit(1 << 26) + col).cast("bigint")
+
+
+def _distances(lat: float, lon: float, lats: np.ndarray, lons: np.ndarray) -> np.ndarray:
+    p, q = np.radians(lat), np.radians(lats)
+    a = np.sin((q - p) / 2) ** 2 + np.cos(p) * np.cos(q) * np.sin(np.radians(lons - lon) / 2) ** 2
+    return 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(1.0, a)))
+
+
+def _leaves(most: int, max_level: int):
+    """Split a base cell until each part has at most ``most`` airports that can be nearest in it."""
+
+    def split(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        lats, lons = table.column("ap_lat").to_numpy(), table.column("ap_lon").to_numpy()
+        keys, levels, near = [], [], []
+        todo = [(BASE_LEVEL, table.column("row")[0].as_py(), table.column("col")[0].as_py(), np.arange(len(lats)))]
+        while todo:
+            level, row, col, at = todo.pop()
+            side = 180.0 / 2 ** level
+            d = _distances(-90 + (row + 0.5) * side, -180 + (col + 0.5) * side, lats[at], lons[at])
+            at = at[d <= d.min() + 2 * _KM_PER_DEG * side * 0.7072 + 1e-5]
+            if len(at) <= most or level >= max_level:
+                keys.append((level << 52) + (row << 26) + col)
+                levels.append(level)
+                near.append(at)
+            else:
+                todo += [(level + 1, 2 * row + i, 2 * col + j, at) for i in (0, 1) for j in (0, 1)]
+        rows = table.select(_AIRPORT).take(pa.array(np.concatenate(near)))
+        ends = np.concatenate(([0], np.cumsum([len(x) for x in near]))).astype(np.int32)
+        struct = pa.StructArray.from_arrays([rows.column(c).combine_chunks() for c in _AIRPORT], _AIRPORT)
+        return pa.Table.from_arrays([pa.array(keys, pa.int64()), pa.array(levels, pa.int32()), pa.array([len(x) for x in near], pa.int32()),
+                                     pa.ListArray.from_arrays(pa.array(ends), struct)], ["key", "level", "size", "near"])
+
+    return split
+
+
+def nearest_candidates(airports: DataFrame, most: int = MAX_CANDIDATES, max_level: int = MAX_LEVEL) -> DataFrame:
+    """key, level, size, near: a tree of cells, each leaf with every airport that is nearest to some point of it.
+
+    With c a cell's centre and r a bound of its radius, an airport further from c
+    than the nearest one plus 2 r cannot win anywhere in the cell. A cell with more than ``most``
+    such airports is split in four, so the leaves are small where airports are dense, and a position
+    is compared with ``most`` airports at any density (of airports at one place only
+    the smallest id can win). Base cells are split independently of each other, by tasks.
     """
-    ap = airports.select("airport_id", "airport_code", F.col("country").alias("airport_country"), "ap_lat", "ap_lon")
-    radius = 111.2 * deg * 0.7072
-    n = int(round(180 / deg)) * int(round(360 / deg))
-    cells = ap.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
-    far = cells.withColumn("d", haversine_km(cell_center_lat("cell", deg), cell_center_lon("cell", deg), "ap_lat", "ap_lon"))
-    least = far.groupBy("cell").agg(F.min("d").alias("least"))
-    return (far.join(least, "cell").where(F.col("d") <= F.col("least") + 2 * radius)
-            .groupBy("cell").agg(F.collect_list(F.struct(*ap.columns)).alias("near")))
+    place = airports.select("airport_id", "airport_code", F.col("country").alias("airport_country"),
+                            F.col("ap_lat").cast("double").alias("ap_lat"), F.col("ap_lon").cast("double").alias("ap_lon"))
+    first = F.min(F.struct("airport_id", "airport_code", "airport_country"))
+    place = (place.where("ap_lat is not null and ap_lon is not null").groupBy("ap_lat", "ap_lon").agg(first.alias("a"))
+             .select("a.*", "ap_lat", "ap_lon"))
+    n, side = 2 ** BASE_LEVEL, 180.0 / 2 ** BASE_LEVEL
+    cells = place.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(2 * n * n - 1))))
+    cells = cells.withColumn("row", F.floor(F.col("cell") / (2 * n)).cast("int")).withColumn("col", F.col("cell") % (2 * n))
+    far = cells.withColumn("d", haversine_km(F.lit(-90.0) + (F.col("row") + 0.5) * side, F.lit(-180.0) + (F.col("col") + 0.5) * side,
+                                             "ap_lat", "ap_lon"))
+    least = far.groupBy("cell").agg(F.min("d").alias("least"))  # a row a base cell
+    kept = far.join(F.broadcast(least), "cell").where(F.col("d") <= F.col("least") + 2 * _KM_PER_DEG * side * 0.7072 + 1e-5)
+    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in place.select(*_AIRPORT).schema.fields)
+    return kept.select("row", "col", *_AIRPORT).groupBy("row", "col").applyInArrow(
+        _leaves(most, max_level), f"key long, level int, size int, near array<struct<{fields}>>")
 
 
 def with_airport(history: DataFrame, airports: DataFrame, how: str = "inner") -> DataFrame:
     """Attach the nearest airport to each position: exactly one row per positioned state.
 
-    An equi-join on the grid cell with at most one row per cell (a fixed number, so
-    it is broadcast), then the least distance within the row; ties go to the smaller
+    The tree of candidates is written first, so its size is known: up to MAX_SENT_CANDIDATES it is
+    broadcast. A position looks up its cell of each level that the tree has leaves of, and is in exactly one
+    leaf; within the leaf the least distance wins and ties go to the smaller
     airport id. Rows without a position have no airport: dropped by ``inner``.
     """
-    near = nearest_candidates(airports)
+    spark, path = history.sparkSession, scratch_path(history.sparkSession, "airport-tree")
+    tree = nearest_candidates(airports)
+    tree.coalesce(8).write.parquet(path)
+    delete_at_end(spark, path)
+    tree = spark.read.schema(tree.schema).parquet(path)
+    sizes = tree.groupBy("level").agg(F.sum("size").alias("n")).collect()  # a row a level
+    near = tree.select(F.col("key").alias("_cell"), "near")
+    near = F.broadcast(near) if sum(r["n"] for r in sizes) <= MAX_SENT_CANDIDATES else near
+
     placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-    p = history.withColumn("_cell", F.when(placed, grid_cell("latitude", "longitude", AIRPORT_CELL_DEG)))
-    p = p.join(F.broadcast(near.withColumnRenamed("cell", "_cell")), "_cell", how)
+    nowhere = F.array(F.lit(None).cast("bigint"))
+    cells = [_cell_key(r["level"], F.col("latitude"), F.col("longitude")) for r in sizes]
+    p = history.withColumn("_cell", F.explode(F.when(placed, F.array(*cells)).otherwise(nowhere) if cells else nowhere))
+    p = p.join(near, "_cell", "left").where(F.col("near").isNotNull() | (F.col("_cell").isNull() & F.lit(how == "left")))
     best = F.array_min(F.transform("near", lambda a: F.struct(
         F.round(haversine_km("latitude", "longitude", a["ap_lat"], a["ap_lon"]), 6).alias("km"), a["airport_id"].alias("id"), a.alias("a"))))
     return (p.withColumn("_best", best)
-            .select(*history.columns, *[F.col(f"_best.a.{c}").alias(c) for c in
-                                        ("airport_id", "airport_code", "airport_country", "ap_lat", "ap_lon")])
+            .select(*history.columns, *[F.col(f"_best.a.{c}").alias(c) for c in _AIRPORT])
             .withColumn("dist_km", haversine_km("latitude", "longitude", "ap_lat", "ap_lon")))
 
 

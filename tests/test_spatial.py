@@ -34,6 +34,36 @@ def test_every_position_has_its_nearest_airport_once(spark):
     assert got[900].airport_id == 60  # ties go to the smaller id
 
 
+def test_candidates_are_bounded_at_any_density(spark):
+    """100,000 airports, most of them in a few towns: no leaf holds more than the bound, and none loses the nearest."""
+    import numpy as np
+    rnd = np.random.default_rng(4)
+    towns = rnd.uniform([-60, -170], [60, 170], (12, 2))
+    spots = np.concatenate([t + rnd.normal(0, s, (7500, 2)) for t, s in zip(towns, [0.2, 0.5, 2.0] * 4)] + [rnd.uniform([-90, -180], [90, 180], (10_000, 2))])
+    spots[:, 0] = spots[:, 0].clip(-90, 90)
+    ap = spark.createDataFrame([(i, f"A{i}", "C", float(a), float(b)) for i, (a, b) in enumerate(spots)],
+                               "airport_id long, airport_code string, country string, ap_lat double, ap_lon double")
+    tree = sp.nearest_candidates(ap)
+    most, total = tree.agg(F.max("size"), F.sum("size")).first()
+    assert most <= sp.MAX_CANDIDATES and total < 60 * len(spots)
+    points = np.concatenate([rnd.uniform([-90, -180], [90, 180], (150, 2)), spots[rnd.integers(0, len(spots), 150)] + rnd.normal(0, 0.02, (150, 2))])
+    points[:, 0] = points[:, 0].clip(-90, 90)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(points)], "id int, latitude double, longitude double")
+    got = {r.id: r for r in sp.with_airport(df, ap).collect()}
+    assert len(got) == len(points)
+    for i, (a, b) in enumerate(points):
+        assert abs(got[i].dist_km - sp._distances(a, b, spots[:, 0], spots[:, 1]).min()) < 1e-6
+
+
+def test_many_candidates_are_joined_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(sp, "MAX_SENT_CANDIDATES", 3)
+    rnd = random.Random(3)
+    spots = [(rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(40)]
+    df = spark.createDataFrame([(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(50)], "id int, latitude double, longitude double")
+    got = {r.id: r for r in sp.with_airport(df, airports(spark, spots)).collect()}
+    assert all(abs(r.dist_km - min(km(r.latitude, r.longitude, *s) for s in spots)) < 1e-6 for r in got.values()) and len(got) == 50
+
+
 def test_positions_missing_and_no_airports(spark):
     df = spark.createDataFrame([(1, None, 5.0), (2, 5.0, 5.0)], "id int, latitude double, longitude double")
     ap = airports(spark, [(0, 0)])
@@ -41,6 +71,7 @@ def test_positions_missing_and_no_airports(spark):
     left = {r.id: r.airport_id for r in sp.with_airport(df, ap, how="left").collect()}
     assert left == {1: None, 2: 0}
     assert sp.with_airport(df, ap.limit(0)).count() == 0
+    assert sorted((r.id, r.airport_id) for r in sp.with_airport(df, ap.limit(0), how="left").collect()) == [(1, None), (2, None)]
 
 
 def test_corridors_cover_the_whole_history(spark):
