@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flight_engine.llm.pattern_spans import label, outside, with_spans, written
+from flight_engine.llm.pattern_spans import label, let, merged, outside, overlapping, replaced, with_spans, written
 from flight_engine.llm.store import stage
 
 # Kinds and patterns of the base rules, in their order. Quantifiers
@@ -134,12 +134,11 @@ def _mod97(m: Column) -> Column:
         .otherwise(acc * 100 + F.ascii(c) - 55)) % 97) == 1
 
 
-def _candidate(kind: str, base: Column):
-    """A candidate as (start, end, kind, votes, features); both as short strings."""
+def _candidates(kind: str, spans: Column, base: Column) -> Column:
+    """Spans as candidates (start, end, kind, votes, features); both as short strings."""
 
-    def build(s: Column) -> Column:
+    def build(s: Column, near: Column) -> Column:
         votes = _votes(kind, s)
-        near = F.exists(base, lambda t: (t["start"] < s["end"] + 40) & (s["start"] < t["end"] + 40))
         more = {"near_base": near, "line_start": s["before"].rlike(r"(^|\n)\s*$"), "spaced": s["m"].contains(" "),
                 "long": F.length(s["m"]) > 14, "varied": F.size(F.array_distinct(F.split(s["m"], ""))) > 8}
         features = [votes[v] != 0 if v == "against" else votes[v] > 0 for v in VOTES] + list(more.values())
@@ -147,7 +146,7 @@ def _candidate(kind: str, base: Column):
                         F.concat_ws("", *[F.element_at(F.array(F.lit("-"), F.lit("0"), F.lit("+")), votes[v] + 2) for v in VOTES]).alias("votes"),
                         F.concat_ws("", *[f.cast("int").cast("string") for f in features]).alias("features"))
 
-    return build
+    return let(spans, lambda c: let(overlapping(c, base, 40), lambda near: F.transform(c, lambda s, i: build(s, F.get(near, i)))))
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
@@ -155,7 +154,7 @@ def _scanned(docs: DataFrame) -> DataFrame:
     rows = with_spans(docs.select(F.col("doc"), F.coalesce(F.col("doc.text"), F.lit("")).alias("text")), "text", BASE | WIDE, NEEDS).drop("text")
     base = F.concat(*[label(k, c) for k, c in _base_spans().items()])
     rows = rows.select("doc", base.alias("base"), *[F.col(k) for k in WIDE])
-    return rows.select("doc", "base", F.concat(*[F.transform(outside(F.col(k), F.col("base")), _candidate(k, F.col("base"))) for k in WIDE]).alias("wide"))
+    return rows.select("doc", "base", F.concat(*[_candidates(k, outside(F.col(k), F.col("base")), F.col("base")) for k in WIDE]).alias("wide"))
 
 
 def estimate(counts: dict[str, int], rounds: int = EM_ROUNDS) -> dict[str, float]:
@@ -265,16 +264,9 @@ def redact(docs: DataFrame) -> DataFrame:
     n_chars, where it is a column, follows the new text.
     """
     found = find_pii(docs).select("doc", F.array_sort("spans").alias("spans"))
-    merged = found.select("doc", F.expr("""aggregate(spans, cast(array() as array<struct<start: int, end: int, kind: string>>),
-        (acc, s) -> if(size(acc) > 0 and s.start < element_at(acc, -1).end,
-            concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start,
-                'end', greatest(element_at(acc, -1).end, s.end), 'kind', element_at(acc, -1).kind))),
-            concat(acc, array(s))))""").alias("spans"))
-    clean = F.expr("""if(size(spans) = 0, doc.text, aggregate(spans, named_struct('at', 0, 'out', cast(array() as array<string>)),
-        (acc, s) -> named_struct('at', s.end, 'out', concat(acc.out, array(
-            substring(doc.text, acc.at + 1, s.start - acc.at), concat('<', upper(s.kind), '>')))),
-        acc -> concat(array_join(acc.out, ''), substring(doc.text, acc.at + 1))))""")
-    rows = merged.select("doc", clean.alias("text"))
+    # written as columns, so that each step is computed once
+    rows = found.select("doc", merged(F.col("spans")).alias("spans"))
+    rows = rows.select("doc", replaced(F.col("doc.text"), F.col("spans")).alias("text"))
     return rows.select(*[F.col("text").alias(c) if c == "text" else
                          F.coalesce(F.length("text"), F.col(f"doc.{c}")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
                          F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
