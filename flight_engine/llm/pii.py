@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flight_engine.llm.pattern_spans import label, let, merged, outside, overlapping, replaced, with_spans, written
+from flight_engine.llm.pattern_spans import label, merged, outside, overlapping, replaced, with_spans, written
 from flight_engine.llm.store import stage
 
 # Kinds and patterns of the base rules, in their order. Quantifiers
@@ -134,27 +134,39 @@ def _mod97(m: Column) -> Column:
         .otherwise(acc * 100 + F.ascii(c) - 55)) % 97) == 1
 
 
-def _candidates(kind: str, spans: Column, base: Column) -> Column:
-    """Spans as candidates (start, end, kind, votes, features); both as short strings."""
+def _candidate(kind: str, s: Column, near: Column) -> Column:
+    """A candidate as (start, end, kind, votes, features); both as short strings."""
+    votes = _votes(kind, s)
+    more = {"near_base": near, "line_start": s["before"].rlike(r"(^|\n)\s*$"), "spaced": s["m"].contains(" "),
+            "long": F.length(s["m"]) > 14, "varied": F.size(F.array_distinct(F.split(s["m"], ""))) > 8}
+    features = [votes[v] != 0 if v == "against" else votes[v] > 0 for v in VOTES] + list(more.values())
+    return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"),
+                    F.concat_ws("", *[F.element_at(F.array(F.lit("-"), F.lit("0"), F.lit("+")), votes[v] + 2) for v in VOTES]).alias("votes"),
+                    F.concat_ws("", *[f.cast("int").cast("string") for f in features]).alias("features"))
 
-    def build(s: Column, near: Column) -> Column:
-        votes = _votes(kind, s)
-        more = {"near_base": near, "line_start": s["before"].rlike(r"(^|\n)\s*$"), "spaced": s["m"].contains(" "),
-                "long": F.length(s["m"]) > 14, "varied": F.size(F.array_distinct(F.split(s["m"], ""))) > 8}
-        features = [votes[v] != 0 if v == "against" else votes[v] > 0 for v in VOTES] + list(more.values())
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"),
-                        F.concat_ws("", *[F.element_at(F.array(F.lit("-"), F.lit("0"), F.lit("+")), votes[v] + 2) for v in VOTES]).alias("votes"),
-                        F.concat_ws("", *[f.cast("int").cast("string") for f in features]).alias("features"))
 
-    return let(spans, lambda c: let(overlapping(c, base, 40), lambda near: F.transform(c, lambda s, i: build(s, F.get(near, i)))))
+def _of_kind(kind: str) -> Column:
+    """The spans of a kind, with its name in them."""
+    return F.transform(kind, lambda s: F.struct(*[s[c].alias(c) for c in ("start", "end", "m", "before")], F.lit(kind).alias("kind")))
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
     """doc, base (start, end, kind by kind) and candidates outside of base spans."""
     rows = with_spans(docs.select(F.col("doc"), F.coalesce(F.col("doc.text"), F.lit("")).alias("text")), "text", BASE | WIDE, NEEDS).drop("text")
     base = F.concat(*[label(k, c) for k, c in _base_spans().items()])
-    rows = rows.select("doc", base.alias("base"), *[F.col(k) for k in WIDE])
-    return rows.select("doc", "base", F.concat(*[_candidates(k, outside(F.col(k), F.col("base")), F.col("base")) for k in WIDE]).alias("wide"))
+    # all kinds in one array, so that overlaps are worked out once
+    rows = rows.select("doc", base.alias("base"), F.concat(*map(_of_kind, WIDE)).alias("wide"))
+    rows = rows.select("doc", "base", outside(F.col("wide"), F.col("base")).alias("wide"))
+    rows = rows.select("doc", "base", "wide", overlapping(F.col("wide"), F.col("base"), 40).alias("near"))
+
+    def candidate(s: Column, i: Column) -> Column:
+        near, kinds = F.get(F.col("near"), i), list(WIDE)
+        out = _candidate(kinds[-1], s, near)
+        for kind in kinds[:-1]:
+            out = F.when(s["kind"] == kind, _candidate(kind, s, near)).otherwise(out)
+        return out
+
+    return rows.select("doc", "base", F.transform("wide", candidate).alias("wide"))
 
 
 def estimate(counts: dict[str, int], rounds: int = EM_ROUNDS) -> dict[str, float]:
