@@ -13,6 +13,7 @@ SIDE_EFFECTS = {
     "latest_state_stream", "dedup_stream", "congestion_stream", "trajectory_stream",
     "pipeline_counters_stream", "stream_progress", "merge_corrections_table",
     "recent_flights_table", "latest_state_ttl_stream", "retain_window",
+    "alerts_stream", "insert_errors", "agg_hourly_routes_stored", "dim_airports_scd2",
 }
 
 
