@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,26 +110,37 @@ def nearest_candidates(airports: DataFrame, most: int = MAX_CANDIDATES, max_leve
         _leaves(most, max_level), f"key long, level int, size int, near array<struct<{fields}>>")
 
 
-def with_airport(history: DataFrame, airports: DataFrame, how: str = "inner") -> DataFrame:
-    """Attach the nearest airport to each position: exactly one row per positioned state.
+class AirportTree(NamedTuple):
+    """A written tree of candidates: (_cell, near), broadcast if it is small, and the levels that have leaves."""
 
-    The tree of candidates is written first, so its size is known: up to MAX_SENT_CANDIDATES it is
-    broadcast. A position looks up its cell of each level that the tree has leaves of, and is in exactly one
-    leaf; within the leaf the least distance wins and ties go to the smaller
-    airport id. Rows without a position have no airport: dropped by ``inner``.
-    """
-    spark, path = history.sparkSession, scratch_path(history.sparkSession, "airport-tree")
+    near: DataFrame
+    levels: list[int]
+
+
+def airport_tree(airports: DataFrame) -> AirportTree:
+    """Write the tree of candidates, so that its size is known: up to MAX_SENT_CANDIDATES it is broadcast."""
+    spark, path = airports.sparkSession, scratch_path(airports.sparkSession, "airport-tree")
     tree = nearest_candidates(airports)
     tree.coalesce(8).write.parquet(path)
     delete_at_end(spark, path)
     tree = spark.read.schema(tree.schema).parquet(path)
     sizes = tree.groupBy("level").agg(F.sum("size").alias("n")).collect()  # a row a level
     near = tree.select(F.col("key").alias("_cell"), "near")
-    near = F.broadcast(near) if sum(r["n"] for r in sizes) <= MAX_SENT_CANDIDATES else near
+    return AirportTree(F.broadcast(near) if sum(r["n"] for r in sizes) <= MAX_SENT_CANDIDATES else near, [r["level"] for r in sizes])
 
+
+def with_airport(history: DataFrame, airports: DataFrame | AirportTree, how: str = "inner") -> DataFrame:
+    """Attach the nearest airport to each position: exactly one row per positioned state.
+
+    A position looks up its cell of each level that the tree has leaves of, and is in exactly one
+    leaf; within the leaf the least distance wins and ties go to the smaller
+    airport id. Rows without a position have no airport: dropped by ``inner``. Where several
+    inputs meet the same airports, an ``airport_tree`` made once serves them all.
+    """
+    near, levels = airports if isinstance(airports, AirportTree) else airport_tree(airports)
     placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     nowhere = F.array(F.lit(None).cast("bigint"))
-    cells = [_cell_key(r["level"], F.col("latitude"), F.col("longitude")) for r in sizes]
+    cells = [_cell_key(level, F.col("latitude"), F.col("longitude")) for level in levels]
     p = history.withColumn("_cell", F.explode(F.when(placed, F.array(*cells)).otherwise(nowhere) if cells else nowhere))
     p = p.join(near, "_cell", "left").where(F.col("near").isNotNull() | (F.col("_cell").isNull() & F.lit(how == "left")))
     best = F.array_min(F.transform("near", lambda a: F.struct(
@@ -146,7 +159,7 @@ def airport_broadcast_join(history: DataFrame, airports: DataFrame) -> DataFrame
 VISIT_GAP_S = 3600
 
 
-def ground_steps(history: DataFrame, airports: DataFrame, gap_s: int = VISIT_GAP_S) -> DataFrame:
+def ground_steps(history: DataFrame, airports: DataFrame | AirportTree, gap_s: int = VISIT_GAP_S) -> DataFrame:
     """Ground fixes with the ground fix before and whether the same visit goes on.
 
     A visit is a run of ground fixes of one aircraft at one airport without a gap
@@ -160,7 +173,7 @@ def ground_steps(history: DataFrame, airports: DataFrame, gap_s: int = VISIT_GAP
         "goes_on", F.coalesce((F.col("prev1_airport_id") == F.col("airport_id")) & (step <= gap_s), F.lit(False)))
 
 
-def airport_ground(history: DataFrame, airports: DataFrame, gap_s: int = VISIT_GAP_S) -> DataFrame:
+def airport_ground(history: DataFrame, airports: DataFrame | AirportTree, gap_s: int = VISIT_GAP_S) -> DataFrame:
     """Ground visits per airport and aircraft: visits, fixes, first/last seen and time on ground.
 
     Dwell is the sum of the visits' lengths, so absences do not count.
@@ -172,7 +185,7 @@ def airport_ground(history: DataFrame, airports: DataFrame, gap_s: int = VISIT_G
                  F.coalesce(F.sum(F.when(goes_on, F.col("step"))), F.lit(0)).cast("bigint").alias("dwell_s")))
 
 
-def ground_dwell_by_day(history: DataFrame, airports: DataFrame, gap_s: int = VISIT_GAP_S) -> DataFrame:
+def ground_dwell_by_day(history: DataFrame, airports: DataFrame | AirportTree, gap_s: int = VISIT_GAP_S) -> DataFrame:
     """Per airport and UTC day: visits that touch it, their time on it, and the mean in minutes.
 
     A visit is the chain of its steps from fix to fix, so it needs no numbering: each step is

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flight_engine.functions.columns import is_on_ground
 from flight_engine.operators.anomalies import MAX_KMH, alerted_fixes, quality_flag_col
 from flight_engine.functions.geo import grid_cell
-from flight_engine.operators.spatial import ground_dwell_by_day, with_airport
+from flight_engine.operators.spatial import airport_tree, ground_dwell_by_day, with_airport
 
 # Hour-of-day buckets of dim_time.
 DAY_PARTS = [(0, 5, "night"), (6, 11, "morning"), (12, 17, "afternoon"), (18, 23, "evening")]
@@ -153,7 +153,8 @@ def agg_daily_airport_stats(history: DataFrame, airports: DataFrame) -> DataFram
     midnight counts for each of its days with the time it has there.
     """
     d = alerted_fixes(history.withColumn("g", is_on_ground()), extra=("on_ground", "velocity"), before=("g",))
-    d = with_airport(d, airports)
+    tree = airport_tree(airports)
+    d = with_airport(d, tree)
     day = F.date_format(_ts(), "yyyy-MM-dd")
     fixes = (d.groupBy("airport_id", day.alias("day"))
              .agg(F.count(F.when(F.col("prev1_g") & ~F.col("g"), 1)).alias("departures"),
@@ -163,7 +164,7 @@ def agg_daily_airport_stats(history: DataFrame, airports: DataFrame) -> DataFram
                   F.countDistinct("icao24").alias("aircraft"),
                   F.round(F.avg(F.when(quality_flag_col() == "OK", 1.0).otherwise(0.0)), 6).alias("quality_ok"),
                   F.sum(F.size("alerts")).alias("alert_count")))
-    dwell = ground_dwell_by_day(history, airports).select("airport_id", "day", "ground_dwell_avg_min")
+    dwell = ground_dwell_by_day(history, tree).select("airport_id", "day", "ground_dwell_avg_min")
     out = fixes.join(dwell, ["airport_id", "day"], "full")
     return out.na.fill(0, ["departures", "arrivals", "ground_fixes", "fixes", "aircraft", "alert_count"])
 
