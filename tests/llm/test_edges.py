@@ -145,3 +145,12 @@ def test_pipeline_stages(spark):
     bench = [brute.shingles(r.text, 5) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
     assert not any(100 * len(q & brute.shingles(r.text, 5)) >= 80 * len(q) for r in rows for q in bench)
     assert out.select(F.countDistinct("doc_id")).first()[0] == len(rows)
+
+
+def test_one_per_group_with_clashing_names(spark):
+    from flight_engine.llm.ngram_join import one_per_group
+    a = " ".join(f"a{i}" for i in range(30))
+    rows = [(1, a, 7, 8, 9, "x"), (2, a + " more", 7, 8, 9, "x"), (3, "b " * 9, 7, 8, 9, "x"), (3, "c d e f g h i", 7, 8, 9, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept_id int, many_id int, own_id int, component string")
+    out = one_per_group(df)
+    assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [1, 3, 3]
