@@ -4,25 +4,33 @@
 over CHUNK_BYTES is written as a segmented record: the first segment and
 continuation records, each with its number, the length and the SHA-256 of the
 payload so far, so neither side ever holds or copies a whole record.
-``read_chunks`` streams archives back as rows (record, chunk number, bytes);
-``read_records`` digests those rows in order, one chunk at a time, and checks
-each running digest. Equal payloads of MIN_REVISIT bytes or more are stored once:
-the smallest page_id is the response, the others are revisits of it.
+``read_chunks`` streams archives back as rows (record, chunk number, bytes):
+Spark unpacks each archive line by line and one task puts its lines together to
+records, so neither an archive nor a record is ever one value, and archives of
+other writers may have any size (a line of them without a line break is one
+value). Their unsegmented payloads over CHUNK_BYTES come as several chunks too,
+with the running digests made on reading. ``read_records`` digests chunks in
+order, one at a time, and checks each running digest. Equal payloads of
+MIN_REVISIT bytes or more are stored once: the smallest page_id is the response,
+the others are revisits of it. An own archive holds at most RECORDS_PER_ARCHIVE
+segments, 270 MB unpacked.
 
 Defined results: null html is an empty payload; a null page_id stays null, and is
 never referred to unless all equal payloads have none; rows that repeat the
 smallest page_id are all responses; a null url leaves the header out, control
 characters in it are percent-encoded; extra columns are ignored; an empty table
-gives empty archives and an empty result.
+gives empty archives and an empty result; records that are no response, revisit,
+resource or continuation are passed over; a truncated or damaged archive is an error.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
-import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +44,7 @@ RECORDS_PER_ARCHIVE = 4096
 #: Revisit targets sent to every task up to so many rows; above, the join shuffles.
 MAX_BROADCAST_TARGETS = 100_000
 DATE = "2000-01-01T00:00:00Z"
-_READ = 64 << 10
+_BREAK = "\r\n"
 
 
 def _header(fields: list[tuple[str, object]]) -> str:
@@ -129,56 +137,136 @@ def write_archives(pages: DataFrame, path: str) -> None:
     else:
         rows = rows.withColumn("target", F.lit(None).cast("long"))
     (rows.mapInArrow(records, "value string").write.mode("overwrite")
-     .option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path))
+     .option("lineSep", _BREAK).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path))
 
 
-def parse_archive(raw: memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header, block) of each record of a gzip archive, unpacked piece by piece.
+def read_pieces(lines: Iterator[memoryview]) -> Iterator[tuple[dict[str, str], bytes, bytes, bool]]:
+    """(header, HTTP head, piece, last) of the records in an archive's lines.
 
-    At most a record segment and a piece are held at a time.
+    A payload comes in pieces of CHUNK_BYTES, the head with the first one; no more than
+    a line and a piece are held at a time.
     """
-    unzip, buffer, at = zlib.decompressobj(31), bytearray(), 0
-
-    def more() -> bool:
-        nonlocal at, unzip
-        while at < len(raw):
-            piece = bytes(raw[at:at + _READ])
-            at += len(piece)
-            buffer.extend(unzip.decompress(piece))
-            while unzip.eof and (unzip.unused_data or at < len(raw)):
-                rest, unzip = unzip.unused_data, zlib.decompressobj(31)
-                buffer.extend(unzip.decompress(rest))
-                if not rest:
-                    break
-            if buffer:
-                return True
-        return False
-
-    while buffer or more():
-        while (end := buffer.find(b"\r\n\r\n")) < 0:
-            if not more():
-                raise ValueError("truncated WARC header")
-        lines = buffer[:end].decode("utf-8").split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
-        header = dict(line.split(": ", 1) for line in lines[1:])
+    for line in lines:
+        if not bytes(line[:5]) == b"WARC/":
+            raise ValueError(f"not a WARC record: {bytes(line[:40])!r}")
+        header = {}
+        for line in lines:
+            if not len(line):
+                break
+            name, _, value = str(line, "utf-8").partition(":")
+            header[name] = value.strip()
+        else:
+            raise ValueError("truncated WARC header")
         size = int(header["Content-Length"])
-        while len(buffer) < end + 4 + size + 4:
-            if not more():
+        in_head = header.get("Content-Type", "").startswith("application/http") and header.get("WARC-Segment-Number", "1") == "1"
+        head, held, done, first = bytearray(), bytearray(), 0, True
+        while True:
+            if (line := next(lines, None)) is None:
                 raise ValueError("truncated WARC block")
-        block = bytes(buffer[end + 4:end + 4 + size])
-        del buffer[:end + 4 + size + 4]
-        yield header, block
+            if not first:
+                done += 2
+                (head if in_head else held).extend(b"\r\n")
+            done += len(line)
+            if done > size:
+                raise ValueError("WARC block longer than its Content-Length")
+            if in_head:
+                head.extend(line)
+                if not len(line) and not first and done + 2 <= size:
+                    # the blank line's own break still belongs to the head
+                    head.extend(b"\r\n")
+                    done, in_head, first = done + 2, False, True
+                    continue
+            else:
+                for lo in range(0, max(len(line), 1), CHUNK_BYTES):
+                    held.extend(line[lo:lo + CHUNK_BYTES])
+                    while len(held) > CHUNK_BYTES:
+                        yield header, bytes(head), bytes(held[:CHUNK_BYTES]), False
+                        head = b""
+                        del held[:CHUNK_BYTES]
+            first = False
+            if done == size:
+                break
+        end = next(lines, None)
+        if end is None or len(end):
+            raise ValueError("WARC block not closed")
+        yield header, bytes(head), bytes(held), True
+
+
+def parse_archive(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(header, block) of each record of one small gzip archive, unpacked whole."""
+    lines = gzip.decompress(raw).split(_BREAK.encode())
+    block = bytearray()
+    for header, head, piece, last in read_pieces(iter(map(memoryview, lines[:-1]))):
+        block += head + piece
+        if last:
+            yield header, bytes(block)
+            block = bytearray()
+
+
+def chunk_rows(lines: Iterator[memoryview], whole: bool) -> Iterator[tuple]:
+    """The rows of ``read_chunks`` from the lines of an archive."""
+    running, number, so_far = None, 0, 0
+    for header, _, piece, last in read_pieces(lines):
+        kind, record = header["WARC-Type"], header["WARC-Record-ID"]
+        page, to = header.get("X-Page-ID"), header.get("X-Refers-To-Page-ID")
+        page, to = None if page is None else int(page), None if to is None else int(to)
+        digest = header.get("X-Running-Digest", header.get("WARC-Payload-Digest", ""))
+        digest = digest[7:].lower() if digest.startswith("sha256:") else None
+        if kind == "revisit":
+            if last:
+                yield record, page, kind, to, 1, False, int(header.get("X-Payload-Length", 0)), digest, 0, b"" if whole else None
+        elif "WARC-Segment-Number" in header:
+            if not last or "X-Payload-So-Far" not in header:
+                raise ValueError(f"segment {record} is over {CHUNK_BYTES} bytes or has no place in its payload")
+            yield (header.get("WARC-Segment-Origin-ID", record), page, "response", to, int(header["WARC-Segment-Number"]),
+                   "WARC-Segment-Total-Length" not in header, int(header["X-Payload-So-Far"]), digest, len(piece), piece)
+        elif kind in ("response", "resource"):
+            if running is None:
+                running, number, so_far = hashlib.sha256(), 0, 0
+            running.update(piece)
+            number, so_far = number + 1, so_far + len(piece)
+            found = running.copy().hexdigest()
+            if last and digest not in (None, found):
+                raise ValueError(f"digest mismatch in {record}")
+            keep = whole or number > 1 or not last
+            yield record, page, "response", to, number, not last, so_far, found, len(piece), piece if keep else None
+            if last:
+                running = None
 
 
 _CHUNK = ("record_id string, page_id long, record_type string, refers_to long, chunk_no long, chunks_follow boolean, "
           "payload_so_far long, running_digest string, n_bytes long, payload binary")
 
 
+def _archive_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[memoryview]]:
+    """The lines of each archive of a task, archive by archive."""
+
+    def flat() -> Iterator[tuple[int, memoryview]]:
+        for batch in batches:
+            values = batch.column("value").cast(pa.binary())
+            _, places, data = values.buffers()
+            at = np.frombuffer(places, np.int32)[values.offset:values.offset + len(values) + 1].tolist() if len(values) else [0]
+            raw = memoryview(data or b"")
+            for k, file in enumerate(batch.column("file").to_pylist()):
+                yield file, raw[at[k]:at[k + 1]]
+
+    rows = flat()
+    ahead = next(rows, None)
+
+    def of_file(file: int) -> Iterator[memoryview]:
+        nonlocal ahead
+        while ahead is not None and ahead[0] == file:
+            line, ahead = ahead[1], next(rows, None)
+            yield line
+
+    while ahead is not None:
+        yield of_file(ahead[0])
+
+
 def read_chunks(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
     """The chunked record table of a folder of archives.
 
-    One row per record segment: the record's id, the chunk's number and bytes, and
+    One row per chunk of a record: the record's id, the chunk's number and bytes, and
     length and digest of the payload up to it. With ``whole`` false the bytes of
     records of a single chunk are digested on the spot and left out.
     """
@@ -191,33 +279,21 @@ def read_chunks(spark: SparkSession, path: str, whole: bool = True) -> DataFrame
         def table(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-        for batch in batches:
-            for content in batch.column("content"):
-                rows, size = [], 0
-                for header, block in parse_archive(memoryview(content.as_buffer())):
-                    kind, number = header["WARC-Type"], int(header.get("WARC-Segment-Number", 1))
-                    page, to = header.get("X-Page-ID"), header.get("X-Refers-To-Page-ID")
-                    if kind == "revisit":
-                        so_far, digest, payload = int(header["X-Payload-Length"]), header["WARC-Payload-Digest"][7:], b""
-                    else:
-                        payload = block[block.index(b"\r\n\r\n") + 4:] if number == 1 else block
-                        so_far, digest = int(header.get("X-Payload-So-Far", len(payload))), header["X-Running-Digest"][7:]
-                    split = "WARC-Segment-Number" in header
-                    if kind == "response" and not split and hashlib.sha256(payload).hexdigest() != digest:
-                        raise ValueError(f"digest mismatch in {header['WARC-Record-ID']}")
-                    rows.append((header.get("WARC-Segment-Origin-ID", header["WARC-Record-ID"]), None if page is None else int(page),
-                                 "response" if kind == "continuation" else kind, None if to is None else int(to), number,
-                                 split and "WARC-Segment-Total-Length" not in header, so_far, digest, len(payload),
-                                 payload if whole or split else None))
-                    size += len(payload) if whole or split else 64
-                    if size > 16 * CHUNK_BYTES:
-                        yield table(rows)
-                        rows, size = [], 0
-                if rows:
+        rows, size = [], 0
+        for lines in _archive_lines(batches):
+            for row in chunk_rows(lines, whole):
+                rows.append(row)
+                size += 64 if row[-1] is None else 64 + len(row[-1])
+                if size > 16 * CHUNK_BYTES:
                     yield table(rows)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(chunks, _CHUNK)
+                    rows, size = [], 0
+        if rows:
+            yield table(rows)
+
+    # gzip is not split: a task reads an archive's lines from its first to its last
+    lines = (spark.read.option("lineSep", _BREAK).option("pathGlobFilter", "*.gz").text(path)
+             .select("value", F.xxhash64("_metadata.file_path").alias("file")))
+    return lines.mapInArrow(chunks, _CHUNK)
 
 
 def _digest_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -491,3 +491,68 @@ def test_warc_damage_is_noticed():
     assert len(list(parse_archive(memoryview(two)))) == 8
     with pytest.raises(ValueError):
         list(parse_archive(memoryview(gzip.compress(text.encode()[:-5000]))))
+
+
+def foreign_archive(payloads):
+    """A gzip archive as other writers make it: a member a record, no own headers, no segments."""
+    import gzip
+    out = gzip.compress(b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <i>\r\nContent-Length: 9\r\n\r\na: b\r\n\r\nc\r\n\r\n")
+    for k, payload in enumerate(payloads):
+        head = b"HTTP/1.1 200 OK\r\nServer: s\r\n\r\n"
+        fields = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <r{k}>\r\nContent-Type: application/http; msgtype=response\r\n"
+        fields += f"Content-Length: {len(head) + len(payload)}\r\n\r\n"
+        out += gzip.compress(fields.encode() + head + payload + b"\r\n\r\n")
+    return out
+
+
+def test_warc_of_other_writers_is_streamed_in_chunks(spark):
+    from flight_engine.files import _fs
+    from flight_engine.llm.warc import CHUNK_BYTES, read_chunks, read_records
+    from flight_engine.session import scratch_path
+    payloads = [b"", b"\r\n", b"\r\n\r\nx", b"a\r\n" * 700_000, bytes(range(256)) * 999, b"y" * CHUNK_BYTES, b"z" * (CHUNK_BYTES + 1),
+                b"WARC/1.1\r\nWARC-Type: response\r\n\r\n", b"\r\n" * 70_000, b"\r" * 70_000 + b"\n"]
+    path = scratch_path(spark, "t-warc-foreign")
+    for name, part in (("a", payloads[:5]), ("b", payloads[5:])):
+        fs, p = _fs(spark, f"{path}/{name}.warc.gz")
+        stream = fs.create(p)
+        stream.write(bytearray(foreign_archive(part)))
+        stream.close()
+    chunks = read_chunks(spark, path).collect()
+    assert max(c.n_bytes for c in chunks) == CHUNK_BYTES and {c.record_type for c in chunks} == {"response"}
+    got = sorted((r.payload_bytes, r.payload_digest) for r in read_records(spark, f"{path}/a.warc.gz").collect())
+    assert got == sorted((len(x), brute.sha(x)) for x in payloads[:5])
+    got = sorted((r.payload_bytes, r.payload_digest) for r in read_records(spark, f"{path}/b.warc.gz").collect())
+    assert got == sorted((len(x), brute.sha(x)) for x in payloads[5:])
+
+
+def test_warc_lines_hold_a_piece_at_a_time():
+    """A payload of 600 MB goes through the reader in a few MB."""
+    import tracemalloc
+    from flight_engine.llm.warc import CHUNK_BYTES, chunk_rows
+    line, count = memoryview(b"q" * 19_998), 30_000
+
+    def lines():
+        yield from map(memoryview, (b"WARC/1.1", b"WARC-Type: resource", b"WARC-Record-ID: <big>", b"Content-Length: %d" % (20_000 * count - 2), b""))
+        for _ in range(count):
+            yield line
+        yield memoryview(b"")
+
+    tracemalloc.start()
+    size = last = 0
+    for row in chunk_rows(lines(), whole=True):
+        assert row[8] <= CHUNK_BYTES and row[4] == last + 1
+        size, last = size + row[8], row[4]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert size == 20_000 * count - 2 and peak < 4 << 20
+
+
+def test_warc_reader_refuses_damage():
+    from flight_engine.llm.warc import parse_archive, read_pieces
+    whole = foreign_archive([b"abc\r\ndef"])
+    assert [b for _, b in parse_archive(whole)][1].endswith(b"\r\n\r\nabc\r\ndef")
+    good = [b"WARC/1.1", b"WARC-Type: resource", b"WARC-Record-ID: <r>", b"Content-Length: 3", b"", b"abc", b""]
+    assert [x[2] for x in read_pieces(iter(map(memoryview, good)))] == [b"abc"]
+    for bad in (good[1:], good[:3], good[:5], good[:6], good[:5] + [b"abcd", b""], good[:5] + [b"ab", b"", b""], good[:6] + [b"x"]):
+        with pytest.raises(ValueError):
+            list(read_pieces(iter(map(memoryview, bad))))
