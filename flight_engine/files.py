@@ -54,3 +54,22 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly under ``path``; none if it is not there."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; False if there is one already."""
+    fs, p = _fs(spark, path)
+    return fs.createNewFile(p)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flight_engine.functions.columns import js_round, status_color
+from flight_engine.operators.newest import kept_rows, newest_first, newest_window
 from flight_engine.operators.sink import table_days
 from flight_engine.schema import API_COLUMNS
 
@@ -35,11 +36,6 @@ def parse_limit(value: str | None) -> int:
     return min(n, MAX_LIMIT)
 
 
-def newest_first():
-    """Deterministic newest-first order (snapshot rows share a timestamp)."""
-    return [F.col("timestamp").desc(), F.col("icao24").asc(), F.col("time_position").desc()]
-
-
 def recent_flights(history: DataFrame, limit: int | str | None = DEFAULT_LIMIT) -> DataFrame:
     """API page: 8 columns, newest first, at most ``parse_limit(limit)`` rows.
 
@@ -54,31 +50,15 @@ def recent_flights_from_table(spark, path: str, limit: int | str | None = DEFAUL
                               lookback_s: int = 3600) -> DataFrame:
     """``recent_flights`` over a stored, day-partitioned history table.
 
-    The days come from a listing of the table's folders, the newest timestamp
-    from the newest day only.  The page is then
-    taken from ``timestamp >= newest - lookback``: a literal predicate, so it
-    prunes ``dt`` partitions and skips row groups by their min/max.  If that
-    window holds fewer rows than the page, the lookback grows 4x per round;
-    once it reaches the oldest partition the bound is dropped, so the result
-    always equals the unbounded query.
+    The page comes from the newest rows kept beside the table (``operators/newest.py``);
+    a table without them is read, by a window that starts at ``lookback_s`` before its
+    newest row. Both always equal the unbounded query.
     """
-    import datetime as _dt
     n = parse_limit(None if limit is None else str(limit))
-    table = spark.read.parquet(path)
-    days = table_days(spark, path)
-    if not days:
-        return recent_flights(table, n)
-    newest = table.where(F.col("dt") == days[-1]).agg(F.max("timestamp")).first()[0]
-    span = lookback_s
-    while True:
-        lo = newest - span
-        day = _dt.datetime.fromtimestamp(lo, _dt.timezone.utc).strftime("%Y-%m-%d")
-        if day <= days[0]:
-            return recent_flights(table, n)
-        window = table.where((F.col("dt") >= day) & (F.col("timestamp") >= F.lit(lo)))
-        if window.limit(n).count() >= n:
-            return recent_flights(window, n)
-        span *= 4
+    kept = kept_rows(spark, path, lambda: table_days(spark, path))
+    if kept is None:
+        kept = newest_window(spark, path, table_days(spark, path), n, lookback_s)
+    return recent_flights(kept, n)
 
 
 def peek_rows(history: DataFrame, n: int = 5, cols: tuple[str, ...] = (

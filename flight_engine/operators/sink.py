@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flight_engine.files import delete, exists, folders
+from flight_engine.operators.newest import batch_written, rows_changed
 from flight_engine.schema import PROCESSED_COLUMNS, PROCESSED_SCHEMA
 from flight_engine.session import scratch_path
 
@@ -73,13 +74,16 @@ def append_batch(df: DataFrame, path: str, batch_id: str | int | None = None) ->
 
     Rows are guarded, stamped with ``created_at`` and partitioned by day and batch,
     in one layout for all writers. With a ``batch_id`` the write is idempotent: the
-    same id replaces only its own rows. Without one, the batch gets a new id.
+    same id replaces only its own rows. Without one, the batch gets a new id. The
+    batch's newest rows are kept beside the table for pages.
     """
+    spark = df.sparkSession
     batch = f"batch-{uuid.uuid4().hex[:12]}" if batch_id is None else f"b{batch_id}"
     out = with_partition_columns(filter_sinkable(df).select(*PROCESSED_COLUMNS)
                                  .withColumn("created_at", F.current_timestamp()))
-    (out.withColumn("batch", F.lit(batch)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*TABLE_PARTITIONS).parquet(path))
+    with batch_written(spark, path, batch, lambda: table_days(spark, path)):
+        (out.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*TABLE_PARTITIONS).parquet(path))
 
 
 def table_days(spark: SparkSession, path: str) -> list[str]:
@@ -93,12 +97,13 @@ def replace_days(spark: SparkSession, path: str, rows: DataFrame, days: list[str
     The rows are written first, under a new batch; the days' other batches go after.
     """
     batch = f"{name}-{uuid.uuid4().hex[:12]}"
-    (rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*TABLE_PARTITIONS).parquet(path))
-    for day in days:
-        for old in folders(spark, f"{path}/dt={day}"):
-            if old.startswith("batch=") and old != f"batch={batch}":
-                delete(spark, f"{path}/dt={day}/{old}")
+    with rows_changed(spark, path, lambda: table_days(spark, path)):
+        (rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*TABLE_PARTITIONS).parquet(path))
+        for day in days:
+            for old in folders(spark, f"{path}/dt={day}"):
+                if old.startswith("batch=") and old != f"batch={batch}":
+                    delete(spark, f"{path}/dt={day}/{old}")
 
 
 def compact_table(spark: SparkSession, path: str, max_batches: int = 24) -> list[str]:
@@ -125,16 +130,17 @@ def retain_table(spark: SparkSession, path: str, days: int = 7, as_of: int | Non
     cutoff = as_of - days * 86400
     edge = datetime.datetime.fromtimestamp(cutoff, datetime.timezone.utc).strftime("%Y-%m-%d")
     old = [d for d in table_days(spark, path) if d < edge]
-    if edge in table_days(spark, path) and cutoff % 86400:
-        staging = scratch_path(spark, "retain")
-        (spark.read.parquet(path).where((F.col("dt").cast("string") == edge) & (F.col("timestamp") >= cutoff)).drop("batch")
-         .write.partitionBy("dt").parquet(staging))
-        kept = spark.read.schema(spark.read.parquet(path).drop("batch").schema).parquet(staging)
-        replace_days(spark, path, kept, [edge], "retain")
-        delete(spark, staging)
-    ensure_schema_file(spark, path)
-    for day in old:
-        delete(spark, f"{path}/dt={day}")
+    with rows_changed(spark, path, lambda: table_days(spark, path)):
+        if edge in table_days(spark, path) and cutoff % 86400:
+            staging = scratch_path(spark, "retain")
+            (spark.read.parquet(path).where((F.col("dt").cast("string") == edge) & (F.col("timestamp") >= cutoff)).drop("batch")
+             .write.partitionBy("dt").parquet(staging))
+            kept = spark.read.schema(spark.read.parquet(path).drop("batch").schema).parquet(staging)
+            replace_days(spark, path, kept, [edge], "retain")
+            delete(spark, staging)
+        ensure_schema_file(spark, path)
+        for day in old:
+            delete(spark, f"{path}/dt={day}")
     return old
 
 
@@ -154,8 +160,9 @@ def retain_window(df: DataFrame, days: int = 7, as_of: int | None = None) -> Dat
 def reset_table(spark: SparkSession, path: str) -> None:
     """Delete every row of the table; it stays a readable, empty table."""
     ensure_schema_file(spark, path)
-    for day in table_days(spark, path):
-        delete(spark, f"{path}/dt={day}")
+    with rows_changed(spark, path, lambda: table_days(spark, path)):
+        for day in table_days(spark, path):
+            delete(spark, f"{path}/dt={day}")
 
 
 #: Greatest and least event time that a day folder can be named for: years 1 to 9999.
