@@ -28,6 +28,8 @@ MAX_SIDECARS = 16
 #: Columns of a page and of its order, and the batch that a row is from.
 COLUMNS = [*dict.fromkeys([*API_COLUMNS, "timestamp", "icao24", "time_position"])]
 FOLDER, FOLD, PENDING, LOCK = "_newest", "fold-", "_pending-", "_folding"
+#: Marker in place of the fold of a table without rows; any other fold comes after it.
+EMPTY = FOLD + "00000000"
 
 
 def newest_first():
@@ -87,10 +89,14 @@ def _batch_rows(spark: SparkSession, path: str, days: list[str], name: str) -> D
     return read.parquet(*parts).withColumn("batch", F.lit(name))
 
 
+def _last_fold(entries: list[str]) -> list[str]:
+    return [e for e in sorted(entries) if e.startswith(FOLD) and e != EMPTY][-1:]
+
+
 def _kept(spark: SparkSession, path: str, entries: list[str], days: list[str] | None) -> DataFrame | None:
     """All rows kept under ``entries`` of the folder, each batch once, and pending batches' own."""
     own = [e for e in entries if not e.startswith((FOLD, "_", "."))]
-    folds = [e for e in entries if e.startswith(FOLD)][-1:]
+    folds = _last_fold(entries)
     pending = [e[len(PENDING):] for e in entries if e.startswith(PENDING)] if days is not None else []
     read = spark.read.schema(KEPT_SCHEMA)
     parts = [read.parquet(*[f"{path}/{FOLDER}/{e}" for e in own if e not in pending])] if set(own) - set(pending) else []
@@ -121,9 +127,9 @@ def rebuild(spark: SparkSession, path: str, days: list[str]) -> None:
     delete(spark, f"{path}/{FOLDER}")
     if days:
         rows = newest_window(spark, path, days, KEPT).select(*COLUMNS, F.col("batch").cast("string").alias("batch"))
+        _write(spark, rows, f"{path}/{FOLDER}", f"{FOLD}{0:08d}-{uuid.uuid4().hex[:8]}")
     else:
-        rows = spark.createDataFrame([], KEPT_SCHEMA)
-    _write(spark, rows, f"{path}/{FOLDER}", f"{FOLD}{0:08d}-{uuid.uuid4().hex[:8]}")
+        create_new(spark, f"{path}/{FOLDER}/{EMPTY}")
 
 
 def _write(spark: SparkSession, rows: DataFrame, folder: str, name: str) -> bool:
@@ -148,7 +154,7 @@ def fold(spark: SparkSession, path: str) -> None:
         done = [e for e in entries if not e.startswith(("_", ".")) and e not in pending]
         rows = _kept(spark, path, done, None)
         if rows is not None:
-            last = max((int(e.split("-")[1]) for e in done if e.startswith(FOLD)), default=0)
+            last = max((int(e.split("-")[1]) for e in done if e.startswith(FOLD) and e != EMPTY), default=0)
             if _write(spark, rows, folder, f"{FOLD}{last + 1:08d}-{uuid.uuid4().hex[:8]}"):
                 for e in done:
                     delete(spark, f"{folder}/{e}")
@@ -164,7 +170,7 @@ def batch_written(spark: SparkSession, path: str, batch: str, list_days) -> Iter
     if not any(e.startswith(FOLD) for e in entries):
         rebuild(spark, path, list_days())
         entries = names(spark, folder)
-    folds = [e for e in entries if e.startswith(FOLD)][-1:]
+    folds = _last_fold(entries)
     # a replayed batch whose rows were folded may have pushed out others' rows
     folded = bool(folds) and not spark.read.schema(KEPT_SCHEMA).parquet(f"{folder}/{folds[0]}").where(F.col("batch") == name).isEmpty()
     create_new(spark, f"{folder}/{PENDING}{name}")
