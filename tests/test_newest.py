@@ -90,3 +90,27 @@ def test_batch_whose_writer_died_is_served(spark):
         assert sv.recent_flights_from_table(spark, path, limit, lookback).collect() == sv.recent_flights(table, limit).collect()
     sk.append_batch(h.limit(3), path)
     right(spark, path)
+
+
+def test_merge_changes_the_kept_rows(spark):
+    from flight_engine.operators import warehouse as wh
+    h = hist(spark)
+    path = scratch_path(spark, "t-newest-merge")
+    sk.append_batch(h, path)
+    newest = sv.recent_flights(h, 500).agg(F.max("timestamp")).first()[0]
+    corrections = h.where(F.col("timestamp") >= newest - 86400).withColumn("last_contact", F.col("last_contact") + 9)
+    corrections = corrections.withColumn("callsign", F.lit("FIXED")).withColumn("created_at", F.current_timestamp())
+    wh.merge_into_partitioned(spark, path, corrections, scratch_path(spark, "t-newest-merge-stage"))
+    right(spark, path)
+    assert sv.recent_flights_from_table(spark, path, 1).first().callsign == "FIXED"
+
+
+def test_many_batches_are_folded(spark, monkeypatch):
+    monkeypatch.setattr(nw, "MAX_SIDECARS", 3)
+    path = scratch_path(spark, "t-newest-many")
+    h = hist(spark).limit(60).cache()
+    for k in range(5):
+        sk.append_batch(h.where(F.col("timestamp") % 5 == k), path, f"s-{k}")
+        right(spark, path)
+        assert len(names(spark, f"{path}/{nw.FOLDER}")) <= 4
+    h.unpersist()
