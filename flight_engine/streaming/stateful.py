@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -170,7 +170,18 @@ def trajectory_stream(spark: SparkSession, history: DataFrame, minutes: int = 5)
 
 DESCENT_OUT = ("icao24 string, start_timestamp bigint, timestamp bigint, longitude double, "
                "latitude double, vertical_rate double")
-DESCENT_STATE = "run long, run_start long, last_ts long, last_tp long"
+DESCENT_STATE = "icao24 array<string>, run array<long>, run_start array<long>, last_ts array<long>, last_tp array<long>"
+#: Groups that aircraft are dealt into for custom state. An address has 24 bits, so that a group
+#: holds some 16,384 aircraft at most; a call of Python handles a group's rows at once, not one aircraft's.
+BUCKETS = 1024
+NO_TIME = -(1 << 53)
+#: Earlier than any fix.
+NEVER = np.iinfo("int64").min
+
+
+def bucket() -> Column:
+    """The group of aircraft that a row's state is kept with."""
+    return F.pmod(F.xxhash64("icao24"), F.lit(BUCKETS)).cast("int")
 
 
 def _timeout(state: GroupState, at_ms: int) -> None:
@@ -183,38 +194,83 @@ def _times(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return pdf["timestamp"].to_numpy("int64"), pdf["time_position"].fillna(NO_TIME).to_numpy("int64")
 
 
-NO_TIME = -(1 << 53)
+def places(aircraft: pd.Series, known: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of each row's aircraft, the aircraft by number, their places in ``known``, -1 if not there)."""
+    code, names = pd.factorize(aircraft.astype(object), use_na_sentinel=False)
+    return code, names, pd.Index(known, dtype=object).get_indexer(names)
+
+
+def known_of(values: list, at: np.ndarray, absent) -> np.ndarray:
+    """A value of each aircraft's state by ``places``, or ``absent``."""
+    return np.array([*values, absent], dtype=np.asarray(absent).dtype)[at]
+
+
+def behind(ts: np.ndarray, tp: np.ndarray, last_ts: np.ndarray, last_tp: np.ndarray) -> np.ndarray:
+    """Whether (ts, tp) is before (last_ts, last_tp)."""
+    return (ts < last_ts) | ((ts == last_ts) & (tp < last_tp))
+
+
+def first_rows(code: np.ndarray) -> np.ndarray:
+    """The place of the first row of each row's aircraft, in rows ordered by aircraft."""
+    starts = np.concatenate(([True], code[1:] != code[:-1])) if len(code) else np.zeros(0, dtype=bool)
+    return np.maximum.accumulate(np.where(starts, np.arange(len(code)), 0)) if len(code) else np.zeros(0, dtype="int64")
+
+
+def last_rows(code: np.ndarray) -> np.ndarray:
+    """Places of the last row of each aircraft, in rows ordered by aircraft."""
+    return np.flatnonzero(np.concatenate((code[1:] != code[:-1], [True]))) if len(code) else np.zeros(0, dtype="int64")
+
+
+def run_lengths(falling: np.ndarray, first: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(length of the run of falling rows that ends in each row, place of the last row before it that is not falling).
+
+    Rows are ordered by aircraft and time; ``run`` is the length that the aircraft's run had before
+    its first row here. A place before ``first`` means that the run goes back to the state.
+    """
+    at = np.arange(len(falling))
+    broken = np.maximum(np.maximum.accumulate(np.where(falling, -1, at)) if len(at) else at, first - 1)
+    return np.where(falling, at - broken + np.where(broken < first, run, 0), 0), broken
 
 
 def _descent_fn(rate: float, ticks: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        known = [list(x) for x in state.get] if state.exists else [[], [], [], [], []]
+        watermark = state.getCurrentWatermarkMs()
+        due = np.array(known[3], dtype="int64") * 1000 + IDLE_TIMEOUT_MS
+        stay = due >= watermark  # aircraft that were silent for longer are forgotten, unless they have rows now
+        if not state.hasTimedOut:
+            # the rows of a micro-batch come as any number of Arrow batches in any order
+            pdf = pd.concat(list(pdfs), ignore_index=True)
+            code, names, at = places(pdf["icao24"], known[0])
+            ts, tp = _times(pdf)
+            order = np.lexsort((tp, ts, code))
+            pdf, code, ts, tp = pdf.iloc[order], code[order], ts[order], tp[order]
+            last_ts, last_tp = known_of(known[3], at, NEVER)[code], known_of(known[4], at, NEVER)[code]
+            new = ~behind(ts, tp, last_ts, last_tp) & ((ts != last_ts) | (tp != last_tp))  # neither late nor replayed
+            stay[at[at >= 0]] = True
+            pdf, code, ts, tp = pdf[new], code[new], ts[new], tp[new]
+            falling = pdf["vertical_rate"].to_numpy("float64", na_value=np.nan) < rate
+            first, run = first_rows(code), known_of(known[1], at, 0)[code]
+            length, broken = run_lengths(falling, first, run)
+            start = np.where((broken < first) & (run > 0), known_of(known[2], at, 0)[code], ts[np.minimum(broken + 1, len(ts) - 1)])
+            hit, found = falling & (length == ticks), pdf
+            last = last_rows(code)
+            changed = at[code[last]]
+            stay[changed[changed >= 0]] = False
+            made = [names[code[last]], length[last], start[last], ts[last], tp[last]]
+        else:
+            made, hit = [np.zeros(0, dtype="int64")] * 5, np.zeros(0, dtype=bool)
+        known = [[x for x, s in zip(old, stay) if s] + np.asarray(now).tolist() for old, now in zip(known, made)]
+        if known[0]:
+            state.update(tuple(known))
+            _timeout(state, min(known[3]) * 1000 + IDLE_TIMEOUT_MS)
+        else:
             state.remove()
-            return
-        run, start, last_ts, last_tp = state.get if state.exists else (0, None, None, None)
-        # an aircraft's rows of a micro-batch come as any number of Arrow batches in any order
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        ts, tp = _times(pdf)
-        pdf = pdf.iloc[np.lexsort((tp, ts))]
-        ts, tp = _times(pdf)
-        if last_ts is not None:  # late or replayed fixes behind the aircraft's state
-            new = (ts > last_ts) | ((ts == last_ts) & (tp > last_tp))
-            pdf, ts, tp = pdf[new], ts[new], tp[new]
-        if not len(ts):
-            _timeout(state, int(last_ts) * 1000 + IDLE_TIMEOUT_MS)
-            return
-        falling = (pdf["vertical_rate"].to_numpy("float64", na_value=np.nan) < rate)
-        at = np.arange(len(ts))
-        broken = np.maximum.accumulate(np.where(falling, -1, at))
-        length = np.where(falling, at - broken + np.where(broken < 0, run, 0), 0)
-        first = np.where(broken < 0, start if run else ts[0], ts[np.minimum(broken + 1, len(ts) - 1)])
-        hit = falling & (length == ticks)
-        state.update((int(length[-1]), int(first[-1]) if length[-1] else None, int(ts[-1]), int(tp[-1])))
-        _timeout(state, int(ts[-1]) * 1000 + IDLE_TIMEOUT_MS)
-        found = pdf[hit]
-        yield pd.DataFrame({"icao24": [key[0]] * len(found), "start_timestamp": first[hit], "timestamp": ts[hit],
-                            "longitude": found["longitude"].to_numpy(), "latitude": found["latitude"].to_numpy(),
-                            "vertical_rate": found["vertical_rate"].to_numpy()})
+        if hit.any():
+            found = found[hit]
+            yield pd.DataFrame({"icao24": found["icao24"].to_numpy(), "start_timestamp": start[hit], "timestamp": ts[hit],
+                                "longitude": found["longitude"].to_numpy(), "latitude": found["latitude"].to_numpy(),
+                                "vertical_rate": found["vertical_rate"].to_numpy()})
     return fn
 
 
@@ -224,7 +280,7 @@ def descent_stream(spark: SparkSession, history: DataFrame, rate: float = DESCEN
     out, ck = scratch_path(spark, "descent"), scratch_path(spark, "descent-ck")
 
     def start(stream: DataFrame) -> StreamingQuery:
-        events = (stream.withWatermark("event_time", WATERMARK).groupBy("icao24")
+        events = (stream.withWatermark("event_time", WATERMARK).withColumn("bucket", bucket()).groupBy("bucket")
                   .applyInPandasWithState(_descent_fn(rate, ticks), DESCENT_OUT, DESCENT_STATE,
                                           "append", GroupStateTimeout.EventTimeTimeout))
         return stream_to_parquet(events, out, ck)
@@ -236,29 +292,40 @@ def descent_stream(spark: SparkSession, history: DataFrame, rate: float = DESCEN
 
 # ---- latest state with TTL eviction (custom state) ----------------------------------
 
+LATEST_STATE = "icao24 array<string>, last_ts array<long>, last_tp array<long>"
+
+
 def _latest_ttl_fn(columns: list[str], ttl_s: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            # silent longer than the TTL behind the watermark: evict, emit a tombstone
-            last = state.get
-            state.remove()
-            row = {c: None for c in columns}
-            row.update(icao24=key[0], timestamp=last[0], evicted=True)
-            yield pd.DataFrame([row], columns=columns + ["evicted"])
-            return
-        best = None
-        for pdf in pdfs:
+        known = [list(x) for x in state.get] if state.exists else [[], [], []]
+        gone = (np.array(known[1], dtype="int64") + ttl_s) * 1000 < state.getCurrentWatermarkMs()
+        stay, made = ~gone, [np.zeros(0, dtype="int64")] * 3
+        if not state.hasTimedOut:
+            pdf = pd.concat(list(pdfs), ignore_index=True)
+            code, names, at = places(pdf["icao24"], known[0])
             ts, tp = _times(pdf)
-            i = int(np.lexsort((tp, ts))[-1])
-            if best is None or (ts[i], tp[i]) > best[0]:
-                best = ((ts[i], tp[i]), pdf.iloc[[i]])
-        (ts, tp), top = best
-        if state.exists and state.get >= (ts, tp):
-            _timeout(state, (int(state.get[0]) + ttl_s) * 1000)
-            return  # nothing newer in this batch
-        state.update((int(ts), int(tp)))
-        _timeout(state, (int(ts) + ttl_s) * 1000)
-        yield top[columns].assign(evicted=False)
+            order = np.lexsort((tp, ts, code))
+            order = order[last_rows(code[order])]
+            code, ts, tp = code[order], ts[order], tp[order]
+            last_ts, last_tp = known_of(known[1], at, NEVER)[code], known_of(known[2], at, NEVER)[code]
+            newer = behind(last_ts, last_tp, ts, tp)
+            gone[at[at >= 0]] = False  # heard of in this batch: looked at again in the next
+            stay = ~gone
+            changed = at[code[newer]]
+            stay[changed[changed >= 0]] = False
+            made = [names[code[newer]], ts[newer], tp[newer]]
+            if newer.any():
+                yield pdf.iloc[order[newer]][columns].assign(evicted=False)
+        if gone.any():
+            # silent longer than the TTL behind the watermark: evict, emit tombstones
+            rows = pd.DataFrame({"icao24": np.array(known[0], dtype=object)[gone], "timestamp": np.array(known[1], dtype="int64")[gone]})
+            yield rows.reindex(columns=columns).astype({c: object for c in columns if c != "timestamp"}).assign(evicted=True)
+        known = [[x for x, s in zip(old, stay) if s] + np.asarray(now).tolist() for old, now in zip(known, made)]
+        if known[0]:
+            state.update(tuple(known))
+            _timeout(state, (min(known[1]) + ttl_s) * 1000)
+        else:
+            state.remove()
     return fn
 
 
@@ -266,9 +333,9 @@ def latest_state_ttl_stream(spark: SparkSession, history: DataFrame,
                             ttl_s: int = LATEST_TTL_S) -> DataFrame:
     """Newest row per aircraft whose state is evicted ``ttl_s`` after it goes silent.
 
-    State is one (timestamp, time_position) pair per *active* aircraft: the
-    event-time timeout fires when the watermark passes last-seen + TTL, the
-    state is removed and a tombstone is emitted.  The read-back keeps each
+    State is one (timestamp, time_position) pair per *active* aircraft, kept by ``bucket``: the
+    event-time timeout fires when the watermark passes the earliest last-seen + TTL, silent
+    aircraft are removed and their tombstones emitted.  The read-back keeps each
     aircraft's last emitted version unless it is a tombstone, then applies the
     TTL against the newest fix (as the batch ``latest_state`` does).
     """
@@ -277,9 +344,8 @@ def latest_state_ttl_stream(spark: SparkSession, history: DataFrame,
     out, ck = scratch_path(spark, "latest-ttl"), scratch_path(spark, "latest-ttl-ck")
 
     def start(stream: DataFrame) -> StreamingQuery:
-        upd = (stream.withWatermark("event_time", WATERMARK).groupBy("icao24")
-               .applyInPandasWithState(_latest_ttl_fn(columns, ttl_s), out_schema,
-                                       "timestamp long, time_position long", "update",
+        upd = (stream.withWatermark("event_time", WATERMARK).withColumn("bucket", bucket()).groupBy("bucket")
+               .applyInPandasWithState(_latest_ttl_fn(columns, ttl_s), out_schema, LATEST_STATE, "update",
                                        GroupStateTimeout.EventTimeTimeout))
         return stream_upserts(upd, out, ck)
 
