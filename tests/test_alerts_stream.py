@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from flight_engine.functions.columns import event_time
 from flight_engine.operators.anomalies import alerts
-from flight_engine.session import scratch_path
+from flight_engine.session import STATE_STORE, scratch_path
 from flight_engine.streaming import alerts as al
 from flight_engine.streaming.pipeline import run_until_caught_up
 
@@ -104,3 +104,14 @@ def test_null_columns(spark, column):
     rows = [tuple(None if i == at else x for i, x in enumerate(fix("a", 1_000_000 + 60 * k, -20.0))) for k in range(4)]
     got = Topic(spark).feed(rows)
     assert got == sorted((r.alert_type, r.icao24, r.timestamp) for r in alerts(spark.createDataFrame(rows, SCHEMA)).collect())
+
+
+def test_alerts_in_a_session_with_the_default_state_store(spark):
+    old = spark.conf.get(STATE_STORE)
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(STATE_STORE, plain)
+    try:
+        assert Topic(spark).feed([fix("a", 1_000_000, callsign=None)]) == [("GHOST_NULL_CALLSIGN", "a", 1_000_000)]
+        assert spark.conf.get(STATE_STORE) == plain
+    finally:
+        spark.conf.set(STATE_STORE, old)
