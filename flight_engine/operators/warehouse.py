@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flight_engine.functions.columns import is_on_ground
@@ -99,14 +99,15 @@ def route_fixes(history: DataFrame) -> DataFrame:
     return fixes.select(*ROUTE_FIX[:-1], F.size("alerts").alias("n_alerts"))
 
 
-def route_partials(fixes: DataFrame, sign: int = 1) -> DataFrame:
-    """Mergeable sums per (hour, country) of ROUTE_FIX rows; with sign -1 they take rows back."""
+def route_partials(fixes: DataFrame, n: Column | None = None) -> DataFrame:
+    """Mergeable sums per (hour, country) of ROUTE_FIX rows, each counted ``n`` times (once); less than 0 takes them back."""
+    n = F.lit(1) if n is None else n
     hour = F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(3600))
-    sums = {"states": F.count(F.lit(1)), "kmh_sum": F.sum("velocity_kmh"), "kmh_n": F.count("velocity_kmh"),
-            "alt_sum": F.sum("baro_altitude"), "alt_n": F.count("baro_altitude"), "ground": F.count_if(is_on_ground()),
-            "alerts": F.sum("n_alerts")}
+    v, alt = F.col("velocity_kmh"), F.col("baro_altitude")
+    sums = {"states": n, "kmh_sum": v * n, "kmh_n": F.when(v.isNotNull(), n), "alt_sum": alt * n, "alt_n": F.when(alt.isNotNull(), n),
+            "ground": F.when(is_on_ground(), n), "alerts": F.col("n_alerts") * n}
     return (fixes.groupBy(hour.alias("hour_start"), "origin_country")
-            .agg(*[(F.coalesce(c, F.lit(0)) * sign).alias(n) for n, c in sums.items()]))
+            .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in sums.items()]))
 
 
 def routes_of(partials: DataFrame) -> DataFrame:
@@ -133,8 +134,10 @@ def maintain_hourly_routes(path: str, batch: str, old: DataFrame, new: DataFrame
     the difference is written per hour under ``batch``, so hours without one keep their files and
     the same batch replaces itself.
     """
-    delta = route_partials(new.exceptAll(old)).unionByName(route_partials(old.exceptAll(new), -1))
-    delta = delta.groupBy(*ROUTE_KEY).agg(*[F.sum(c).alias(c) for c in ROUTE_SUMS])
+    # one pass over both: equal fixes meet and cancel, what is left was added (n > 0) or is gone
+    signed = new.withColumn("n", F.lit(1)).unionByName(old.withColumn("n", F.lit(-1)))
+    changed = signed.groupBy(*new.columns).agg(F.sum("n").alias("n")).where("n <> 0")
+    delta = route_partials(changed, F.col("n"))
     (delta.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("hour_start", "batch").parquet(path))
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flight_engine.files import delete_at_end
 from flight_engine.operators import anomalies as an
 from flight_engine.operators import metrics as mt
 from flight_engine.operators import serve as sv
@@ -442,13 +443,23 @@ def q_agg_hourly_routes(spark, sf):
     return wh.agg_hourly_routes(history(spark, sf))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` worked out once, in the shared scratch folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "kept")
+    df.write.parquet(path)
+    delete_at_end(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def q_agg_hourly_routes_stored(spark, sf):
     """Hourly routes kept from three appended batches and a batch of corrections."""
     path = scratch_path(spark, "hourly-routes")
     h = history(spark, sf)
     part = F.floor((F.col("timestamp") - td.EPOCH_BASE) / (10 * 86400))
-    tables = [*[h.where(part <= k) for k in range(2)], h, wh.merge_corrections(h, _corrections(h))]
-    fixes = [wh.route_fixes(t) for t in tables]
+    merged = _kept(wh.merge_corrections(h, _corrections(h)))
+    tables = [*[h.where(part <= k) for k in range(2)], h, merged]
+    fixes = [_kept(wh.route_fixes(t)) for t in tables]  # of two steps each
     for k, (old, new) in enumerate(zip([fixes[0].limit(0), *fixes], fixes)):
         wh.maintain_hourly_routes(path, f"b{k}", old, new)
     return wh.read_hourly_routes(spark, path)

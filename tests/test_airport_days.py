@@ -93,3 +93,22 @@ def test_an_hour_that_loses_all_its_rows_goes(spark):
     gone = h.where("timestamp <> 5000")
     wh.maintain_hourly_routes(path, "1", wh.route_fixes(h), wh.route_fixes(gone))
     assert [r.hour_start for r in wh.read_hourly_routes(spark, path).collect()] == [0]
+
+
+def test_a_batch_reads_its_fixes_once(spark):
+    """Equal fixes of before and after cancel, also of several, in one pass over both."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(pdfs):
+        for pdf in pdfs:
+            read.add(len(pdf))
+            yield pdf
+
+    h = fixes(spark, [("a", 10, 0.0, False), ("a", 10, 0.0, False), ("b", 20, 0.0, False), ("b", 4000, 0.0, False)])
+    old, new = wh.route_fixes(h), wh.route_fixes(h.where("icao24 = 'b'").unionByName(h.where("icao24 = 'a'").limit(1)))
+    path = scratch_path(spark, "t-routes")
+    wh.maintain_hourly_routes(path, "0", old.limit(0), old)
+    wh.maintain_hourly_routes(path, "1", old.mapInPandas(counted, old.schema), new.mapInPandas(counted, new.schema))
+    assert read.value == 7
+    assert sorted((r.hour_start, r.states) for r in wh.read_hourly_routes(spark, path).collect()) == [(0, 2), (3600, 1)]
+    assert spark.read.parquet(path).where("batch = '1'").select("hour_start", "states").collect() == [(0, -1)]
