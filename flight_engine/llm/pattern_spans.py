@@ -18,18 +18,22 @@ CONTEXT = 32
 _TYPE = "array<struct<start: int, end: int, m: string, before: string>>"
 
 
-def with_spans(rows: DataFrame, text: str, patterns: dict[str, str], needs: dict[str, str] | None = None) -> DataFrame:
+def with_spans(rows: DataFrame, text: str, patterns: dict[str, str], needs: dict[str, str | Column] | None = None) -> DataFrame:
     """Adds a column of spans (start, end, m, before) for each name and pattern.
 
     Patterns must not match the empty string. Names must be new columns. ``needs``
-    holds cheap patterns without which a text cannot match the one of that name.
+    holds cheap patterns, or conditions, without which a text cannot match the one of that name.
+
+    Write the rows before a filter on the spans: Spark moves it below the columns made here,
+    and then makes all of them anew for every match.
     """
     names = list(patterns)
 
     def found(name: str) -> Column:
         every = F.regexp_extract_all(text, F.lit(patterns[name]), F.lit(0))
         need = (needs or {}).get(name)
-        return every if need is None else F.when(F.col(text).rlike(need), every).otherwise(F.array().cast("array<string>"))
+        need = F.col(text).rlike(need) if isinstance(need, str) else need
+        return every if need is None else F.when(need, every).otherwise(F.array().cast("array<string>"))
 
     def begins(name: str) -> Column:
         """Where the piece before each match begins."""

@@ -10,6 +10,8 @@ Benjamini-Hochberg control of the false-discovery rate runs over all candidates
 of the corpus within strata of encoding and length, from counts of binned
 p-values, so short tokens with little evidence do not borrow from long ones. A
 token is a secret if its stratum rejects text and no test rejects randomness.
+Texts are read once: what is found and tested is kept beside the document's id,
+and the counts and decisions are made from that.
 
 DataFrame functions only. Defined results: null or empty text has no spans;
 repeated rows are scanned row by row; extra columns are ignored; an empty table
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flight_engine.llm.pattern_spans import label, outside, with_spans, written
+from flight_engine.llm.store import stage
 
 # Kinds and patterns of the base rules, in their order.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -29,7 +32,12 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 MIN_ASSIGNED = 8
 
+MIN_TOKEN = 20
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+#: What ASSIGN begins with, the first letter apart, which the scan then looks for alone.
+ASSIGNS = r"""[PpSsTtAa](?i:ass(?:word|wd)|ecret|oken|pi_?key)["']?\x20*[:=]"""
+#: Bytes of a text up to which it is split into words.
+WORDS_BYTES = 1 << 20
 KINDS = ["assign", "access", "hex", "random"]
 
 #: encoding: pattern, alphabet, sums of squared and cubed letter shares of text in it.
@@ -65,54 +73,78 @@ def _pick(encoding: Column, which: int) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for e, v in ENCODINGS.items() for x in (e, float(v[which]))]), encoding)
 
 
+def _and(s: Column, kept: str, **new: Column) -> Column:
+    """The fields of ``s`` named in ``kept``, and new ones."""
+    return F.struct(*[s[k].alias(k) for k in kept.split()], *[v.alias(k) for k, v in new.items()])
+
+
 def _tested(spans: Column) -> Column:
-    """Candidates (start, end, encoding, length, text_p, random): statistics of each token."""
+    """Candidates (start, end, encoding, n, text_p, random): statistics of each token.
+
+    Each step's values are fields that the next step reads. A lambda computes what it names anew for every
+    element, so a value of the whole token inside one would cost the square of the token's length.
+    """
+
+    def plain(s: Column) -> Column:
+        return _and(s, "start end", plain=F.rtrim(s["m"], F.lit("=")))
+
+    def encoded(s: Column) -> Column:
+        return _and(s, "start end plain", encoding=_encoding(s["plain"]))
+
+    def spelled(s: Column) -> Column:
+        text = F.when(s["encoding"].isin("hex", "base36"), F.lower(s["plain"])).otherwise(s["plain"])
+        alphabet = F.element_at(F.create_map(*[F.lit(x) for e, v in ENCODINGS.items() for x in (e, v[1])]), s["encoding"])
+        return _and(s, "start end encoding", chars=F.filter(F.split(text, ""), lambda c: c != ""), alphabet=alphabet)
 
     def codes(s: Column) -> Column:
-        plain = F.rtrim(s["m"], F.lit("="))
-        encoding = _encoding(plain)
-        spelled = F.when(encoding.isin("hex", "base36"), F.lower(plain)).otherwise(plain)
-        alphabet = F.element_at(F.create_map(*[F.lit(x) for e, v in ENCODINGS.items() for x in (e, v[1])]), encoding)
-        chars = F.filter(F.split(spelled, ""), lambda c: c != "")
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), encoding.alias("encoding"),
-                        F.transform(chars, lambda c: (F.instr(alphabet, c) - 1).cast("double")).alias("x"),
-                        F.length(alphabet).cast("double").alias("a"))
+        return _and(s, "start end encoding", x=F.transform(s["chars"], lambda c: (F.instr(s["alphabet"], c) - 1).cast("double")),
+                    a=F.length(s["alphabet"]).cast("double"), n=F.size(s["chars"]).cast("double"))
 
     def sums(s: Column) -> Column:
-        x = s["x"]
-        n = F.size(x).cast("double")
-        pairs = F.aggregate(F.array_distinct(x), F.lit(0.0),
-                            lambda acc, v: acc + F.pow(F.size(F.filter(x, lambda y: y == v)).cast("double"), F.lit(2.0)))
+        x, n, a = s["x"], s["n"], s["a"]
+
+        def counted(acc: Column, v: Column) -> Column:
+            # equal codes stand together, and 1 + 3 + 5 + ... is the square of their number
+            run = F.when(acc["v"] == v, acc["run"] + 1).otherwise(1.0)
+            return F.struct(v.alias("v"), run.alias("run"), (acc["total"] + 2 * run - 1).alias("total"))
+
+        none = F.struct(F.lit(-2.0).alias("v"), F.lit(0.0).alias("run"), F.lit(0.0).alias("total"))
+        pairs = F.aggregate(F.sort_array(x), none, counted, lambda acc: acc["total"])
         mean = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v) / n
-        return F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), s["encoding"].alias("encoding"), x.alias("x"),
-            s["a"].alias("a"), n.alias("n"), (pairs * s["a"] / n - n).alias("chi"), mean.alias("mean"))
+        return _and(s, "start end encoding x a n", chi=pairs * a / n - n, mean=mean, high=F.transform(x, lambda v: (v >= a / 2).cast("int")))
 
-    def tests(s: Column) -> Column:
-        x, n, a, chi, mean = s["x"], s["n"], s["a"], s["chi"], s["mean"]
+    def moments(s: Column) -> Column:
+        x, high, mean = s["x"], s["high"], s["mean"]
+        up = F.aggregate(high, F.lit(0.0), lambda acc, v: acc + v)
+        runs = F.aggregate(F.sequence(F.lit(1), F.size(x) - 1), F.lit(1.0),
+                           lambda acc, i: acc + F.when(F.get(high, i) != F.get(high, i - 1), 1.0).otherwise(0.0))
+        var = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
+        lag = F.aggregate(F.sequence(F.lit(1), F.size(x) - 1), F.lit(0.0),
+                          lambda acc, i: acc + (F.get(x, i) - mean) * (F.get(x, i - 1) - mean))
+        return _and(s, "start end encoding a n chi", up=up, runs=runs, var=var, lag=lag)
+
+    def scores(s: Column) -> Column:
+        n, a, chi, up, runs, var = s["n"], s["a"], s["chi"], s["up"], s["runs"], s["var"]
         k2, k3 = _pick(s["encoding"], 2), _pick(s["encoding"], 3)
         text_mean = a * ((n - 1) * k2 + 1) - n
         text_sd = a / n * F.sqrt(4 * n * n * n * (k3 - k2 * k2) + 2 * n * n * k2 * k2)
-        text_p = _upper((text_mean - chi) / text_sd)
         # Wilson-Hilferty
         d = a - 1
         chi_z = (F.pow(F.greatest(chi, F.lit(0.0)) / d, F.lit(1 / 3)) - (1 - 2 / (9 * d))) / F.sqrt(2 / (9 * d))
-        high = F.transform(x, lambda v: (v >= a / 2).cast("int"))
-        up = F.aggregate(high, F.lit(0.0), lambda acc, v: acc + v)
-        runs = F.aggregate(F.sequence(F.lit(1), F.size(x) - 1), F.lit(1.0),
-                           lambda acc, i: acc + F.when(F.get(high, i) != F.get(high, i - 1), 1.0).otherwise(0.0))
         expected = 2 * up * (n - up) / n + 1
         spread = F.sqrt(F.greatest((expected - 1) * (expected - 2) / (n - 1), F.lit(1e-9)))
-        var = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
-        lag = F.aggregate(F.sequence(F.lit(1), F.size(x) - 1), F.lit(0.0),
-                          lambda acc, i: acc + (F.get(x, i) - mean) * (F.get(x, i - 1) - mean))
-        serial = (F.when(var > 0, lag / var).otherwise(1.0) + 1 / n) * F.sqrt(n)
-        least = F.least(_upper(chi_z), 2 * _tail(F.abs((runs - expected) / spread)), 2 * _tail(F.abs(serial)))
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["encoding"].alias("encoding"), n.alias("n"),
-                        text_p.alias("text_p"), (least >= REJECT_RANDOM).alias("random"))
+        serial = (F.when(var > 0, s["lag"] / var).otherwise(1.0) + 1 / n) * F.sqrt(n)
+        return _and(s, "start end encoding n", text_z=(text_mean - chi) / text_sd, chi_z=chi_z,
+                    runs_z=F.abs((runs - expected) / spread), serial_z=F.abs(serial))
+
+    def tests(s: Column) -> Column:
+        least = F.least(_upper(s["chi_z"]), 2 * _tail(s["runs_z"]), 2 * _tail(s["serial_z"]))
+        return _and(s, "start end encoding n", text_p=_upper(s["text_z"]), random=least >= REJECT_RANDOM)
 
-    mixed = F.filter(spans, lambda s: s["m"].rlike("[0-9]") & s["m"].rlike("[A-Za-z]"))
-    return F.transform(F.transform(F.transform(mixed, codes), sums), tests)
+    out = F.filter(spans, lambda s: s["m"].rlike("[0-9]") & s["m"].rlike("[A-Za-z]"))
+    for step in (plain, encoded, spelled, codes, sums, moments, scores, tests):
+        out = F.transform(out, step)
+    return out
 
 
 def _stratum(s: Column) -> Column:
@@ -145,24 +177,37 @@ def discovery_bins(candidates: DataFrame, fdr: float = FDR) -> dict[str, int]:
     return out
 
 
-def _candidates(docs: DataFrame) -> DataFrame:
-    rows = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    return with_spans(rows, "text", {"found": CANDIDATE}).where(F.size("found") > 0).select(_tested(F.col("found")).alias("tested"))
+def _has_long_token(text: Column) -> Column:
+    """Whether ``text`` has a candidate: by its words, where one of 20 bytes is rare, which is cheaper than a pattern over all of it.
+
+    A text of many words as an array takes much memory, so long ones go by the pattern.
+    """
+    by_words = F.exists(F.split(text, " ", -1), lambda w: (F.octet_length(w) >= MIN_TOKEN) & w.rlike(CANDIDATE))
+    return F.when(F.octet_length(text) <= WORDS_BYTES, by_words).otherwise(text.rlike(CANDIDATE))
+
+
+def _scanned(docs: DataFrame) -> DataFrame:
+    """doc_id, base (start, end, kind) and tested: what is found in one reading of the texts, kept for the decisions."""
+    text = F.col("text")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", "text", _has_long_token(text).alias("long"))
+    # a run of 32 hexadecimal characters is part of a candidate
+    needs = {"assign": (F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))) & text.rlike(ASSIGNS),
+             "access": F.contains(text, F.lit("AKIA")), "hex": F.col("long"), "found": F.col("long")}
+    rows = with_spans(rows, "text", {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "found": CANDIDATE}, needs)
+    long_enough = F.filter("assign", lambda s: F.length(F.regexp_extract(s["m"], ASSIGN, 1)) >= MIN_ASSIGNED)
+    base = F.concat(label("assign", long_enough), label("access", F.col("access")), label("hex", F.col("hex")))
+    return stage(rows.select("doc_id", base.alias("base"), _tested(F.col("found")).alias("tested")), "secrets")
 
 
 def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """doc_id, base and spans: arrays of (start, end, kind), by start and then kind."""
-    bins = discovery_bins(_candidates(docs), fdr)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_spans(rows, "text", {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "found": CANDIDATE},
-                      {"assign": "[:=]", "access": "AKIA"}).drop("text")
-    long_enough = F.filter("assign", lambda s: F.length(F.regexp_extract(s["m"], ASSIGN, 1)) >= MIN_ASSIGNED)
-    base = F.concat(label("assign", long_enough), label("access", F.col("access")), label("hex", F.col("hex")))
+    rows = _scanned(docs)
+    bins = discovery_bins(rows, fdr)
     if bins:
         least = F.create_map(*[F.lit(x) for s, b in sorted(bins.items()) for x in (s, b)])
-        picked = F.filter(_tested(F.col("found")), lambda s: s["random"] & F.coalesce(_bin(s) >= F.element_at(least, _stratum(s)), F.lit(False)))
+        picked = F.filter("tested", lambda s: s["random"] & F.coalesce(_bin(s) >= F.element_at(least, _stratum(s)), F.lit(False)))
     else:
-        picked = F.filter(F.col("found"), lambda s: F.lit(False))
+        picked = F.filter("tested", lambda s: F.lit(False))
     rank = F.array(*map(F.lit, KINDS))
 
     def ordered(spans: Column) -> Column:
@@ -170,7 +215,7 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
             s["start"].alias("start"), F.array_position(rank, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
         return F.transform(keyed, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
 
-    rows = rows.select("doc_id", base.alias("base"), label("random", picked).alias("more"))
+    rows = rows.select("doc_id", "base", label("random", picked).alias("more"))
     return rows.select("doc_id", ordered(F.col("base")).alias("base"),
                        ordered(F.concat("base", outside(F.col("more"), F.col("base")))).alias("spans"))
 

@@ -72,3 +72,39 @@ def test_a_text_with_200_000_matches(spark):
         assert not brute.pii(clean[1]) and clean[1].count("<EMAIL>") + clean[1].count("<IP>") == n and clean[2] == "plain words"
         took.append(time.monotonic() - began)
     assert took[1] < 30 * took[0]
+
+
+def test_secret_scan_of_many_and_of_long_tokens(spark):
+    """A text of 240 keys costs no multiple of as many texts of one key, has the same spans, and long keys are no dearer than many."""
+    import string
+    from flight_engine.llm.secret_scan import secret_digests
+    rnd = random.Random(11)
+    keys = ["".join(rnd.choices(string.ascii_letters + string.digits, k=20 + i % 30)) for i in range(240)]
+    starts = [sum(len(k) + 1 for k in keys[:i]) for i in range(len(keys))]
+
+    def scanned(texts):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        began = time.monotonic()
+        return {r.doc_id: r.spans for r in secret_digests(df).collect()}, time.monotonic() - began
+
+    apart, took_apart = scanned(keys)
+    together, took_together = scanned([" ".join(keys)])
+    want = [f"random:{starts[i] + int(a)}:{starts[i] + int(b)}" for i in range(len(keys)) if apart[i] for _, a, b in [apart[i].split(":")]]
+    assert len(want) > 150 and together[0].split(",") == want
+    assert took_together < 3 * took_apart + 5
+    _, took_long = scanned(["".join(rnd.choices(string.ascii_letters + string.digits, k=20_000)) for _ in range(4)])
+    assert took_long < 3 * took_apart + 5
+
+
+def test_secret_scan_reads_its_texts_once_and_words_of_any_length(spark, tmp_path, monkeypatch):
+    from flight_engine.llm import secret_scan
+    texts = ["", None, "a1" * 10, "a1" * 9 + "b", "x\n" + "b2" * 12 + "\ty", "é" + "c3" * 11 + "東 " + "d" * 40, "0" * 32, "AKIA" + "A" * 12,
+             "PASSWORD \t: " + "e" * 9, "aPi_KeY'  =  \"" + "f" * 9, "secret  " * 3, "Passwd=" + "g" * 8, "h" * 19 + " " + "h" * 20]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(path)
+    found = secret_scan.secret_digests(spark.read.parquet(path))
+    assert not any("documents.parquet" in f for f in found.inputFiles())
+    rows = {r.doc_id: r for r in found.collect()}
+    assert all(rows[i].base_sha256 == brute.sha(brute.secrets(t or "")) for i, t in enumerate(texts))
+    monkeypatch.setattr(secret_scan, "WORDS_BYTES", 0)
+    assert {r.doc_id: r for r in secret_scan.secret_digests(spark.read.parquet(path)).collect()} == rows
